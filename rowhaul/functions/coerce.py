@@ -1,179 +1,165 @@
 """Strict conversions: a value either converts without loss or the job fails.
 
-All results are column expressions. ``try_cast`` plus ``raise_error`` keeps the
-behaviour the same whether or not the session runs in ANSI mode.
+Rules are SQL text over a column reference. ``try_cast`` plus ``raise_error``
+keeps them the same whether or not the session runs in ANSI mode.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rowhaul.functions.text import value_text
-from rowhaul.types import DECIMAL_LIMIT, logical
+from rowhaul.functions.text import quoted, value_text_sql
+from rowhaul.types import logical
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 NUMERIC = INTEGRAL + (T.FloatType, T.DoubleType, T.DecimalType)
 
-_ISO_DATE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,7})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-_HAS_OFFSET = r"Z$|T.*[+-]"
-_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
-_INTEGER = r"^\s*[+-]?\d+\s*$"
-_GUID = r"^[0-9a-fA-F]{32}$"
+_ISO_DATE = r"r'^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,7})?)?(Z|[+-]\d{2}:?\d{2})?)?$'"
+_HAS_OFFSET = "r'Z$|T.*[+-]'"
+_NUMBER = r"r'^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$'"
+_INTEGER = r"r'^\s*[+-]?\d+\s*$'"
+# The seventh fraction digit would be lost.
+_TOO_FINE = r"r'\.\d{6}[1-9]'"
 
 
-def fail(text: Column, target: str) -> Column:
+def fail_sql(shown: str, target: str) -> str:
     """Stop the job, naming the value and the type it does not fit."""
-    return F.raise_error(F.concat(F.lit("value '"), F.coalesce(text, F.lit("")), F.lit(f"' cannot be converted to {target}")))
+    return f"raise_error(concat('value ', coalesce(string({shown}), ''), ' cannot be converted to {target}'))"
 
 
-def _checked(source: Column, result: Column, shown: Column, target: str) -> Column:
-    return F.when(source.isNull(), F.lit(None)).when(result.isNotNull(), result).otherwise(fail(shown, target))
+def _checked(x: str, result: str, target: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL THEN coalesce({result}, {fail_sql(x, target)}) END"
 
 
-def has_offset(text: Column) -> Column:
-    """True for date text that names an instant (``Z`` or an offset after the time)."""
-    return text.rlike(_HAS_OFFSET)
+def text_to_decimal(x: str, data_type: T.DecimalType) -> str:
+    name, scale = data_type.simpleString(), data_type.scale
+    exact = f"(instr({x}, '.') = 0 OR length(rtrim('0', rtrim({x}))) - instr({x}, '.') <= {scale})"
+    return _checked(x, f"CASE WHEN rlike({x}, {_NUMBER}) AND {exact} THEN try_cast(trim({x}) AS {name}) END", name)
 
 
-def is_iso_date(text: Column) -> Column:
-    return text.rlike(_ISO_DATE)
-
-
-def _whole_micros(text: Column) -> Column:
-    # The seventh fraction digit would be lost.
-    return ~text.rlike(r"\.\d{6}[1-9]")
-
-
-def text_to_decimal(text: Column, data_type: T.DecimalType) -> Column:
-    scale = data_type.scale
-    fraction = F.length(F.rtrim(F.regexp_replace(F.trim(text), r"^[^.]*\.?|0+$", "")))
-    value = F.trim(text).try_cast(data_type.simpleString())
-    ok = text.rlike(_NUMBER) & (fraction <= scale)
-    return _checked(text, F.when(ok, value), text, data_type.simpleString())
-
-
-def text_to_integral(text: Column, data_type: T.DataType) -> Column:
+def text_to_integral(x: str, data_type: T.DataType) -> str:
     name = data_type.simpleString()
-    return _checked(text, F.when(text.rlike(_INTEGER), F.trim(text).try_cast(name)), text, name)
+    return _checked(x, f"CASE WHEN rlike({x}, {_INTEGER}) THEN try_cast(trim({x}) AS {name}) END", name)
 
 
-def text_to_double(text: Column, data_type: T.DataType) -> Column:
+def text_to_double(x: str, data_type: T.DataType) -> str:
     name = data_type.simpleString()
-    return _checked(text, F.trim(text).try_cast(name), text, name)
+    return _checked(x, f"try_cast(trim({x}) AS {name})", name)
 
 
-def text_to_boolean(text: Column) -> Column:
-    low = F.lower(F.trim(text))
-    return _checked(text, F.when(low == "true", True).when(low == "false", False), text, "boolean")
+def text_to_boolean(x: str) -> str:
+    low = f"lower(trim({x}))"
+    return _checked(x, f"CASE {low} WHEN 'true' THEN true WHEN 'false' THEN false END", "boolean")
 
 
-def text_to_uuid(text: Column) -> Column:
+def text_to_uuid(x: str) -> str:
     """Canonical lower-case 8-4-4-4-12 form; braces, parentheses and missing dashes are accepted."""
-    digits = F.lower(F.regexp_replace(F.trim(text), r"^[{(]|[})]$|-", ""))
-    canonical = F.concat_ws(
-        "-",
-        F.substring(digits, 1, 8), F.substring(digits, 9, 4), F.substring(digits, 13, 4),
-        F.substring(digits, 17, 4), F.substring(digits, 21, 12),
-    )
-    return _checked(text, F.when(digits.rlike(_GUID), canonical), text, "uuid")
+    digits = rf"lower(regexp_replace(trim({x}), r'^[{{(]|[}})]$|-', ''))"
+    canonical = rf"regexp_replace({digits}, r'^([0-9a-f]{{8}})([0-9a-f]{{4}})([0-9a-f]{{4}})([0-9a-f]{{4}})([0-9a-f]{{12}})$', '$1-$2-$3-$4-$5')"
+    return _checked(x, f"nullif({canonical}, {digits})", "uuid")
 
 
-def text_to_binary(text: Column) -> Column:
-    return _checked(text, F.try_to_binary(text, F.lit("base64")), text, "binary")
+def text_to_binary(x: str) -> str:
+    return _checked(x, f"try_to_binary({x}, 'base64')", "binary")
 
 
-def text_to_local(text: Column) -> Column:
+def text_to_local(x: str) -> str:
     """ISO text without an offset; one with an offset is refused rather than shifted."""
-    ok = is_iso_date(text) & ~has_offset(text) & _whole_micros(text)
-    return _checked(text, F.when(ok, text.try_cast("timestamp_ntz")), text, "timestamp_ntz")
+    ok = f"rlike({x}, {_ISO_DATE}) AND NOT rlike({x}, {_HAS_OFFSET}) AND NOT rlike({x}, {_TOO_FINE})"
+    return _checked(x, f"CASE WHEN {ok} THEN try_cast({x} AS timestamp_ntz) END", "timestamp_ntz")
 
 
-def text_to_instant(text: Column) -> Column:
+def text_to_instant(x: str) -> str:
     """ISO text; without an offset it is taken in the session time zone."""
-    ok = is_iso_date(text) & _whole_micros(text)
-    return _checked(text, F.when(ok, text.try_cast("timestamp")), text, "timestamp")
+    ok = f"rlike({x}, {_ISO_DATE}) AND NOT rlike({x}, {_TOO_FINE})"
+    return _checked(x, f"CASE WHEN {ok} THEN try_cast({x} AS timestamp) END", "timestamp")
 
 
-def from_text(text: Column, field: T.StructField) -> Column:
+def from_text_sql(x: str, field: T.StructField) -> str:
     """Text to a column's type."""
     data_type = field.dataType
     if logical(field) == "uuid":
-        return text_to_uuid(text)
+        return text_to_uuid(x)
     if isinstance(data_type, T.StringType):
-        return text
+        return x
     if isinstance(data_type, T.DecimalType):
-        return text_to_decimal(text, data_type)
+        return text_to_decimal(x, data_type)
     if isinstance(data_type, INTEGRAL):
-        return text_to_integral(text, data_type)
+        return text_to_integral(x, data_type)
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return text_to_double(text, data_type)
+        return text_to_double(x, data_type)
     if isinstance(data_type, T.BooleanType):
-        return text_to_boolean(text)
+        return text_to_boolean(x)
     if isinstance(data_type, T.BinaryType):
-        return text_to_binary(text)
+        return text_to_binary(x)
     if isinstance(data_type, T.TimestampNTZType):
-        return text_to_local(text)
+        return text_to_local(x)
     if isinstance(data_type, T.TimestampType):
-        return text_to_instant(text)
+        return text_to_instant(x)
     raise ValueError(f"column '{field.name}': cannot convert text to {data_type.simpleString()}")
 
 
-def number_to(column: Column, source: T.DataType, field: T.StructField) -> Column:
+def number_to_sql(x: str, source: T.DataType, field: T.StructField) -> str:
     """A number to a column's type; a fraction never disappears silently."""
     data_type = field.dataType
     name = data_type.simpleString()
-    shown = column.cast("string")
+    value = f"try_cast({x} AS {name})"
     if isinstance(data_type, T.BooleanType):
-        return column != F.lit(0)
+        return f"({x}) <> 0"
     if isinstance(data_type, INTEGRAL):
-        value = column.try_cast(name)
         if not isinstance(source, INTEGRAL):
-            value = F.when(column == F.floor(column), value)
-        return _checked(column, value, shown, name)
-    if isinstance(data_type, T.DecimalType):
-        value = column.try_cast(name)
+            value = f"CASE WHEN NOT {loses_fraction_sql(x)} THEN {value} END"
+    elif isinstance(data_type, T.DecimalType):
         if isinstance(source, T.DecimalType):
-            value = F.when(value == column, value)
+            value = f"CASE WHEN {value} = {x} THEN {value} END"
         elif isinstance(source, (T.FloatType, T.DoubleType)):
-            value = F.when(value.cast("double") == column.cast("double"), value)
-        return _checked(column, value, shown, name)
-    if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return _checked(column, column.try_cast(name), shown, name)
-    raise ValueError(f"column '{field.name}': cannot convert {source.simpleString()} to {name}")
+            value = f"CASE WHEN double({value}) = double({x}) THEN {value} END"
+    elif not isinstance(data_type, (T.FloatType, T.DoubleType)):
+        raise ValueError(f"column '{field.name}': cannot convert {source.simpleString()} to {name}")
+    return _checked(x, value, name)
 
 
-def coerce(column: Column, source: T.StructField, target: T.StructField) -> Column:
-    """Convert a typed column to a schema column's type, or fail on the first value that does not fit."""
+def loses_fraction_sql(x: str) -> str:
+    return f"(({x}) % 1 <> 0)"
+
+
+def loses_fraction(name: str) -> Column:
+    """True for a number that an integral column could only hold by dropping its fraction."""
+    return F.expr(loses_fraction_sql(quoted(name)))
+
+
+def coerce_sql(x: str, source: T.StructField, target: T.StructField) -> str:
     from_type, to_type = source.dataType, target.dataType
     if from_type == to_type and logical(source) == logical(target):
-        return column
+        return x
     if isinstance(from_type, T.NullType):
-        return column.cast(to_type)
+        return f"CAST({x} AS {to_type.simpleString()})"
     if isinstance(from_type, T.StringType):
-        return from_text(column, target)
+        return from_text_sql(x, target)
     if isinstance(to_type, T.StringType):
-        return value_text(column, source)
+        return value_text_sql(x, source)
     if isinstance(from_type, NUMERIC):
-        return number_to(column, from_type, target)
+        return number_to_sql(x, from_type, target)
     if isinstance(from_type, T.BooleanType) and isinstance(to_type, NUMERIC):
-        return column.cast("int").cast(to_type)
+        return f"CAST(CAST({x} AS int) AS {to_type.simpleString()})"
     if isinstance(from_type, T.TimestampNTZType) and isinstance(to_type, T.TimestampType):
-        return column.cast("timestamp")
+        return f"CAST({x} AS timestamp)"
     raise ValueError(
         f"column '{target.name}': cannot convert {from_type.simpleString()} to {to_type.simpleString()}"
     )
 
 
+def coerce(source: T.StructField, target: T.StructField) -> Column:
+    """The column ``source`` describes, as ``target``'s type; the job fails on the first value that does not fit."""
+    if source.dataType == target.dataType and logical(source) == logical(target):
+        return F.col(quoted(source.name))
+    return F.expr(coerce_sql(quoted(source.name), source, target))
+
+
 def coerce_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Convert every column of ``df`` to the type ``schema`` gives it (same names, same order)."""
     if df.columns != schema.fieldNames():
         raise ValueError("the schema must name the same columns in the same order")
-    quoted = ["`" + n.replace("`", "``") + "`" for n in df.columns]
     return df.select(*[
-        coerce(df[q], have, want).alias(want.name, metadata=want.metadata or {})
-        for q, have, want in zip(quoted, df.schema.fields, schema.fields)
+        coerce(have, want).alias(want.name, metadata=want.metadata or {}) for have, want in zip(df.schema.fields, schema.fields)
     ])
-
-
-def within_decimal_limit(value: Column) -> Column:
-    return F.abs(value) <= F.lit(DECIMAL_LIMIT).cast("decimal(38,0)")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F, types as T
 from rowhaul.functions.json import (
     BINARY, DATE, NUMBER_DECIMAL, NUMBER_LONG, WRAPPED_UUID, type_tag, wrapper_tag,
 )
-from rowhaul.functions.text import value_text
+from rowhaul.functions.text import quoted, value_text
 from rowhaul.types import decimal_type, logical
 
 OBJECT_ID = "$oid"
@@ -59,9 +59,9 @@ def bson_value(value: Column) -> Column:
     )
 
 
-def to_bson(column: Column, field: T.StructField) -> Column:
+def to_bson(field: T.StructField) -> Column:
     """Document value for a column: text that holds a JSON object or array becomes nested, instants become UTC dates, null is kept."""
-    data_type = field.dataType
+    column, data_type = F.col(quoted(field.name)), field.dataType
     if isinstance(data_type, T.VariantType):
         return column
     if isinstance(data_type, T.StringType) and logical(field) is None:
@@ -74,7 +74,7 @@ def to_bson(column: Column, field: T.StructField) -> Column:
     if isinstance(data_type, T.LongType):
         return F.when(column.isNotNull(), F.to_variant_object(F.struct(column.cast("string").alias(NUMBER_LONG))))
     if isinstance(data_type, T.DecimalType):
-        return F.when(column.isNotNull(), F.to_variant_object(F.struct(value_text(column, field).alias(NUMBER_DECIMAL))))
+        return F.when(column.isNotNull(), F.to_variant_object(F.struct(value_text(field).alias(NUMBER_DECIMAL))))
     if isinstance(data_type, T.BinaryType):
         return F.when(column.isNotNull(), F.to_variant_object(F.struct(F.base64(column).alias(BINARY))))
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
@@ -87,11 +87,11 @@ ENTITY_KEYS = ("PartitionKey", "RowKey")
 ENTITY_SYSTEM = ("Timestamp", "odata.etag")
 
 
-def entity_value(column: Column, field: T.StructField) -> Column:
+def entity_value(field: T.StructField) -> Column:
     """Table-store value: decimals become doubles; types the store lacks become text."""
-    data_type = field.dataType
+    column, data_type = F.col(quoted(field.name)), field.dataType
     if field.name in ENTITY_KEYS:
-        return value_text(column, field)
+        return value_text(field)
     if isinstance(data_type, T.DecimalType):
         return column.cast("double")
     kept = (
@@ -101,7 +101,7 @@ def entity_value(column: Column, field: T.StructField) -> Column:
         return column
     if isinstance(data_type, (T.VariantType, T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(column)
-    return value_text(column, field)
+    return value_text(field)
 
 
 def kind(value: Column) -> Column:

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 from rowhaul.functions.coerce import (
-    INTEGRAL, NUMERIC, fail, from_text, has_offset, number_to, text_to_binary, text_to_decimal,
-    text_to_instant, text_to_integral, text_to_local, text_to_uuid, within_decimal_limit,
+    INTEGRAL, NUMERIC, fail_sql, from_text_sql, number_to_sql, text_to_binary, text_to_decimal, text_to_instant,
+    text_to_integral, text_to_local, text_to_uuid,
 )
-from rowhaul.functions.text import iso_timestamp, trim_zeros, value_text
-from rowhaul.types import JSON_NUMBER, UUID, decimal_type, is_flat, logical
+from rowhaul.functions.text import iso_timestamp_sql, literal, quoted, trim_zeros_sql, value_text_sql
+from rowhaul.types import DECIMAL_LIMIT, JSON_NUMBER, UUID, decimal_type, is_flat, logical
 
 RECORD = T.MapType(T.StringType(), T.VariantType())
 # Strict JSON only: no single quotes, no NaN.
@@ -25,19 +25,21 @@ NUMBER_LONG, NUMBER_DECIMAL, DATE, WRAPPED_UUID, BINARY = "$numberLong", "$numbe
 WRAPPERS = (NUMBER_LONG, NUMBER_DECIMAL, DATE, WRAPPED_UUID, BINARY)
 
 
-def parse_record(line: Column) -> Column:
-    """``map<string,variant>`` of a JSON object, or null when the text is not exactly one object."""
-    one_value = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
-    # "{..}]" closes the added bracket itself; such text cannot also close an added brace.
-    closed = ~F.rtrim(line).endswith("]") & (
-        ~line.rlike(r"\}\s*\]") | (F.size(F.json_object_keys(F.concat(F.lit('{"r":'), line, F.lit("}")))) == 1)
+def parse_record(line: str) -> Column:
+    """``map<string,variant>`` of a JSON object, or null when the column's text is not exactly one object."""
+    x = quoted(line)
+    # Text such as "{..}]" closes the added bracket itself; it cannot also close an added brace.
+    one_object = (
+        f"json_array_length(concat('[', {x}, ']')) = 1 AND (NOT contains({x}, ']') "
+        f"OR size(json_object_keys(concat('{{\"r\":', {x}, '}}'))) = 1)"
     )
-    return F.when(one_value & closed, F.from_json(line, RECORD, PARSE_OPTIONS))
+    options = ", ".join(f"'{k}', '{v}'" for k, v in PARSE_OPTIONS.items())
+    return F.expr(f"CASE WHEN {one_object} THEN from_json({x}, 'map<string,variant>', map({options})) END")
 
 
-def is_blank(line: Column) -> Column:
+def is_blank(line: str) -> Column:
     """No character but white space, as Unicode defines it."""
-    return ~line.rlike(r"(?U)\S")
+    return F.expr(rf"NOT rlike({quoted(line)}, r'(?U)\S')")
 
 
 def type_tag(value: Column) -> Column:
@@ -45,107 +47,103 @@ def type_tag(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def is_number(tag: Column) -> Column:
-    return tag.isin("BIGINT", "DOUBLE") | tag.startswith("DECIMAL")
-
-
 def wrapper_tag(name: str) -> str:
     return f"OBJECT<`{name}`: STRING>"
 
 
-def _inner(value: Column, name: str) -> Column:
-    return F.try_variant_get(value, f'$["{name}"]', "string")
+def _inner_sql(value: str, name: str) -> str:
+    return f"""try_variant_get({value}, '$["{name}"]', 'string')"""
 
 
-def _text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+def tagged(value: str, extended: bool = False) -> Column:
+    """Kind and text of a scalar variant: all that decoding needs, computed once per value.
 
-
-def _number_as_decimal(value: Column, tag: Column, data_type: T.DecimalType) -> Column:
-    """The exact decimal, or null when the column's scale or the record format's range cannot hold it."""
-    exact = F.try_variant_get(value, "$", data_type.simpleString())
-    as_double = F.try_variant_get(value, "$", "double")
-    digits = F.regexp_extract(tag, r",(\d+)\)", 1)
+    The kind is the value's type text, or the wrapper's name; the text of a
+    number has all its digits.
+    """
+    kind, text = f"schema_of_variant({value})", f"try_variant_get({value}, '$', 'string')"
+    if extended:
+        names = " ".join(f"WHEN {literal(wrapper_tag(n))} THEN {literal(n)}" for n in WRAPPERS)
+        inner = ", ".join(_inner_sql(value, n) for n in WRAPPERS)
+        text = f"if(startswith({kind}, 'OBJECT'), coalesce({inner}), {text})"
+        kind = f"CASE {kind} {names} ELSE {kind} END"
+    return F.expr(f"named_struct('kind', {kind}, 'text', {text})")
+
+
+def _decimal_sql(kind: str, text: str, data_type: T.DecimalType) -> str:
+    """Exact decimal of a JSON number; fails when scale or range cannot hold it."""
+    name = data_type.simpleString()
+    value = f"try_cast({text} AS {name})"
+    # Texts of decimals carry no trailing zeros; only numbers with an exponent arrive as doubles.
     keeps = (
-        F.when(tag == "DOUBLE", exact.cast("double") == as_double)
-        .when(tag.startswith("DECIMAL"), digits.cast("int") <= data_type.scale)
-        .otherwise(True)
+        f"if({kind} = 'DOUBLE', double({value}) = double({text}), "
+        f"instr({text}, '.') = 0 OR length({text}) - instr({text}, '.') <= {data_type.scale})"
     )
-    return F.when(keeps & within_decimal_limit(exact), exact)
+    fits = f"(length({text}) < {len(DECIMAL_LIMIT)} OR abs({value}) <= CAST('{DECIMAL_LIMIT}' AS decimal(38,0)))"
+    return f"coalesce(CASE WHEN {keeps} AND {fits} THEN {value} END, {fail_sql(text, name)})"
 
 
-def _decode_number(value: Column, tag: Column, field: T.StructField) -> Column:
-    data_type = field.dataType
-    shown = _text(value)
-    if isinstance(data_type, T.StringType):
-        return trim_zeros(_text(value))
-    if isinstance(data_type, T.DecimalType):
-        exact = _number_as_decimal(value, tag, data_type)
-        return F.when(exact.isNotNull(), exact).otherwise(fail(shown, data_type.simpleString()))
-    wide = decimal_type()
-    if isinstance(data_type, INTEGRAL):
-        exact = _number_as_decimal(value, tag, wide)
-        whole = F.when(exact == F.floor(exact), exact.try_cast(data_type.simpleString()))
-        return F.when(whole.isNotNull(), whole).otherwise(fail(shown, data_type.simpleString()))
-    if isinstance(data_type, T.BooleanType):
-        return F.try_variant_get(value, "$", "double") != 0
-    if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return F.try_variant_get(value, "$", data_type.simpleString())
-    return fail(shown, data_type.simpleString())
-
-
-def _decode_wrapped(value: Column, name: str, field: T.StructField) -> Column | None:
-    """One wrapper to the column's type; None when the pair never converts."""
-    data_type, text = field.dataType, _inner(value, name)
-    if name == NUMBER_LONG:
-        number = text_to_integral(text, T.LongType())
-        if isinstance(data_type, T.LongType):
-            return number
-        if isinstance(data_type, T.StringType) and logical(field) is None:
-            return number.cast("string")
-        return number_to(number, T.LongType(), field) if isinstance(data_type, NUMERIC + (T.BooleanType,)) else None
-    if name == NUMBER_DECIMAL:
-        target = data_type if isinstance(data_type, T.DecimalType) else decimal_type()
-        number = text_to_decimal(text, target)
-        if isinstance(data_type, T.DecimalType):
-            return number
-        if isinstance(data_type, T.StringType) and logical(field) is None:
-            return F.trim(text)
-        return number_to(number, target, field) if isinstance(data_type, NUMERIC + (T.BooleanType,)) else None
-    if name == DATE:
+def _integral_sql(kind: str, text: str, data_type: T.DataType) -> str:
+    name = data_type.simpleString()
+    whole = (
+        f"CASE WHEN instr({text}, '.') = 0 THEN try_cast({text} AS {name}) "
+        f"WHEN {kind} = 'DOUBLE' AND double({text}) % 1 = 0 THEN try_cast(double({text}) AS {name}) END"
+    )
+    return f"coalesce({whole}, {fail_sql(text, name)})"
+
+
+def decode(tag: str, field: T.StructField, extended: bool = False) -> Column:
+    """A tagged value to the column's type: scalars only, strict, null kept."""
+    kind, text, data_type = f"{tag}.kind", f"{tag}.text", field.dataType
+    name = data_type.simpleString()
+    number = f"({kind} = 'BIGINT' OR {kind} = 'DOUBLE' OR startswith({kind}, 'DECIMAL'))"
+    cases = [f"WHEN {kind} IS NULL OR {kind} = 'VOID' THEN NULL", f"WHEN {kind} = 'STRING' THEN {from_text_sql(text, field)}"]
+
+    def case(condition: str, result: str) -> None:
+        cases.append(f"WHEN {condition} THEN {result}")
+
+    if isinstance(data_type, T.StringType) and logical(field) is None:
+        case(f"{kind} = 'BOOLEAN'", f"initcap({text})")
+        case(number, trim_zeros_sql(text))
+        if extended:
+            case(f"{kind} IN ('{NUMBER_LONG}', '{NUMBER_DECIMAL}')", text)
+    elif isinstance(data_type, NUMERIC + (T.BooleanType,)):
+        if isinstance(data_type, T.BooleanType):
+            case(f"{kind} = 'BOOLEAN'", f"boolean({text})")
+            case(number, f"double({text}) <> 0")
+        else:
+            case(f"{kind} = 'BOOLEAN'", f"CAST(int(boolean({text})) AS {name})")
+            if isinstance(data_type, T.DecimalType):
+                case(number, _decimal_sql(kind, text, data_type))
+            elif isinstance(data_type, INTEGRAL):
+                case(number, _integral_sql(kind, text, data_type))
+            else:
+                case(number, f"CAST({text} AS {name})")
+        if extended:
+            case(f"{kind} = '{NUMBER_LONG}'", _from_long(text, field))
+            case(f"{kind} = '{NUMBER_DECIMAL}'", _from_decimal(text, field))
+    elif extended:
         if isinstance(data_type, T.TimestampNTZType):
-            return text_to_local(text)
-        return text_to_instant(text) if isinstance(data_type, T.TimestampType) else None
-    if name == WRAPPED_UUID:
-        return text_to_uuid(text) if logical(field) == "uuid" else None
-    return text_to_binary(text) if isinstance(data_type, T.BinaryType) else None
-
-
-def decode(value: Column, field: T.StructField, extended: bool = False) -> Column:
-    """One variant to the column's type: scalars only, strict, null kept."""
-    tag, data_type = type_tag(value), field.dataType
-    result = F.when(value.isNull() | (tag == "VOID"), F.lit(None).cast(data_type))
-    result = result.when(tag == "STRING", from_text(_text(value), field))
-    if isinstance(data_type, T.StringType):
-        as_bool = F.when(_text(value) == "true", "True").otherwise("False") if logical(field) is None else fail(_text(value), "uuid")
-    elif isinstance(data_type, T.BooleanType):
-        as_bool = F.try_variant_get(value, "$", "boolean")
-    elif isinstance(data_type, NUMERIC):
-        as_bool = F.try_variant_get(value, "$", "boolean").cast("int").cast(data_type)
-    else:
-        as_bool = fail(_text(value), data_type.simpleString())
-    result = result.when(tag == "BOOLEAN", as_bool)
-    number = _decode_number(value, tag, field) if logical(field) != "uuid" else fail(_text(value), "uuid")
-    result = result.when(is_number(tag), number)
-    if extended:
-        for name in WRAPPERS:
-            converted = _decode_wrapped(value, name, field)
-            if converted is None:
-                converted = fail(_inner(value, name), data_type.simpleString())
-            result = result.when(tag == wrapper_tag(name), converted)
-    return result.otherwise(F.raise_error(F.concat(
-        F.lit(f"property '{field.name}': record values must be scalar JSON values, found "), tag
-    )))
+            case(f"{kind} = '{DATE}'", text_to_local(text))
+        elif isinstance(data_type, T.TimestampType):
+            case(f"{kind} = '{DATE}'", text_to_instant(text))
+        elif isinstance(data_type, T.BinaryType):
+            case(f"{kind} = '{BINARY}'", text_to_binary(text))
+        elif logical(field) == "uuid":
+            case(f"{kind} = '{WRAPPED_UUID}'", text_to_uuid(text))
+    message = literal(f"property '{field.name}' ({name}): record values must be scalar JSON values that fit the column, found ")
+    return F.expr(f"CASE {' '.join(cases)} ELSE raise_error(concat({message}, {kind})) END")
+
+
+def _from_long(text: str, field: T.StructField) -> str:
+    number = text_to_integral(text, T.LongType())
+    return number if isinstance(field.dataType, T.LongType) else number_to_sql(f"({number})", T.LongType(), field)
+
+
+def _from_decimal(text: str, field: T.StructField) -> str:
+    if isinstance(field.dataType, T.DecimalType):
+        return text_to_decimal(text, field.dataType)
+    return number_to_sql(f"({text_to_decimal(text, decimal_type())})", decimal_type(), field)
 
 
 def first_value_field(name: str, tag: str, text: str | None, extended: bool, scale: int) -> T.StructField:
@@ -174,52 +172,52 @@ def first_value_field(name: str, tag: str, text: str | None, extended: bool, sca
     raise ValueError(f"property '{name}': record values must be scalar JSON values, found {tag}")
 
 
-def _finite(column: Column, data_type: T.DataType) -> Column:
+def _finite_sql(x: str, data_type: T.DataType) -> str:
     if not isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return column
-    odd = F.isnan(column) | (F.abs(column) == float("inf"))
-    return F.when(odd, F.raise_error(F.lit("JSON has no text for NaN or infinity"))).otherwise(column)
+        return x
+    return f"if(isnan({x}) OR abs({x}) = double('Infinity'), raise_error('JSON has no text for NaN or infinity'), {x})"
 
 
-def _plain(column: Column, field: T.StructField) -> Column:
+def _plain_sql(x: str, field: T.StructField) -> str:
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-        return iso_timestamp(column, field.dataType)
-    return _finite(column, field.dataType)
+        return iso_timestamp_sql(x, field.dataType)
+    return _finite_sql(x, field.dataType)
 
 
-def _wrap(name: str, text: Column) -> Column:
-    return F.when(text.isNotNull(), F.struct(text.alias(name)))
+def _wrap(name: str, x: str, text: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL THEN named_struct('{name}', {text}) END"
 
 
-def round_trip_date(column: Column, data_type: T.DataType) -> Column:
+def round_trip_date_sql(x: str, data_type: T.DataType) -> str:
     """Date text with seven fraction digits; an instant adds its offset."""
-    text = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0'")
-    return F.concat(text, F.date_format(column, "xxx")) if isinstance(data_type, T.TimestampType) else text
+    text = f"""date_format({x}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0'")"""
+    return f"concat({text}, date_format({x}, 'xxx'))" if isinstance(data_type, T.TimestampType) else text
 
 
-def _extended(column: Column, field: T.StructField) -> Column:
+def _extended_sql(x: str, field: T.StructField) -> str:
     data_type = field.dataType
     if isinstance(data_type, T.LongType):
-        return _wrap(NUMBER_LONG, column.cast("string"))
+        return _wrap(NUMBER_LONG, x, f"string({x})")
     if isinstance(data_type, T.DecimalType):
-        return _wrap(NUMBER_DECIMAL, value_text(column, field))
+        return _wrap(NUMBER_DECIMAL, x, value_text_sql(x, field))
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return _wrap(DATE, round_trip_date(column, data_type))
+        return _wrap(DATE, x, round_trip_date_sql(x, data_type))
     if logical(field) == "uuid":
-        return _wrap(WRAPPED_UUID, column)
+        return _wrap(WRAPPED_UUID, x, x)
     if isinstance(data_type, T.BinaryType):
-        return _wrap(BINARY, F.base64(column))
-    return _finite(column, data_type)
+        return _wrap(BINARY, x, f"base64({x})")
+    return _finite_sql(x, data_type)
 
 
-def encode(columns: list[tuple[Column, T.StructField]], extended: bool = False, nested: bool = False) -> Column:
-    """One JSON object as text, columns in order, nulls written.
+def encode(fields: list[T.StructField], extended: bool = False, nested: bool = False) -> Column:
+    """The named columns as one JSON object, in order, nulls written.
 
     ``nested`` lets document values (variants, arrays, structs) through; files refuse them.
     """
-    fields = []
-    for column, field in columns:
+    parts = []
+    for field in fields:
         if not (nested or is_flat(field.dataType)):
             raise ValueError(f"column '{field.name}': {field.dataType.simpleString()} does not fit a flat record")
-        fields.append((_extended if extended else _plain)(column, field).alias(field.name))
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+        value = (_extended_sql if extended else _plain_sql)(quoted(field.name), field)
+        parts.append(f"{literal(field.name)}, {value}")
+    return F.expr(f"to_json(named_struct({', '.join(parts)}), map('ignoreNullFields', 'false'))")

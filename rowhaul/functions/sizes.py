@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from rowhaul.functions.text import quoted
+
 # Estimated bytes of a null and of any fixed-width value (fixed values).
 NULL_BYTES = 1
 SCALAR_BYTES = 16
@@ -42,9 +44,6 @@ def record_bytes(df: DataFrame, source: str = "sql") -> Column:
     if source not in ("sql", "document", "file"):
         raise ValueError(f"unknown source kind '{source}'")
     floor = 0 if source == "file" else 1
-    sizes = [value_bytes(df[_quoted(f.name)], f.dataType, floor) for f in df.schema.fields]
+    sizes = [value_bytes(F.col(quoted(f.name)), f.dataType, floor) for f in df.schema.fields]
     return reduce(lambda a, b: a + b, sizes)
 
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

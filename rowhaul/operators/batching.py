@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from rowhaul import storage
 from rowhaul.functions.sizes import record_bytes
 from rowhaul.operators.greedy import Summary, advance, compose, cut, summarise
-from rowhaul.operators.schema import quoted
+from rowhaul.functions.text import quoted
 
 BATCH_ROWS = 1000
 MAX_BATCH_BYTES = 4 * 1024 * 1024
@@ -128,6 +128,7 @@ def number_rows(
     folder = folder or storage.new_folder(spark, "rows")
     if not storage.exists(spark, f"{folder}/_SUCCESS"):
         work = df.withColumn(BYTES, record_bytes(df) if size is None else size)
+        arrival = None
         if order_by:
             keys = [F.col(quoted(k)) if isinstance(k, str) else k for k in order_by]
             if not unique_order:
@@ -137,6 +138,8 @@ def number_rows(
                 keys = [*keys, F.col(_ARRIVAL)]
             work = work.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(_ARRIVAL)
         work.withColumn(_ROW, F.monotonically_increasing_id()).write.mode("overwrite").parquet(folder)
+        if arrival:
+            storage.delete(spark, arrival)
     counts = (
         spark.read.parquet(folder)
         .groupBy(F.shiftright(_ROW, _LOCAL_BITS).alias("part"))

@@ -6,13 +6,10 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rowhaul.functions.text import quoted
 from rowhaul.types import is_flat
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def check_names(names: Iterable[str], what: str = "column names", case_sensitive: bool = True) -> list[str]:
     """At least one name, none blank, none repeated."""
     names = list(names)

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowhaul.functions.coerce import coerce
 from rowhaul.functions.json import encode
-from rowhaul.operators.schema import quoted
 
 PRESERVE = "the transform must preserve all column names and must not add columns"
 
@@ -33,7 +32,7 @@ def transform_columns(
     _same_names(result.columns, df.columns)
     fields = {f.name: f for f in result.schema.fields}
     return result.select(*[
-        coerce(F.col(quoted(f.name)), fields[f.name], f).alias(f.name, metadata=f.metadata or {})
+        coerce(fields[f.name], f).alias(f.name, metadata=f.metadata or {})
         for f in df.schema.fields
     ])
 
@@ -98,7 +97,7 @@ def _convert(value, kind: pa.DataType):
 
 def json_bytes(df: DataFrame) -> Column:
     """UTF-8 length of a record written as JSON."""
-    return F.octet_length(encode([(F.col(quoted(f.name)), f) for f in df.schema.fields], nested=True)).cast("bigint")
+    return F.octet_length(encode(df.schema.fields, nested=True)).cast("bigint")
 
 
 def limit_record_bytes(df: DataFrame, max_record_bytes: int) -> DataFrame:

@@ -22,8 +22,9 @@ from rowhaul.sources.query import sql_query
 from rowhaul.types import Capability
 
 TRANSACTIONS = ("none", "batch", "all")
-# A commit holds many batches, so that a large copy makes tens of commits, not millions.
-COMMITS = 64
+# A commit holds many batches, so that a large copy makes tens of commits, not millions, and a small one a single commit.
+COMMITS = 32
+COMMIT_ROWS = 1_000_000
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -156,6 +157,11 @@ def _check_scope(sink, transaction: str, checkpoint: str | None, resume: bool) -
         raise ValueError(f"{sink.provider} does not support transaction scope '{transaction}'")
 
 
+def _batches_per_commit(batches: int, rows: int) -> int:
+    commits = min(COMMITS, -(-rows // COMMIT_ROWS))
+    return -(-batches // commits)
+
+
 def _commit_ranges(numbered: NumberedRows, batch_rows: int, max_batch_bytes: int, batches_per_commit: int | None):
     """(first batch, first row, end batch, end row) of each commit; only commit edges reach the driver."""
     total = numbered.total
@@ -164,14 +170,14 @@ def _commit_ranges(numbered: NumberedRows, batch_rows: int, max_batch_bytes: int
     if numbered.max_row_bytes * batch_rows <= max_batch_bytes:
         # No batch reaches the byte limit: all edges follow from the row count.
         batches = -(-total // batch_rows)
-        step = batches_per_commit or -(-batches // COMMITS)
+        step = batches_per_commit or _batches_per_commit(batches, total)
         edges = [(b, b * batch_rows) for b in range(0, batches, step)]
     else:
         table = storage.new_folder(numbered.spark, "batches")
         batch_table(numbered, batch_rows, max_batch_bytes).write.parquet(table)
         written = numbered.spark.read.parquet(table)
         batches = written.count()
-        step = batches_per_commit or -(-batches // COMMITS)
+        step = batches_per_commit or _batches_per_commit(batches, total)
         edges = sorted((r.batch, r.first) for r in written.where(F.col("batch") % step == 0).collect())
     ends = [*edges[1:], (batches, total)]
     return [(b, first, end_b, end) for (b, first), (end_b, end) in zip(edges, ends)]

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rowhaul import storage
 from rowhaul.functions.documents import ENTITY_KEYS, ENTITY_SYSTEM, entity_value, to_bson
 from rowhaul.functions.json import encode
-from rowhaul.functions.text import value_text
-from rowhaul.operators.schema import check_names, quoted, require_columns
+from rowhaul.functions.text import quoted, value_text
+from rowhaul.operators.schema import check_names, require_columns
 from rowhaul.sinks.committed import CommittedTable
 from rowhaul.types import SINK_CAPABILITIES
 
@@ -66,30 +66,27 @@ class DocumentCollection(CommittedTable):
         return self.read().select(*self.keys, F.col(DOCUMENT).alias("value"))
 
     def _documents(self, df: DataFrame) -> DataFrame:
-        fields = df.schema.fields
-        columns = {f.name: F.col(quoted(f.name)) for f in fields}
         if self.provider == "azure-table-storage":
-            kept = [f for f in fields if f.name not in ENTITY_SYSTEM]
-            values = [(entity_value(columns[f.name], f), f) for f in kept]
-            typed = df.select(*[c.alias(f.name, metadata=f.metadata or {}) for c, f in values])
-            columns = {f.name: F.col(quoted(f.name)) for f in typed.schema.fields}
-            document = encode([(columns[f.name], f) for f in typed.schema.fields], extended=True)
-            return typed.select(*[columns[k].alias(k) for k in self.keys], document.alias(DOCUMENT))
-        if self.provider == "mongodb":
-            if "_id" not in columns:
-                generated = F.substring(F.replace(F.uuid(), F.lit("-"), F.lit("")), 1, 24)
-                df = df.withColumn("_id", generated)
-                fields, columns = df.schema.fields, {**columns, "_id": F.col("_id")}
-            values = [(to_bson(columns[f.name], f), T.StructField(f.name, T.VariantType())) for f in fields]
-            document = encode(values, nested=True)
+            kept = [f for f in df.schema.fields if f.name not in ENTITY_SYSTEM]
+            df = df.select(*[entity_value(f).alias(f.name, metadata=f.metadata or {}) for f in kept])
+            document = encode(df.schema.fields, extended=True)
+        elif self.provider == "mongodb":
+            if "_id" not in df.columns:
+                df = df.withColumn("_id", F.substring(F.replace(F.uuid(), F.lit("-"), F.lit("")), 1, 24))
+            keys = [_key_text(f).alias(f"_key_{f.name}") for f in df.schema.fields if f.name in self.keys]
+            df = df.select(*[to_bson(f).alias(f.name) for f in df.schema.fields], *keys)
+            document = encode([f for f in df.schema.fields if not f.name.startswith("_key_")], nested=True)
+            return df.select(*[F.col(quoted(f"_key_{k}")).alias(k) for k in self.keys], document.alias(DOCUMENT))
         else:
-            document = encode([(columns[f.name], f) for f in fields], nested=True)
-        by_name = {f.name: f for f in fields}
-        return df.select(*[_key_text(columns[k], by_name[k]).alias(k) for k in self.keys], document.alias(DOCUMENT))
+            document = encode(df.schema.fields, nested=True)
+        fields = {f.name: f for f in df.schema.fields}
+        return df.select(*[_key_text(fields[k]).alias(k) for k in self.keys], document.alias(DOCUMENT))
 
 
-def _key_text(column, field: T.StructField):
-    return F.try_variant_get(column, "$", "string") if isinstance(field.dataType, T.VariantType) else value_text(column, field)
+def _key_text(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.VariantType):
+        return F.try_variant_get(quoted(field.name), "$", "string")
+    return value_text(field)
 
 
 def key_conflicts(new: DataFrame, stored: DataFrame | None, keys: list[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rowhaul import storage
 from rowhaul.functions.coerce import coerce
-from rowhaul.operators.schema import check_names, quoted, require_flat
+from rowhaul.operators.schema import check_names, require_flat
 from rowhaul.types import SINK_CAPABILITIES
 
 
@@ -75,7 +75,7 @@ class CommittedTable:
         columns = []
         for field in self.schema().fields:
             source = have.get(field.name.casefold())
-            value = F.lit(None).cast(field.dataType) if source is None else coerce(df[quoted(source.name)], source, field)
+            value = F.lit(None).cast(field.dataType) if source is None else coerce(source, field)
             if not field.nullable:
                 value = F.coalesce(value, F.raise_error(F.lit(f"column '{field.name}' must not be null")).cast(field.dataType))
             columns.append(value.alias(field.name, metadata=field.metadata or {}))

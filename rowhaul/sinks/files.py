@@ -9,8 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rowhaul.functions.json import encode
-from rowhaul.functions.text import NULL_TEXT, csv_escape, value_text
-from rowhaul.operators.schema import check_names, quoted, require_flat
+from rowhaul.functions.text import NULL_TEXT, csv_escape_sql, quoted, value_text
+from rowhaul.operators.schema import check_names, require_flat
 
 FORMATS = ("csv", "json", "jsonl", "extended-json")
 
@@ -30,14 +30,10 @@ def write_records(df: DataFrame, path: str, format: str, mode: str = "errorifexi
         lines.write.mode(mode).text(path, compression=compression)
 
 
-def _columns(df: DataFrame):
-    return [(df[quoted(f.name)], f) for f in df.schema.fields]
-
-
 def json_lines(df: DataFrame, extended: bool = False) -> DataFrame:
     """One JSON object per row, in a single ``value`` column; document values stay nested JSON."""
     nested = any(isinstance(f.dataType, T.VariantType) for f in df.schema.fields)
-    return df.select(encode(_columns(df), extended, nested).alias("value"))
+    return df.select(encode(df.schema.fields, extended, nested).alias("value"))
 
 
 def _array_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,7 +53,8 @@ def _array_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _write_csv(df: DataFrame, path: str, mode: str, compression: str | None) -> None:
     require_flat(df.schema)
-    text = df.select(*[csv_escape(value_text(c, f)).alias(f.name) for c, f in _columns(df)])
+    text = df.select(*[value_text(f).alias(f.name) for f in df.schema.fields])
+    text = text.select(*[F.expr(csv_escape_sql(quoted(n))).alias(n) for n in df.columns])
     text.write.mode(mode).csv(
         path, header=True, nullValue=NULL_TEXT,
         # A lone empty field would be an empty line, which readers drop.

@@ -18,15 +18,15 @@ from rowhaul.operators.schema import check_names
 # Columns of an empty result, per store (fixed values).
 EMPTY_COLUMNS = {"cosmosdb": ("id",), "mongodb": ("_id",), "azure-table-storage": ENTITY_KEYS}
 
-# How each store's values read; a table store delivers typed values already.
+# How each store's values read. Table entities are typed scalars, kept in the same wrappers.
 _TYPING: dict[str, Callable[[Column], Column]] = {
-    "cosmosdb": json_value, "mongodb": bson_value, "azure-table-storage": lambda v: v,
+    "cosmosdb": json_value, "mongodb": bson_value, "azure-table-storage": bson_value,
 }
 
 
 def read_documents(spark: SparkSession, path) -> DataFrame:
     """Text lines of a collection stored as JSON Lines, ready for ``document_scan``."""
-    return spark.read.text(path).where(~is_blank(F.col("value"))).select(
+    return spark.read.text(path).where(~is_blank("value")).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
     )
@@ -55,7 +55,7 @@ def document_scan(
         names = first_document_names(matching, store, order_by, value)
     check_names(names)
     record = F.coalesce(
-        parse_record(F.col(value)), F.raise_error(F.concat(F.lit("not a JSON document: "), F.left(value, F.lit(80)))).cast(RECORD)
+        parse_record(value), F.raise_error(F.concat(F.lit("not a JSON document: "), F.left(value, F.lit(80)))).cast(RECORD)
     )
     typing = _TYPING[store] if typed else (lambda v: v)
     parsed = matching.select(record.alias("record"))

@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from rowhaul import storage
 from rowhaul.functions.json import (
-    DATE, PARSE_OPTIONS, RECORD, decode, first_value_field, is_blank, parse_record, type_tag,
+    DATE, PARSE_OPTIONS, RECORD, decode, first_value_field, is_blank, parse_record, tagged, type_tag,
 )
-from rowhaul.functions.text import csv_unescape
+from rowhaul.functions.text import csv_unescape_sql
 from rowhaul.operators.schema import check_names
 from rowhaul.types import DECIMAL_SCALE
 
@@ -53,7 +53,7 @@ def _fault(value: Column, record: Column, names: list[str] | None, max_record_by
     fault = (
         F.when(~F.is_valid_utf8(value), "invalid UTF-8")
         .when(F.octet_length(value) > max_record_bytes, "exceeds the size limit")
-        .when(is_blank(value), F.lit(None).cast("string"))
+        .when(is_blank("value"), F.lit(None).cast("string"))
         .when(record.isNull(), "invalid JSON object")
         .when(F.size(record) == 0, "no properties")
     )
@@ -86,8 +86,11 @@ def _stop(fault: Column, where: Column) -> Column:
 
 
 def _select_values(records: DataFrame, fields: list[T.StructField], extended: bool) -> DataFrame:
-    return records.select(*[
-        decode(F.get(F.col("record_values"), F.lit(i)), field, extended).alias(field.name, metadata=field.metadata or {})
+    tags = records.select(*[
+        tagged(f"get(record_values, {i})", extended).alias(f"t{i}") for i in range(len(fields))
+    ])
+    return tags.select(*[
+        decode(f"t{i}", field, extended).alias(field.name, metadata=field.metadata or {})
         for i, field in enumerate(fields)
     ])
 
@@ -114,7 +117,7 @@ def read_jsonl(
             lines = spark.read.text(file)
             first = lines.where(_guard(lines, max_record_bytes)).limit(1).select(
                 F.coalesce(
-                    parse_record(F.col("value")),
+                    parse_record("value"),
                     F.raise_error(F.lit(f"invalid JSON object in {file}")).cast(RECORD),
                 ).alias("record")
             )
@@ -134,7 +137,7 @@ def _guard(lines: DataFrame, max_record_bytes: int) -> Column:
     return (
         F.when(~F.is_valid_utf8(value), _stop(F.lit("invalid UTF-8"), where).cast("boolean"))
         .when(F.octet_length(value) > max_record_bytes, _stop(F.lit("a record exceeds the size limit"), where).cast("boolean"))
-        .otherwise(~is_blank(value))
+        .otherwise(~is_blank("value"))
     )
 
 
@@ -145,7 +148,7 @@ def jsonl_records(
     names = [f.name for f in fields]
     check_names(names)
     parsed = lines.where(_guard(lines, max_record_bytes)).select(
-        "value", parse_record(F.col("value")).alias("record"), F.col("_metadata.file_path").alias("file")
+        "value", parse_record("value").alias("record"), F.col("_metadata.file_path").alias("file")
     )
     fault = _fault(F.col("value"), F.col("record"), names, max_record_bytes)
     checked = parsed.select(
@@ -171,7 +174,7 @@ def jsonl_violations(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seen"),
         "value",
-        parse_record(F.col("value")).alias("record"),
+        parse_record("value").alias("record"),
     )
     parsed.select(
         "file", "block", "seen",
@@ -316,13 +319,13 @@ def read_csv(spark: SparkSession, path, names: list[str] | None = None) -> DataF
         return _one_column(spark, path, header[0])
     raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
     scan = _csv_reader(spark, multi_line, header=True).schema(raw).option("enforceSchema", True).csv(path)
-    columns = []
-    for i, name in enumerate(header):
-        text = F.coalesce(f"c{i}", F.lit(""))
-        if crlf and i == len(header) - 1:
-            text = F.regexp_replace(text, "\r$", "")
-        columns.append(csv_unescape(text).alias(name))
-    return scan.select(*columns)
+    # Two steps: null to empty text first, then the escape rule over a plain column.
+    last = len(header) - 1
+    texts = scan.select(*[
+        F.expr(f"coalesce(c{i}, '')" if not crlf or i < last else rf"regexp_replace(coalesce(c{i}, ''), r'\r$', '')").alias(f"c{i}")
+        for i in range(len(header))
+    ])
+    return texts.select(*[F.expr(csv_unescape_sql(f"c{i}")).alias(name) for i, name in enumerate(header)])
 
 
 def _without_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,4 +353,4 @@ def _one_column(spark: SparkSession, path, name: str) -> DataFrame:
     text = F.when(value.startswith('"'), F.when(outside == "", inner).otherwise(ragged)).when(
         value.contains(","), ragged
     ).otherwise(value)
-    return body.select(csv_unescape(text).alias(name))
+    return body.select(text.alias("c0")).select(F.expr(csv_unescape_sql("c0")).alias(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from rowhaul.functions.text import csv_unescape
+from rowhaul.functions.text import csv_unescape_sql, quoted
 from rowhaul.operators.schema import map_columns
 from rowhaul.sources.files import MAX_RECORD_BYTES, jsonl_records
 
@@ -31,7 +31,8 @@ def record_stream(
         header=True, quote='"', escape='"', nullValue="\u0000", mode="FAILFAST", multiLine=True,
         lineSep="\n", columnPruning=False, enforceSchema=False,
     ).csv(folder)
-    return rows.select(*[csv_unescape(F.coalesce(F.col(f"`{f.name}`"), F.lit(""))).alias(f.name) for f in schema.fields])
+    texts = rows.select(*[F.coalesce(quoted(f.name), F.lit("")).alias(f.name) for f in schema.fields])
+    return texts.select(*[F.expr(csv_unescape_sql(quoted(f.name))).alias(f.name) for f in schema.fields])
 
 
 def start_import(
