@@ -43,6 +43,11 @@ def map_columns(df: DataFrame, mapping: Mapping[str, str] | None, case_sensitive
     return df.toDF(*names)
 
 
+def nullable(schema: T.StructType) -> T.StructType:
+    """The schema with every column nullable, which is all that sources promise."""
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+
+
 def require_columns(df: DataFrame, needed: Iterable[str]) -> None:
     """The named key columns must be present (exact names)."""
     missing = [n for n in needed if n not in df.columns]

@@ -12,7 +12,7 @@ from rowhaul.functions.sizes import record_bytes
 from rowhaul.operators.batching import (
     BATCH_ROWS, MAX_BATCH_BYTES, NumberedRows, batch_table, number_rows, reject_oversize,
 )
-from rowhaul.operators.schema import map_columns
+from rowhaul.operators.schema import map_columns, nullable
 from rowhaul.operators.transform import limit_record_bytes
 from rowhaul.plans.checkpoint import CheckpointStore, TransferCheckpoint, plan_fingerprint
 from rowhaul.plans.results import TransferResult
@@ -118,7 +118,7 @@ def load(
     if done and done.fingerprint != fingerprint:
         raise ValueError("the checkpoint does not match the current transfer plan")
     # A resumed transfer reuses the table its first attempt created.
-    sink.prepare(renamed.schema, create_table and done is None)
+    sink.prepare(nullable(renamed.schema), create_table and done is None)
     if transaction != "batch":
         counted, seen = _counted(reject_oversize(renamed, max_batch_bytes, source))
         sink.write(counted, uuid.uuid4().hex)

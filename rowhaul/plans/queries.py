@@ -345,13 +345,13 @@ def first_document_projection(spark, sf_dir):
 
 @_query("""
 SELECT CAST(event_id AS VARCHAR) AS id, event_type AS kind FROM events
-WHERE event_id % 3 = 0 AND user_id > 20
+WHERE event_id % 3 = 0 AND user_id > 5
 """)
 def document_predicate(spark, sf_dir):
     _tables(spark, sf_dir, "events")
     rows = document_scan(
         sql_query(spark, _MIXED_DOCUMENTS), order_by=["event_id"],
-        predicate="try_variant_get(doc, '$.user', 'bigint') > 20 AND try_variant_get(doc, '$.kind', 'string') IS NOT NULL",
+        predicate="try_variant_get(doc, '$.user', 'bigint') > 5 AND try_variant_get(doc, '$.kind', 'string') IS NOT NULL",
     )
     return rows.select(F.try_variant_get("id", "$", "string").alias("id"), F.try_variant_get("kind", "$", "string").alias("kind"))
 
@@ -737,8 +737,10 @@ def _interrupted_copy(spark, sf_dir):
     _tables(spark, sf_dir, "events")
     path, marker = storage.new_folder(spark, "table"), storage.new_folder(spark, "checkpoint")
     text = "SELECT event_id, ts, user_id, event_type, props FROM events"
+    batches = -(-_read(spark, sf_dir, "events").count() // 100)
     options = dict(
-        create_table=True, order_by=["event_id"], unique_order=True, checkpoint=marker, batch_rows=100, batches_per_commit=20
+        create_table=True, order_by=["event_id"], unique_order=True, checkpoint=marker, batch_rows=100,
+        batches_per_commit=-(-batches // 5),
     )
     try:
         copy(spark, text, _BreakingTable(spark, path), **options)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rowhaul.functions.text import csv_unescape_sql, quoted
-from rowhaul.operators.schema import map_columns
+from rowhaul.operators.schema import map_columns, nullable
 from rowhaul.sources.files import MAX_RECORD_BYTES, jsonl_records
 
 
@@ -45,7 +45,7 @@ def start_import(
     With ``available_now`` the query takes what is there, in steps, and stops.
     """
     renamed = map_columns(stream, mapping, sink.case_sensitive)
-    sink.prepare(renamed.schema, create_table and not sink.exists())
+    sink.prepare(nullable(renamed.schema), create_table and not sink.exists())
     writer = renamed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda rows, epoch: sink.write(rows, f"{name}-{epoch:012d}", {"epoch": epoch})
     )
