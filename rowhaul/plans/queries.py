@@ -534,9 +534,9 @@ WITH RECURSIVE sized AS (
 steps AS (
   SELECT p, doc_id, b AS held, 1 AS n, 0 AS batch FROM sized WHERE p = 1
   UNION ALL
-  SELECT s.p, s.doc_id, CASE WHEN t.n >= 100 OR t.held + s.b > 40000 THEN s.b ELSE t.held + s.b END,
-         CASE WHEN t.n >= 100 OR t.held + s.b > 40000 THEN 1 ELSE t.n + 1 END,
-         CASE WHEN t.n >= 100 OR t.held + s.b > 40000 THEN t.batch + 1 ELSE t.batch END
+  SELECT s.p, s.doc_id, CASE WHEN t.n >= 150 OR t.held + s.b > 400000 THEN s.b ELSE t.held + s.b END,
+         CASE WHEN t.n >= 150 OR t.held + s.b > 400000 THEN 1 ELSE t.n + 1 END,
+         CASE WHEN t.n >= 150 OR t.held + s.b > 400000 THEN t.batch + 1 ELSE t.batch END
   FROM steps t JOIN sized s ON s.p = t.p + 1)
 """
 
@@ -544,7 +544,7 @@ steps AS (
 @_query(_BYTES_SQL + "SELECT doc_id, batch FROM steps")
 def batch_by_bytes(spark, sf_dir):
     numbered = number_rows(_read(spark, sf_dir, "documents"), ["doc_id"], unique_order=True)
-    return batch_rows_and_bytes(numbered, 100, 40_000).select("doc_id", F.col(BATCH).alias("batch"))
+    return batch_rows_and_bytes(numbered, 150, 400_000).select("doc_id", F.col(BATCH).alias("batch"))
 
 
 @_query("""
@@ -688,9 +688,10 @@ def copy_batches(spark, sf_dir):
     """Batch commits into a new table, with renamed columns."""
     _tables(spark, sf_dir, "events")
     table = CommittedTable(spark, storage.new_folder(spark, "table"))
+    batches = -(-_read(spark, sf_dir, "events").count() // 100)
     copy(
         spark, "SELECT event_id, ts, user_id, event_type, props FROM events", table, mapping={"EVENT_ID": "id"}, create_table=True,
-        order_by=["event_id"], unique_order=True, batch_rows=100, batches_per_commit=25,
+        order_by=["event_id"], unique_order=True, batch_rows=100, batches_per_commit=-(-batches // 8),
     )
     return table.read()
 
