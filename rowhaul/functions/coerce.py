@@ -14,12 +14,9 @@ from rowhaul.types import logical
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 NUMERIC = INTEGRAL + (T.FloatType, T.DoubleType, T.DecimalType)
 
-_ISO_DATE = r"r'^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,7})?)?(Z|[+-]\d{2}:?\d{2})?)?$'"
-_HAS_OFFSET = "r'Z$|T.*[+-]'"
-_NUMBER = r"r'^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$'"
-_INTEGER = r"r'^\s*[+-]?\d+\s*$'"
-# The seventh fraction digit would be lost.
-_TOO_FINE = r"r'\.\d{6}[1-9]'"
+# A seventh fraction digit must be zero: it would be lost.
+_LOCAL_DATE = r"\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6}0?)?)?)?"
+_OFFSET = r"(?:Z|[+-]\d{2}:?\d{2})?"
 
 
 def fail_sql(shown: str, target: str) -> str:
@@ -31,92 +28,91 @@ def _checked(x: str, result: str, target: str) -> str:
     return f"CASE WHEN {x} IS NOT NULL THEN coalesce({result}, {fail_sql(x, target)}) END"
 
 
-def text_to_decimal(x: str, data_type: T.DecimalType) -> str:
-    name, scale = data_type.simpleString(), data_type.scale
-    exact = f"(instr({x}, '.') = 0 OR length(rtrim('0', rtrim({x}))) - instr({x}, '.') <= {scale})"
-    return _checked(x, f"CASE WHEN rlike({x}, {_NUMBER}) AND {exact} THEN try_cast(trim({x}) AS {name}) END", name)
+# Each of these gives null for text that does not fit.
 
 
-def text_to_integral(x: str, data_type: T.DataType) -> str:
-    name = data_type.simpleString()
-    return _checked(x, f"CASE WHEN rlike({x}, {_INTEGER}) THEN try_cast(trim({x}) AS {name}) END", name)
+def try_decimal(x: str, data_type: T.DecimalType) -> str:
+    exact = f"instr({x}, '.') = 0 OR length(rtrim('0', rtrim({x}))) - instr({x}, '.') <= {data_type.scale}"
+    plain = f"NOT contains({x}, 'e') AND NOT contains({x}, 'E')"
+    return f"CASE WHEN {plain} AND ({exact}) THEN try_cast({x} AS {data_type.simpleString()}) END"
 
 
-def text_to_double(x: str, data_type: T.DataType) -> str:
-    name = data_type.simpleString()
-    return _checked(x, f"try_cast(trim({x}) AS {name})", name)
+def try_integral(x: str, data_type: T.DataType) -> str:
+    return f"try_cast({x} AS {data_type.simpleString()})"
 
 
-def text_to_boolean(x: str) -> str:
-    low = f"lower(trim({x}))"
-    return _checked(x, f"CASE {low} WHEN 'true' THEN true WHEN 'false' THEN false END", "boolean")
+def try_boolean(x: str) -> str:
+    return f"CASE lower(trim({x})) WHEN 'true' THEN true WHEN 'false' THEN false END"
 
 
-def text_to_uuid(x: str) -> str:
+def try_uuid(x: str) -> str:
     """Canonical lower-case 8-4-4-4-12 form; braces, parentheses and missing dashes are accepted."""
-    digits = rf"lower(regexp_replace(trim({x}), r'^[{{(]|[}})]$|-', ''))"
-    canonical = rf"regexp_replace({digits}, r'^([0-9a-f]{{8}})([0-9a-f]{{4}})([0-9a-f]{{4}})([0-9a-f]{{4}})([0-9a-f]{{12}})$', '$1-$2-$3-$4-$5')"
-    return _checked(x, f"nullif({canonical}, {digits})", "uuid")
+    groups = r"(\p{XDigit}{8})-?(\p{XDigit}{4})-?(\p{XDigit}{4})-?(\p{XDigit}{4})-?(\p{XDigit}{12})"
+    canonical = "lower(regexp_replace(trim({x}), r'^[{{(]?{g}[}})]?$', '$1-$2-$3-$4-$5'))".format(x=x, g=groups)
+    return f"CASE WHEN rlike({x}, r'^\\s*[{{(]?{groups}[}})]?\\s*$') THEN {canonical} END"
 
 
-def text_to_binary(x: str) -> str:
-    return _checked(x, f"try_to_binary({x}, 'base64')", "binary")
+def try_binary(x: str) -> str:
+    return f"try_to_binary({x}, 'base64')"
 
 
-def text_to_local(x: str) -> str:
+def try_local(x: str) -> str:
     """ISO text without an offset; one with an offset is refused rather than shifted."""
-    ok = f"rlike({x}, {_ISO_DATE}) AND NOT rlike({x}, {_HAS_OFFSET}) AND NOT rlike({x}, {_TOO_FINE})"
-    return _checked(x, f"CASE WHEN {ok} THEN try_cast({x} AS timestamp_ntz) END", "timestamp_ntz")
+    return f"CASE WHEN rlike({x}, r'^{_LOCAL_DATE}$') THEN try_cast({x} AS timestamp_ntz) END"
 
 
-def text_to_instant(x: str) -> str:
+def try_instant(x: str) -> str:
     """ISO text; without an offset it is taken in the session time zone."""
-    ok = f"rlike({x}, {_ISO_DATE}) AND NOT rlike({x}, {_TOO_FINE})"
-    return _checked(x, f"CASE WHEN {ok} THEN try_cast({x} AS timestamp) END", "timestamp")
+    return f"CASE WHEN rlike({x}, r'^{_LOCAL_DATE}{_OFFSET}$') THEN try_cast({x} AS timestamp) END"
 
 
-def from_text_sql(x: str, field: T.StructField) -> str:
-    """Text to a column's type."""
+def try_text_sql(x: str, field: T.StructField) -> str:
+    """Text to a column's type, null when it does not fit."""
     data_type = field.dataType
     if logical(field) == "uuid":
-        return text_to_uuid(x)
+        return try_uuid(x)
     if isinstance(data_type, T.StringType):
         return x
     if isinstance(data_type, T.DecimalType):
-        return text_to_decimal(x, data_type)
-    if isinstance(data_type, INTEGRAL):
-        return text_to_integral(x, data_type)
-    if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return text_to_double(x, data_type)
+        return try_decimal(x, data_type)
+    if isinstance(data_type, INTEGRAL + (T.FloatType, T.DoubleType)):
+        return try_integral(x, data_type)
     if isinstance(data_type, T.BooleanType):
-        return text_to_boolean(x)
+        return try_boolean(x)
     if isinstance(data_type, T.BinaryType):
-        return text_to_binary(x)
+        return try_binary(x)
     if isinstance(data_type, T.TimestampNTZType):
-        return text_to_local(x)
+        return try_local(x)
     if isinstance(data_type, T.TimestampType):
-        return text_to_instant(x)
+        return try_instant(x)
     raise ValueError(f"column '{field.name}': cannot convert text to {data_type.simpleString()}")
 
 
-def number_to_sql(x: str, source: T.DataType, field: T.StructField) -> str:
-    """A number to a column's type; a fraction never disappears silently."""
+def from_text_sql(x: str, field: T.StructField) -> str:
+    """Text to a column's type; the job fails on text that does not fit."""
+    target = logical(field) or field.dataType.simpleString()
+    result = try_text_sql(x, field)
+    return x if result == x else _checked(x, result, target)
+
+
+def try_number_sql(x: str, source: T.DataType, field: T.StructField) -> str:
+    """A number to a column's type, null when it does not fit; a fraction never disappears silently."""
     data_type = field.dataType
     name = data_type.simpleString()
     value = f"try_cast({x} AS {name})"
     if isinstance(data_type, T.BooleanType):
         return f"({x}) <> 0"
     if isinstance(data_type, INTEGRAL):
-        if not isinstance(source, INTEGRAL):
-            value = f"CASE WHEN NOT {loses_fraction_sql(x)} THEN {value} END"
-    elif isinstance(data_type, T.DecimalType):
+        return value if isinstance(source, INTEGRAL) else f"CASE WHEN NOT {loses_fraction_sql(x)} THEN {value} END"
+    if isinstance(data_type, T.DecimalType):
         if isinstance(source, T.DecimalType):
-            value = f"CASE WHEN {value} = {x} THEN {value} END"
-        elif isinstance(source, (T.FloatType, T.DoubleType)):
-            value = f"CASE WHEN double({value}) = double({x}) THEN {value} END"
-    elif not isinstance(data_type, (T.FloatType, T.DoubleType)):
-        raise ValueError(f"column '{field.name}': cannot convert {source.simpleString()} to {name}")
-    return _checked(x, value, name)
+            return f"CASE WHEN {value} = {x} THEN {value} END"
+        if isinstance(source, (T.FloatType, T.DoubleType)):
+            return f"CASE WHEN double({value}) = double({x}) THEN {value} END"
+        return value
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return value
+    raise ValueError(f"column '{field.name}': cannot convert {source.simpleString()} to {name}")
 
 
 def loses_fraction_sql(x: str) -> str:
@@ -139,7 +135,7 @@ def coerce_sql(x: str, source: T.StructField, target: T.StructField) -> str:
     if isinstance(to_type, T.StringType):
         return value_text_sql(x, source)
     if isinstance(from_type, NUMERIC):
-        return number_to_sql(x, from_type, target)
+        return _checked(x, try_number_sql(x, from_type, target), to_type.simpleString())
     if isinstance(from_type, T.BooleanType) and isinstance(to_type, NUMERIC):
         return f"CAST(CAST({x} AS int) AS {to_type.simpleString()})"
     if isinstance(from_type, T.TimestampNTZType) and isinstance(to_type, T.TimestampType):

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 from rowhaul.functions.coerce import (
-    INTEGRAL, NUMERIC, fail_sql, from_text_sql, number_to_sql, text_to_binary, text_to_decimal, text_to_instant,
-    text_to_integral, text_to_local, text_to_uuid,
+    INTEGRAL, NUMERIC, try_binary, try_decimal, try_instant, try_integral, try_local, try_number_sql, try_text_sql, try_uuid,
 )
 from rowhaul.functions.text import iso_timestamp_sql, literal, quoted, trim_zeros_sql, value_text_sql
 from rowhaul.types import DECIMAL_LIMIT, JSON_NUMBER, UUID, decimal_type, is_flat, logical
@@ -25,16 +24,46 @@ NUMBER_LONG, NUMBER_DECIMAL, DATE, WRAPPED_UUID, BINARY = "$numberLong", "$numbe
 WRAPPERS = (NUMBER_LONG, NUMBER_DECIMAL, DATE, WRAPPED_UUID, BINARY)
 
 
-def parse_record(line: str) -> Column:
-    """``map<string,variant>`` of a JSON object, or null when the column's text is not exactly one object."""
-    x = quoted(line)
-    # Text such as "{..}]" closes the added bracket itself; it cannot also close an added brace.
-    one_object = (
-        f"json_array_length(concat('[', {x}, ']')) = 1 AND (NOT contains({x}, ']') "
-        f"OR size(json_object_keys(concat('{{\"r\":', {x}, '}}'))) = 1)"
-    )
-    options = ", ".join(f"'{k}', '{v}'" for k, v in PARSE_OPTIONS.items())
-    return F.expr(f"CASE WHEN {one_object} THEN from_json({x}, 'map<string,variant>', map({options})) END")
+_OPTIONS_SQL = "map(" + ", ".join(f"'{k}', '{v}'" for k, v in PARSE_OPTIONS.items()) + ")"
+
+
+def parse_line(line: str) -> Column:
+    """First step of reading a line: the values of the text as an array, null when it is no JSON.
+
+    The added brackets make any text after the object an error.
+    """
+    return F.expr(f"from_json(concat('[', {quoted(line)}, ']'), 'array<map<string,variant>>', {_OPTIONS_SQL})")
+
+
+def one_record(parsed: str, line: str) -> Column:
+    """Second step: the record of a line that is exactly one object, else null."""
+    x, p = quoted(line), quoted(parsed)
+    # Text such as "{..}] [" closes the added bracket itself; it cannot also close an added brace.
+    closed = f"(NOT contains({x}, ']') OR size(json_object_keys(concat('{{\"r\":', {x}, '}}'))) = 1)"
+    return F.expr(f"CASE WHEN size({p}) = 1 AND {closed} THEN {p}[0] END")
+
+
+def parse_array(text: str) -> Column:
+    """First step of reading a file that is one JSON array: the arrays of the text, null when it is no JSON."""
+    return F.expr(f"from_json(concat('[', {quoted(text)}, ']'), 'array<array<map<string,variant>>>', {_OPTIONS_SQL})")
+
+
+def one_array(parsed: str, text: str) -> Column:
+    """Second step: the array of a text that is exactly one array of objects, else null."""
+    x, p = quoted(text), quoted(parsed)
+    closed = f"(NOT rlike({x}, r'\\]\\s*\\]') OR size(json_object_keys(concat('{{\"r\":', {x}, '}}'))) = 1)"
+    return F.expr(f"CASE WHEN size({p}) = 1 AND {closed} THEN {p}[0] END")
+
+
+# Layouts of an array whose line breaks fall between its elements: brackets and commas around a line's elements.
+def array_line_sql(line: str) -> tuple[str, str, str]:
+    """Leading punctuation, elements text and trailing punctuation of one line, as SQL over the trimmed line."""
+    body = f"trim({quoted(line)})"
+    lead = f"CASE WHEN startswith({body}, '[') THEN '[' WHEN startswith({body}, ',') THEN ',' ELSE '' END"
+    rest = f"trim(if({lead} = '', {body}, substr({body}, 2)))"
+    trail = f"CASE WHEN endswith({rest}, ']') THEN ']' WHEN endswith({rest}, ',') THEN ',' ELSE '' END"
+    elements = f"trim(if({trail} = '', {rest}, substr({rest}, 1, length({rest}) - 1)))"
+    return lead, elements, trail
 
 
 def is_blank(line: str) -> Column:
@@ -63,33 +92,30 @@ def tagged(value: str, extended: bool = False) -> Column:
     """
     kind, text = f"schema_of_variant({value})", f"try_variant_get({value}, '$', 'string')"
     if extended:
-        names = " ".join(f"WHEN {literal(wrapper_tag(n))} THEN {literal(n)}" for n in WRAPPERS)
-        inner = ", ".join(_inner_sql(value, n) for n in WRAPPERS)
-        text = f"if(startswith({kind}, 'OBJECT'), coalesce({inner}), {text})"
-        kind = f"CASE {kind} {names} ELSE {kind} END"
+        tags = [(literal(wrapper_tag(n)), n) for n in WRAPPERS]
+        text = f"CASE {kind} " + " ".join(f"WHEN {t} THEN {_inner_sql(value, n)}" for t, n in tags) + f" ELSE {text} END"
+        kind = f"CASE {kind} " + " ".join(f"WHEN {t} THEN {literal(n)}" for t, n in tags) + f" ELSE {kind} END"
     return F.expr(f"named_struct('kind', {kind}, 'text', {text})")
 
 
-def _decimal_sql(kind: str, text: str, data_type: T.DecimalType) -> str:
-    """Exact decimal of a JSON number; fails when scale or range cannot hold it."""
-    name = data_type.simpleString()
-    value = f"try_cast({text} AS {name})"
+def _number_to_decimal(kind: str, text: str, data_type: T.DecimalType) -> str:
+    """Exact decimal of a JSON number, null when scale or range cannot hold it."""
+    value = f"try_cast({text} AS {data_type.simpleString()})"
     # Texts of decimals carry no trailing zeros; only numbers with an exponent arrive as doubles.
     keeps = (
         f"if({kind} = 'DOUBLE', double({value}) = double({text}), "
         f"instr({text}, '.') = 0 OR length({text}) - instr({text}, '.') <= {data_type.scale})"
     )
     fits = f"(length({text}) < {len(DECIMAL_LIMIT)} OR abs({value}) <= CAST('{DECIMAL_LIMIT}' AS decimal(38,0)))"
-    return f"coalesce(CASE WHEN {keeps} AND {fits} THEN {value} END, {fail_sql(text, name)})"
+    return f"CASE WHEN {keeps} AND {fits} THEN {value} END"
 
 
-def _integral_sql(kind: str, text: str, data_type: T.DataType) -> str:
+def _number_to_integral(kind: str, text: str, data_type: T.DataType) -> str:
     name = data_type.simpleString()
-    whole = (
+    return (
         f"CASE WHEN instr({text}, '.') = 0 THEN try_cast({text} AS {name}) "
         f"WHEN {kind} = 'DOUBLE' AND double({text}) % 1 = 0 THEN try_cast(double({text}) AS {name}) END"
     )
-    return f"coalesce({whole}, {fail_sql(text, name)})"
 
 
 def decode(tag: str, field: T.StructField, extended: bool = False) -> Column:
@@ -97,7 +123,7 @@ def decode(tag: str, field: T.StructField, extended: bool = False) -> Column:
     kind, text, data_type = f"{tag}.kind", f"{tag}.text", field.dataType
     name = data_type.simpleString()
     number = f"({kind} = 'BIGINT' OR {kind} = 'DOUBLE' OR startswith({kind}, 'DECIMAL'))"
-    cases = [f"WHEN {kind} IS NULL OR {kind} = 'VOID' THEN NULL", f"WHEN {kind} = 'STRING' THEN {from_text_sql(text, field)}"]
+    cases = [f"WHEN {kind} = 'STRING' THEN {try_text_sql(text, field)}"]
 
     def case(condition: str, result: str) -> None:
         cases.append(f"WHEN {condition} THEN {result}")
@@ -108,42 +134,46 @@ def decode(tag: str, field: T.StructField, extended: bool = False) -> Column:
         if extended:
             case(f"{kind} IN ('{NUMBER_LONG}', '{NUMBER_DECIMAL}')", text)
     elif isinstance(data_type, NUMERIC + (T.BooleanType,)):
+        if extended:
+            case(f"{kind} = '{NUMBER_LONG}'", _from_wrapper(text, T.LongType(), field))
+            case(f"{kind} = '{NUMBER_DECIMAL}'", _from_wrapper(text, decimal_type(), field))
         if isinstance(data_type, T.BooleanType):
             case(f"{kind} = 'BOOLEAN'", f"boolean({text})")
             case(number, f"double({text}) <> 0")
         else:
-            case(f"{kind} = 'BOOLEAN'", f"CAST(int(boolean({text})) AS {name})")
             if isinstance(data_type, T.DecimalType):
-                case(number, _decimal_sql(kind, text, data_type))
+                case(number, _number_to_decimal(kind, text, data_type))
             elif isinstance(data_type, INTEGRAL):
-                case(number, _integral_sql(kind, text, data_type))
+                case(number, _number_to_integral(kind, text, data_type))
             else:
-                case(number, f"CAST({text} AS {name})")
-        if extended:
-            case(f"{kind} = '{NUMBER_LONG}'", _from_long(text, field))
-            case(f"{kind} = '{NUMBER_DECIMAL}'", _from_decimal(text, field))
+                case(number, f"try_cast({text} AS {name})")
+            case(f"{kind} = 'BOOLEAN'", f"CAST(int(boolean({text})) AS {name})")
     elif extended:
         if isinstance(data_type, T.TimestampNTZType):
-            case(f"{kind} = '{DATE}'", text_to_local(text))
+            case(f"{kind} = '{DATE}'", try_local(text))
         elif isinstance(data_type, T.TimestampType):
-            case(f"{kind} = '{DATE}'", text_to_instant(text))
+            case(f"{kind} = '{DATE}'", try_instant(text))
         elif isinstance(data_type, T.BinaryType):
-            case(f"{kind} = '{BINARY}'", text_to_binary(text))
+            case(f"{kind} = '{BINARY}'", try_binary(text))
         elif logical(field) == "uuid":
-            case(f"{kind} = '{WRAPPED_UUID}'", text_to_uuid(text))
-    message = literal(f"property '{field.name}' ({name}): record values must be scalar JSON values that fit the column, found ")
-    return F.expr(f"CASE {' '.join(cases)} ELSE raise_error(concat({message}, {kind})) END")
-
-
-def _from_long(text: str, field: T.StructField) -> str:
-    number = text_to_integral(text, T.LongType())
-    return number if isinstance(field.dataType, T.LongType) else number_to_sql(f"({number})", T.LongType(), field)
+            case(f"{kind} = '{WRAPPED_UUID}'", try_uuid(text))
+    if extended:
+        # The wrapped kinds are the common ones there.
+        cases = [*cases[1:], cases[0]]
+    what = literal(f"property '{field.name}': only scalar JSON values, and no loss; cannot be converted to {logical(field) or name}: ")
+    failed = f"raise_error(concat({what}, {kind}, ' ', coalesce({text}, '')))"
+    return F.expr(
+        f"CASE WHEN {kind} IS NOT NULL AND {kind} <> 'VOID' THEN coalesce(CASE {' '.join(cases)} END, {failed}) END"
+    )
 
 
-def _from_decimal(text: str, field: T.StructField) -> str:
-    if isinstance(field.dataType, T.DecimalType):
-        return text_to_decimal(text, field.dataType)
-    return number_to_sql(f"({text_to_decimal(text, decimal_type())})", decimal_type(), field)
+def _from_wrapper(text: str, wrapped: T.DataType, field: T.StructField) -> str:
+    """Text of a wrapped number to the column's type."""
+    number = T.LongType() if isinstance(wrapped, T.LongType) else wrapped
+    if isinstance(field.dataType, type(number)):
+        return try_text_sql(text, field)
+    inner = try_integral(text, number) if isinstance(number, T.LongType) else try_decimal(text, number)
+    return try_number_sql(f"({inner})", number, field)
 
 
 def first_value_field(name: str, tag: str, text: str | None, extended: bool, scale: int) -> T.StructField:

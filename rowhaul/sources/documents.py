@@ -8,11 +8,13 @@ nested values stay JSON, as variants.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rowhaul.functions.documents import ENTITY_KEYS, bson_value, json_value
-from rowhaul.functions.json import RECORD, is_blank, parse_record
+from rowhaul.functions.text import quoted
+from rowhaul.functions.json import RECORD, is_blank, one_record, parse_line
 from rowhaul.operators.schema import check_names
 
 # Columns of an empty result, per store (fixed values).
@@ -46,7 +48,7 @@ def document_scan(
     The predicate sees the parsed document as ``doc``, e.g.
     ``try_variant_get(doc, '$.status', 'string') = 'open'``. The first document
     is the first by ``order_by`` (columns of ``documents``), by file and place
-    for ``read_documents``; one pass with partial aggregates finds it.
+    for ``read_documents``; partial aggregates find it.
     """
     matching = documents
     if predicate is not None:
@@ -55,10 +57,10 @@ def document_scan(
         names = first_document_names(matching, store, order_by, value)
     check_names(names)
     record = F.coalesce(
-        parse_record(value), F.raise_error(F.concat(F.lit("not a JSON document: "), F.left(value, F.lit(80)))).cast(RECORD)
+        one_record("parsed", value), F.raise_error(F.concat(F.lit("not a JSON document: "), F.left(value, F.lit(80)))).cast(RECORD)
     )
     typing = _TYPING[store] if typed else (lambda v: v)
-    parsed = matching.select(record.alias("record"))
+    parsed = matching.select(value, parse_line(value).alias("parsed")).select(record.alias("record"))
     return parsed.select(*[typing(F.try_element_at("record", F.lit(n))).alias(n) for n in names])
 
 
@@ -69,10 +71,18 @@ def first_document_names(
     if order_by is None:
         if not {"file", "block", "place"} <= set(documents.columns):
             raise ValueError("order_by is needed to tell which document comes first")
-        order_by = ["file", "block", "place"]
-    keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
-    first = documents.agg(F.min_by(value, F.struct(*keys)).alias("doc")).select(F.json_object_keys("doc").alias("names")).first()
-    names = list(first.names) if first and first.names else list(EMPTY_COLUMNS[store])
+        first = documents.agg(F.min_by(value, F.struct("file", "block", "place")).alias("doc"))
+    else:
+        # The keys alone find the first document; then one row is fetched with its text.
+        keys = [F.col(quoted(k)) if isinstance(k, str) else k for k in order_by]
+        least = documents.agg(F.min(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])).alias("least")).first().least
+        if least is None:
+            first = documents.limit(0).select(F.col(value).alias("doc"))
+        else:
+            same = [k.eqNullSafe(F.lit(v)) for k, v in zip(keys, least)]
+            first = documents.where(reduce(lambda a, b: a & b, same)).limit(1).select(F.col(value).alias("doc"))
+    row = first.select(F.json_object_keys("doc").alias("names")).first()
+    names = list(row.names) if row and row.names else list(EMPTY_COLUMNS[store])
     if store == "azure-table-storage":
         names = [*ENTITY_KEYS, *[n for n in names if n not in ENTITY_KEYS]]
     return names

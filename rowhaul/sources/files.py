@@ -3,8 +3,8 @@
 Every scan fixes its schema from the first record, then reads the whole input
 with it; each further record must have the same names in the same order. A
 folder is the concatenation of its files in name order. JSON Lines and
-Extended JSON split at any line, CSV splits unless a quoted field holds a line
-break, and a JSON array is read by one task per file.
+Extended JSON split at any line; CSV and JSON arrays do when no record holds a
+line break, and are read by one task per file otherwise.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from rowhaul import storage
 from rowhaul.functions.json import (
-    DATE, PARSE_OPTIONS, RECORD, decode, first_value_field, is_blank, parse_record, tagged, type_tag,
+    DATE, RECORD, array_line_sql, decode, first_value_field, is_blank, one_array, one_record, parse_array, parse_line, tagged, type_tag,
 )
 from rowhaul.functions.text import csv_unescape_sql
 from rowhaul.operators.schema import check_names
@@ -115,9 +115,10 @@ def read_jsonl(
         fields = None
         for file in _files(scan):
             lines = spark.read.text(file)
-            first = lines.where(_guard(lines, max_record_bytes)).limit(1).select(
+            head = lines.where(_guard(max_record_bytes)).limit(1).select("value", parse_line("value").alias("parsed"))
+            first = head.select(
                 F.coalesce(
-                    parse_record("value"),
+                    one_record("parsed", "value"),
                     F.raise_error(F.lit(f"invalid JSON object in {file}")).cast(RECORD),
                 ).alias("record")
             )
@@ -131,7 +132,7 @@ def read_jsonl(
     return jsonl_records(scan, fields, extended, max_record_bytes)
 
 
-def _guard(lines: DataFrame, max_record_bytes: int) -> Column:
+def _guard(max_record_bytes: int) -> Column:
     """Row filter: skips blank lines, stops on lines that no later step may see."""
     value, where = F.col("value"), F.col("_metadata.file_path")
     return (
@@ -147,9 +148,9 @@ def jsonl_records(
     """Typed records of a text scan, batch or streaming, for columns fixed beforehand."""
     names = [f.name for f in fields]
     check_names(names)
-    parsed = lines.where(_guard(lines, max_record_bytes)).select(
-        "value", parse_record("value").alias("record"), F.col("_metadata.file_path").alias("file")
-    )
+    parsed = lines.where(_guard(max_record_bytes)).select(
+        "value", parse_line("value").alias("parsed"), F.col("_metadata.file_path").alias("file")
+    ).select("value", "file", one_record("parsed", "value").alias("record"))
     fault = _fault(F.col("value"), F.col("record"), names, max_record_bytes)
     checked = parsed.select(
         F.when(fault.isNotNull(), _stop(fault, F.col("file")).cast("array<variant>"))
@@ -174,8 +175,8 @@ def jsonl_violations(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seen"),
         "value",
-        parse_record("value").alias("record"),
-    )
+        parse_line("value").alias("parsed"),
+    ).select("file", "block", "seen", "value", one_record("parsed", "value").alias("record"))
     parsed.select(
         "file", "block", "seen",
         _fault(F.col("value"), F.col("record"), names, max_record_bytes).alias("reason"),
@@ -192,39 +193,108 @@ def jsonl_violations(
     )
 
 
-def _array_elements(scan: DataFrame) -> DataFrame:
-    value = F.col("value")
-    wrapped = F.json_array_length(F.concat(F.lit("["), value, F.lit("]")))
-    elements = F.from_json(value, T.ArrayType(RECORD), PARSE_OPTIONS)
+def _whole_arrays(spark: SparkSession, path) -> DataFrame:
+    """Elements of files read as one text each: one task per file, for records that span lines."""
+    scan = spark.read.text(path, wholetext=True)
+    files = scan.select("value", F.col("_metadata.file_path").alias("file"), parse_array("value").alias("parsed"))
     where = F.col("file")
-    files = scan.select(value, F.col("_metadata.file_path").alias("file"))
-    fault = (
-        F.when(~F.is_valid_utf8(value), "invalid UTF-8")
-        .when(F.coalesce(wrapped, F.lit(0)) != 1, "invalid JSON array")
+    records = (
+        F.when(~F.is_valid_utf8("value"), _stop(F.lit("invalid UTF-8"), where).cast(T.ArrayType(RECORD)))
+        .otherwise(F.coalesce(one_array("parsed", "value"), _stop(F.lit("invalid JSON array"), where).cast(T.ArrayType(RECORD))))
     )
-    return files.select(
-        F.explode(
-            F.when(fault.isNotNull(), _stop(fault, where).cast(T.ArrayType(RECORD)))
-            .otherwise(F.coalesce(elements, _stop(F.lit("invalid JSON array"), where).cast(T.ArrayType(RECORD))))
-        ).alias("record"),
-        where,
+    return files.select(F.explode(records).alias("record"), where)
+
+
+def _array_lines(spark: SparkSession, path) -> DataFrame:
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seen"), "value",
+    ).where(F.is_valid_utf8("value") & ~is_blank("value"))
+    lead, elements, trail = array_line_sql("value")
+    return lines.select("file", "block", "seen", F.expr(lead).alias("lead"), F.expr(trail).alias("trail"), F.expr(elements).alias("elements"))
+
+
+def _breaks_between_elements(spark: SparkSession, path) -> bool:
+    """Whether every file is one array whose line breaks fall between elements, so that lines can be read apart.
+
+    Brackets stand first and last, each line holds whole elements, and commas
+    all lead or all trail. Counts per file block, then per file.
+    """
+    lines = _array_lines(spark, path)
+    # Text that closes the added bracket itself cannot also close an added brace.
+    held = F.expr(
+        "coalesce(CASE WHEN NOT contains(elements, ']') OR size(json_object_keys(concat('{\"r\":[', elements, ']}'))) = 1 "
+        "THEN json_array_length(concat('[', elements, ']')) END, -1)"
+    )
+    marked = lines.select("file", "block", "seen", "lead", "trail", held.alias("held"))
+
+    def place(condition: Column) -> Column:
+        return F.when(condition, F.col("seen"))
+
+    record, lead, trail = F.col("held") > 0, F.col("lead"), F.col("trail")
+    blocks = marked.groupBy("file", "block").agg(
+        F.count_if(record).alias("records"), F.count_if(F.col("held") < 0).alias("broken"),
+        F.count_if(lead == "[").alias("opened"), F.count_if(trail == "]").alias("closed"),
+        F.count_if(lead == ",").alias("leading"), F.count_if(trail == ",").alias("trailing"),
+        F.count_if(~record & ((lead == ",") | (trail == ","))).alias("stray"),
+        F.min("seen").alias("first"), F.max("seen").alias("last"),
+        F.min(place(lead == "[")).alias("open_at"), F.max(place(trail == "]")).alias("close_at"),
+        F.min(place(record)).alias("first_record"), F.max(place(record)).alias("last_record"),
+        F.min(place(lead == ",")).alias("first_leading"), F.max(place(trail == ",")).alias("last_trailing"),
     )
 
+    def least(name: str) -> Column:
+        return F.min(F.when(F.col(name).isNotNull(), F.struct("block", name)))
+
+    def most(name: str) -> Column:
+        return F.max(F.when(F.col(name).isNotNull(), F.struct("block", name)))
+
+    counts = ("records", "broken", "opened", "closed", "leading", "trailing", "stray")
+    files = blocks.groupBy("file").agg(
+        *[F.sum(c).alias(c) for c in counts],
+        (least("first") == least("open_at")).alias("opens"), (most("last") == most("close_at")).alias("closes"),
+        (least("first_record") == least("first_leading")).alias("comma_first"),
+        (most("last_record") == most("last_trailing")).alias("comma_last"),
+    )
+    commas = (
+        (F.col("records") == 0)
+        | ((F.col("trailing") == 0) & (F.col("leading") == F.col("records") - 1) & ~F.coalesce("comma_first", F.lit(False)))
+        | ((F.col("leading") == 0) & (F.col("trailing") == F.col("records") - 1) & ~F.coalesce("comma_last", F.lit(False)))
+    )
+    fine = (
+        (F.col("broken") == 0) & (F.col("stray") == 0) & (F.col("opened") == 1) & (F.col("closed") == 1)
+        & F.coalesce("opens", F.lit(False)) & F.coalesce("closes", F.lit(False)) & commas
+    )
+    row = files.agg(F.count(F.lit(1)).alias("files"), F.count_if(~fine).alias("other")).first()
+    return row.files > 0 and row.other == 0
+
+
+def _split_arrays(spark: SparkSession, path) -> DataFrame:
+    """Elements of arrays whose line breaks fall between elements; splits at any line."""
+    where = F.col("file")
+    parsed = _array_lines(spark, path).where("elements <> ''").select("file", "elements", parse_line("elements").alias("parsed"))
+    stop = _stop(F.lit("invalid JSON array"), where).cast(T.ArrayType(RECORD))
+    return parsed.select(F.explode(F.coalesce("parsed", stop)).alias("record"), where)
+
 
 def read_json_array(
     spark: SparkSession, path, schema: T.StructType | None = None, decimal_scale: int = DECIMAL_SCALE
 ) -> DataFrame:
-    """Files that each hold one JSON array of objects; one task per file, so prefer JSON Lines for large files."""
-    scan = spark.read.text(path, wholetext=True)
+    """Files that each hold one JSON array of objects.
+
+    Arrays with line breaks between their elements only, as the sink here
+    writes them, are split by lines; any other layout takes one task per file.
+    """
+    if _breaks_between_elements(spark, path):
+        elements = _split_arrays
+    else:
+        elements = _whole_arrays
     if schema is None:
         fields = None
-        for file in _files(scan):
-            fields = _first_fields(
-                _array_elements(spark.read.text(file, wholetext=True)).select(
-                    F.coalesce("record", F.raise_error(F.lit("each JSON record must be an object")).cast(RECORD)).alias("record")
-                ),
-                False, decimal_scale,
-            )
+        for file in _files(spark.read.text(path)):
+            records = elements(spark, file)
+            stop = F.raise_error(F.lit("each JSON record must be an object")).cast(RECORD)
+            fields = _first_fields(records.select(F.coalesce("record", stop).alias("record")), False, decimal_scale)
             if fields is not None:
                 break
         if fields is None:
@@ -238,7 +308,7 @@ def read_json_array(
         F.when(record.isNull(), "a record that is no object")
         .when(_names_differ(record, names), "properties differ from the first record")
     )
-    checked = _array_elements(scan).select(
+    checked = elements(spark, path).select(
         F.when(fault.isNotNull(), _stop(fault, F.col("file")).cast("array<variant>"))
         .otherwise(F.map_values(record)).alias("record_values")
     )
@@ -303,14 +373,17 @@ def _csv_header(spark: SparkSession, file: str, multi_line: bool) -> tuple[list[
     return names, crlf
 
 
-def read_csv(spark: SparkSession, path, names: list[str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path, names: list[str] | None = None, multi_line: bool | None = None) -> DataFrame:
     """CSV with a header row; every column is text.
 
     ``\\N`` is null, an empty field is the empty string. Ragged records, an
     unterminated quote and invalid UTF-8 fail. All files must share one header.
-    A first pass over the text decides whether the files can be split by lines.
+    A first pass over the text makes the checks that need all of it and tells
+    whether records span lines; a caller who knows that the files are sound can
+    save the pass by giving ``multi_line``.
     """
-    multi_line = _csv_shape(spark, path)
+    if multi_line is None:
+        multi_line = _csv_shape(spark, path)
     files = _files(spark.read.text(path))
     header, crlf = _csv_header(spark, files[0], multi_line)
     if names is not None and names != header:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from conftest import rows
 from rowhaul.sinks.files import FORMATS, write_records
-from rowhaul.sources.files import jsonl_violations, read_csv, read_json_array, read_jsonl, read_records
+from rowhaul.sources.files import _breaks_between_elements, jsonl_violations, read_csv, read_json_array, read_jsonl, read_records
 
 AWKWARD = [
     (1, None), (2, ""), (3, "\\N"), (4, "\\\\N"), (5, " leading and trailing "), (6, "a,b"), (7, 'say "hi"'), (8, "two\nlines"),
@@ -218,3 +218,43 @@ def test_json_import_then_csv_export(spark, tmp_path):
     df = read_json_array(spark, _file(tmp_path, '[{"id":1,"value":"alpha"},{"id":2,"value":null}]'))
     write_records(df.coalesce(1), f"{tmp_path}/csv", "csv")
     assert "".join(open(p).read() for p in glob.glob(f"{tmp_path}/csv/part*")) == "id,value\n1,alpha\n2,\\N\n"
+
+
+ARRAY_LAYOUTS = [
+    '[{"v":1},{"v":2},{"v":3}]',
+    '[\n{"v":1},\n{"v":2},\n{"v":3}\n]\n',
+    '[{"v":1}\n,{"v":2}\n,{"v":3}\n]',
+    '[{"v":1},{"v":2}\n,{"v":3}]',
+    '\n[\n  {"v":1},\n\n  {"v":2},  {"v":3}\n]',
+    '[\n  {\n "v":\n1},{"v":2},{"v":3}]',
+]
+
+
+@pytest.mark.parametrize("text", ARRAY_LAYOUTS)
+def test_array_layouts(spark, tmp_path, text):
+    assert sorted(int(r.v) for r in read_json_array(spark, _file(tmp_path, text)).collect()) == [1, 2, 3]
+
+
+def test_which_array_layouts_split(spark, tmp_path):
+    split = [_breaks_between_elements(spark, _file(tmp_path, t, str(i))) for i, t in enumerate(ARRAY_LAYOUTS)]
+    assert split == [True, True, True, True, True, False]
+
+
+@pytest.mark.parametrize("text", [
+    '[\n{"v":1},\n,{"v":2}\n]', '[\n{"v":1}\n{"v":2}\n]', '[\n{"v":1},\n{"v":2},\n]', '[\n,{"v":1}\n]', '{"v":1},\n{"v":2}]',
+    '[{"v":1}\n]\n[{"v":2}]', '[{"v":1},\n{"v":2}', '[{"v":1}\n,{"v":2},\n{"v":3}\n{"v":4}]', '[{"v":[1}\n,{"v":2]}]', '[{"v":1}]\n]',
+])
+def test_broken_arrays_of_lines(spark, tmp_path, text):
+    with pytest.raises(Exception):
+        read_json_array(spark, _file(tmp_path, text)).collect()
+
+
+def test_large_array_is_read_by_many_tasks(spark, tmp_path):
+    write_records(spark.range(20_000).coalesce(1), f"{tmp_path}/out", "json")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = read_json_array(spark, f"{tmp_path}/out")
+        assert df.rdd.getNumPartitions() > 4 and df.select(F.sum("id")).first()[0] == 20_000 * 19_999 // 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
