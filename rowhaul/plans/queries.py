@@ -471,12 +471,12 @@ def insert_only_keyed(spark, sf_dir):
 SELECT reason, count(*) AS n_keys, CAST(sum(new) AS BIGINT) AS n_rows FROM (
   SELECT n.k, CASE WHEN o.k IS NOT NULL THEN 'existing key' ELSE 'repeated key' END AS reason, n.new
   FROM (SELECT o_custkey AS k, count(*) AS new FROM orders GROUP BY 1) n
-  LEFT JOIN (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_nationkey < 12) o ON n.k = o.k
+  LEFT JOIN (SELECT DISTINCT s_suppkey AS k FROM supplier) o ON n.k = o.k
   WHERE o.k IS NOT NULL OR n.new > 1) GROUP BY reason
 """)
 def insert_conflicts(spark, sf_dir):
     new = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("_id"))
-    stored = _read(spark, sf_dir, "customer").where("c_nationkey < 12").select(F.col("c_custkey").alias("_id"))
+    stored = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("_id"))
     return key_conflicts(new, stored, ["_id"]).groupBy("reason").agg(
         F.count(F.lit(1)).alias("n_keys"), F.sum("new").alias("n_rows")
     )
