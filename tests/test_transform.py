@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rowhaul.operators.transform import limit_record_bytes, transform_batches, transform_columns, transform_records
+from rowhaul.operators.transform import _json_bytes_bound, json_bytes, limit_record_bytes, transform_batches, transform_columns, transform_records
 
 
 @pytest.fixture()
@@ -73,3 +73,13 @@ def test_record_size_limit(spark):
     assert limit_record_bytes(df, 62).count() == 1
     with pytest.raises(Exception, match="size limit"):
         limit_record_bytes(df, 61).collect()
+
+
+def test_size_bound_never_falls_short(spark):
+    worst = chr(1) * 40 + '"' * 40 + "日" * 40
+    df = spark.createDataFrame([(worst, bytearray(range(50)), -(2**63), None)], "t string, b binary, n long, z string")
+    exact = df.select(json_bytes(df)).first()[0]
+    assert df.select(_json_bytes_bound(df)).first()[0] >= exact
+    assert limit_record_bytes(df, exact).count() == 1
+    with pytest.raises(Exception, match="size limit"):
+        limit_record_bytes(df, exact - 1).collect()
