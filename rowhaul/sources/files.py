@@ -3,13 +3,15 @@
 Every scan fixes its schema from the first record, then reads the whole input
 with it; each further record must have the same names in the same order. A
 folder is the concatenation of its files in name order. JSON Lines and
-Extended JSON split at any line; CSV and JSON arrays do when no record holds a
-line break, and are read by one task per file otherwise.
+Extended JSON split at any line and CSV at any
+record; JSON arrays do when no record holds a line break, and are read by one
+task per file otherwise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -20,9 +22,12 @@ from rowhaul.functions.json import (
 )
 from rowhaul.functions.text import csv_unescape_sql
 from rowhaul.operators.schema import check_names
+from rowhaul.sources.csv_records import open_blocks, spanning_records, split_fields, text_lines
 from rowhaul.types import DECIMAL_SCALE
 
 MAX_RECORD_BYTES = 4 * 1024 * 1024
+# Beyond this many file blocks their states are not kept on the driver; files are then read by one task each.
+MAX_BLOCKS = 1_000_000
 
 
 def read_records(spark: SparkSession, path, format: str, **options) -> DataFrame:
@@ -318,9 +323,9 @@ def read_json_array(
 # --- CSV ------------------------------------------------------------------
 
 
-def _csv_reader(spark: SparkSession, multi_line: bool, header: bool):
+def _csv_reader(spark: SparkSession, multi_line: bool):
     reader = spark.read.options(
-        header=header, quote='"', escape='"', nullValue="\u0000", mode="FAILFAST",
+        header=True, quote='"', escape='"', nullValue="\u0000", mode="FAILFAST",
         multiLine=multi_line, columnPruning=False,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
@@ -328,49 +333,68 @@ def _csv_reader(spark: SparkSession, multi_line: bool, header: bool):
     return reader.option("lineSep", "\n") if multi_line else reader
 
 
-def _csv_shape(spark: SparkSession, path) -> bool:
-    """One pass over the text; tells whether records span lines.
+class _Shape(NamedTuple):
+    spans: bool  # some record holds a line break
+    state: dict | None = None  # for spanning files: which blocks start inside quotes
+    returns: bool = False  # CR occurs, at line ends or inside records
+    separator: str = "\n"
+
+
+def _csv_shape(spark: SparkSession, path, separator: str = "\n") -> _Shape:
+    """One pass over the text; tells how its records lie over lines and file blocks.
 
     Stops on invalid UTF-8, on an open quote at the end of a file and on files whose header lines differ.
     """
     value = F.col("value")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    head = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), quotes.alias("quotes"), head.alias("head"),
-        F.xxhash64(value).alias("text"), (~F.is_valid_utf8(value)).cast("int").alias("invalid"),
+    inner_return = (F.instr(value, "\r") > 0) & (F.instr(value, "\r") < F.length(value))
+    head = F.when(F.col("block") == 0, F.monotonically_increasing_id())
+    lines = text_lines(spark, path, separator).select(
+        "file", "block", "length", quotes.alias("quotes"), head.alias("head"), F.contains(value, F.lit("\r")).cast("int").alias("returns"),
+        ((quotes % 2 == 1) | ((quotes > 0) & inner_return)).cast("int").alias("spans"),
+        F.xxhash64(F.rtrim(value, F.lit("\r"))).alias("text"), (~F.is_valid_utf8(value)).cast("int").alias("invalid"),
     )
-    files = lines.groupBy("file").agg(
-        F.sum("quotes").alias("quotes"), F.max(F.col("quotes") % 2).alias("spans"),
-        F.max("invalid").alias("invalid"), F.min_by("text", "head").alias("header"),
+    folder = storage.new_folder(spark, "blocks")
+    lines.groupBy("file", "block", "length").agg(
+        F.sum("quotes").alias("quotes"), F.max("spans").alias("spans"), F.max("invalid").alias("invalid"),
+        F.min_by("text", "head").alias("header"), F.max("returns").alias("returns"), F.count(F.lit(1)).alias("lines"),
+    ).write.parquet(folder)
+    blocks = spark.read.parquet(folder)
+    files = blocks.groupBy("file").agg(
+        F.sum("quotes").alias("quotes"), F.max("spans").alias("spans"), F.max("invalid").alias("invalid"),
+        F.max("header").alias("header"), F.count(F.lit(1)).alias("blocks"), F.max("returns").alias("returns"), F.sum("lines").alias("lines"),
     )
     row = files.agg(
-        F.max("spans").alias("spans"),
+        F.max("spans").alias("spans"), F.sum("blocks").alias("blocks"), F.max("returns").alias("returns"), F.max("lines").alias("lines"),
         F.min(F.when(F.col("invalid") == 1, F.col("file"))).alias("invalid"),
         F.min(F.when(F.col("quotes") % 2 == 1, F.col("file"))).alias("open"),
         (F.min("header") != F.max("header")).alias("mixed"),
     ).first()
     if row.spans is None:
         raise _no_records()
+    if row.returns and row.lines == 1 and separator == "\n":
+        return _csv_shape(spark, path, "\r")  # lines end in CR alone
     if row.invalid:
         raise ValueError(f"invalid UTF-8 in {row.invalid}")
     if row.open:
         raise ValueError(f"CSV input ends inside a quoted field in {row.open}")
     if row.mixed:
         raise ValueError("the CSV files do not share one header")
-    return bool(row.spans)
+    if not row.spans or row.blocks > MAX_BLOCKS:
+        return _Shape(bool(row.spans))
+    # One small row per file block.
+    state = open_blocks([tuple(b) for b in blocks.select("file", "block", "length", "quotes").collect()])
+    return _Shape(True, state, bool(row.returns) or separator == "\r", separator)
 
 
-def _csv_header(spark: SparkSession, file: str, multi_line: bool) -> tuple[list[str], bool]:
-    """Header names of a file and whether its records end in CR LF (told apart in multi-line mode only)."""
-    first = _csv_reader(spark, multi_line, header=False).csv(file).limit(1).collect()
-    if not first:
-        raise _no_records()
-    names = [n or "" for n in first[0]]
-    crlf = multi_line and names[-1].endswith("\r")
-    names[-1] = names[-1].removesuffix("\r") if crlf else names[-1]
-    check_names(names, "CSV headers")
-    return names, crlf
+def _csv_header(spark: SparkSession, file: str) -> list[str]:
+    """Header names of a file: its first record, which seldom takes more than one line."""
+    text = ""
+    for line in spark.read.text(file).limit(1000).toLocalIterator():
+        text = f"{text}\n{line.value}" if text else line.value
+        if text.count('"') % 2 == 0:
+            return check_names(split_fields([text])[0], "CSV headers")
+    raise _no_records()
 
 
 def read_csv(spark: SparkSession, path, names: list[str] | None = None, multi_line: bool | None = None) -> DataFrame:
@@ -382,22 +406,28 @@ def read_csv(spark: SparkSession, path, names: list[str] | None = None, multi_li
     whether records span lines; a caller who knows that the files are sound can
     save the pass by giving ``multi_line``.
     """
-    if multi_line is None:
-        multi_line = _csv_shape(spark, path)
+    shape = _Shape(multi_line) if multi_line is not None else _csv_shape(spark, path)
     files = _files(spark.read.text(path))
-    header, crlf = _csv_header(spark, files[0], multi_line)
+    if not files:
+        raise _no_records()
+    header = _csv_header(spark, files[0])
     if names is not None and names != header:
         raise ValueError("the CSV header differs from the expected names")
-    if len(header) == 1 and not multi_line:
+    if len(header) == 1 and not shape.spans:
         return _one_column(spark, path, header[0])
+    if shape.state and (len(header) == 1 or shape.returns or len(shape.state) > len(files)):
+        # What Spark's reader would hand to a single task, or alter: records are cut block by block.
+        fields = F.col("fields")
+        width = F.when(F.size(fields) == len(header), fields).otherwise(
+            F.raise_error(F.lit("a CSV record does not match the header width")).cast("array<string>")
+        )
+        checked = spanning_records(spark, path, shape.state, shape.separator).select(width.alias("fields"))
+        texts = checked.select(*[F.get("fields", F.lit(i)).alias(f"c{i}") for i in range(len(header))])
+        return texts.select(*[F.expr(csv_unescape_sql(f"c{i}")).alias(name) for i, name in enumerate(header)])
     raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    scan = _csv_reader(spark, multi_line, header=True).schema(raw).option("enforceSchema", True).csv(path)
+    scan = _csv_reader(spark, shape.spans).schema(raw).option("enforceSchema", True).csv(path)
     # Two steps: null to empty text first, then the escape rule over a plain column.
-    last = len(header) - 1
-    texts = scan.select(*[
-        F.expr(f"coalesce(c{i}, '')" if not crlf or i < last else rf"regexp_replace(coalesce(c{i}, ''), r'\r$', '')").alias(f"c{i}")
-        for i in range(len(header))
-    ])
+    texts = scan.select(*[F.coalesce(f"c{i}", F.lit("")).alias(f"c{i}") for i in range(len(header))])
     return texts.select(*[F.expr(csv_unescape_sql(f"c{i}")).alias(name) for i, name in enumerate(header)])
 
 

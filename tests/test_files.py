@@ -258,3 +258,58 @@ def test_large_array_is_read_by_many_tasks(spark, tmp_path):
         assert df.rdd.getNumPartitions() > 4 and df.select(F.sum("id")).first()[0] == 20_000 * 19_999 // 2
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("size", ["60", "200", "1000", "100000"])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_spanning_csv_splits_anywhere(spark, tmp_path, size, end):
+    """Records with line breaks, cut by file blocks of any size, against the plain CSV module."""
+    values = [
+        (str(i), ["", "\\N", "plain", 'q"uote', "a,b", "two\nlines", "crlf\r\nx", "\n\n", 'end"\n"', "日本\n語", "x\r"][i % 11] * (1 + i % 4))
+        for i in range(400)
+    ]
+    import csv
+    import io
+
+    for part in ("a", "b"):
+        out = io.StringIO()
+        writer = csv.writer(out, lineterminator=end)
+        writer.writerow(["id", "t"])
+        writer.writerows(values)
+        _file(tmp_path, out.getvalue(), part)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = sorted((tuple(r) for r in read_csv(spark, str(tmp_path)).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [(i, {"\\N": None}.get(t, t)) for i, t in values]
+    assert got == sorted(want + want, key=repr)
+
+
+@pytest.mark.parametrize("size", ["40", "100000"])
+def test_spanning_csv_with_return_ends(spark, tmp_path, size):
+    text = "\r".join(["id,t", '1,"a\rb"', "2,x", '3,"q""\r"', '"4",\\N', ""])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = sorted((tuple(r) for r in read_csv(spark, _file(tmp_path, text)).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [("1", "a\rb"), ("2", "x"), ("3", 'q"\r'), ("4", None)]
+
+
+def test_spanning_one_column_csv(spark, tmp_path):
+    path = _file(tmp_path, 't\n"a\nb"\n\n"c""\n"\n\\N\n')
+    assert sorted((r.t for r in read_csv(spark, path).collect()), key=repr) == sorted(["a\nb", "", 'c"\n', None], key=repr)
+
+
+def test_ragged_spanning_csv_fails(spark, tmp_path):
+    path = _file(tmp_path, "a,b\n" + '1,"x\ny"\n' * 50 + "1\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        with pytest.raises(Exception, match="header width"):
+            read_csv(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
