@@ -17,7 +17,7 @@ from rowhaul.types import SINK_CAPABILITIES, create_table_sql, quote_identifier,
 
 # Driver settings that turn batches into bulk inserts (fixed values).
 BULK_URL_OPTIONS = {
-    "postgresql": {"reWriteBatchedInserts": "true"},
+    "postgresql": {"reWriteBatchedInserts": "true", "stringtype": "unspecified"},
     "sqlserver": {"useBulkCopyForBatchInsert": "true"},
     "mysql": {"rewriteBatchedStatements": "true"},
     "oracle": {},
@@ -82,17 +82,18 @@ class JdbcTable:
         """Run ``CREATE TABLE`` when asked for (it fails if the table is there) and set up staging and commit log."""
         self.validate(schema)
         texts = [create_table_sql(self.provider, self.table, schema)] if create else []
-        helpers = [
-            self._staging_sql(schema),
-            f"CREATE TABLE {quote_name(self.provider, *self.log)} ({quote_identifier(self.provider, COMMIT)} varchar(64) NOT NULL)",
-        ]
+        staging, log = quote_name(self.provider, *self.staging), quote_name(self.provider, *self.log)
+        helpers = {
+            staging: self._staging_sql(schema),
+            log: f"CREATE TABLE {log} ({quote_identifier(self.provider, COMMIT)} varchar(64) NOT NULL)",
+        }
         connection = self._connect()
         try:
             connection.setAutoCommit(True)
             for text in texts:
                 self._run(connection, text)
-            for text in helpers:
-                if not self._has(connection, text):
+            for name, text in helpers.items():
+                if not self._has(connection, name):
                     self._run(connection, text)
         finally:
             connection.close()
@@ -109,8 +110,8 @@ class JdbcTable:
         finally:
             statement.close()
 
-    def _has(self, connection, create_text: str) -> bool:
-        name = create_text.split("(", 1)[0].removeprefix("CREATE TABLE ").strip()
+    @staticmethod
+    def _has(connection, name: str) -> bool:
         statement = connection.createStatement()
         try:
             statement.executeQuery(f"SELECT 1 FROM {name} WHERE 1 = 0").close()
@@ -120,8 +121,17 @@ class JdbcTable:
         finally:
             statement.close()
 
+    def exists(self) -> bool:
+        connection = self._connect()
+        try:
+            return self._has(connection, quote_name(self.provider, *self.table))
+        finally:
+            connection.close()
+
     def write(self, df: DataFrame, commit: str, info: dict | None = None) -> None:
         """Stage the rows in parallel, then move them in one transaction."""
+        if not self.begin(commit):
+            return
         rows = storage.new_folder(self.spark, "stage")
         # Row numbers must survive a repeated task, so they are fixed in a written copy first.
         df.withColumn(ROW, F.monotonically_increasing_id()).write.parquet(rows)
@@ -133,18 +143,34 @@ class JdbcTable:
         self.move(df.columns, commit)
         storage.delete(self.spark, rows)
 
+    def begin(self, commit: str) -> bool:
+        """Clear what an earlier attempt at this commit staged; False when the commit is already logged."""
+        column = quote_identifier(self.provider, COMMIT)
+        connection = self._connect()
+        try:
+            connection.setAutoCommit(True)
+            self._update(connection, f"DELETE FROM {quote_name(self.provider, *self.staging)} WHERE {column} = ?", commit)
+            return not self._update(connection, self._touch_log(), commit)
+        finally:
+            connection.close()
+
+    def _touch_log(self) -> str:
+        """Locks the commit's log row; the update count tells whether there is one."""
+        column = quote_identifier(self.provider, COMMIT)
+        return f"UPDATE {quote_name(self.provider, *self.log)} SET {column} = {column} WHERE {column} = ?"
+
     def move(self, columns: list[str], commit: str) -> int:
         """The transaction: record the commit, move its rows, empty its staging; all or nothing."""
-        quoted_commit = quote_identifier(self.provider, COMMIT)
+        column = quote_identifier(self.provider, COMMIT)
         connection = self._connect()
         try:
             connection.setAutoCommit(False)
             try:
                 moved = 0
-                if not self._update(connection, f"UPDATE {quote_name(self.provider, *self.log)} SET {quoted_commit} = {quoted_commit} WHERE {quoted_commit} = ?", commit):
+                if not self._update(connection, self._touch_log(), commit):
                     moved = self._update(connection, move_sql(self.provider, self.table, self.staging, columns), commit)
-                    self._update(connection, f"INSERT INTO {quote_name(self.provider, *self.log)} ({quoted_commit}) VALUES (?)", commit)
-                self._update(connection, f"DELETE FROM {quote_name(self.provider, *self.staging)} WHERE {quoted_commit} = ?", commit)
+                    self._update(connection, f"INSERT INTO {quote_name(self.provider, *self.log)} ({column}) VALUES (?)", commit)
+                self._update(connection, f"DELETE FROM {quote_name(self.provider, *self.staging)} WHERE {column} = ?", commit)
                 connection.commit()
                 return moved
             except Exception:

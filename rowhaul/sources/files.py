@@ -59,14 +59,24 @@ def _fault(value: Column, record: Column, names: list[str] | None, max_record_by
         F.when(~F.is_valid_utf8(value), "invalid UTF-8")
         .when(F.octet_length(value) > max_record_bytes, "exceeds the size limit")
         .when(is_blank("value"), F.lit(None).cast("string"))
-        .when(record.isNull(), "invalid JSON object")
-        .when(F.size(record) == 0, "no properties")
     )
-    return fault.when(_names_differ(record, names), "properties differ from the first record") if names else fault.when(
+    if names:
+        return _record_fault(record, names, fault)
+    return fault.when(record.isNull(), "invalid JSON object").when(F.size(record) == 0, "no properties").when(
         F.size(F.array_distinct(F.map_keys(record))) != F.size(record), "repeated property"
     )
 
 
+def _record_fault(record: Column, names: list[str], line_fault: Column | None = None) -> Column:
+    """Why a parsed record cannot follow the first one; null when it can."""
+    begin = F if line_fault is None else line_fault
+    return (
+        begin.when(record.isNull(), "invalid JSON object")
+        .when(F.size(record) == 0, "no properties")
+        .when(_names_differ(record, names), "properties differ from the first record")
+    )
+
+
 def _names_differ(record: Column, names: list[str]) -> Column:
     """Same names, same order, none repeated: the map's keys are the document's own sequence."""
     return F.map_keys(record) != F.array(*[F.lit(n) for n in names])
@@ -155,8 +165,8 @@ def jsonl_records(
     check_names(names)
     parsed = lines.where(_guard(max_record_bytes)).select(
         "value", parse_line("value").alias("parsed"), F.col("_metadata.file_path").alias("file")
-    ).select("value", "file", one_record("parsed", "value").alias("record"))
-    fault = _fault(F.col("value"), F.col("record"), names, max_record_bytes)
+    ).select("file", one_record("parsed", "value").alias("record"))
+    fault = _record_fault(F.col("record"), names)
     checked = parsed.select(
         F.when(fault.isNotNull(), _stop(fault, F.col("file")).cast("array<variant>"))
         .otherwise(F.map_values("record")).alias("record_values")

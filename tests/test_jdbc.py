@@ -117,3 +117,14 @@ def test_prepare_creates_what_is_missing(spark):
     assert not [e for e in connection.events if isinstance(e, str)]
     with pytest.raises(ValueError):
         _table(spark, connection).prepare(T.StructType([T.StructField("at", T.TimestampType())]), True)
+
+
+def test_an_earlier_attempt_is_cleared(spark):
+    connection = FakeConnection()
+    assert _table(spark, connection).begin("c1")
+    assert [e.split()[0] for e in connection.events if isinstance(e, str)] == ["DELETE", "UPDATE"]
+    assert not _table(spark, FakeConnection(logged=True)).begin("c1")
+
+
+def test_table_lookup(spark):
+    assert _table(spark, FakeConnection()).exists() and not _table(spark, FakeConnection(missing=('"t"',))).exists()
