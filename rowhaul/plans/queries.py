@@ -29,7 +29,7 @@ from rowhaul.sinks.collections import DocumentCollection, key_conflicts
 from rowhaul.sinks.committed import CommittedTable
 from rowhaul.sinks.files import json_lines
 from rowhaul.sources.documents import document_scan, first_document_names
-from rowhaul.sources.files import jsonl_violations, read_jsonl, read_records
+from rowhaul.sources.files import jsonl_violations, read_records
 from rowhaul.sources.query import register_tables, sql_query
 from rowhaul.streaming.incremental import record_stream, start_import
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowhaul.functions.documents import ENTITY_KEYS, bson_value, json_value
-from rowhaul.functions.text import quoted
 from rowhaul.functions.json import RECORD, is_blank, one_record, parse_line
+from rowhaul.functions.text import quoted
 from rowhaul.operators.schema import check_names
 
 # Columns of an empty result, per store (fixed values).

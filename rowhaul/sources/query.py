@@ -27,7 +27,7 @@ def validate(df: DataFrame) -> int:
     return len(check_names(df.columns))
 
 
-def inspect(df: DataFrame, provider: str = "sql") -> DataFrame:
+def inspect(df: DataFrame) -> DataFrame:
     """Columns of a source, one row each, from the analysed schema alone. Sources report every column as nullable."""
     rows = [(i, f.name, logical(f) or f.dataType.simpleString(), True) for i, f in enumerate(df.schema.fields)]
     return df.sparkSession.createDataFrame(rows, "ordinal int, name string, type string, nullable boolean")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from rowhaul import storage
 from rowhaul.plans.checkpoint import CheckpointStore, TransferCheckpoint, plan_fingerprint
-from rowhaul.plans.jobs import copy, exec_query, export_records, import_records, load
+from rowhaul.plans.jobs import copy, exec_query, export_records, import_records
 from rowhaul.plans.results import TransferResult, WriteStatus, transfer_progress, transfer_result
 from rowhaul.sinks.committed import CommittedTable
 from rowhaul.sinks.collections import DocumentCollection

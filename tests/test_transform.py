@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
