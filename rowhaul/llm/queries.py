@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowhaul.llm.byte_pairs import encode_texts, token_digests
 from rowhaul.llm.frames import documents
@@ -13,10 +14,16 @@ from rowhaul.llm.mixing import mix
 from rowhaul.llm.repetition import RESULT as REPETITION
 from rowhaul.llm.repetition import repetition_rules
 from rowhaul.llm.sharding import shard
+from rowhaul.llm.substrings import drop_repeated_windows
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_repeated_windows(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", *(f.name for f in REPETITION))
 
@@ -34,5 +41,5 @@ def op10_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(encode_texts(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_repetition_rules, op7_ring_shards, op8_weighted_mix, op10_byte_pairs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repeated_windows, op5_repetition_rules, op7_ring_shards, op8_weighted_mix, op10_byte_pairs)}
 ORACLE: dict[str, str] = {}
