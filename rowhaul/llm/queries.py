@@ -14,6 +14,7 @@ from rowhaul.llm.mixing import mix
 from rowhaul.llm.repetition import RESULT as REPETITION
 from rowhaul.llm.repetition import repetition_rules
 from rowhaul.llm.sharding import shard
+from rowhaul.llm.shingles import near_duplicates
 from rowhaul.llm.substrings import drop_repeated_windows
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -36,10 +37,14 @@ def op8_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op10_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return token_digests(encode_texts(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repeated_windows, op5_repetition_rules, op7_ring_shards, op8_weighted_mix, op10_byte_pairs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repeated_windows, op5_repetition_rules, op7_ring_shards, op8_weighted_mix, op9_shingle_join, op10_byte_pairs)}
 ORACLE: dict[str, str] = {}
