@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from rowhaul.llm.byte_pairs import encode_texts, token_digests
 from rowhaul.llm.frames import documents
+from rowhaul.llm.language import identify, learn
 from rowhaul.llm.mixing import mix
 from rowhaul.llm.repetition import RESULT as REPETITION
 from rowhaul.llm.repetition import repetition_rules
+from rowhaul.llm.resampling import importance_sample
 from rowhaul.llm.sharding import shard
 from rowhaul.llm.shingles import near_duplicates
 from rowhaul.llm.substrings import drop_repeated_windows
@@ -25,6 +27,19 @@ def op1_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_sample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op4_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from four of five folds by checksum of the id; predicts all documents."""
+    docs = documents(spark, sf_dir)
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = learn(docs.where(fold != 0))
+    out = identify(docs, model)
+    return out.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op5_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", *(f.name for f in REPETITION))
 
@@ -46,5 +61,5 @@ def op10_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(encode_texts(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repeated_windows, op5_repetition_rules, op7_ring_shards, op8_weighted_mix, op9_shingle_join, op10_byte_pairs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repeated_windows, op3_importance_resampling, op4_string_kernel_language, op5_repetition_rules, op7_ring_shards, op8_weighted_mix, op9_shingle_join, op10_byte_pairs)}
 ORACLE: dict[str, str] = {}

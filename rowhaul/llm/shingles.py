@@ -282,7 +282,8 @@ def near_duplicates(df: DataFrame, n: int = 4, num: int = 85, den: int = 100, do
     some = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = parts_for(text_bytes(df, text), BUCKET)
     sent = some.mapInArrow(_send_keys(n, num, den, buckets), _KEYS)
-    pairs = sent.groupBy("bucket").applyInArrow(_meet, "a long, b long")
+    # a link comes once from each bucket at most
+    pairs = sent.groupBy("bucket").applyInArrow(_meet, "a long, b long").distinct()
 
     heads = written(known.join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "node", "n_shingles"), "heads")
     of = heads.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("other"))
