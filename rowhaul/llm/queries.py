@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowhaul.llm import personal
 from rowhaul.llm.byte_pairs import encode_texts, token_digests
 from rowhaul.llm.frames import documents
 from rowhaul.llm.language import identify, learn
@@ -18,6 +19,7 @@ from rowhaul.llm.resampling import importance_sample
 from rowhaul.llm.sharding import shard
 from rowhaul.llm.shingles import near_duplicates
 from rowhaul.llm.substrings import drop_repeated_windows
+from rowhaul.llm.vectors import near_vectors
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -27,6 +29,12 @@ def op1_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_semi_markov_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = personal.find_personal(docs, personal.learn(docs))
+    return found.select("doc_id", *(f"n_{k}" for k in personal.KINDS), F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_sample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -44,6 +52,10 @@ def op5_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", *(f.name for f in REPETITION))
 
 
+def op6_collision_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir))
 
@@ -61,5 +73,5 @@ def op10_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(encode_texts(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repeated_windows, op3_importance_resampling, op4_string_kernel_language, op5_repetition_rules, op7_ring_shards, op8_weighted_mix, op9_shingle_join, op10_byte_pairs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repeated_windows, op2_semi_markov_spans, op3_importance_resampling, op4_string_kernel_language, op5_repetition_rules, op6_collision_vectors, op7_ring_shards, op8_weighted_mix, op9_shingle_join, op10_byte_pairs)}
 ORACLE: dict[str, str] = {}
