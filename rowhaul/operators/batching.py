@@ -112,21 +112,22 @@ def number_rows(
     unique_order: bool = False,
     size: Column | None = None,
     folder: str | None = None,
+    finished: bool = False,
 ) -> NumberedRows:
     """Fix the order of ``df`` and number its rows.
 
     Without ``order_by`` rows keep the order the source delivers them in and
     nothing is shuffled. ``unique_order`` promises that no two rows share a
     key; without it rows of equal keys keep their arrival order, and their
-    arrival number also spreads a frequent key over many tasks. A ``folder``
-    already holding a finished copy is used as it is.
+    arrival number also spreads a frequent key over many tasks. ``finished``
+    says that ``folder`` holds the copy already; the source is not read then.
     """
     spark = df.sparkSession
     clash = [c for c in df.columns if c in RESERVED]
     if clash:
         raise ValueError(f"column names reserved here: {clash}")
     folder = folder or storage.new_folder(spark, "rows")
-    if not storage.exists(spark, f"{folder}/_SUCCESS"):
+    if not finished:
         work = df.withColumn(BYTES, record_bytes(df) if size is None else size)
         arrival = None
         if order_by:

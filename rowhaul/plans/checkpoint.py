@@ -15,7 +15,7 @@ from rowhaul import storage
 class TransferCheckpoint:
     batches: int
     rows: int
-    continuation: str | None
+    copy: str  # digest of the numbered copy that the commits are cut from
     fingerprint: str
 
 

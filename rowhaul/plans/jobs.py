@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -22,9 +23,8 @@ from rowhaul.sources.query import sql_query
 from rowhaul.types import Capability
 
 TRANSACTIONS = ("none", "batch", "all")
-# A commit holds many batches, so that a large copy makes tens of commits, not millions, and a small one a single commit.
-COMMITS = 32
-COMMIT_ROWS = 1_000_000
+# Batches in one commit unless the caller says otherwise, whatever the size of the input. With 1, each batch stands alone.
+BATCHES_PER_COMMIT = 1000
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -68,7 +68,10 @@ def import_records(
     batches_per_commit: int | None = None, read_options: Mapping | None = None,
 ) -> TransferResult:
     """File to table: parse, transform, rename, write. Imports cannot resume."""
-    df = _transformed(read_records(spark, path, format, **(read_options or {})), transform, max_batch_bytes)
+    options = dict(read_options or {})
+    if format.lower() in ("jsonl", "extended-json"):
+        options.setdefault("max_record_bytes", max_batch_bytes)
+    df = _transformed(read_records(spark, path, format, **options), transform, max_batch_bytes)
     return load(
         df, sink, mapping, create_table, transaction, batch_rows, max_batch_bytes,
         batches_per_commit=batches_per_commit, source="file",
@@ -128,7 +131,10 @@ def load(
     rows_folder = f"{checkpoint}.rows" if checkpoint else storage.new_folder(spark, "rows")
     if checkpoint and done is None:
         storage.delete(spark, rows_folder)
-    numbered = number_rows(df, order_by, unique_order, record_bytes(df, source), rows_folder)
+    if done and done.copy != _copy_of(spark, rows_folder):
+        raise ValueError(f"the rows numbered by the first attempt are not all in {rows_folder} any more; start the transfer anew")
+    numbered = number_rows(df, order_by, unique_order, record_bytes(df, source), rows_folder, finished=done is not None)
+    copied = _copy_of(spark, rows_folder) if store else ""
     run = fingerprint[:16] if checkpoint else uuid.uuid4().hex
     for batch, first, end_batch, end in _commit_ranges(numbered, batch_rows, max_batch_bytes, batches_per_commit):
         if done and end_batch <= done.batches:
@@ -136,7 +142,7 @@ def load(
         part = map_columns(numbered.between(first, end), mapping, sink.case_sensitive)
         sink.write(part, f"{run}-{batch:012d}", {"first_batch": batch, "end_batch": end_batch, "rows": end - first})
         if store:
-            store.save(TransferCheckpoint(end_batch, end, None, fingerprint))
+            store.save(TransferCheckpoint(end_batch, end, copied, fingerprint))
     sink.complete()
     if store:
         store.delete()
@@ -144,6 +150,12 @@ def load(
     return TransferResult(numbered.total, numbered.total)
 
 
+def _copy_of(spark: SparkSession, folder: str) -> str:
+    """Digest of the part names of the numbered copy: what a resume must find again."""
+    parts = [n for n in storage.list_names(spark, folder) if n.startswith("part-")]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
 def _check_scope(sink, transaction: str, checkpoint: str | None, resume: bool) -> None:
     """Refuse what the sink or the scope cannot do, before anything is created or read."""
     if transaction not in TRANSACTIONS:
@@ -157,11 +169,6 @@ def _check_scope(sink, transaction: str, checkpoint: str | None, resume: bool) -
         raise ValueError(f"{sink.provider} does not support transaction scope '{transaction}'")
 
 
-def _batches_per_commit(batches: int, rows: int) -> int:
-    commits = min(COMMITS, -(-rows // COMMIT_ROWS))
-    return -(-batches // commits)
-
-
 def _commit_ranges(numbered: NumberedRows, batch_rows: int, max_batch_bytes: int, batches_per_commit: int | None):
     """(first batch, first row, end batch, end row) of each commit; only commit edges reach the driver."""
     total = numbered.total
@@ -170,14 +177,14 @@ def _commit_ranges(numbered: NumberedRows, batch_rows: int, max_batch_bytes: int
     if numbered.max_row_bytes * batch_rows <= max_batch_bytes:
         # No batch reaches the byte limit: all edges follow from the row count.
         batches = -(-total // batch_rows)
-        step = batches_per_commit or _batches_per_commit(batches, total)
+        step = batches_per_commit or BATCHES_PER_COMMIT
         edges = [(b, b * batch_rows) for b in range(0, batches, step)]
     else:
         table = storage.new_folder(numbered.spark, "batches")
         batch_table(numbered, batch_rows, max_batch_bytes).write.parquet(table)
         written = numbered.spark.read.parquet(table)
         batches = written.count()
-        step = batches_per_commit or _batches_per_commit(batches, total)
+        step = batches_per_commit or BATCHES_PER_COMMIT
         edges = sorted((r.batch, r.first) for r in written.where(F.col("batch") % step == 0).collect())
     ends = [*edges[1:], (batches, total)]
     return [(b, first, end_b, end) for (b, first), (end_b, end) in zip(edges, ends)]

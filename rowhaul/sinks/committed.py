@@ -8,6 +8,7 @@ never shows partial or doubled rows.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -59,13 +60,21 @@ class CommittedTable:
     def commits(self) -> list[str]:
         return [n.removesuffix(".json") for n in storage.list_names(self.spark, f"{self.path}/_commits") if n.endswith(".json")]
 
-    def write(self, df: DataFrame, commit: str, info: dict | None = None) -> None:
-        """Add the rows of ``df`` under a commit name; a commit already recorded is left alone."""
+    def recorded(self, commit: str) -> dict | None:
+        """What the marker of a commit says; null when there is none."""
+        marker = f"{self.path}/_commits/{commit}.json"
+        return json.loads(storage.read_small(self.spark, marker)) if storage.exists(self.spark, marker) else None
+
+    def write(self, df: DataFrame, commit: str, info: dict | Callable[[], dict] | None = None) -> None:
+        """Add the rows of ``df`` under a commit name; a commit already recorded is left alone.
+
+        ``info`` goes into the marker; a function is called once the rows are written.
+        """
         marker = f"{self.path}/_commits/{commit}.json"
         if storage.exists(self.spark, marker):
             return
         self._fit(df).write.mode("overwrite").parquet(f"{self.path}/data/{commit}")
-        storage.write_small(self.spark, marker, json.dumps({"commit": commit, **(info or {})}))
+        storage.write_small(self.spark, marker, json.dumps({"commit": commit, **((info() if callable(info) else info) or {})}))
 
     def complete(self) -> None:
         pass

@@ -221,10 +221,11 @@ def _whole_arrays(spark: SparkSession, path) -> DataFrame:
 
 
 def _array_lines(spark: SparkSession, path) -> DataFrame:
+    valid = F.when(F.is_valid_utf8("value"), ~is_blank("value")).otherwise(_stop(F.lit("invalid UTF-8"), F.col("file")).cast("boolean"))
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seen"), "value",
-    ).where(F.is_valid_utf8("value") & ~is_blank("value"))
+    ).where(valid)
     lead, elements, trail = array_line_sql("value")
     return lines.select("file", "block", "seen", F.expr(lead).alias("lead"), F.expr(trail).alias("trail"), F.expr(elements).alias("elements"))
 
@@ -400,7 +401,7 @@ def _csv_shape(spark: SparkSession, path, separator: str = "\n") -> _Shape:
 def _csv_header(spark: SparkSession, file: str) -> list[str]:
     """Header names of a file: its first record, which seldom takes more than one line."""
     text = ""
-    for line in spark.read.text(file).limit(1000).toLocalIterator():
+    for line in spark.read.text(file).toLocalIterator():
         text = f"{text}\n{line.value}" if text else line.value
         if text.count('"') % 2 == 0:
             return check_names(split_fields([text])[0], "CSV headers")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import json
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from rowhaul import storage
 from rowhaul.functions.text import csv_unescape_sql, quoted
 from rowhaul.operators.schema import map_columns, nullable
 from rowhaul.sources.files import MAX_RECORD_BYTES, jsonl_records
@@ -42,11 +46,26 @@ def start_import(
     """Run a stream into a sink: every step is one commit named after the stream and its epoch.
 
     A step repeated after a crash finds its commit recorded and adds nothing.
-    With ``available_now`` the query takes what is there, in steps, and stops.
+    After a start with another checkpoint, a recorded step counts as repeated
+    only if its rows are the same, by number and checksum; other rows under that
+    name are refused, so give a stream that starts anew a name of its own. With
+    ``available_now`` the query takes what is there, in steps, and stops.
     """
+    spark = stream.sparkSession
     renamed = map_columns(stream, mapping, sink.case_sensitive)
     sink.prepare(nullable(renamed.schema), create_table and not sink.exists())
-    writer = renamed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda rows, epoch: sink.write(rows, f"{name}-{epoch:012d}", {"epoch": epoch})
-    )
+    totals = [F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(F.to_json(F.struct("*"))).cast("decimal(38,0)")).cast("string").alias("checksum")]
+
+    def step(rows: DataFrame, epoch: int) -> None:
+        commit, query = f"{name}-{epoch:012d}", json.loads(storage.read_small(spark, f"{checkpoint}/metadata"))["id"]
+        known = sink.recorded(commit) if hasattr(sink, "recorded") else None
+        if known is not None and known.get("query") != query:
+            found = rows.agg(*totals).first().asDict()
+            if found != {k: known.get(k) for k in found}:
+                raise ValueError(f"step {epoch} of stream '{name}' is already recorded in {sink.location} with other rows")
+            return
+        seen = Observation(f"step-{uuid.uuid4().hex}")
+        sink.write(rows.observe(seen, *totals), commit, lambda: {"epoch": epoch, "query": query, **seen.get})
+
+    writer = renamed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -313,3 +313,17 @@ def test_ragged_spanning_csv_fails(spark, tmp_path):
             read_csv(spark, path).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("text", [b'[{"a":"x"}\n,{"a":"\xff"}\n,{"a":"z"}\n]\n', b'[{"a":"x"},{"a":"\xff"},{"a":"z"}]'])
+def test_invalid_text_in_an_array_stops_in_any_layout(spark, tmp_path, text):
+    (tmp_path / "x.json").write_bytes(text)
+    with pytest.raises(Exception, match="invalid UTF-8"):
+        read_json_array(spark, f"{tmp_path}/x.json").collect()
+
+
+def test_header_of_many_lines(spark, tmp_path):
+    name = "\n".join(["h"] * 1500)
+    (tmp_path / "x.csv").write_text(f'"{name}",b\n1,2\n')
+    df = read_csv(spark, f"{tmp_path}/x.csv")
+    assert df.columns == [name, "b"] and rows(df) == [("1", "2")]

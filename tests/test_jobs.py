@@ -227,3 +227,20 @@ def test_progress(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert storage.new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+@pytest.mark.parametrize("lost", ["_SUCCESS", "part-"])
+def test_resume_needs_the_whole_numbered_copy(spark, source, tmp_path, lost):
+    options = dict(create_table=True, order_by=["id"], unique_order=True, checkpoint=f"{tmp_path}/cp", batch_rows=10, batches_per_commit=2)
+    with pytest.raises(Broken):
+        copy(spark, source, Recording(spark, f"{tmp_path}/t", allowed=2), **options)
+    for path in (tmp_path / "cp.rows").iterdir():
+        if path.name.startswith(lost):
+            path.unlink()
+    table = CommittedTable(spark, f"{tmp_path}/t")
+    if lost == "_SUCCESS":  # committers need not write it
+        copy(spark, source, table, resume=True, **options)
+        assert rows(table.read()) == rows(spark.sql(source))
+    else:
+        with pytest.raises(ValueError, match="start the transfer anew"):
+            copy(spark, source, table, resume=True, **options)

@@ -52,3 +52,15 @@ def test_bad_records_stop_the_stream(spark, tmp_path):
 def test_unknown_stream_format(spark, tmp_path):
     with pytest.raises(ValueError):
         record_stream(spark, str(tmp_path), "json", T.StructType([T.StructField("id", T.LongType())]))
+
+
+def test_other_rows_under_a_recorded_step_are_refused(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    table = CommittedTable(spark, f"{tmp_path}/t")
+    for name in ("a", "b"):
+        write_records(spark.createDataFrame([(ord(name),)], "id long"), f"{tmp_path}/{name}", "extended-json")
+    _run(record_stream(spark, f"{tmp_path}/a", "extended-json", schema), table, f"{tmp_path}/cp-a")
+    with pytest.raises(Exception, match="already recorded"):
+        _run(record_stream(spark, f"{tmp_path}/b", "extended-json", schema), table, f"{tmp_path}/cp-b")
+    _run(record_stream(spark, f"{tmp_path}/b", "extended-json", schema), table, f"{tmp_path}/cp-c", name="second")
+    assert rows(table.read()) == [(97,), (98,)]
