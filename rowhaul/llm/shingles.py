@@ -44,6 +44,9 @@ GATHERED = 1 << 20
 #: Bytes of text for each bucket of keys, about.
 BUCKET = 8 << 20
 _BITS = 1024
+#: Two to this power counters tell elements that very many documents share.
+_COUNTERS = 18
+_SLICES = 16
 
 
 class Bands:
@@ -57,7 +60,7 @@ class Bands:
         self.lows = np.array(lows)
         # elements in one set only, at most, when sets up to the band's last size link
         self.differ = [2 * (high - 1) * (den - num) // (den + num) for high in lows[1:]]
-        self.spare = [0 if d < 3 else 2 + d // 6 for d in self.differ]
+        self.spare = [0 if d < 3 else 2 + d // 10 for d in self.differ]
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.lows, sizes, side="right") - 1
@@ -97,8 +100,9 @@ class Sets:
             out.append((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64))
         return out[0], out[1]
 
-    def keys(self, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-        """(key, set) for the cells of every set, in the tile of its band and in that of the next."""
+    def keys(self, bands: Bands, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(key, set) for the cells of every set, in the tile of its band and in that of the next. ``common``: counters of shared elements."""
+        own = ~common[_counter(self.all)]
         mixed, out = mix(self.all ^ _U(0xA4093822299F31D0)), []
         band = bands.of(self.sizes)
         for step in (0, 1):
@@ -117,7 +121,7 @@ class Sets:
             high = np.bincount(at, (elements >> _U(32)).astype(np.float64), total).astype(np.uint64)
             owner = np.repeat(np.arange(len(cells)), cells)
             cell = np.arange(total) - base[owner]
-            weak = np.bincount(at, minlength=total) < 2
+            weak = np.bincount(at, own[used], total) == 0
             many = np.bincount(owner[weak], minlength=len(cells)) > spare
             sent = ~weak | many[owner]
             salt = mix(tile[owner].astype(np.uint64) * _U(0x9FB21C651E98DF25) + cell.astype(np.uint64))
@@ -127,16 +131,52 @@ class Sets:
         return np.concatenate([k for k, _ in out]), np.concatenate([o for _, o in out])
 
 
+def _counter(elements: np.ndarray) -> np.ndarray:
+    """The counter an element belongs to."""
+    return (elements >> _U(64 - _COUNTERS)).astype(np.int64)
+
+
+_CLASSES = "doc_id long, n_shingles long, s1 long, s2 long, slice int, counts binary"
+
+
 def _classes(n: int):
+    """Size and checksums of every set; at the end of a task, its counts of elements, cut into slices."""
+
     def run(batches):
+        counts = np.zeros(1 << _COUNTERS, np.int64)
         for batch in pieces(batches):
             sets = Sets(batch.column(1), n)
             s1, s2 = sets.checksums()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets.sizes, pa.int64()), pa.array(s1), pa.array(s2)], names=["doc_id", "n_shingles", "s1", "s2"])
+            counts += np.bincount(_counter(sets.all), minlength=len(counts))
+            rows = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets.sizes, pa.int64()), pa.array(s1), pa.array(s2), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=["doc_id", "n_shingles", "s1", "s2", "slice", "counts"]
+            )
+        if counts.any():
+            slices = [c.tobytes() for c in np.split(counts, _SLICES)]
+            none = pa.nulls(_SLICES, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(_SLICES), pa.int32()), pa.array(slices, pa.binary())], names=["doc_id", "n_shingles", "s1", "s2", "slice", "counts"])
 
     return run
 
 
+def _sum_slice(table):
+    total = sum(np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist())
+    return pa.table({"slice": table.column("slice").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+
+def _common(counts: DataFrame) -> np.ndarray:
+    """Which counters hold far more than the usual number; ``_SLICES`` rows of fixed size come to the driver."""
+    sums = np.zeros(1 << _COUNTERS, np.int64)
+    width = len(sums) // _SLICES
+    # first what a few tasks have counted, then all
+    parts = counts.groupBy("slice", F.pmod(F.monotonically_increasing_id(), F.lit(256)).alias("part"))
+    for row in parts.applyInArrow(_sum_slice, "slice int, counts binary").groupBy("slice").applyInArrow(_sum_slice, "slice int, counts binary").collect():
+        sums[row.slice * width : (row.slice + 1) * width] = np.frombuffer(row.counts, np.int64)
+    usual = np.median(sums)
+    return sums > usual + 8 * np.sqrt(usual) + 32
+
+
 def _combined(keys: np.ndarray, ids: np.ndarray):
     """Distinct keys with their least id; links of the other ids to it."""
     order = np.lexsort((ids, keys))
@@ -152,7 +192,7 @@ def _combined(keys: np.ndarray, ids: np.ndarray):
 _KEYS = "bucket int, keys binary, ids binary, links binary"
 
 
-def _send_keys(n: int, num: int, den: int, buckets: int):
+def _send_keys(n: int, num: int, den: int, buckets: int, common: np.ndarray):
     bands = Bands(num, den)
 
     def flush(keys, ids):
@@ -171,7 +211,7 @@ def _send_keys(n: int, num: int, den: int, buckets: int):
     def run(batches):
         keys, ids, gathered = [], [], 0
         for batch in pieces(batches):
-            own, owner = Sets(batch.column(1), n).keys(bands)
+            own, owner = Sets(batch.column(1), n).keys(bands, common)
             keys.append(own)
             ids.append(np.asarray(batch.column(0)).astype(np.int64)[owner])
             gathered += len(own)
@@ -275,13 +315,15 @@ def near_duplicates(df: DataFrame, n: int = 4, num: int = 85, den: int = 100, do
     """One row for each document: doc_id, n_shingles, component_id (the smallest id that links of ``num / den`` or more reach)."""
     bands = Bands(num, den)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    narrow = written(docs.mapInArrow(_classes(n), "doc_id long, n_shingles long, s1 long, s2 long"), "sets")
+    sets = written(docs.mapInArrow(_classes(n), _CLASSES), "sets")
+    narrow = sets.where("slice IS NULL").drop("slice", "counts")
+    common = _common(sets.where("slice IS NOT NULL").select("slice", "counts"))
     known = narrow.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = known.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node"))
 
     some = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = parts_for(text_bytes(df, text), BUCKET)
-    sent = some.mapInArrow(_send_keys(n, num, den, buckets), _KEYS)
+    sent = some.mapInArrow(_send_keys(n, num, den, buckets, common), _KEYS)
     # a link comes once from each bucket at most
     pairs = sent.groupBy("bucket").applyInArrow(_meet, "a long, b long").distinct()
 
