@@ -42,7 +42,7 @@ BLOCK = 1 << 19
 #: Keys gathered in a task before they are combined and sent.
 GATHERED = 1 << 20
 #: Bytes of text for each bucket of keys, about.
-BUCKET = 8 << 20
+BUCKET = 32 << 20
 _BITS = 1024
 #: Two to this power counters tell elements that very many documents share.
 _COUNTERS = 18
@@ -324,7 +324,7 @@ def near_duplicates(df: DataFrame, n: int = 4, num: int = 85, den: int = 100, do
     some = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = parts_for(text_bytes(df, text), BUCKET)
     sent = some.mapInArrow(_send_keys(n, num, den, buckets, common), _KEYS)
-    # a link comes once from each bucket at most
+    # a link may come once from each bucket
     pairs = sent.groupBy("bucket").applyInArrow(_meet, "a long, b long").distinct()
 
     heads = written(known.join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "node", "n_shingles"), "heads")
