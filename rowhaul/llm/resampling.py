@@ -87,7 +87,9 @@ def importance_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id"
     uniform = (F.shiftrightunsigned("draw", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     keyed = scored.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform)))
     # the largest keys first, mapped in order to 0..1; a null key comes last
-    ordered = keyed.withColumn("key", F.coalesce(0.5 - F.atan(F.col("gumbel_key") / 20) / F.lit(np.pi), F.lit(1.0))).withColumn("one", F.lit(1).cast("long")).withColumn("group", F.lit(0))
-    budget = scored.groupBy().agg((F.floor(F.count("log_weight") * F.lit(kept)) + F.lit(0.0)).alias("budget")).withColumn("group", F.lit(0))
+    ordered = keyed.withColumn("key", F.coalesce(0.5 - F.atan(F.col("gumbel_key") / 20) / F.lit(np.pi), F.lit(1.0))).withColumn("one", F.lit(1).cast("long"))
+    # one group, said so that its join has a key to compare
+    ordered = ordered.withColumn("group", F.pmod("draw", F.lit(1).cast("long")))
+    budget = scored.groupBy().agg((F.floor(F.count("log_weight") * F.lit(kept)) + F.lit(0.0)).alias("budget"), F.pmod(F.count("*"), F.lit(1).cast("long")).alias("group"))
     picked = within_budget(ordered, budget, "group", "key", "one", ["draw"])
     return picked.select("doc_id", "log_weight", "gumbel_key", (F.col("picked") & F.col("log_weight").isNotNull()).alias("kept"))
