@@ -189,6 +189,24 @@ def _combined(keys: np.ndarray, ids: np.ndarray):
     return keys[new], least, links
 
 
+def _forest(links: np.ndarray) -> np.ndarray:
+    """Links of every id to the least that ``links`` reach: they connect the same, with one link for an id at most."""
+    nodes, ends = np.unique(links, return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    least = np.arange(len(nodes))
+    while True:
+        new, low = least.copy(), np.minimum(least[a], least[b])
+        np.minimum.at(new, least[a], low)
+        np.minimum.at(new, least[b], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, least):
+            break
+        least = new
+    other = np.flatnonzero(least != np.arange(len(nodes)))
+    return np.stack([nodes[other], nodes[least[other]]], axis=1)
+
+
 _KEYS = "bucket int, keys binary, ids binary, links binary"
 
 
@@ -197,6 +215,7 @@ def _send_keys(n: int, num: int, den: int, buckets: int, common: np.ndarray):
 
     def flush(keys, ids):
         keys, least, links = _combined(np.concatenate(keys), np.concatenate(ids))
+        links = _forest(links)
         bucket = ((keys >> _U(11)) % _U(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -225,11 +244,11 @@ def _send_keys(n: int, num: int, den: int, buckets: int, common: np.ndarray):
 
 
 def _meet(table):
-    """Links of the ids of each key to its least, over all tasks, and those found before."""
+    """What connects the ids of each key, over all tasks, and those linked before; one link for an id."""
     join = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in table.column(name).to_pylist())])
     links = _combined(join("keys", np.uint64), join("ids", np.int64))[2]
     known = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in table.column("links").to_pylist() if x]
-    links = np.concatenate([links, *known])
+    links = _forest(np.concatenate([links, *known]))
     return pa.table({"a": pa.array(links[:, 0], pa.int64()), "b": pa.array(links[:, 1], pa.int64())})
 
 

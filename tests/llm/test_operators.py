@@ -14,7 +14,7 @@ from rowhaul.llm import language, personal, queries, repetition, resampling, vec
 from rowhaul.llm.byte_pairs import encode_texts, encoder_for, token_digests
 from rowhaul.llm.mixing import apply_mix, mix, targets
 from rowhaul.llm.sharding import shard
-from rowhaul.llm.shingles import near_duplicates
+from rowhaul.llm.shingles import _forest, near_duplicates
 from rowhaul.llm.substrings import drop_repeated_windows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -302,6 +302,19 @@ def test_near_duplicates(table, rows, n, num, block):
     assert got(out, "doc_id", "n_shingles", "component_id") == _components(rows, n, num, 100)
 
 
+def test_forest_connects_the_same():
+    draw = np.random.default_rng(5)
+    for nodes, count in ((1, 0), (5, 3), (300, 200), (300, 2000)):
+        links = draw.integers(0, nodes, (count, 2)) * 7
+        least = {int(x): int(x) for x in links.ravel()}
+        for _ in least:
+            for a, b in links.tolist():
+                least[a] = least[b] = min(least[a], least[b])
+        found = _forest(links)
+        assert dict(map(tuple, found.tolist())) == {a: b for a, b in least.items() if a != b}
+        assert len(found) == len(set(found[:, 0].tolist()))
+
+
 def test_byte_pairs(table):
     import public_tokenizers
     import tiktoken
