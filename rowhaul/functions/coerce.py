@@ -61,6 +61,16 @@ def try_local(x: str) -> str:
     return f"CASE WHEN rlike({x}, r'^{_LOCAL_DATE}$') THEN try_cast({x} AS timestamp_ntz) END"
 
 
+def whole_day_sql(x: str) -> str:
+    """The date of a local time; null when it holds a time of day, which a date would lose."""
+    return f"CASE WHEN CAST(CAST({x} AS date) AS timestamp_ntz) = {x} THEN CAST({x} AS date) END"
+
+
+def try_date(x: str) -> str:
+    """ISO text without an offset, of midnight or without a time of day."""
+    return whole_day_sql(f"({try_local(x)})")
+
+
 def try_instant(x: str) -> str:
     """ISO text; without an offset it is taken in the session time zone."""
     return f"CASE WHEN rlike({x}, r'^{_LOCAL_DATE}{_OFFSET}$') THEN try_cast({x} AS timestamp) END"
@@ -85,6 +95,8 @@ def try_text_sql(x: str, field: T.StructField) -> str:
         return try_local(x)
     if isinstance(data_type, T.TimestampType):
         return try_instant(x)
+    if isinstance(data_type, T.DateType):
+        return try_date(x)
     raise ValueError(f"column '{field.name}': cannot convert text to {data_type.simpleString()}")
 
 
@@ -138,8 +150,12 @@ def coerce_sql(x: str, source: T.StructField, target: T.StructField) -> str:
         return _checked(x, try_number_sql(x, from_type, target), to_type.simpleString())
     if isinstance(from_type, T.BooleanType) and isinstance(to_type, NUMERIC):
         return f"CAST(CAST({x} AS int) AS {to_type.simpleString()})"
-    if isinstance(from_type, T.TimestampNTZType) and isinstance(to_type, T.TimestampType):
+    if isinstance(from_type, (T.TimestampNTZType, T.DateType)) and isinstance(to_type, T.TimestampType):
         return f"CAST({x} AS timestamp)"
+    if isinstance(from_type, T.DateType) and isinstance(to_type, T.TimestampNTZType):
+        return f"CAST({x} AS timestamp_ntz)"
+    if isinstance(from_type, T.TimestampNTZType) and isinstance(to_type, T.DateType):
+        return _checked(x, whole_day_sql(x), "date")
     raise ValueError(
         f"column '{target.name}': cannot convert {from_type.simpleString()} to {to_type.simpleString()}"
     )

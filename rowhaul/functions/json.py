@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 from rowhaul.functions.coerce import (
-    INTEGRAL, NUMERIC, try_binary, try_decimal, try_instant, try_integral, try_local, try_number_sql, try_text_sql, try_uuid,
+    INTEGRAL, NUMERIC, try_binary, try_date, try_decimal, try_instant, try_integral, try_local, try_number_sql, try_text_sql, try_uuid,
 )
 from rowhaul.functions.text import iso_timestamp_sql, literal, quoted, trim_zeros_sql, value_text_sql
 from rowhaul.types import DECIMAL_LIMIT, JSON_NUMBER, UUID, decimal_type, is_flat, logical
@@ -153,6 +153,8 @@ def decode(tag: str, field: T.StructField, extended: bool = False) -> Column:
             case(f"{kind} = '{DATE}'", try_local(text))
         elif isinstance(data_type, T.TimestampType):
             case(f"{kind} = '{DATE}'", try_instant(text))
+        elif isinstance(data_type, T.DateType):
+            case(f"{kind} = '{DATE}'", try_date(text))
         elif isinstance(data_type, T.BinaryType):
             case(f"{kind} = '{BINARY}'", try_binary(text))
         elif logical(field) == "uuid":
@@ -219,7 +221,9 @@ def _wrap(name: str, x: str, text: str) -> str:
 
 
 def round_trip_date_sql(x: str, data_type: T.DataType) -> str:
-    """Date text with seven fraction digits; an instant adds its offset."""
+    """Date text with seven fraction digits; an instant adds its offset, a plain date begins at midnight."""
+    if isinstance(data_type, T.DateType):
+        return f"concat(string({x}), 'T00:00:00.0000000')"
     text = f"""date_format({x}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0'")"""
     return f"concat({text}, date_format({x}, 'xxx'))" if isinstance(data_type, T.TimestampType) else text
 
@@ -230,7 +234,7 @@ def _extended_sql(x: str, field: T.StructField) -> str:
         return _wrap(NUMBER_LONG, x, f"string({x})")
     if isinstance(data_type, T.DecimalType):
         return _wrap(NUMBER_DECIMAL, x, value_text_sql(x, field))
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return _wrap(DATE, x, round_trip_date_sql(x, data_type))
     if logical(field) == "uuid":
         return _wrap(WRAPPED_UUID, x, x)

@@ -116,6 +116,8 @@ _KINDS = {
     T.DoubleType: "double",
     T.DecimalType: "decimal",
     T.TimestampNTZType: "timestamp_ntz",
+    # a date travels as the local time it begins at
+    T.DateType: "timestamp_ntz",
     T.StringType: "string",
     T.BinaryType: "binary",
 }

@@ -61,6 +61,9 @@ def _coerce(spark, value, source, target, source_metadata=None, metadata=None):
     ("true", T.BooleanType(), True),
     ("AQID", T.BinaryType(), bytearray(b"\x01\x02\x03")),
     ("2026-09-26T12:34:56.0000000", T.TimestampNTZType(), dt.datetime(2026, 9, 26, 12, 34, 56)),
+    ("2026-09-26", T.DateType(), dt.date(2026, 9, 26)),
+    ("2026-09-26T00:00:00.0000000", T.DateType(), dt.date(2026, 9, 26)),
+    (None, T.DateType(), None),
     (None, T.LongType(), None),
 ])
 def test_text_converts(spark, text, target, expected):
@@ -70,13 +73,23 @@ def test_text_converts(spark, text, target, expected):
 @pytest.mark.parametrize("text,target", [
     ("1.5", T.LongType()), ("x", T.LongType()), ("2147483648", T.IntegerType()), ("1e3", T.DecimalType(38, 9)),
     ("1.0000000001", T.DecimalType(38, 9)), ("yes", T.BooleanType()), ("2026", T.TimestampNTZType()), ("2026", T.TimestampType()),
-    ("2026-09-26T12:34:56Z", T.TimestampNTZType()), ("2026-09-26T12:34:56.0000001", T.TimestampNTZType()), ("***", T.BinaryType()),
+    ("2026-09-26T12:34:56Z", T.TimestampNTZType()), ("2026-09-26T12:34:56.0000001", T.TimestampNTZType()), ("2026-09-26T12:34:56", T.DateType()),
+    ("2026-09-26T00:00:00Z", T.DateType()), ("***", T.BinaryType()),
 ])
 def test_text_that_does_not_fit_fails(spark, text, target):
     with pytest.raises(Exception, match="cannot be converted"):
         _coerce(spark, text, T.StringType(), target)
 
 
+def test_dates_and_local_times(spark):
+    day = dt.date(2026, 9, 26)
+    midnight = dt.datetime(2026, 9, 26)
+    assert _coerce(spark, day, T.DateType(), T.TimestampNTZType()) == midnight
+    assert _coerce(spark, midnight, T.TimestampNTZType(), T.DateType()) == day
+    with pytest.raises(Exception, match="cannot be converted to date"):
+        _coerce(spark, midnight.replace(hour=1), T.TimestampNTZType(), T.DateType())
+
+
 def test_uuid_forms(spark):
     uuid = {"logical": "uuid"}
     for text in (UUID.upper(), "{" + UUID + "}", UUID.replace("-", "")):

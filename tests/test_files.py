@@ -49,6 +49,15 @@ def test_unknown_format(spark, tmp_path):
         write_records(spark.range(1), f"{tmp_path}/x", "xml")
 
 
+def test_extended_json_dates(spark, tmp_path):
+    rows = [(dt.date(2026, 9, 26),), (None,), (dt.date(1899, 12, 31),)]
+    df = spark.createDataFrame(rows, "day date")
+    write_records(df, f"{tmp_path}/days", "extended-json")
+    lines = {r.value for r in spark.read.text(f"{tmp_path}/days").collect()}
+    assert '{"day":{"$date":"2026-09-26T00:00:00.0000000"}}' in lines
+    assert {tuple(r) for r in read_jsonl(spark, f"{tmp_path}/days", extended=True, schema=df.schema).collect()} == set(rows)
+
+
 def test_extended_json_keeps_types(spark, tmp_path):
     schema = T.StructType([
         T.StructField("long", T.LongType()), T.StructField("decimal", T.DecimalType(38, 9)), T.StructField("date", T.TimestampType()),

@@ -75,12 +75,17 @@ def test_create_table_text():
     )
 
 
-@pytest.mark.parametrize("data_type", [T.TimestampType(), T.ArrayType(T.IntegerType()), T.VariantType(), T.DateType()])
+@pytest.mark.parametrize("data_type", [T.TimestampType(), T.ArrayType(T.IntegerType()), T.VariantType()])
 def test_types_without_a_column_type_are_refused(data_type):
     with pytest.raises(ValueError):
         sql_type("postgresql", T.StructField("x", data_type))
 
 
+@pytest.mark.parametrize("provider,kind", [("postgresql", "timestamp"), ("sqlserver", "datetime2"), ("mysql", "datetime(6)"), ("oracle", "timestamp")])
+def test_dates_are_kept_as_local_times(provider, kind):
+    assert sql_type(provider, T.StructField("x", T.DateType())) == kind
+
+
 def test_nested_columns_are_refused_by_flat_sinks(spark, sf):
     with pytest.raises(ValueError, match="embedding"):
         require_flat(spark.read.parquet(f"{sf}/embeddings.parquet").schema)
