@@ -110,6 +110,16 @@ def _number_to_decimal(kind: str, text: str, data_type: T.DecimalType) -> str:
     return f"CASE WHEN {keeps} AND {fits} THEN {value} END"
 
 
+def number_digits_sql(text: str) -> tuple[str, str]:
+    """Digits before and after the decimal point that the number in ``text`` needs; null when it is none."""
+    number = f"rlike({text}, r'^[+-]?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]{{1,4}})?$')"
+    mantissa = f"ltrim('+-', regexp_replace({text}, r'[eE].*$', ''))"
+    power = f"coalesce(try_cast(regexp_extract({text}, r'[eE](.*)$', 1) AS int), 0)"
+    whole = f"length(ltrim('0', regexp_replace({mantissa}, r'[.].*$', '')))"
+    part = f"length(rtrim('0', regexp_extract({mantissa}, r'[.](.*)$', 1)))"
+    return tuple(f"CASE WHEN {number} THEN greatest(0, {x}) END" for x in (f"{whole} + {power}", f"{part} - {power}"))
+
+
 def _number_to_integral(kind: str, text: str, data_type: T.DataType) -> str:
     name = data_type.simpleString()
     return (

@@ -183,7 +183,7 @@ def batch_rows_and_bytes(
     """
     _check_limits(batch_rows, max_batch_bytes)
     if numbered.max_row_bytes > max_batch_bytes:
-        raise ValueError("a record exceeds the configured maximum batch bytes")
+        raise ValueError(f"one row takes {numbered.max_row_bytes} bytes, more than max_batch_bytes={max_batch_bytes}")
     if numbered.max_row_bytes * batch_rows <= max_batch_bytes:
         return batch_by_rows(numbered, batch_rows, columns)  # no batch can reach the byte limit
     entries = _segment_entries(numbered, batch_rows, max_batch_bytes, segment_rows, block_segments)
@@ -315,8 +315,9 @@ def oversize(df: DataFrame, max_bytes: int, source: str = "file") -> DataFrame:
 
 def reject_oversize(df: DataFrame, max_bytes: int, source: str = "file") -> DataFrame:
     """``df`` itself, stopping the job at the first record above the limit."""
-    too_large = F.raise_error(F.lit("a record exceeds the configured maximum batch bytes")).cast("boolean")
-    return df.where(F.when(record_bytes(df, source) > max_bytes, too_large).otherwise(F.lit(True)))
+    size = record_bytes(df, source)
+    too_large = F.raise_error(F.concat(F.lit("one row takes "), size.cast("string"), F.lit(f" bytes, more than max_batch_bytes={max_bytes}"))).cast("boolean")
+    return df.where(F.when(size > max_bytes, too_large).otherwise(F.lit(True)))
 
 
 def partition_chunks(batched: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS, chunk: str = "chunk") -> DataFrame:

@@ -19,7 +19,7 @@ from rowhaul.functions.json import encode
 from rowhaul.functions.text import quoted
 from rowhaul.types import is_flat
 
-PRESERVE = "the transform must preserve all column names and must not add columns"
+PRESERVE = "a transform returns the columns it was given, none more and none fewer"
 
 
 def _same_names(have, want) -> None:

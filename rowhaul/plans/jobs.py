@@ -57,8 +57,13 @@ def exec_query(spark: SparkSession, query: str, path: str, format: str, **option
 
 
 def ordered(df: DataFrame, order_by: list[str]) -> DataFrame:
-    """Source order kept to the sink: ranges over tasks, sorted inside each."""
-    return df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    """Source order kept to the sink: ranges over tasks, sorted inside each.
+
+    Rows of equal keys stay in the order they arrive in, by which a frequent key also spreads over tasks.
+    """
+    keys = [*order_by, "_arrival"]
+    numbered = df.withColumn("_arrival", F.monotonically_increasing_id())
+    return numbered.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_arrival")
 
 
 def import_records(
@@ -119,7 +124,7 @@ def load(
     store = CheckpointStore(spark, checkpoint) if checkpoint else None
     done = store.load() if store and resume else None
     if done and done.fingerprint != fingerprint:
-        raise ValueError("the checkpoint does not match the current transfer plan")
+        raise ValueError(f"{checkpoint} was left by another transfer: its query, destination, mapping or batch settings are not these")
     # A resumed transfer reuses the table its first attempt created.
     sink.prepare(nullable(renamed.schema), create_table and done is None)
     if transaction != "batch":
@@ -161,9 +166,9 @@ def _check_scope(sink, transaction: str, checkpoint: str | None, resume: bool) -
     if transaction not in TRANSACTIONS:
         raise ValueError(f"unknown transaction scope '{transaction}'")
     if resume and not checkpoint:
-        raise ValueError("resume requires a checkpoint")
+        raise ValueError("nothing to resume from: name the checkpoint")
     if checkpoint and transaction != "batch":
-        raise ValueError("checkpoints require batch transactions, so that each one describes a committed batch")
+        raise ValueError(f"transaction '{transaction}' has no commits to restart after; use 'batch' with a checkpoint")
     needed = {"batch": Capability.BATCH_TRANSACTIONS, "all": Capability.ALL_TRANSACTION}.get(transaction)
     if needed and needed not in sink.capabilities:
         raise ValueError(f"{sink.provider} does not support transaction scope '{transaction}'")

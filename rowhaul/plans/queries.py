@@ -177,6 +177,17 @@ def jsonl_round_trip(spark, sf_dir):
     ]))
 
 
+@_query("SELECT * FROM lineitem")
+def jsonl_round_trip_doubles(spark, sf_dir):
+    """All digits of doubles come back, though nothing but the text tells their number."""
+    _tables(spark, sf_dir, "lineitem")
+    lines = _read(spark, sf_dir, "lineitem")
+    folder = storage.new_folder(spark, "jsonl")
+    export_records(spark, "SELECT * FROM lineitem", folder, "jsonl")
+    back = read_records(spark, folder, "jsonl")
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in lines.schema])
+
+
 @_query("""
 SELECT CAST(o_orderkey AS DECIMAL(38,9)) AS o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(38,9)) AS price,
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate, o_orderpriority FROM orders
@@ -824,6 +835,25 @@ def ordered_export(spark, sf_dir):
     )
 
 
+@_query("SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS nth, doc_id FROM documents")
+def ordered_export_frequent_key(spark, sf_dir):
+    """Few keys with many rows each: rows of one key keep the order of the query, over several part files."""
+    _tables(spark, sf_dir, "documents")
+    folder = storage.new_folder(spark, "ordered")
+    export_records(spark, "SELECT lang, doc_id, text FROM documents ORDER BY doc_id", folder, "jsonl", order_by=["lang"])
+    lines = spark.read.text(folder).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seen"),
+        F.get_json_object("value", "$.lang").alias("lang"), F.get_json_object("value", "$.doc_id").cast("long").alias("doc_id"),
+    )
+    in_part = F.row_number().over(Window.partitionBy("lang", "file", "block").orderBy("seen"))
+    # One row per language and part of a file.
+    parts = lines.groupBy("lang", "file", "block").agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy("lang").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1))
+    before = parts.select("lang", "file", "block", F.coalesce(earlier, F.lit(0)).alias("before"))
+    placed = lines.withColumn("place", in_part).join(before, ["lang", "file", "block"])
+    return placed.select("lang", (F.col("before") + F.col("place")).alias("nth"), "doc_id")
+
+
 def _incremental(spark, sf_dir, runs):
     _tables(spark, sf_dir, "events")
     folder, table = storage.new_folder(spark, "arriving"), CommittedTable(spark, storage.new_folder(spark, "table"))

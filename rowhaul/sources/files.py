@@ -18,16 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from rowhaul import storage
 from rowhaul.functions.json import (
-    DATE, RECORD, array_line_sql, decode, first_value_field, is_blank, one_array, one_record, parse_array, parse_line, tagged, type_tag,
+    DATE, RECORD, array_line_sql, decode, first_value_field, is_blank, number_digits_sql, one_array, one_record, parse_array, parse_line, tagged, type_tag,
 )
 from rowhaul.functions.text import csv_unescape_sql
 from rowhaul.operators.schema import check_names
 from rowhaul.sources.csv_records import open_blocks, spanning_records, split_fields, text_lines
-from rowhaul.types import DECIMAL_SCALE
+from rowhaul.types import DECIMAL_SCALE, JSON_NUMBER, decimal_type, logical
 
 MAX_RECORD_BYTES = 4 * 1024 * 1024
-# Beyond this many file blocks their states are not kept on the driver; files are then read by one task each.
-MAX_BLOCKS = 1_000_000
 
 
 def read_records(spark: SparkSession, path, format: str, **options) -> DataFrame:
@@ -47,7 +45,7 @@ def _files(scan: DataFrame) -> list[str]:
 
 
 def _no_records() -> ValueError:
-    return ValueError("the input contains no records")
+    return ValueError("nothing to import: not one record was found")
 
 
 # --- JSON -----------------------------------------------------------------
@@ -110,17 +108,34 @@ def _select_values(records: DataFrame, fields: list[T.StructField], extended: bo
     ])
 
 
+def _with_scales(records: DataFrame, fields: list[T.StructField], extended: bool) -> list[T.StructField]:
+    """Give each number column the scale that all its values need, found in one pass; never less than the usual one if that fits."""
+    at = [i for i, f in enumerate(fields) if logical(f) == JSON_NUMBER["logical"]]
+    if not at:
+        return fields
+    tags = records.select(*[tagged(f"get(record_values, {i})", extended).alias(f"t{i}") for i in at])
+    digits = tags.select(*[F.expr(e).alias(f"{k}{i}") for i in at for k, e in zip("ws", number_digits_sql(f"t{i}.text"))])
+    need = digits.agg(*[F.max(c).alias(c) for c in digits.columns]).first()
+    out = list(fields)
+    for i in at:
+        room = max(0, 38 - (need[f"w{i}"] or 0))
+        scale = min(room, max(need[f"s{i}"] or 0, DECIMAL_SCALE))
+        out[i] = T.StructField(fields[i].name, decimal_type(scale), True, fields[i].metadata)
+    return out
+
+
 def read_jsonl(
     spark: SparkSession,
     path,
     extended: bool = False,
     schema: T.StructType | None = None,
-    decimal_scale: int = DECIMAL_SCALE,
+    decimal_scale: int | None = None,
     max_record_bytes: int = MAX_RECORD_BYTES,
 ) -> DataFrame:
     """JSON Lines, one object per line; blank lines are skipped, anything else stops the job.
 
-    ``schema`` skips the look at the first record. ``jsonl_violations`` reports
+    ``schema`` skips the look at the first record; with it, or with ``decimal_scale``, the numbers need no pass
+    of their own that finds a scale for each column. ``jsonl_violations`` reports
     bad lines with their line numbers instead of stopping.
     """
     if max_record_bytes < 1:
@@ -137,11 +152,13 @@ def read_jsonl(
                     F.raise_error(F.lit(f"invalid JSON object in {file}")).cast(RECORD),
                 ).alias("record")
             )
-            fields = _first_fields(first, extended, decimal_scale)
+            fields = _first_fields(first, extended, DECIMAL_SCALE if decimal_scale is None else decimal_scale)
             if fields is not None:
                 break
         if fields is None:
             raise _no_records()
+        if decimal_scale is None:
+            fields = _with_scales(_jsonl_values(scan, fields, max_record_bytes), fields, extended)
     else:
         fields = schema.fields
     return jsonl_records(scan, fields, extended, max_record_bytes)
@@ -161,17 +178,21 @@ def jsonl_records(
     lines: DataFrame, fields: list[T.StructField], extended: bool = False, max_record_bytes: int = MAX_RECORD_BYTES
 ) -> DataFrame:
     """Typed records of a text scan, batch or streaming, for columns fixed beforehand."""
+    return _select_values(_jsonl_values(lines, fields, max_record_bytes), fields, extended)
+
+
+def _jsonl_values(lines: DataFrame, fields: list[T.StructField], max_record_bytes: int) -> DataFrame:
+    """The values of each record, as variants, in the order of ``fields``."""
     names = [f.name for f in fields]
     check_names(names)
     parsed = lines.where(_guard(max_record_bytes)).select(
         "value", parse_line("value").alias("parsed"), F.col("_metadata.file_path").alias("file")
     ).select("file", one_record("parsed", "value").alias("record"))
     fault = _record_fault(F.col("record"), names)
-    checked = parsed.select(
+    return parsed.select(
         F.when(fault.isNotNull(), _stop(fault, F.col("file")).cast("array<variant>"))
         .otherwise(F.map_values("record")).alias("record_values")
     )
-    return _select_values(checked, fields, extended)
 
 
 def jsonl_violations(
@@ -294,7 +315,7 @@ def _split_arrays(spark: SparkSession, path) -> DataFrame:
 
 
 def read_json_array(
-    spark: SparkSession, path, schema: T.StructType | None = None, decimal_scale: int = DECIMAL_SCALE
+    spark: SparkSession, path, schema: T.StructType | None = None, decimal_scale: int | None = None
 ) -> DataFrame:
     """Files that each hold one JSON array of objects.
 
@@ -309,14 +330,21 @@ def read_json_array(
         fields = None
         for file in _files(spark.read.text(path)):
             records = elements(spark, file)
-            stop = F.raise_error(F.lit("each JSON record must be an object")).cast(RECORD)
-            fields = _first_fields(records.select(F.coalesce("record", stop).alias("record")), False, decimal_scale)
+            stop = F.raise_error(F.lit(f"{file}: an array element is not an object")).cast(RECORD)
+            fields = _first_fields(records.select(F.coalesce("record", stop).alias("record")), False, DECIMAL_SCALE if decimal_scale is None else decimal_scale)
             if fields is not None:
                 break
         if fields is None:
             raise _no_records()
+        if decimal_scale is None:
+            fields = _with_scales(_array_values(elements(spark, path), fields), fields, False)
     else:
         fields = schema.fields
+    return _select_values(_array_values(elements(spark, path), fields), fields, False)
+
+
+def _array_values(elements: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    """The values of each array element, as variants, in the order of ``fields``."""
     names = [f.name for f in fields]
     check_names(names)
     record = F.col("record")
@@ -324,31 +352,26 @@ def read_json_array(
         F.when(record.isNull(), "a record that is no object")
         .when(_names_differ(record, names), "properties differ from the first record")
     )
-    checked = elements(spark, path).select(
+    return elements.select(
         F.when(fault.isNotNull(), _stop(fault, F.col("file")).cast("array<variant>"))
         .otherwise(F.map_values(record)).alias("record_values")
     )
-    return _select_values(checked, fields, False)
 
 
 # --- CSV ------------------------------------------------------------------
 
 
-def _csv_reader(spark: SparkSession, multi_line: bool):
-    reader = spark.read.options(
-        header=True, quote='"', escape='"', nullValue="\u0000", mode="FAILFAST",
-        multiLine=multi_line, columnPruning=False,
+def _csv_reader(spark: SparkSession):
+    return spark.read.options(
+        header=True, quote='"', escape='"', nullValue="\u0000", mode="FAILFAST", columnPruning=False,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    # A fixed separator keeps CR LF inside quotes as it is.
-    return reader.option("lineSep", "\n") if multi_line else reader
 
 
 class _Shape(NamedTuple):
-    spans: bool  # some record holds a line break
-    state: dict | None = None  # for spanning files: which blocks start inside quotes
-    returns: bool = False  # CR occurs, at line ends or inside records
-    separator: str = "\n"
+    state: dict | None  # when some line is not one record: which blocks start inside quotes
+    blank: str | None  # a file with a blank line
+    separator: str
 
 
 def _csv_shape(spark: SparkSession, path, separator: str = "\n") -> _Shape:
@@ -362,23 +385,26 @@ def _csv_shape(spark: SparkSession, path, separator: str = "\n") -> _Shape:
     head = F.when(F.col("block") == 0, F.monotonically_increasing_id())
     lines = text_lines(spark, path, separator).select(
         "file", "block", "length", quotes.alias("quotes"), head.alias("head"), F.contains(value, F.lit("\r")).cast("int").alias("returns"),
-        ((quotes % 2 == 1) | ((quotes > 0) & inner_return)).cast("int").alias("spans"),
+        ((quotes % 2 == 1) | inner_return).cast("int").alias("spans"),
         F.xxhash64(F.rtrim(value, F.lit("\r"))).alias("text"), (~F.is_valid_utf8(value)).cast("int").alias("invalid"),
+        (~value.rlike(r"[^\x00-\x20]") & (value != "\n")).cast("int").alias("blank"),
     )
     folder = storage.new_folder(spark, "blocks")
     lines.groupBy("file", "block", "length").agg(
         F.sum("quotes").alias("quotes"), F.max("spans").alias("spans"), F.max("invalid").alias("invalid"),
         F.min_by("text", "head").alias("header"), F.max("returns").alias("returns"), F.count(F.lit(1)).alias("lines"),
+        F.max("blank").alias("blank"),
     ).write.parquet(folder)
     blocks = spark.read.parquet(folder)
     files = blocks.groupBy("file").agg(
         F.sum("quotes").alias("quotes"), F.max("spans").alias("spans"), F.max("invalid").alias("invalid"),
-        F.max("header").alias("header"), F.count(F.lit(1)).alias("blocks"), F.max("returns").alias("returns"), F.sum("lines").alias("lines"),
+        F.max("header").alias("header"), F.max("returns").alias("returns"), F.sum("lines").alias("lines"), F.max("blank").alias("blank"),
     )
     row = files.agg(
-        F.max("spans").alias("spans"), F.sum("blocks").alias("blocks"), F.max("returns").alias("returns"), F.max("lines").alias("lines"),
+        F.max("spans").alias("spans"), F.max("returns").alias("returns"), F.max("lines").alias("lines"),
         F.min(F.when(F.col("invalid") == 1, F.col("file"))).alias("invalid"),
         F.min(F.when(F.col("quotes") % 2 == 1, F.col("file"))).alias("open"),
+        F.min(F.when(F.col("blank") == 1, F.col("file"))).alias("blank"),
         (F.min("header") != F.max("header")).alias("mixed"),
     ).first()
     if row.spans is None:
@@ -388,14 +414,14 @@ def _csv_shape(spark: SparkSession, path, separator: str = "\n") -> _Shape:
     if row.invalid:
         raise ValueError(f"invalid UTF-8 in {row.invalid}")
     if row.open:
-        raise ValueError(f"CSV input ends inside a quoted field in {row.open}")
+        raise ValueError(f"{row.open}: a quote opened here is never closed")
     if row.mixed:
         raise ValueError("the CSV files do not share one header")
-    if not row.spans or row.blocks > MAX_BLOCKS:
-        return _Shape(bool(row.spans))
-    # One small row per file block.
+    if not row.spans:
+        return _Shape(None, row.blank, separator)
+    # One small row per file block, as Spark's own list of splits has it.
     state = open_blocks([tuple(b) for b in blocks.select("file", "block", "length", "quotes").collect()])
-    return _Shape(True, state, bool(row.returns) or separator == "\r", separator)
+    return _Shape(state, row.blank, separator)
 
 
 def _csv_header(spark: SparkSession, file: str) -> list[str]:
@@ -408,38 +434,49 @@ def _csv_header(spark: SparkSession, file: str) -> list[str]:
     raise _no_records()
 
 
-def read_csv(spark: SparkSession, path, names: list[str] | None = None, multi_line: bool | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path, names: list[str] | None = None) -> DataFrame:
     """CSV with a header row; every column is text.
 
     ``\\N`` is null, an empty field is the empty string. Ragged records, an
-    unterminated quote and invalid UTF-8 fail. All files must share one header.
-    A first pass over the text makes the checks that need all of it and tells
-    whether records span lines; a caller who knows that the files are sound can
-    save the pass by giving ``multi_line``.
+    unterminated quote, invalid UTF-8 and an input without a record fail. All
+    files must share one header. A first pass over the text makes the checks
+    that need all of it and tells whether each line is one record. If so, Spark's
+    reader takes them; if not, records are cut block by block. How large the
+    files or their splits are does not matter.
     """
-    shape = _Shape(multi_line) if multi_line is not None else _csv_shape(spark, path)
+    shape = _csv_shape(spark, path)
     files = _files(spark.read.text(path))
     if not files:
         raise _no_records()
     header = _csv_header(spark, files[0])
     if names is not None and names != header:
         raise ValueError("the CSV header differs from the expected names")
-    if len(header) == 1 and not shape.spans:
-        return _one_column(spark, path, header[0])
-    if shape.state and (len(header) == 1 or shape.returns or len(shape.state) > len(files)):
-        # What Spark's reader would hand to a single task, or alter: records are cut block by block.
-        fields = F.col("fields")
-        width = F.when(F.size(fields) == len(header), fields).otherwise(
-            F.raise_error(F.lit("a CSV record does not match the header width")).cast("array<string>")
-        )
-        checked = spanning_records(spark, path, shape.state, shape.separator).select(width.alias("fields"))
-        texts = checked.select(*[F.get("fields", F.lit(i)).alias(f"c{i}") for i in range(len(header))])
-        return texts.select(*[F.expr(csv_unescape_sql(f"c{i}")).alias(name) for i, name in enumerate(header)])
-    raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    scan = _csv_reader(spark, shape.spans).schema(raw).option("enforceSchema", True).csv(path)
-    # Two steps: null to empty text first, then the escape rule over a plain column.
-    texts = scan.select(*[F.coalesce(f"c{i}", F.lit("")).alias(f"c{i}") for i in range(len(header))])
-    return texts.select(*[F.expr(csv_unescape_sql(f"c{i}")).alias(name) for i, name in enumerate(header)])
+    if shape.state:
+        texts = _cut_records(spark, path, shape, header)
+    elif len(header) == 1:
+        texts = _one_column(spark, path)
+    elif shape.blank:
+        # Spark's reader would skip it.
+        raise ValueError(f"{shape.blank}: a record needs {len(header)} fields but has 1 on a blank line")
+    else:
+        raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+        scan = _csv_reader(spark).schema(raw).option("enforceSchema", True).csv(path)
+        # Two steps: null to empty text first, then the escape rule over a plain column.
+        texts = scan.select(*[F.coalesce(f"c{i}", F.lit("")).alias(f"c{i}") for i in range(len(header))])
+    records = texts.select(*[F.expr(csv_unescape_sql(f"c{i}")).alias(name) for i, name in enumerate(header)])
+    if records.isEmpty():
+        raise _no_records()
+    return records
+
+
+def _cut_records(spark: SparkSession, path, shape: _Shape, header: list[str]) -> DataFrame:
+    """Records that are not one line each."""
+    fields = F.col("fields")
+    width = F.when(F.size(fields) == len(header), fields).otherwise(
+        F.raise_error(F.concat(F.lit(f"a record needs {len(header)} fields but has "), F.size(fields).cast("string"))).cast("array<string>")
+    )
+    checked = spanning_records(spark, path, shape.state, shape.separator).select(width.alias("fields"))
+    return checked.select(*[F.get("fields", F.lit(i)).alias(f"c{i}") for i in range(len(header))])
 
 
 def _without_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,7 +491,7 @@ def _without_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
-def _one_column(spark: SparkSession, path, name: str) -> DataFrame:
+def _one_column(spark: SparkSession, path) -> DataFrame:
     """One-column CSV: an empty line is an empty string, which the CSV reader would drop."""
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
@@ -463,8 +500,8 @@ def _one_column(spark: SparkSession, path, name: str) -> DataFrame:
     value = F.col("value")
     inner = F.replace(F.regexp_replace(value, r'^"|"$', ""), F.lit('""'), F.lit('"'))
     outside = F.regexp_replace(value, r'^"[^"]*(""[^"]*)*"', "")
-    ragged = F.raise_error(F.concat(F.lit("a CSV record does not match the header width in "), F.col("file")))
+    ragged = F.raise_error(F.concat(F.col("file"), F.lit(": a record needs 1 fields but has more")))
     text = F.when(value.startswith('"'), F.when(outside == "", inner).otherwise(ragged)).when(
         value.contains(","), ragged
     ).otherwise(value)
-    return body.select(text.alias("c0")).select(F.expr(csv_unescape_sql("c0")).alias(name))
+    return body.select(text.alias("c0"))

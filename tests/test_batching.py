@@ -120,9 +120,9 @@ def test_oversize_records(spark):
     df = spark.createDataFrame([("a" * 10,), ("b" * 100,)], "t string")
     assert [r.t[0] for r in oversize(df, 50).collect()] == ["b"]
     assert reject_oversize(df, 100).count() == 2
-    with pytest.raises(Exception, match="maximum batch bytes"):
+    with pytest.raises(Exception, match="more than max_batch_bytes"):
         reject_oversize(df, 50).collect()
-    with pytest.raises(ValueError, match="maximum batch bytes"):
+    with pytest.raises(ValueError, match="more than max_batch_bytes"):
         batch_rows_and_bytes(number_rows(df), 10, 50)
 
 
