@@ -2,7 +2,9 @@
 
 Base spans follow fixed patterns. Beyond them, stretches around digits and at
 signs are cut into segments: each segment is one token of no interest or a whole
-candidate entity of at most ``TOKENS`` tokens. Features see the candidate as a
+candidate entity, as long as its kind can be: an address of at most ``ADDRESS``
+characters, spelled-out signs counted as one each, or a number of at most
+``DIGITS`` digits, however they are grouped. Features see the candidate as a
 whole (its shape, digits, checksum, groups, what stands beside it). Dynamic
 programming over bounded segments finds the best boundaries and types together.
 
@@ -25,6 +27,8 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,8 +40,9 @@ from rowhaul.llm.frames import map_batches
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 96
 LONGEST = 50_000
-TOKENS = 14
-CHARS = 48
+#: Most characters of an email address and most digits of a card number.
+ADDRESS = 254
+DIGITS = 19
 EPOCHS = 8
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -51,6 +56,9 @@ _SPELLED = re.compile(r"[\[(] ?(?:at|dot) ?[\])]")
 _TRIGGER = re.compile(r"[0-9@]|[\[(] ?(?:at|dot) ?[\])]")
 _NUMBER = re.compile(r"[+(]?[0-9][0-9 ().+/-]*[0-9]")
 _ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|[\[(] ?at ?[\])]) ?[A-Za-z0-9-]+(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]+)+")
+_LABEL = re.compile(r"[A-Za-z0-9-]+")
+_AT = re.compile(r"@|[\[(] ?at ?[\])]")
+_DOT = re.compile(r" ?(?:\.|[\[(] ?dot ?[\])]) ?")
 _WORD = re.compile(r"\S+")
 _TOKEN = re.compile(r"[^\W_]+|[^\s]")
 
@@ -110,8 +118,14 @@ def regions(text: str, margin: int = 2) -> list[tuple[int, int]]:
     for line in text.split("\n"):
         if _TRIGGER.search(line):
             words = [m.span() for m in _WORD.finditer(line)]
-            # a spelled-out sign may lie across two words
-            hot = [k for k, (a, b) in enumerate(words) if _TRIGGER.search(line, a, b) or (line[a] in "[(" and _SPELLED.match(line, a))]
+            # a spelled-out sign may lie across three words
+            signs = [m.span() for m in _SPELLED.finditer(line)]
+            hot, k = [], 0
+            for n, (a, b) in enumerate(words):
+                while k < len(signs) and signs[k][1] <= a:
+                    k += 1
+                if (k < len(signs) and signs[k][0] < b) or _TRIGGER.search(line, a, b):
+                    hot.append(n)
             first = last = None
             for k in hot:
                 if first is None or k - margin > last + 1:
@@ -164,23 +178,66 @@ class Lattice:
 
     def __init__(self, text: str, start: int, end: int, taken: list[Span]):
         self.tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, start, end)]
-        hot = [0]
-        for a, b in self.tokens:
-            hot.append(hot[-1] + (text[a] == "@" or _DIGIT.search(text, a, b) is not None or text[a:b] in ("at", "dot")))
         busy = [any(s < b and a < e for s, e, _ in taken) for a, b in self.tokens]
+        starts = self.numbers(text, busy)
+        for i, j in self.addresses(text, start, busy):
+            starts[j].append(i)
         self.ending: list[list[tuple[int, str | None, list[str]]]] = []
         for j, (a, b) in enumerate(self.tokens):
             own = [(j, None, outside(text[a:b]))]
-            i = j
-            while i >= 0 and j - i < TOKENS and not busy[i] and b - self.tokens[i][0] <= CHARS:
+            for i in sorted(starts[j], reverse=True):
                 s = self.tokens[i][0]
-                if (text[s].isalnum() or text[s] in "+(") and text[b - 1].isalnum() and hot[j + 1] > hot[i]:
-                    part = text[s:b]
-                    before, after = text[s - 1] if s else "", text[b] if b < len(text) else ""
-                    own += [(i, kind, features(kind, part, before, after)) for kind in self.possible(part)]
-                i -= 1
+                part = text[s:b]
+                before, after = text[s - 1] if s else "", text[b] if b < len(text) else ""
+                own += [(i, kind, features(kind, part, before, after)) for kind in self.possible(part)]
             self.ending.append(own)
 
+    def numbers(self, text: str, busy: list[bool]) -> list[list[int]]:
+        """For each token the tokens at which a number that ends with it may start."""
+        # digits in a token, none for a sign between digits, beyond the most for anything else
+        digits = [b - a if _NO_DIGIT.search(text, a, b) is None else 0 if text[a] in "().+/-" else DIGITS + 1 for a, b in self.tokens]
+        apart = [bool(text[e:s].strip(" ")) for (_, e), (s, _) in zip(self.tokens, self.tokens[1:])]
+        starts: list[list[int]] = [[] for _ in self.tokens]
+        for j, own in enumerate(starts):
+            if 0 < digits[j] <= DIGITS:
+                total, i = 0, j
+                while i >= 0 and not busy[i] and (total := total + digits[i]) <= DIGITS and (i == j or not apart[i]):
+                    if digits[i] or (text[self.tokens[i][0]] in "+(" and digits[i + 1]):
+                        own.append(i)
+                    i -= 1
+        return starts
+
+    def addresses(self, text: str, start: int, busy: list[bool]):
+        """(first, last) token of what may be an address, around each sign."""
+        if not self.tokens:
+            return
+        begins, ends = [a for a, _ in self.tokens], [b for _, b in self.tokens]
+        taken = [0, *accumulate(busy)]
+        for sign in _AT.finditer(text, start, ends[-1]):
+            left = sign.start() - (sign.start() > start and text[sign.start() - 1] == " ")
+            low = left
+            while low > start and left - low < ADDRESS and _LOCAL.match(text[low - 1]):
+                low -= 1
+            firsts = [i for i in range(bisect_left(begins, low), bisect_left(begins, left)) if text[begins[i]].isalnum() or text[begins[i]] == "+"]
+            at = sign.end() + (text[sign.end() : sign.end() + 1] == " ")
+            label, plain, dots = _LABEL.match(text, at, ends[-1]), 0, 0
+            while firsts and label and plain < ADDRESS:
+                if dots:
+                    for j in range(bisect_right(ends, label.start()), bisect_right(ends, label.end())):
+                        host = plain + ends[j] - label.start()
+                        if host >= ADDRESS or taken[j + 1] > taken[firsts[-1]]:
+                            break
+                        if text[ends[j] - 1].isalnum():
+                            yield from ((i, j) for i in firsts if left - begins[i] + 1 + host <= ADDRESS and taken[j + 1] == taken[i])
+                plain += label.end() - label.start() + 1
+                dot = _DOT.match(text, label.end(), ends[-1])
+                label, dots = _LABEL.match(text, dot.end(), ends[-1]) if dot else None, 1
+
+    def holds(self, spans: list[Span]) -> bool:
+        """Whether each of the spans is a segment here."""
+        own = {(self.tokens[i][0], self.tokens[j][1], kind) for j, ending in enumerate(self.ending) for i, kind, _ in ending if kind}
+        return own.issuperset(spans)
+
     @staticmethod
     def possible(part: str) -> list[str]:
         digits = len(_NO_DIGIT.sub("", part))
@@ -193,7 +250,7 @@ class Lattice:
                 out.append("ip")
             if 12 <= digits <= 19:
                 out.append("card")
-            if 7 <= digits <= 15 and part.count(".") != 3:
+            if 7 <= digits <= 15 and (part.count(".") != 3 or part[0] == "+"):
                 out.append("phone")
         return out
 
@@ -297,6 +354,8 @@ def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
     rng.shuffle(examples)
     examples = examples[: 6 * sample]
     lattices = [(Lattice(part, 0, len(part), []), own) for part, own in examples]
+    # a span that begins or ends within a token is no segment, so nothing can be learned from it
+    lattices = [(lattice, own) for lattice, own in lattices if lattice.holds(own)]
     weights: dict[str, float] = {}
     squares: dict[str, float] = {}
     for _ in range(epochs):

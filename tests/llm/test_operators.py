@@ -110,6 +110,44 @@ def test_lattice_matches_all_segmentations():
     assert lattice.best(weights) == max(every(len(lattice.tokens)), key=lambda x: x[0])[1]
 
 
+LONG_SPELLINGS = {
+    "john.smith [at] mail [dot] example [dot] com": "email", "anna.lee [at] mail [dot] example [dot] co [dot] uk": "email",
+    "maximilian.mustermann [at] rechenzentrum [dot] beispiel [dot] de": "email", "john.smith [ at ] mail [ dot ] example [ dot ] com": "email",
+    "a" * 60 + " (at) " + " (dot) ".join(["host-" + "b" * 40] * 4): "email", "4 1 1 1 - 1 1 1 1 - 1 1 1 1 - 1 1 1 1": "card", "+1.555.123.4567": "phone",
+}
+
+
+@pytest.mark.parametrize(("entity", "kind"), LONG_SPELLINGS.items())
+def test_long_spellings_are_candidates(entity, kind):
+    text = f"please write to {entity} or come by on any day"
+    (a, b), at = personal.regions(text)[0], text.index(entity)
+    assert personal.Lattice(text, a, b, []).holds([(at, at + len(entity), kind)])
+
+
+def test_spelled_addresses_are_masked_whole(spark):
+    weights = personal.learn(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    for entity, kind in LONG_SPELLINGS.items():
+        if kind == "email":
+            text = f"please write to {entity} or come by"
+            assert personal.masked(text, personal.all_spans(text, weights)[1]) == "please write to <EMAIL> or come by"
+
+
+def test_candidates_are_all_of_a_shape():
+    rng = random.Random(7)
+    parts = ["a", "b-c", ".", "@", "[at]", " [at] ", " (dot) ", "[dot]", "[ dot ]", "1", "23", "4567", "+", "(", ")", "-", " ", "  ", "\t", "_", "é", "12345678901"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(16)))
+        taken = [(2, 4, "ip")] if rng.random() < 0.2 else []
+        lattice = personal.Lattice(text, 0, len(text), taken)
+        tokens, want = lattice.tokens, set()
+        for i, (s, _) in enumerate(tokens):
+            for j in range(i, len(tokens)):
+                e = tokens[j][1]
+                if text[e - 1].isalnum() and (text[s].isalnum() or text[s] in "+(") and not any(x < e and s < y for a, b, _ in taken for x, y in tokens[i : j + 1] if a < y and x < b):
+                    want |= {(i, j, kind) for kind in lattice.possible(text[s:e])}
+        assert {(i, j, kind) for j, own in enumerate(lattice.ending) for i, kind, _ in own if kind} == want
+
+
 def test_personal_data(spark, table, sf):
     weights = personal.learn(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     rows = [*awkward(), (200, "call (017) 555-7713 now"), (201, "on 2024-01-05 we sold 1,000,000"), (202, "m a.b@c.de and +1 (017) 555-7713")]
