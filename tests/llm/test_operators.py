@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,6 +212,31 @@ def test_repetition(table):
     assert repetition.repetition_rules(table([])).count() == 0
 
 
+def test_single_ngrams_by_definition():
+    rng = random.Random(8)
+    texts = [*("".join(rng.choice(["a ", "bb ", "é ", "日本語 ", "w%d " % rng.randrange(30)]) for _ in range(rng.randrange(40))) for _ in range(200)), None, "", "x " * 50]
+    words = repetition.Words(pa.array(texts))
+    for n in repetition.SINGLE:
+        want = []
+        for t in texts:
+            w = WORD.findall(t or "")
+            held = defaultdict(list)
+            for k in range(len(w) - n + 1):
+                held[tuple(w[k : k + n])].append(k)
+            inside = [{k + j for k in at for j in range(n)} for at in held.values() if len(at) >= repetition.FREQUENT]
+            want.append(max((sum(len(w[k]) for k in ks) for ks in inside), default=0))
+        assert repetition.single_chars(words, words.hashes(), words.text_of(), words.chars(), n).tolist() == want
+
+
+def test_coverage_alone_rejects(table):
+    plain = [f"word{k}" for k in range(100)]
+    long = [f"{'x' * 6}{k}" for k in range(8)]
+    rows = [(1, " ".join(f"click here now w{k}" for k in range(40))), (2, " ".join([*plain[:40], *long, *plain[40:80], *long])), (3, " ".join(plain)), (4, " ".join([*plain, *plain[:5]]))]
+    out = {r.doc_id: r for r in repetition.repetition_rules(table(rows)).collect()}
+    assert not any(r.base_failed for r in out.values())
+    assert [out[k].kept for k in (1, 2, 3, 4)] == [False, False, True, True]
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     centres = rng.standard_normal((40, 24))
