@@ -3,7 +3,9 @@
 Two generative models of hashed word unigrams and bigrams, one of target texts
 and one of all texts, give each document a log likelihood ratio for each
 n-gram. Adding Gumbel noise to it and taking the largest draws a sample of
-documents in proportion to their importance, without replacement.
+documents in proportion to their importance, without replacement. The sample has
+as many documents as the corpus is estimated to have target documents: the share
+of target documents among all labelled ones, times all documents.
 
 The model of all texts counts every document, and that of the target every
 document whose label is in a bounded sample of labels (``LABELS``). Counts are
@@ -11,8 +13,10 @@ summed within tasks and combined before the shuffle; only ``BUCKETS`` sums reach
 the driver. The k largest keys are found from sums over parts of the key range.
 
 Defined results: a text without words (or null) has log_weight null and is not
-kept; with no target label all weights are 0; equal rows draw equal noise; other
-columns are ignored; an empty table gives an empty result.
+kept; with no target label there is nothing to choose by: all weights are 0 and
+all documents with words are kept; a document labelled twice is a target if one
+of its labels says so; equal rows draw equal noise; other columns are ignored; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,8 +31,6 @@ from rowhaul.llm.words import Words, pieces, window_hashes, windows_within
 
 BUCKETS = 1 << 14
 LABELS = 20_000
-#: Share of the documents with words that the sample holds.
-KEPT = 0.9
 #: N-grams that a document's mean log ratio counts as.
 SCALE = 50.0
 SEED = 3
@@ -69,8 +71,17 @@ def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> np
     return smooth[1] - smooth[0]
 
 
-def importance_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", kept: float = KEPT, seed: int = SEED) -> DataFrame:
-    """One row for each document: doc_id, log_weight, gumbel_key, kept. ``labels`` has doc_id and quality (1: target)."""
+def target_share(labels: DataFrame) -> float:
+    """Share of target documents among all labelled ones; 1 if none is a target."""
+    each = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.expr("IF(quality = 1, 1, 0)")).alias("target"))
+    return each.agg(F.avg("target")).first()[0] or 1.0
+
+
+def importance_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", kept: float | None = None, seed: int = SEED) -> DataFrame:
+    """One row for each document: doc_id, log_weight, gumbel_key, kept. ``labels`` has doc_id and quality (1: target).
+
+    ``kept`` is the share of the documents with words that the sample holds; without it the labels tell its size.
+    """
     ratios = log_ratios(docs, labels, doc_id, text)
 
     def score(batches):
@@ -90,6 +101,8 @@ def importance_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id"
     ordered = keyed.withColumn("key", F.coalesce(0.5 - F.atan(F.col("gumbel_key") / 20) / F.lit(np.pi), F.lit(1.0))).withColumn("one", F.lit(1).cast("long"))
     # one group, said so that its join has a key to compare
     ordered = ordered.withColumn("group", F.pmod("draw", F.lit(1).cast("long")))
-    budget = scored.groupBy().agg((F.floor(F.count("log_weight") * F.lit(kept)) + F.lit(0.0)).alias("budget"), F.pmod(F.count("*"), F.lit(1).cast("long")).alias("group"))
+    # documents without words are never targets, yet labelled like all others
+    size = F.count("log_weight") * F.lit(kept) if kept is not None else F.least(F.round(F.count("*") * F.lit(target_share(labels))), F.count("log_weight"))
+    budget = scored.groupBy().agg((F.floor(size) + F.lit(0.0)).alias("budget"), F.pmod(F.count("*"), F.lit(1).cast("long")).alias("group"))
     picked = within_budget(ordered, budget, "group", "key", "one", ["draw"])
     return picked.select("doc_id", "log_weight", "gumbel_key", (F.col("picked") & F.col("log_weight").isNotNull()).alias("kept"))

@@ -174,6 +174,17 @@ def test_importance_sample(spark, table):
     assert resampling.importance_sample(table([]), labels).count() == 0
 
 
+@pytest.mark.parametrize("bad", [0, 5, 40])
+def test_importance_sample_drops_the_bad_share(spark, table, bad):
+    rows = [(k, ("bad ### junk $$$ " if k % 100 < bad else "good fine words here ") * (1 + k % 5)) for k in range(600)]
+    labels = spark.createDataFrame([(k, int(k % 100 >= bad)) for k in range(300)], "doc_id long, quality int")
+    out = resampling.importance_sample(table(rows), labels).collect()
+    assert sum(r.kept for r in out) == 6 * (100 - bad)
+    assert sum(r.kept for r in out if r.doc_id % 100 < bad) <= 0.02 * 6 * bad
+    none = resampling.importance_sample(table([*rows, (600, " ")]), labels.where("false")).collect()
+    assert sum(r.kept for r in none) == 600 and not next(r.kept for r in none if r.doc_id == 600)
+
+
 def test_language(spark, table):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = queries.op4_string_kernel_language(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").collect()
