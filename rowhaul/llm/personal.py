@@ -10,11 +10,12 @@ programming over bounded segments finds the best boundaries and types together.
 
 The weights are learned here, by gradient steps on the likelihood (forward and
 backward sums over all segmentations), from a bounded sample: at most
-``SAMPLE`` documents with base spans, drawn by a hash of the id, whose spans are
-shown as they are, in other usual spellings (national phone numbers, dotted
-cards, spelled-out at signs) and, as what to leave alone, with something alike
-in their place (dates, amounts, failing checksums). Base spans stay as they are; others may not
-overlap them.
+``SAMPLE`` documents, drawn by a hash of the id: three of four with base spans, the
+kinds in turn as far as each has any, and one for three of these with digits or
+at signs but no base span. Spans are shown as they are, in other usual spellings
+(national phone numbers, dotted cards, spelled-out at signs) and, as what to
+leave alone, with something alike in their place (dates, amounts, failing
+checksums). Base spans stay as they are; others may not overlap them.
 
 Defined results: a null or empty text has no spans; texts are searched whole,
 in time linear in their length; equal rows give equal results; input columns
@@ -31,7 +32,7 @@ from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -328,17 +329,43 @@ def broken(text: str, span: Span, rng: random.Random) -> str | None:
     return text[:a] + part + text[b:] if part else None
 
 
-def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, epochs: int = EPOCHS) -> dict[str, float]:
-    """Weights from a bounded sample of the texts that hold what the patterns look for."""
+def draw_sample(df: DataFrame, doc_id: str, text: str, sample: int) -> list[tuple[int, int]]:
+    """The documents to learn from, as hashes of id and text, in the order of their draw."""
     t = F.col(text)
-    likely = df.where((F.octet_length(t) <= LONGEST) & (t.contains("@") | t.rlike("[0-9]{7}|[0-9][.][0-9]|[+][0-9]")))
-    # every task offers its first rows, so these are two numbers each; the texts chosen follow
-    draw, tie = F.xxhash64(F.lit("personal"), F.col(doc_id)), F.xxhash64(t)
-    first = [tuple(r) for r in likely.select(draw.alias("draw"), tie.alias("tie")).orderBy("draw", "tie").limit(sample).collect()]
-    chosen = df.where(draw.isin([d for d, _ in first]) & tie.isin([x for _, x in first])).select(draw.alias("draw"), tie.alias("tie"), t.alias("body"))
-    bodies = {(r.draw, r.tie): r.body for r in chosen.dropDuplicates(["draw", "tie"]).collect()} if first else {}
+    likely = df.where((F.octet_length(t) <= LONGEST) & (t.contains("@") | t.rlike("[0-9](?:[ -]?[0-9]){6}|[0-9][.][0-9]|[+][0-9]")))
+    hashed = likely.select(F.xxhash64(F.lit("personal"), F.col(doc_id)).alias("draw"), F.xxhash64(t).alias("tie"), t.alias("body"))
+
+    def offer(batches):
+        # each task offers its first rows of each kind, so only numbers move; the texts chosen follow
+        best: list[list[tuple[int, int]]] = [[] for _ in range(len(KINDS) + 1)]
+        for batch in batches:
+            for draw, tie, body in zip(*(c.to_pylist() for c in batch.columns)):
+                kinds = {KINDS.index(k) for _, _, k in base_spans(body)}
+                for k in kinds or {len(KINDS)}:
+                    best[k].append((draw, tie))
+                    if len(best[k]) > 8 * sample:
+                        best[k] = sorted(set(best[k]))[:sample]
+        rows = [(k, *x) for k, own in enumerate(best) for x in sorted(set(own))[:sample]]
+        columns = list(zip(*rows)) if rows else [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int32(), pa.int64(), pa.int64()))], names=["kind", "draw", "tie"])
+
+    offers = hashed.mapInArrow(offer, "kind int, draw long, tie long").distinct()
+    first = offers.withColumn("rank", F.row_number().over(Window.partitionBy("kind").orderBy("draw", "tie"))).where(F.col("rank") <= sample)
+    ranked = sorted((r["rank"], r["kind"], (r["draw"], r["tie"])) for r in first.collect())
+    # the kinds in turn; a document with spans of several kinds is one document
+    real = list(dict.fromkeys(x for _, kind, x in ranked if kind < len(KINDS)))[: sample - sample // 4]
+    plain = [x for _, kind, x in ranked if kind == len(KINDS)][: len(real) // 3]
+    return sorted([*real, *plain])
+
+
+def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, epochs: int = EPOCHS) -> dict[str, float]:
+    """Weights from a bounded sample of the texts with base spans, and of some that only look like it."""
+    drawn = draw_sample(df, doc_id, text, sample)
+    draw, tie = F.xxhash64(F.lit("personal"), F.col(doc_id)), F.xxhash64(F.col(text))
+    chosen = df.where(draw.isin([d for d, _ in drawn]) & tie.isin([x for _, x in drawn])).select(draw.alias("draw"), tie.alias("tie"), F.col(text).alias("body"))
+    bodies = {(r.draw, r.tie): r.body for r in chosen.dropDuplicates(["draw", "tie"]).collect()} if drawn else {}
     rng, examples = random.Random(2), []
-    for body in (bodies[x] for x in first):
+    for body in (bodies[x] for x in drawn):
         spans = base_spans(body)
         for a, b in regions(body):
             part, own = body[a:b], [(s - a, e - a, k) for s, e, k in spans if a <= s and e <= b]

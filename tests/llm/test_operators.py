@@ -133,6 +133,25 @@ def test_spelled_addresses_are_masked_whole(spark):
             assert personal.masked(text, personal.all_spans(text, weights)[1]) == "please write to <EMAIL> or come by"
 
 
+def test_sample_holds_rare_spans(spark, table):
+    rng = random.Random(9)
+    entities = ["write to a{0}.b@mail{0}.example.com today", "call +1 (017) 555-77{0:02} now", "from 10.0.7.{0} today", "paid by 4111 1111 1111 1111 on {0}"]
+    rows = [(k, f"price {rng.randrange(10**6, 10**7)} version {rng.randrange(9)}.{rng.randrange(9)} item {rng.randrange(10**7, 10**8)}") for k in range(4000)]
+    rows += [(4000 + k, entities[k % 4].format(k)) for k in range(40)]
+    drawn = personal.draw_sample(table(rows).repartition(5), "doc_id", "text", 96)
+    hashes = table(rows).select("doc_id", F.xxhash64(F.lit("personal"), "doc_id"), F.xxhash64("text")).collect()
+    ids = {(d, x): i for i, d, x in hashes}
+    assert len(drawn) == 53 and sum(ids[x] >= 4000 for x in drawn) == 40
+    assert drawn == personal.draw_sample(table(rows[::-1]).repartition(2), "doc_id", "text", 96)
+    # few of each kind are drawn even if one is frequent
+    often = table([*rows, *((5000 + k, f"to c{k}@d.example") for k in range(900))])
+    small = [ids.get(x, 0) for x in personal.draw_sample(often, "doc_id", "text", 16)]
+    assert [sum(i >= 4000 and i % 4 == k for i in small) for k in (1, 2, 3)] == [3, 3, 3]
+    assert personal.masked(rows[0][1], personal.all_spans(rows[0][1], personal.learn(table(rows)))[1]) == rows[0][1]
+    text = "write to jane.doe [at] mail [dot] example [dot] com today"
+    assert personal.masked(text, personal.all_spans(text, personal.learn(table(rows)))[1]) == "write to <EMAIL> today"
+
+
 def test_candidates_are_all_of_a_shape():
     rng = random.Random(7)
     parts = ["a", "b-c", ".", "@", "[at]", " [at] ", " (dot) ", "[dot]", "[ dot ]", "1", "23", "4567", "+", "(", ")", "-", " ", "  ", "\t", "_", "é", "12345678901"]
