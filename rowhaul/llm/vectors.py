@@ -22,7 +22,8 @@ tables counts in the first.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; so do vectors of different lengths with each
-other. A null id has null results but counts as a linked vector. Equal rows are
+other. A null id has null results but counts as a linked vector, and links pass
+through it; a component is named by the least id that is not null. Equal rows are
 separate vectors. Other columns are ignored; an empty table gives an empty
 result.
 """
@@ -173,8 +174,9 @@ def _compare(threshold: float, lines: int, window: float, least: int):
 def near_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.9) -> DataFrame:
     """One row for each vector: vec_id, n_links, component_id, kept."""
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
-    classes = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("number"))
-    known = classes.where("node IS NOT NULL")
+    # a class without any id goes by a hash of its vector
+    node = F.coalesce(F.min("vec_id"), F.xxhash64("vector")).alias("node")
+    known = rows.where("vector IS NOT NULL").groupBy("vector").agg(node, F.count("*").alias("number"))
     bits, tables = layout(known.count(), threshold)
     least = calibrated(threshold, LINES, WINDOW, RECALL)
     placed = known.select("node", "vector", "number").mapInArrow(_cells(bits, tables), "node long, number long, unit array<double>, cells array<long>")
@@ -190,6 +192,11 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     found = tiles.select("bucket", "tile", "side", "t", "node", "number", "unit", "cells").groupBy("bucket").applyInArrow(_compare(threshold, LINES, WINDOW, least), "node long, links long, reached long")
     found = written(found, "links")
     components = connected_components(found.select(F.col("node").alias("a"), F.col("reached").alias("b")))
+    # components whose least node has no id are named again
+    hidden = rows.where("vec_id IS NULL AND vector IS NOT NULL").select(F.xxhash64("vector").alias("hidden")).distinct()
+    misnamed = components.join(hidden, F.col("component") == F.col("hidden"), "left_semi").join(hidden, F.col("node") == F.col("hidden"), "left_anti")
+    names = misnamed.groupBy(F.col("component").alias("_component")).agg(F.min("node").alias("name"))
+    components = components.join(names, F.col("component") == F.col("_component"), "left").select("node", F.coalesce("name", "component").alias("component"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     usable = placed.select("node", F.col("number"))
     results = (

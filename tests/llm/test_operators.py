@@ -296,6 +296,19 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.where("false")).count() == 0
 
 
+def test_vectors_without_id_link(spark):
+    # on each circle three vectors a step of 14 degrees apart; only the one in the middle, which has no id, is near both others
+    rows, rng = [], np.random.default_rng(6)
+    for k in range(12):
+        a, b = np.linalg.qr(rng.standard_normal((24, 2)))[0].T
+        at = [(np.cos(x) * a + np.sin(x) * b).astype(np.float32).tolist() for x in np.radians([0, 14, 28])]
+        rows += [(2 * k, at[0]), *[(None, at[1])] * (1 + k % 2), (2 * k + 1, at[2])]
+    out = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in out if r.vec_id is not None}
+    assert len(out) == len(rows) and found == {i: (1 + i // 2 % 2, i - i % 2, i % 2 == 0) for i in range(24)}
+    assert all(r.n_links is None and r.component_id is None and r.kept is None for r in out if r.vec_id is None)
+
+
 def test_collisions_by_definition():
     values = np.random.default_rng(1).standard_normal((20, 7)).round(1)
     want = np.triu(sum(np.abs(values[:, k, None] - values[None, :, k]) <= 0.35 for k in range(7)), 1)
