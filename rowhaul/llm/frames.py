@@ -34,11 +34,11 @@ def map_batches(df: DataFrame, text: str, result: list[T.StructField], measure:
     return df.mapInArrow(run, schema)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows of ``df`` from a table in the shared folder: cuts lineage and outlives lost executors."""
+def written(df: DataFrame, label: str, *parts: str) -> DataFrame:
+    """The rows of ``df`` from a table in the shared folder, by ``parts``: cuts lineage and outlives lost executors."""
     spark = df.sparkSession
     folder = storage.new_folder(spark, label)
-    df.write.parquet(folder)
+    df.write.partitionBy(*parts).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

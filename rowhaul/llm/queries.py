@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowhaul.llm import personal
+from rowhaul.llm import oracle, personal
 from rowhaul.llm.byte_pairs import encode_texts, token_digests
+from rowhaul.llm.centroids import cluster_vectors
 from rowhaul.llm.frames import documents
 from rowhaul.llm.language import identify, learn
+from rowhaul.llm.lines import drop_frequent_lines
 from rowhaul.llm.mixing import mix
 from rowhaul.llm.repetition import RESULT as REPETITION
 from rowhaul.llm.repetition import repetition_rules
@@ -19,6 +21,7 @@ from rowhaul.llm.resampling import importance_sample
 from rowhaul.llm.sharding import shard
 from rowhaul.llm.shingles import near_duplicates
 from rowhaul.llm.substrings import drop_repeated_windows
+from rowhaul.llm.variants import spelling_variants
 from rowhaul.llm.vectors import near_vectors
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -73,5 +76,27 @@ def op10_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(encode_texts(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repeated_windows, op2_semi_markov_spans, op3_importance_resampling, op4_string_kernel_language, op5_repetition_rules, op6_collision_vectors, op7_ring_shards, op8_weighted_mix, op9_shingle_join, op10_byte_pairs)}
-ORACLE: dict[str, str] = {}
+def op11_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
+def op12_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_frequent_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_repeated_windows, op2_semi_markov_spans, op3_importance_resampling, op4_string_kernel_language, op5_repetition_rules, op6_collision_vectors,
+        op7_ring_shards, op8_weighted_mix, op9_shingle_join, op10_byte_pairs, op11_gram_variants, op12_plane_clusters, op13_line_runs,
+    )
+}
+ORACLE: dict[str, str] = {
+    "op1_repeated_windows": oracle.REPEATED_WINDOWS, "op9_shingle_join": oracle.SHINGLE_JOIN, "op11_gram_variants": oracle.SPELLING_VARIANTS,
+    "op12_plane_clusters": oracle.CLUSTERS, "op13_line_runs": oracle.FREQUENT_LINES,
+}
