@@ -5,9 +5,10 @@ of two equal runs of words in their documents, one of the first seven offsets
 puts both on a cover position. So only runs of seven words that begin at cover
 positions are hashed (three of seven); two equal windows of 13 words share such
 an anchor, aligned within them. Anchors found in one document only are settled.
-The others extend: the windows around them are hashed whole and the least
-document id of each window is found. A word goes if a window over it also
-starts in a document with a smaller id.
+The others extend: the windows around them are hashed whole, by two hashes of
+all their words (anchors, which only choose, have one), and the least document
+id of each window is found. A word goes if a window over it also starts in a
+document with a smaller id.
 
 How it is spread. Documents are cut into chunks of some megabytes by a hash;
 their number grows with the input. A chunk sends each distinct hash once, so a
@@ -41,8 +42,8 @@ ANCHOR = WINDOW - PERIOD + 1
 CHUNK = 8 << 20
 
 _U = np.uint64
-_SENT = "bucket int, chunk int, hashes binary, ids binary"
-_BACK = "chunk int, hashes binary"
+_SENT = "bucket int, chunk int, hashes binary, ids binary, checks binary"
+_BACK = "chunk int, hashes binary, checks binary"
 _NONE = np.zeros(0, np.uint64)
 
 
@@ -66,21 +67,28 @@ class _Chunk:
         at = np.flatnonzero(windows_within(self.words.first, ANCHOR, len(keys)) & np.isin(self.place()[: len(keys)] % PERIOD, COVER) & self.known[self.words.text_of()[: len(keys)]])
         return at, keys[at] & ~_U(1)
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Which words begin a window, and the hash of the 13 words from each word."""
-        keys = window_hashes(self.hashes, WINDOW)
-        return windows_within(self.words.first, WINDOW, len(keys)) & self.known[self.words.text_of()[: len(keys)]], keys
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which words begin a window, and two hashes of the 13 words from each word."""
+        keys, checks = window_hashes(self.hashes, WINDOW), window_hashes(self.words.hashes(lane=1), WINDOW)
+        return windows_within(self.words.first, WINDOW, len(keys)) & self.known[self.words.text_of()[: len(keys)]], keys, checks
 
 
-def _sent(chunk: int, buckets: int, keys: np.ndarray, ids: np.ndarray | None = None) -> pa.Table:
-    """Ascending keys (and an id each), packed for every bucket."""
+def _starts(keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+    """Where another window begins among ordered ones."""
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1])
+    return new
+
+
+def _sent(chunk: int, buckets: int, keys: np.ndarray, ids: np.ndarray | None = None, checks: np.ndarray | None = None) -> pa.Table:
+    """Ascending keys (and an id and another hash each), packed for every bucket."""
     bucket = (_spread(keys) % _U(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    packed = [x.tobytes() for x in np.split(keys[order], cuts)] if len(keys) else []
-    with_ids = [x.tobytes() for x in np.split(ids[order], cuts)] if len(keys) and ids is not None else [None] * len(packed)
+    packed = lambda x: [y.tobytes() for y in np.split(x[order], cuts)] if len(keys) and x is not None else [None] * (len(cuts) + 1 if len(keys) else 0)
     first = bucket[order][np.concatenate([[0], cuts])] if len(keys) else []
-    return pa.table({"bucket": pa.array(first, pa.int32()), "chunk": pa.array([chunk] * len(packed), pa.int32()), "hashes": pa.array(packed, pa.binary()), "ids": pa.array(with_ids, pa.binary())})
+    columns = {"bucket": pa.array(first, pa.int32()), "chunk": pa.array([chunk] * len(first), pa.int32())}
+    return pa.table(columns | {name: pa.array(packed(x), pa.binary()) for name, x in (("hashes", keys), ("ids", ids), ("checks", checks))})
 
 
 def _spread(keys: np.ndarray) -> np.ndarray:
@@ -123,14 +131,24 @@ def _shared(key, table):
     return _back(plain[shared], chunks[shared])
 
 
-def _back(keys: np.ndarray, chunks: np.ndarray) -> pa.Table:
-    """Keys packed for each chunk."""
+def _back(keys: np.ndarray, chunks: np.ndarray, checks: np.ndarray | None = None) -> pa.Table:
+    """Keys (and another hash each) packed for each chunk."""
     order = np.argsort(chunks, kind="stable")
-    keys, chunks = keys[order], chunks[order]
+    chunks = chunks[order]
     cuts = np.flatnonzero(np.diff(chunks)) + 1
-    packed = [x.tobytes() for x in np.split(keys, cuts)] if len(keys) else []
-    first = chunks[np.concatenate([[0], cuts])] if len(keys) else []
-    return pa.table({"chunk": pa.array(first, pa.int32()), "hashes": pa.array(packed, pa.binary())})
+    packed = lambda x: [y.tobytes() for y in np.split(x[order], cuts)] if len(chunks) and x is not None else [None] * (len(cuts) + 1 if len(chunks) else 0)
+    first = chunks[np.concatenate([[0], cuts])] if len(chunks) else []
+    return pa.table({"chunk": pa.array(first, pa.int32()), "hashes": pa.array(packed(keys), pa.binary()), "checks": pa.array(packed(checks), pa.binary())})
+
+
+def _held(keys: np.ndarray, checks: np.ndarray, table: pa.Table) -> np.ndarray:
+    """Which windows, by both hashes, the packed ones of a table hold."""
+    known = np.concatenate([_NONE, *_unpacked(table.column("hashes"))])
+    both, second = np.concatenate([keys, known]), np.concatenate([checks, *_unpacked(table.column("checks"))])
+    order = np.lexsort((second, both))
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(_starts(both[order], second[order]))
+    return np.isin(group[: len(keys)], group[len(keys) :])
 
 
 def _among(keys: np.ndarray, table: pa.Table) -> np.ndarray:
@@ -148,16 +166,16 @@ def _send_windows(buckets: int):
         chunk = _Chunk(table)
         at, anchors = chunk.anchors()
         at = at[_among(anchors, shared)]
-        inside, keys = chunk.windows()
+        inside, keys, checks = chunk.windows()
         # windows that hold the anchor whole
         starts = np.unique(np.concatenate([at - d for d in range(PERIOD)])) if len(at) else at
         starts = starts[(starts >= 0) & (starts < len(keys))]
         starts = starts[inside[starts]]
-        keys, ids = keys[starts], chunk.ids[chunk.words.text_of()[starts]]
-        order = np.lexsort((ids, keys))
-        keys, ids = keys[order], ids[order]
-        first = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-        return _sent(key[0].as_py(), buckets, keys[first], ids[first])
+        keys, checks, ids = keys[starts], checks[starts], chunk.ids[chunk.words.text_of()[starts]]
+        order = np.lexsort((ids, checks, keys))
+        keys, checks, ids = keys[order], checks[order], ids[order]
+        first = _starts(keys, checks)
+        return _sent(key[0].as_py(), buckets, keys[first], ids[first], checks[first])
 
     return run
 
@@ -166,28 +184,27 @@ def _elsewhere(key, table):
     """Windows whose least id lies outside the chunk, for every such chunk."""
     parts = _unpacked(table.column("hashes"))
     chunks = np.repeat(np.asarray(table.column("chunk").combine_chunks()), [len(p) for p in parts])
-    keys, ids = np.concatenate(parts or [_NONE]), np.concatenate(_unpacked(table.column("ids"), np.int64) or [np.zeros(0, np.int64)])
-    order = np.lexsort((ids, keys))
-    keys, ids, chunks = keys[order], ids[order], chunks[order]
-    new = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-    least = ids[new][np.cumsum(new) - 1] if len(keys) else ids
-    later = ids > least
-    return _back(keys[later], chunks[later])
+    keys, checks = np.concatenate(parts or [_NONE]), np.concatenate(_unpacked(table.column("checks")) or [_NONE])
+    ids = np.concatenate(_unpacked(table.column("ids"), np.int64) or [np.zeros(0, np.int64)])
+    order = np.lexsort((ids, checks, keys))
+    keys, checks, ids, chunks = keys[order], checks[order], ids[order], chunks[order]
+    new = _starts(keys, checks)
+    later = ids > ids[new][np.cumsum(new) - 1]
+    return _back(keys[later], chunks[later], checks[later])
 
 
 def _cut(key, table, elsewhere):
     chunk = _Chunk(table)
     words = chunk.words
-    inside, keys = chunk.windows()
+    inside, keys, checks = chunk.windows()
     at = np.flatnonzero(inside)
-    keys, ids = keys[at], chunk.ids[words.text_of()[at]]
-    order = np.lexsort((ids, keys))
-    ordered, owners = keys[order], ids[order]
-    new = np.concatenate([[True], ordered[1:] != ordered[:-1]]) if len(keys) else np.zeros(0, bool)
+    keys, checks, ids = keys[at], checks[at], chunk.ids[words.text_of()[at]]
+    order = np.lexsort((ids, checks, keys))
+    owners = ids[order]
+    new = _starts(keys[order], checks[order])
     later = np.zeros(len(keys), bool)
-    if len(keys):
-        later[order] = owners > owners[new][np.cumsum(new) - 1]
-    gone = covered(at[later | _among(keys, elsewhere)], WINDOW, len(words)) if len(words) else np.zeros(0, bool)
+    later[order] = owners > owners[new][np.cumsum(new) - 1]
+    gone = covered(at[later | _held(keys, checks, elsewhere)], WINDOW, len(words)) if len(words) else np.zeros(0, bool)
     removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.first])
     data, kept = words.data.tobytes(), []
     for d, n in enumerate(removed.tolist()):

@@ -2,8 +2,9 @@
 
 A word is a maximal run of bytes other than space and tab to carriage return;
 all of these are single bytes in UTF-8, so no text has to be decoded. Hashes
-are polynomials over the bytes modulo 2**64, taken from running sums, so the
-work per byte does not depend on the number or length of words.
+are polynomials over the bytes modulo the prime 2**61 - 1, taken from running
+sums, so the work per byte does not depend on the number or length of words.
+(Modulo a power of two there are words that collide for every base.)
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from rowhaul.llm.rolling import BASES, PRIME, inverse, powers, reduced, shifted32, times
+
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
 _U = np.uint64
-_MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 1
+_BASE = 0x9E3779B97F4A7C15
 _BLOCK = 1 << 19
 
 
@@ -31,51 +33,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
-_POWERS: list[np.ndarray] = []
-
-
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse up to one block."""
-    if not _POWERS:
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(_BLOCK + 1, base, np.uint64)
-            p[0] = 1
-            _POWERS.append(np.multiply.accumulate(p))
-    return _POWERS[0], _POWERS[1]
-
-
-def _long_hash(data: np.ndarray) -> int:
-    up, _ = _powers()
-    total, step = 0, pow(_BASE, _BLOCK, 1 << 64)
+def _long_hash(data: np.ndarray, base: int) -> int:
+    up = powers(base, _BLOCK + 1)
+    total, step = 0, pow(base, _BLOCK, PRIME)
     for k, at in enumerate(range(0, len(data), _BLOCK)):
-        part = _BYTE[data[at : at + _BLOCK]]
-        total += int((part * up[: len(part)]).sum()) * pow(step, k, 1 << 64)
-    return total & _MASK
+        part = data[at : at + _BLOCK].astype(np.uint64) + _U(1)
+        low, high = (int((part * x[: len(part)]).sum()) for x in (up & _U(0xFFFFFFFF), up >> _U(32)))
+        total += (low + (high << 32)) * pow(step, k, PRIME)
+    return total % PRIME
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every byte span; spans are ordered and do not overlap.
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
+    """A 64-bit hash of every byte span; spans are ordered and do not overlap. Lanes are hashes of their own.
 
     Spans are taken a block at a time, so memory stays bounded for any text.
     """
-    out = np.empty(len(starts), np.uint64)
-    up, down = _powers()
+    out, base = np.empty(len(starts), np.uint64), BASES[lane]
+    up, down = powers(base, _BLOCK + 1), powers(inverse(base), _BLOCK + 1)
+    low, high = up & _U(0xFFFFFFFF), up >> _U(32)
     i = 0
     while i < len(starts):
         at = int(starts[i])
         j = int(np.searchsorted(ends, at + _BLOCK, side="right"))
         if j <= i:
-            out[i] = _long_hash(data[at : int(ends[i])])
+            out[i] = _long_hash(data[at : int(ends[i])], base)
             i += 1
             continue
-        part = _BYTE[data[at : int(ends[j - 1])]]
-        part *= up[: len(part)]
-        sums = np.empty(len(part) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(part, out=sums[1:])
+        part = data[at : int(ends[j - 1])].astype(np.uint64) + _U(1)
         s, e = starts[i:j] - at, ends[i:j] - at
-        out[i:j] = (sums[e] - sums[s]) * down[s]
+        halves = []
+        for power in (low, high):
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(part * power[: len(part)], out=sums[1:])
+            halves.append(reduced(sums[e] - sums[s]))
+        out[i:j] = times(reduced(halves[0] + shifted32(halves[1])), down[s])
         i = j
     return mix(out + (ends - starts).astype(np.uint64) * _U(0xA0761D6478BD642F))
 
@@ -114,13 +105,13 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self, lower: bool = False) -> np.ndarray:
+    def hashes(self, lower: bool = False, lane: int = 0) -> np.ndarray:
         data = self.data
         if lower:
             table = np.arange(256, dtype=np.uint8)
             table[65:91] += 32
             data = table[data]
-        return span_hashes(data, self.starts, self.ends)
+        return span_hashes(data, self.starts, self.ends, lane)
 
     def text_of(self) -> np.ndarray:
         """The text each word belongs to."""
