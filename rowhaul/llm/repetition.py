@@ -5,6 +5,8 @@ the measure is how many characters of the text lie inside them, and inside
 lines that were seen before. Of two to four words, which any text repeats, only
 the one n-gram that covers most counts. One pass over each text, no shuffle.
 
+Symbols are counted and reported, but are no part of the verdict.
+
 Defined results: a null or empty text has no words, so it fails the word
 minimum; equal rows give equal results; an input column named like a result
 column is replaced by the result; an empty table gives an empty table.
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from rowhaul.llm.frames import map_batches
-from rowhaul.llm.words import Words, buffer_of, covered, window_hashes, windows_within
+from rowhaul.llm.words import Words, covered, window_hashes, windows_within
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -31,8 +33,6 @@ SINGLE = {2: 0.20, 3: 0.18, 4: 0.16}
 FREQUENT = 3
 #: Largest share of characters in lines seen before.
 LINE_COVERAGE = 0.30
-#: Most symbols for each word.
-SYMBOLS_PER_WORD = 0.25
 
 RESULT = [
     T.StructField("n_words", T.LongType()), T.StructField("word_chars", T.LongType()), T.StructField("n_symbols", T.LongType()),
@@ -118,7 +118,7 @@ def measure(column) -> pa.RecordBatch:
     code_points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80, dtype=np.int64)])
     line_share = lines[:, 1] / np.maximum(np.diff(code_points[words.offsets]), 1)
     base_failed = (n_words < 10) | (100 * n_repeat > 20 * n_words)
-    kept = ~(base_failed | failed | (line_share > LINE_COVERAGE) | (n_symbols > SYMBOLS_PER_WORD * n_words))
+    kept = ~(base_failed | failed | (line_share > LINE_COVERAGE))
     return pa.RecordBatch.from_arrays(
         [pa.array(x) for x in (n_words, word_chars, n_symbols, lines[:, 0], n_repeat, base_failed, kept, shares, line_share)], names=[f.name for f in RESULT]
     )
