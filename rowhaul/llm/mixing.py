@@ -3,11 +3,13 @@
 Each document draws an exponential key whose rate is its quality weight; in key
 order a source's documents are a weighted sample without replacement. A
 source's target is met by complete epochs first, then by the documents whose
-running size, in key order, fits what is left. Keys come from a hash of the id,
-the text and a seed, so reruns agree.
+running size, in key order, fits what is left; a document larger than what is
+left is passed over. Keys come from a hash of the id, the text and a seed, so
+reruns agree.
 
-All of it is DataFrame expressions. Sizes are summed for each source and key
-part before any shuffle; only the part of a source in which its budget ends is
+All of it is DataFrame expressions. Texts are read once; sizes and keys are
+written to the shared folder. Sizes are summed for each source and key part
+before any shuffle; only the part of a source in which its budget ends is
 ordered, so a source with most of the rows is no one task's load.
 
 Defined results: a null text has size 0; documents of size 0 are taken 0 words;
@@ -21,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowhaul.llm.select import within_budget
+from rowhaul.llm.frames import written
+from rowhaul.llm.select import fill_budget
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -71,11 +74,12 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     uniform = (F.shiftrightunsigned("draw", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     weight = quality_weight(F.col("chars"), F.col("size"))
     # an exponential key of rate w, mapped in order to 0..1
-    keyed = docs.withColumn("key", 1 - F.exp(F.log(uniform) / weight / 4)).drop("draw", "chars")
-    goals = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")))
+    keyed = written(docs.withColumn("key", 1 - F.exp(F.log(uniform) / weight / 4)).drop("draw", "chars").withColumn("row", F.monotonically_increasing_id()), "keys")
+    goals = targets(keyed.groupBy("source").agg(F.sum("size").alias("source_size")))
     goals = goals.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + F.lit(1e-12))).otherwise(F.lit(0)))
     goals = goals.withColumn("budget", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size")))
-    picked = within_budget(keyed, goals, "source", "key", "size", ["doc_id", "tie"])
+    goals = written(goals, "goals")
+    picked = fill_budget(keyed, goals, "source", "key", "size", ["doc_id", "tie"], "row")
     g = goals.select(F.col("source").alias("_source"), "source_size", "target", "epochs")
     times = F.when(F.col("size") > 0, F.col("epochs") + F.when(F.col("picked") & (F.col("epochs") < EPOCHS), 1).otherwise(0)).otherwise(F.lit(0))
     return (
@@ -92,8 +96,8 @@ def apply_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     rows = df.withColumn("_hash", F.xxhash64(F.col(text), F.lit(seed + 1))).join(
         taken, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_tie")) & F.col(source).eqNullSafe(F.col("_source"))
     )
-    # equal rows share what they are taken together; the first ones get the rest
-    several = Window.partitionBy("_id", "_tie", "_source").orderBy(F.lit(0))
+    # equal rows share what they are taken together; the first ones, by their other columns, get the rest
+    several = Window.partitionBy("_id", "_tie", "_source").orderBy(F.xxhash64(F.to_json(F.struct(*(F.col(c) for c in df.columns)))))
     alone = rows.where("_rows = 1").withColumn("_n", F.col("_times"))
     shared = rows.where("_rows > 1").withColumn("_rank", F.row_number().over(several))
     shared = shared.withColumn("_n", F.floor(F.col("_times") / F.col("_rows")) + (F.col("_rank") <= F.col("_times") % F.col("_rows")).cast("long"))
