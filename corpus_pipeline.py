@@ -26,16 +26,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of five-word shingles at 0.8 or more connect; documents without an id stay."""
+    """One document of each group that links of five-word shingles at 0.8 or more connect: the one with the least id.
+
+    Rows with one id are one document: they stay or go together, unlike texts
+    all of them. Of rows with one id and one text the least by the other columns,
+    compared in order, stays. Documents without an id stay.
+    """
     found = near_duplicates(docs, n=5, num=80, den=100)
     first = found.where("doc_id = component_id").select("doc_id").distinct().withColumnRenamed("doc_id", "_id")
     named = docs.where("doc_id IS NOT NULL")
-    # rows with one id are one document; the least text of them stands for it
     several = named.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select(F.col("doc_id").alias("_several"))
     kept = named.join(first, F.col("doc_id") == F.col("_id"), "left_semi")
     single = kept.join(several, F.col("doc_id") == F.col("_several"), "left_anti")
-    repeated = kept.join(several, F.col("doc_id") == F.col("_several"), "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    repeated = kept.join(several, F.col("doc_id") == F.col("_several"), "left_semi")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = repeated.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_"), *others)).alias("_least"))
+    once = least.select(*(c if c in ("doc_id", "text") else F.col(f"_least.{c}").alias(c) for c in docs.columns))
+    return single.unionByName(once).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
