@@ -43,29 +43,6 @@ def one_record(parsed: str, line: str) -> Column:
     return F.expr(f"CASE WHEN size({p}) = 1 AND {closed} THEN {p}[0] END")
 
 
-def parse_array(text: str) -> Column:
-    """First step of reading a file that is one JSON array: the arrays of the text, null when it is no JSON."""
-    return F.expr(f"from_json(concat('[', {quoted(text)}, ']'), 'array<array<map<string,variant>>>', {_OPTIONS_SQL})")
-
-
-def one_array(parsed: str, text: str) -> Column:
-    """Second step: the array of a text that is exactly one array of objects, else null."""
-    x, p = quoted(text), quoted(parsed)
-    closed = f"(NOT rlike({x}, r'\\]\\s*\\]') OR size(json_object_keys(concat('{{\"r\":', {x}, '}}'))) = 1)"
-    return F.expr(f"CASE WHEN size({p}) = 1 AND {closed} THEN {p}[0] END")
-
-
-# Layouts of an array whose line breaks fall between its elements: brackets and commas around a line's elements.
-def array_line_sql(line: str) -> tuple[str, str, str]:
-    """Leading punctuation, elements text and trailing punctuation of one line, as SQL over the trimmed line."""
-    body = f"trim({quoted(line)})"
-    lead = f"CASE WHEN startswith({body}, '[') THEN '[' WHEN startswith({body}, ',') THEN ',' ELSE '' END"
-    rest = f"trim(if({lead} = '', {body}, substr({body}, 2)))"
-    trail = f"CASE WHEN endswith({rest}, ']') THEN ']' WHEN endswith({rest}, ',') THEN ',' ELSE '' END"
-    elements = f"trim(if({trail} = '', {rest}, substr({rest}, 1, length({rest}) - 1)))"
-    return lead, elements, trail
-
-
 def is_blank(line: str) -> Column:
     """No character but white space, as Unicode defines it."""
     return F.expr(rf"NOT rlike({quoted(line)}, r'(?U)\S')")

@@ -1,137 +1,75 @@
-"""CSV records that span lines, read in parallel.
-
-A file block knows whether it starts inside a quoted field once the quotes
-before it are counted (one count per block). With that, every task cuts its
-own lines into records; only the pieces of a record that crosses a block edge
-are brought together.
-"""
+"""CSV records that are not one line each."""
 
 from __future__ import annotations
 
 import csv
 import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-
-HEAD, TAIL, MIDDLE = 1, 2, 3  # end of a record, start of one, a whole block inside one
-PIECES = "file string, block long, part int, text string"
-
-
-def text_lines(spark: SparkSession, path, separator: str = "\n") -> DataFrame:
-    """Lines ended by one separator only, with the file block each belongs to."""
-    return spark.read.option("lineSep", separator).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.col("_metadata.file_block_length").alias("length"), "value",
-    )
-
 
-def open_blocks(blocks: list[tuple[str, int, int, int]]) -> dict[tuple[str, int, int], bool]:
-    """Whether each block starts inside a quoted field, from (file, block, length, quotes) of all blocks."""
-    state, quotes, last = {}, 0, None
-    for file, block, length, count in sorted(blocks):
-        quotes = 0 if file != last else quotes
-        state[(file, block, length)] = bool(quotes % 2)
-        quotes, last = quotes + count, file
-    return state
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rowhaul.functions.text import literal
+from rowhaul.sources.pieces import joined_records, read_pieces
 
-def spanning_records(spark: SparkSession, path, state: dict, separator: str = "\n") -> DataFrame:
-    """All records but the header of each file, as a ``fields`` array."""
-    lines = text_lines(spark, path, separator)
-    shared = spark.sparkContext.broadcast(state)
+#: Reading rules that Spark's CSV parser gets, whether it takes files or single records (fixed values).
+PARSER = {
+    "quote": '"', "escape": '"', "nullValue": "\u0000", "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, block, first, texts, _ in _cut(batches, shared.value, separator):
-            rows = split_fields(texts)
-            yield _fields(rows[1:] if block == 0 and first and rows else rows)
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for file, block, _, _, parts in _cut(batches, shared.value, separator):
-            if parts:
-                kinds, texts = zip(*parts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([file] * len(parts)), pa.array([block] * len(parts), pa.int64()), pa.array(kinds, pa.int32()), pa.array(texts)],
-                    ["file", "block", "part", "text"],
-                )
+def quote_flips(value: Column) -> Column:
+    """Whether a line changes from outside quotes to inside or back."""
+    return (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _fields(split_fields(batch.column("text").to_pylist()))
 
-    order = Window.partitionBy("file").orderBy("block", "part")
-    edges = lines.mapInArrow(pieces, PIECES).withColumn("record", F.sum((F.col("part") == TAIL).cast("int")).over(order))
-    whole = edges.groupBy("file", "record").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "part", "text"))), lambda p: p["text"]), separator).alias("text")
+def _at_returns(text: str) -> str:
+    """Records of a text that ends outside quotes, as SQL: a CR outside quotes also ends one."""
+    runs = f"split({text}, '\"', -1)"
+    cut = "split(element_at(runs, i + 1), '\\r', -1)"
+    step = (
+        "CASE WHEN i % 2 = 1 THEN named_struct('done', a.done, 'open', concat(a.open, '\"', element_at(runs, i + 1), '\"')) "
+        f"WHEN size({cut}) = 1 THEN named_struct('done', a.done, 'open', concat(a.open, element_at(runs, i + 1))) "
+        f"ELSE named_struct('done', concat(a.done, array(concat(a.open, {cut}[0])), slice({cut}, 2, size({cut}) - 2)), 'open', element_at({cut}, -1)) END"
     )
-    return lines.mapInArrow(records, "fields array<string>").unionByName(
-        whole.select("text").mapInArrow(joined, "fields array<string>")
+    # what follows the last CR is empty when the line ended in CR LF
+    finish = "a -> CASE WHEN a.open = '' AND size(a.done) > 0 THEN a.done ELSE concat(a.done, array(a.open)) END"
+    start = "named_struct('done', CAST(array() AS array<string>), 'open', '')"
+    many = f"aggregate(sequence(0, size({runs}) - 1), {start}, (a, i) -> {step.replace('runs', runs)}, {finish})"
+    return (
+        f"CASE WHEN NOT contains({text}, '\\r') THEN array({text}) "
+        f"WHEN instr({text}, '\\r') = length({text}) THEN array(substr({text}, 1, length({text}) - 1)) ELSE {many} END"
     )
 
 
-def _fields(rows: list[list[str]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["fields"])
-
-
-def _cut(batches: Iterator[pa.RecordBatch], state: dict, separator: str):
-    """Per run of one block's lines: (file, block, whether it begins the block, whole record texts, edge pieces)."""
-    key, inside, edge, held = None, False, False, []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        names = batch.column("file").dictionary_encode()
-        file_at, blocks = names.indices.to_numpy(), batch.column("block").to_numpy()
-        changes = np.flatnonzero((file_at[1:] != file_at[:-1]) | (blocks[1:] != blocks[:-1])) + 1
-        for lo, hi in zip([0, *changes], [*changes, batch.num_rows]):
-            this = (names.dictionary[int(file_at[lo])].as_py(), int(blocks[lo]), batch.column("length")[int(lo)].as_py())
-            first = this != key
-            if first:
-                if key is not None and inside:
-                    yield key[0], key[1], False, [], [(MIDDLE if edge else TAIL, separator.join(held))]
-                if this not in state:
-                    raise RuntimeError("the file splits changed between two passes; keep the session's split settings")
-                key, inside, held = this, state[this], []
-                edge = inside  # what comes first ends a record of an earlier block
-            texts, parts = [], []
-            for line in batch.column("value")[int(lo):int(hi)].to_pylist():
-                odd = line.count('"') % 2 == 1
-                if inside:
-                    held.append(line)
-                    if odd:
-                        text = separator.join(held)
-                        parts.append((HEAD, text)) if edge else texts.append(text)
-                        inside, edge, held = False, False, []
-                elif odd:
-                    inside, held = True, [line]
-                else:
-                    texts.append(line)
-            yield key[0], key[1], first, texts, parts
-    if key is not None and inside:
-        yield key[0], key[1], False, [], [(MIDDLE if edge else TAIL, separator.join(held))]
-
-
-def split_fields(texts: list[str]) -> list[list[str]]:
-    """Fields of whole record texts; a CR outside quotes also ends a record."""
+def _ragged(width: int) -> str:
+    """Error text for a record, as SQL: how many fields it has by its commas outside quotes."""
+    outside = "filter(split(record, '\"', -1), (x, i) -> i % 2 = 0)"
+    fields = f"aggregate({outside}, 1, (n, x) -> n + length(x) - length(replace(x, ',', '')))"
+    return f"concat(file, ': a record needs {width} fields but has ', {fields}, CASE WHEN trim(record) = '' THEN ' on a blank line' ELSE '' END)"
+
+
+def record_fields(spark: SparkSession, path, header: list[str], separator: str = "\n") -> DataFrame:
+    """Fields ``c0``, ``c1``, ... of all records but the header of each file, which must be ``header``."""
+    pieces, width = read_pieces(spark, path, separator), len(header)
+    texts = joined_records(pieces, quote_flips(F.col("value")), separator)
+    plain = texts.withColumn("text", F.when(F.col("number") == 1, F.expr("ltrim('\\uFEFF', text)")).otherwise(F.col("text")))
+    each = plain.select("file", "number", F.posexplode(F.expr(_at_returns("text"))).alias("place", "record"))
+    names = [f"c{i}" for i in range(width)]
+    schema = ", ".join([*(f"{n} string" for n in names), "_bad string"])
+    parsed = each.withColumn("fields", F.from_csv("record", schema, {**PARSER, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    bad = F.expr(f"raise_error({_ragged(width)})").cast("string")
+    # An empty text is one empty field; the parser has none for it.
+    empty = F.col("record") == ""
+    wrong = (empty & F.lit(width > 1)) | (~empty & F.col("fields._bad").isNotNull())
+    first = F.when(wrong, bad).when(empty, F.lit("")).otherwise(F.coalesce("fields.c0", F.lit("")))
+    texts = parsed.select("file", "number", "place", first.alias("c0"), *(F.coalesce(f"fields.{n}", F.lit("")).alias(n) for n in names[1:]))
+    same = F.expr(" AND ".join(f"c{i} = {literal(h)}" for i, h in enumerate(header)))
+    other = F.raise_error(F.concat("file", F.lit(": the CSV files do not share one header"))).cast("boolean")
+    is_header = (F.col("number") == 1) & (F.col("place") == 0)
+    return texts.where(F.when(is_header, F.when(same, F.lit(False)).otherwise(other)).otherwise(F.lit(True))).select(*names)
+
+
+def split_header(text: str) -> list[str]:
+    """Fields of one record text."""
     csv.field_size_limit(sys.maxsize)
-    lines = []
-    for text in texts:
-        if "\r" in text:
-            lines.extend(_at_returns(text))
-        else:
-            lines.append(text)
-    # The reader skips nothing: an empty line is a record of one empty field.
-    return [row or [""] for row in csv.reader(lines)]
-
-
-def _at_returns(text: str) -> list[str]:
-    out, held, odd = [], [], False
-    for part in text.split("\r"):
-        held.append(part)
-        odd ^= part.count('"') % 2 == 1
-        if not odd:
-            out.append("\r".join(held))
-            held = []
-    # What follows the last CR is empty when the line ended in CR LF.
-    return out[:-1] if len(out) > 1 and out[-1] == "" else out
+    return next(csv.reader([text], strict=False), [""])

@@ -3,26 +3,23 @@
 Every scan fixes its schema from the first record, then reads the whole input
 with it; each further record must have the same names in the same order. A
 folder is the concatenation of its files in name order. JSON Lines and
-Extended JSON split at any line and CSV at any
-record; JSON arrays do when no record holds a line break, and are read by one
-task per file otherwise.
+Extended JSON split at any line, CSV and JSON arrays at any record.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from typing import NamedTuple
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from rowhaul import storage
 from rowhaul.functions.json import (
-    DATE, RECORD, array_line_sql, decode, first_value_field, is_blank, number_digits_sql, one_array, one_record, parse_array, parse_line, tagged, type_tag,
+    DATE, RECORD, decode, first_value_field, is_blank, number_digits_sql, one_record, parse_line, tagged, type_tag,
 )
 from rowhaul.functions.text import csv_unescape_sql
 from rowhaul.operators.schema import check_names
-from rowhaul.sources.csv_records import open_blocks, spanning_records, split_fields, text_lines
+from rowhaul.sources.csv_records import PARSER, quote_flips, record_fields, split_header
+from rowhaul.sources.pieces import joined_records, read_pieces
 from rowhaul.types import DECIMAL_SCALE, JSON_NUMBER, decimal_type, logical
 
 MAX_RECORD_BYTES = 4 * 1024 * 1024
@@ -229,118 +226,96 @@ def jsonl_violations(
     )
 
 
-def _whole_arrays(spark: SparkSession, path) -> DataFrame:
-    """Elements of files read as one text each: one task per file, for records that span lines."""
-    scan = spark.read.text(path, wholetext=True)
-    files = scan.select("value", F.col("_metadata.file_path").alias("file"), parse_array("value").alias("parsed"))
-    where = F.col("file")
-    records = (
-        F.when(~F.is_valid_utf8("value"), _stop(F.lit("invalid UTF-8"), where).cast(T.ArrayType(RECORD)))
-        .otherwise(F.coalesce(one_array("parsed", "value"), _stop(F.lit("invalid JSON array"), where).cast(T.ArrayType(RECORD))))
-    )
-    return files.select(F.explode(records).alias("record"), where)
+SPACES = " \\t\\r\\n"
 
 
-def _array_lines(spark: SparkSession, path) -> DataFrame:
-    valid = F.when(F.is_valid_utf8("value"), ~is_blank("value")).otherwise(_stop(F.lit("invalid UTF-8"), F.col("file")).cast("boolean"))
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seen"), "value",
-    ).where(valid)
-    lead, elements, trail = array_line_sql("value")
-    return lines.select("file", "block", "seen", F.expr(lead).alias("lead"), F.expr(trail).alias("trail"), F.expr(elements).alias("elements"))
+def _unescaped(value: Column) -> Column:
+    """A text without its escaped backslashes and escaped quotes."""
+    return F.replace(F.replace(value, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
 
 
-def _breaks_between_elements(spark: SparkSession, path) -> bool:
-    """Whether every file is one array whose line breaks fall between elements, so that lines can be read apart.
+def _string_flips(value: Column) -> Column:
+    """Whether a piece of JSON text changes from outside strings to inside or back."""
+    bare = _unescaped(value)
+    return (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))) % 2
 
-    Brackets stand first and last, each line holds whole elements, and commas
-    all lead or all trail. Counts per file block, then per file.
-    """
-    lines = _array_lines(spark, path)
-    # Text that closes the added bracket itself cannot also close an added brace.
-    held = F.expr(
-        "coalesce(CASE WHEN NOT contains(elements, ']') OR size(json_object_keys(concat('{\"r\":[', elements, ']}'))) = 1 "
-        "THEN json_array_length(concat('[', elements, ']')) END, -1)"
-    )
-    marked = lines.select("file", "block", "seen", "lead", "trail", held.alias("held"))
 
-    def place(condition: Column) -> Column:
-        return F.when(condition, F.col("seen"))
-
-    record, lead, trail = F.col("held") > 0, F.col("lead"), F.col("trail")
-    blocks = marked.groupBy("file", "block").agg(
-        F.count_if(record).alias("records"), F.count_if(F.col("held") < 0).alias("broken"),
-        F.count_if(lead == "[").alias("opened"), F.count_if(trail == "]").alias("closed"),
-        F.count_if(lead == ",").alias("leading"), F.count_if(trail == ",").alias("trailing"),
-        F.count_if(~record & ((lead == ",") | (trail == ","))).alias("stray"),
-        F.min("seen").alias("first"), F.max("seen").alias("last"),
-        F.min(place(lead == "[")).alias("open_at"), F.max(place(trail == "]")).alias("close_at"),
-        F.min(place(record)).alias("first_record"), F.max(place(record)).alias("last_record"),
-        F.min(place(lead == ",")).alias("first_leading"), F.max(place(trail == ",")).alias("last_trailing"),
-    )
+class _ArrayShape(NamedTuple):
+    joined: bool  # whether some string holds a closing brace
+    first: str | None  # the first file with elements
 
-    def least(name: str) -> Column:
-        return F.min(F.when(F.col(name).isNotNull(), F.struct("block", name)))
 
-    def most(name: str) -> Column:
-        return F.max(F.when(F.col(name).isNotNull(), F.struct("block", name)))
+def _array_shape(spark: SparkSession, path) -> _ArrayShape:
+    """One pass over the text, without a parse: do closing braces end elements, and are files whole arrays if so.
 
-    counts = ("records", "broken", "opened", "closed", "leading", "trailing", "stray")
-    files = blocks.groupBy("file").agg(
-        *[F.sum(c).alias(c) for c in counts],
-        (least("first") == least("open_at")).alias("opens"), (most("last") == most("close_at")).alias("closes"),
-        (least("first_record") == least("first_leading")).alias("comma_first"),
-        (most("last_record") == most("last_trailing")).alias("comma_last"),
+    An element is an object of scalars, so it ends at its only closing brace
+    outside strings. Counts per file block, then per file.
+    """
+    pieces = read_pieces(spark, path, "}")
+    kind = _piece_kind("value")
+    marked = pieces.select("file", "block", "seen", _string_flips(F.col("value")).alias("flips"), F.expr(kind).alias("kind"), (~F.is_valid_utf8("value")).cast("int").alias("invalid"))
+    blocks = marked.groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("flips").alias("flips"), F.max("invalid").alias("invalid"), F.count_if(F.col("kind") == "more").alias("more"),
+        F.min_by("kind", "seen").alias("first"), F.max_by("kind", "seen").alias("last"),
     )
-    commas = (
-        (F.col("records") == 0)
-        | ((F.col("trailing") == 0) & (F.col("leading") == F.col("records") - 1) & ~F.coalesce("comma_first", F.lit(False)))
-        | ((F.col("leading") == 0) & (F.col("trailing") == F.col("records") - 1) & ~F.coalesce("comma_last", F.lit(False)))
+    files = blocks.groupBy("file").agg(
+        F.sum("n").alias("n"), F.sum("flips").alias("flips"), F.max("invalid").alias("invalid"), F.sum("more").alias("more"),
+        F.min_by("first", "block").alias("first"), F.max_by("last", "block").alias("last"),
     )
-    fine = (
-        (F.col("broken") == 0) & (F.col("stray") == 0) & (F.col("opened") == 1) & (F.col("closed") == 1)
-        & F.coalesce("opens", F.lit(False)) & F.coalesce("closes", F.lit(False)) & commas
+    whole = ((F.col("first") == "open") & (F.col("last") == "close") & (F.col("more") == F.col("n") - 2)) | ((F.col("n") == 1) & (F.col("first") == "empty"))
+    row = files.agg(
+        F.count(F.lit(1)).alias("files"), F.sum("flips").alias("flips"), F.min(F.when(F.col("invalid") == 1, F.col("file"))).alias("invalid"),
+        F.min(F.when(~F.coalesce(whole, F.lit(False)), F.col("file"))).alias("broken"), F.min(F.when(F.col("n") > 1, F.col("file"))).alias("first"),
+    ).first()
+    if row.invalid:
+        raise ValueError(f"invalid UTF-8 in {row.invalid}")
+    if row.files and not row.flips and row.broken:
+        raise ValueError(f"invalid JSON array in {row.broken}")
+    return _ArrayShape(bool(row.flips), row.first)
+
+
+def _piece_kind(value: str) -> str:
+    """What a piece between closing braces is, as SQL: the array's opening, a further element, its close, an empty array, or null."""
+    body = f"trim(BOTH '{SPACES}' FROM ltrim('\\uFEFF', {value}))"
+    return (
+        f"CASE WHEN startswith({body}, ',') THEN 'more' WHEN {body} = ']' THEN 'close' "
+        f"WHEN startswith({body}, '[') THEN if(rlike({body}, r'^\\[[ \\t\\r\\n]*\\]$'), 'empty', 'open') END"
     )
-    row = files.agg(F.count(F.lit(1)).alias("files"), F.count_if(~fine).alias("other")).first()
-    return row.files > 0 and row.other == 0
 
 
-def _split_arrays(spark: SparkSession, path) -> DataFrame:
-    """Elements of arrays whose line breaks fall between elements; splits at any line."""
-    where = F.col("file")
-    parsed = _array_lines(spark, path).where("elements <> ''").select("file", "elements", parse_line("elements").alias("parsed"))
-    stop = _stop(F.lit("invalid JSON array"), where).cast(T.ArrayType(RECORD))
-    return parsed.select(F.explode(F.coalesce("parsed", stop)).alias("record"), where)
+def _array_elements(spark: SparkSession, path, joined: bool) -> DataFrame:
+    """(record, file, leads) of every element; read by as many tasks as the files have splits, however they are laid out."""
+    pieces, where = read_pieces(spark, path, "}"), F.col("file")
+    if joined:
+        texts = joined_records(pieces, _string_flips(F.col("value")), "}").withColumnRenamed("text", "value")
+        kind = F.expr(_piece_kind("value"))
+        wanted = F.when(F.col("total") == 1, "empty").when(F.col("number") == 1, "open").when(F.col("number") == F.col("total"), "close").otherwise("more")
+        fits = F.when(F.coalesce(kind == wanted, F.lit(False)), kind.isin("open", "more")).otherwise(_stop(F.lit("invalid JSON array"), where).cast("boolean"))
+        texts = texts.where(fits)
+    else:
+        texts = pieces.where(F.expr(_piece_kind("value")).isin("open", "more"))
+    body = f"trim(BOTH '{SPACES}' FROM ltrim('\\uFEFF', value))"
+    elements = texts.select("file", F.expr(f"startswith({body}, '[')").alias("leads"), F.expr(f"concat(substr({body}, 2), '}}')").alias("element"))
+    parsed = elements.select("file", "leads", "element", parse_line("element").alias("parsed"))
+    stop = _stop(F.lit("invalid JSON array or a record that is no object"), where).cast(RECORD)
+    return parsed.select(F.coalesce(one_record("parsed", "element"), stop).alias("record"), "file", "leads")
 
 
 def read_json_array(
     spark: SparkSession, path, schema: T.StructType | None = None, decimal_scale: int | None = None
 ) -> DataFrame:
-    """Files that each hold one JSON array of objects.
-
-    Arrays with line breaks between their elements only, as the sink here
-    writes them, are split by lines; any other layout takes one task per file.
-    """
-    if _breaks_between_elements(spark, path):
-        elements = _split_arrays
-    else:
-        elements = _whole_arrays
+    """Files that each hold one JSON array of objects, laid out in any way: they split at any closing brace."""
+    shape = _array_shape(spark, path)
     if schema is None:
-        fields = None
-        for file in _files(spark.read.text(path)):
-            records = elements(spark, file)
-            stop = F.raise_error(F.lit(f"{file}: an array element is not an object")).cast(RECORD)
-            fields = _first_fields(records.select(F.coalesce("record", stop).alias("record")), False, DECIMAL_SCALE if decimal_scale is None else decimal_scale)
-            if fields is not None:
-                break
-        if fields is None:
+        if shape.first is None:
             raise _no_records()
+        first = _array_elements(spark, shape.first, shape.joined).where("leads").select("record")
+        fields = _first_fields(first, False, DECIMAL_SCALE if decimal_scale is None else decimal_scale)
         if decimal_scale is None:
-            fields = _with_scales(_array_values(elements(spark, path), fields), fields, False)
+            fields = _with_scales(_array_values(_array_elements(spark, path, shape.joined), fields), fields, False)
     else:
         fields = schema.fields
-    return _select_values(_array_values(elements(spark, path), fields), fields, False)
+    return _select_values(_array_values(_array_elements(spark, path, shape.joined), fields), fields, False)
 
 
 def _array_values(elements: DataFrame, fields: list[T.StructField]) -> DataFrame:
@@ -361,76 +336,60 @@ def _array_values(elements: DataFrame, fields: list[T.StructField]) -> DataFrame
 # --- CSV ------------------------------------------------------------------
 
 
-def _csv_reader(spark: SparkSession):
-    return spark.read.options(
-        header=True, quote='"', escape='"', nullValue="\u0000", mode="FAILFAST", columnPruning=False,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
-
-
 class _Shape(NamedTuple):
-    state: dict | None  # when some line is not one record: which blocks start inside quotes
+    spans: bool  # some line is not one record
     blank: str | None  # a file with a blank line
     separator: str
+    lines: int
+    files: int
 
 
 def _csv_shape(spark: SparkSession, path, separator: str = "\n") -> _Shape:
-    """One pass over the text; tells how its records lie over lines and file blocks.
+    """One pass over the text; tells how its records lie over lines.
 
-    Stops on invalid UTF-8, on an open quote at the end of a file and on files whose header lines differ.
+    Stops on invalid UTF-8, on an open quote at the end of a file and, when each
+    line is a record, on files whose header lines differ.
     """
     value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
     inner_return = (F.instr(value, "\r") > 0) & (F.instr(value, "\r") < F.length(value))
-    head = F.when(F.col("block") == 0, F.monotonically_increasing_id())
-    lines = text_lines(spark, path, separator).select(
-        "file", "block", "length", quotes.alias("quotes"), head.alias("head"), F.contains(value, F.lit("\r")).cast("int").alias("returns"),
-        ((quotes % 2 == 1) | inner_return).cast("int").alias("spans"),
-        F.xxhash64(F.rtrim(value, F.lit("\r"))).alias("text"), (~F.is_valid_utf8(value)).cast("int").alias("invalid"),
-        (~value.rlike(r"[^\x00-\x20]") & (value != "\n")).cast("int").alias("blank"),
+    head = F.when(F.col("block") == 0, F.col("seen"))
+    lines = read_pieces(spark, path, separator).select(
+        "file", "block", quote_flips(value).alias("flips"), head.alias("head"), F.contains(value, F.lit("\r")).cast("int").alias("returns"),
+        inner_return.cast("int").alias("inner"), F.ltrim(F.rtrim(value, F.lit("\r")), F.lit("\uFEFF")).alias("text"),
+        (~F.is_valid_utf8(value)).cast("int").alias("invalid"), (~value.rlike(r"[^\x00-\x20]") & (value != "\n")).cast("int").alias("blank"),
     )
-    folder = storage.new_folder(spark, "blocks")
-    lines.groupBy("file", "block", "length").agg(
-        F.sum("quotes").alias("quotes"), F.max("spans").alias("spans"), F.max("invalid").alias("invalid"),
-        F.min_by("text", "head").alias("header"), F.max("returns").alias("returns"), F.count(F.lit(1)).alias("lines"),
-        F.max("blank").alias("blank"),
-    ).write.parquet(folder)
-    blocks = spark.read.parquet(folder)
-    files = blocks.groupBy("file").agg(
-        F.sum("quotes").alias("quotes"), F.max("spans").alias("spans"), F.max("invalid").alias("invalid"),
-        F.max("header").alias("header"), F.max("returns").alias("returns"), F.sum("lines").alias("lines"), F.max("blank").alias("blank"),
+    spans = F.max(F.greatest("flips", "inner")).alias("spans")
+    files = lines.groupBy("file").agg(
+        F.sum("flips").alias("flips"), spans, F.max("invalid").alias("invalid"), F.min_by("text", "head").alias("header"),
+        F.max("returns").alias("returns"), F.count(F.lit(1)).alias("lines"), F.max("blank").alias("blank"),
     )
     row = files.agg(
-        F.max("spans").alias("spans"), F.max("returns").alias("returns"), F.max("lines").alias("lines"),
+        F.max("spans").alias("spans"), F.max("returns").alias("returns"), F.max("lines").alias("longest"), F.sum("lines").alias("lines"), F.count(F.lit(1)).alias("files"),
         F.min(F.when(F.col("invalid") == 1, F.col("file"))).alias("invalid"),
-        F.min(F.when(F.col("quotes") % 2 == 1, F.col("file"))).alias("open"),
+        F.min(F.when(F.col("flips") % 2 == 1, F.col("file"))).alias("open"),
         F.min(F.when(F.col("blank") == 1, F.col("file"))).alias("blank"),
         (F.min("header") != F.max("header")).alias("mixed"),
     ).first()
     if row.spans is None:
         raise _no_records()
-    if row.returns and row.lines == 1 and separator == "\n":
+    if row.returns and row.longest == 1 and separator == "\n":
         return _csv_shape(spark, path, "\r")  # lines end in CR alone
     if row.invalid:
         raise ValueError(f"invalid UTF-8 in {row.invalid}")
     if row.open:
         raise ValueError(f"{row.open}: a quote opened here is never closed")
-    if row.mixed:
+    if row.mixed and not row.spans:
         raise ValueError("the CSV files do not share one header")
-    if not row.spans:
-        return _Shape(None, row.blank, separator)
-    # One small row per file block, as Spark's own list of splits has it.
-    state = open_blocks([tuple(b) for b in blocks.select("file", "block", "length", "quotes").collect()])
-    return _Shape(state, row.blank, separator)
+    return _Shape(bool(row.spans), row.blank, separator, row.lines, row.files)
 
 
-def _csv_header(spark: SparkSession, file: str) -> list[str]:
-    """Header names of a file: its first record, which seldom takes more than one line."""
-    text = ""
+def _csv_header(spark: SparkSession, file: str) -> tuple[list[str], int]:
+    """Header names of a file, its first record, and how many lines it takes: seldom more than one."""
+    lines: list[str] = []
     for line in spark.read.text(file).toLocalIterator():
-        text = f"{text}\n{line.value}" if text else line.value
-        if text.count('"') % 2 == 0:
-            return check_names(split_fields([text])[0], "CSV headers")
+        lines.append(line.value)
+        if sum(x.count('"') for x in lines) % 2 == 0:
+            return check_names(split_header("\n".join(lines)), "CSV headers"), len(lines)
     raise _no_records()
 
 
@@ -441,67 +400,26 @@ def read_csv(spark: SparkSession, path, names: list[str] | None = None) -> DataF
     unterminated quote, invalid UTF-8 and an input without a record fail. All
     files must share one header. A first pass over the text makes the checks
     that need all of it and tells whether each line is one record. If so, Spark's
-    reader takes them; if not, records are cut block by block. How large the
-    files or their splits are does not matter.
+    reader takes them; if not, records are put together from their lines block by
+    block, and parsed by the same rules. How large the files or their splits are
+    does not matter.
     """
     shape = _csv_shape(spark, path)
     files = _files(spark.read.text(path))
-    if not files:
-        raise _no_records()
-    header = _csv_header(spark, files[0])
+    header, header_lines = _csv_header(spark, files[0])
     if names is not None and names != header:
         raise ValueError("the CSV header differs from the expected names")
-    if shape.state:
-        texts = _cut_records(spark, path, shape, header)
-    elif len(header) == 1:
-        texts = _one_column(spark, path)
+    if shape.lines <= shape.files * header_lines and not shape.separator == "\r":
+        raise _no_records()
+    if shape.spans or len(header) == 1:
+        texts = record_fields(spark, path, header, shape.separator)
     elif shape.blank:
         # Spark's reader would skip it.
         raise ValueError(f"{shape.blank}: a record needs {len(header)} fields but has 1 on a blank line")
     else:
         raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-        scan = _csv_reader(spark).schema(raw).option("enforceSchema", True).csv(path)
+        options = {**PARSER, "multiLine": "false", "header": "true", "mode": "FAILFAST", "columnPruning": "false", "enforceSchema": "true"}
+        scan = spark.read.options(**options).schema(raw).csv(path)
         # Two steps: null to empty text first, then the escape rule over a plain column.
         texts = scan.select(*[F.coalesce(f"c{i}", F.lit("")).alias(f"c{i}") for i in range(len(header))])
-    records = texts.select(*[F.expr(csv_unescape_sql(f"c{i}")).alias(name) for i, name in enumerate(header)])
-    if records.isEmpty():
-        raise _no_records()
-    return records
-
-
-def _cut_records(spark: SparkSession, path, shape: _Shape, header: list[str]) -> DataFrame:
-    """Records that are not one line each."""
-    fields = F.col("fields")
-    width = F.when(F.size(fields) == len(header), fields).otherwise(
-        F.raise_error(F.concat(F.lit(f"a record needs {len(header)} fields but has "), F.size(fields).cast("string"))).cast("array<string>")
-    )
-    checked = spanning_records(spark, path, shape.state, shape.separator).select(width.alias("fields"))
-    return checked.select(*[F.get("fields", F.lit(i)).alias(f"c{i}") for i in range(len(header))])
-
-
-def _without_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop the first line of every file: lines of one file block arrive together and in order."""
-    last = None
-    for batch in batches:
-        start, file = batch.column("block"), batch.column("file")
-        keep = []
-        for at, name in zip(start.to_pylist(), file.to_pylist()):
-            keep.append(at != 0 or (at, name) == last)
-            last = (at, name)
-        yield batch.filter(pa.array(keep, pa.bool_()))
-
-
-def _one_column(spark: SparkSession, path) -> DataFrame:
-    """One-column CSV: an empty line is an empty string, which the CSV reader would drop."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-    )
-    body = lines.mapInArrow(_without_headers, lines.schema)
-    value = F.col("value")
-    inner = F.replace(F.regexp_replace(value, r'^"|"$', ""), F.lit('""'), F.lit('"'))
-    outside = F.regexp_replace(value, r'^"[^"]*(""[^"]*)*"', "")
-    ragged = F.raise_error(F.concat(F.col("file"), F.lit(": a record needs 1 fields but has more")))
-    text = F.when(value.startswith('"'), F.when(outside == "", inner).otherwise(ragged)).when(
-        value.contains(","), ragged
-    ).otherwise(value)
-    return body.select(text.alias("c0"))
+    return texts.select(*[F.expr(csv_unescape_sql(f"c{i}")).alias(name) for i, name in enumerate(header)])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from conftest import rows
 from rowhaul.sinks.files import FORMATS, write_records
-from rowhaul.sources.files import _breaks_between_elements, jsonl_violations, read_csv, read_json_array, read_jsonl, read_records
+from rowhaul.sources.files import jsonl_violations, read_csv, read_json_array, read_jsonl, read_records
 
 AWKWARD = [
     (1, None), (2, ""), (3, "\\N"), (4, "\\\\N"), (5, " leading and trailing "), (6, "a,b"), (7, 'say "hi"'), (8, "two\nlines"),
@@ -244,11 +244,6 @@ def test_array_layouts(spark, tmp_path, text):
     assert sorted(int(r.v) for r in read_json_array(spark, _file(tmp_path, text)).collect()) == [1, 2, 3]
 
 
-def test_which_array_layouts_split(spark, tmp_path):
-    split = [_breaks_between_elements(spark, _file(tmp_path, t, str(i))) for i, t in enumerate(ARRAY_LAYOUTS)]
-    assert split == [True, True, True, True, True, False]
-
-
 @pytest.mark.parametrize("text", [
     '[\n{"v":1},\n,{"v":2}\n]', '[\n{"v":1}\n{"v":2}\n]', '[\n{"v":1},\n{"v":2},\n]', '[\n,{"v":1}\n]', '{"v":1},\n{"v":2}]',
     '[{"v":1}\n]\n[{"v":2}]', '[{"v":1},\n{"v":2}', '[{"v":1}\n,{"v":2},\n{"v":3}\n{"v":4}]', '[{"v":[1}\n,{"v":2]}]', '[{"v":1}]\n]',
@@ -360,6 +355,60 @@ def test_csv_of_a_header_alone_has_no_records(spark, tmp_path):
         read_csv(spark, _file(tmp_path, "a,b\n"))
 
 
+def test_csv_headers_of_many_lines_are_compared_whole(spark, tmp_path):
+    _file(tmp_path, '"h\nx",b\n1,2\n', "1.csv")
+    _file(tmp_path, '"h\ny",c\n3,4\n', "2.csv")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+def test_csv_plans_stay_in_the_jvm(spark, tmp_path):
+    for text in ('a,b\n1,"x\ny"\n', "a\n1\n\n", "a,b\n1,2\n"):
+        plan = read_csv(spark, _file(tmp_path, text))._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "MapInArrow" not in plan
+
+
+def _small_splits(spark, size, act):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        return act()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize(("size", "indent"), [(60, None), (300, 1), (100_000, 4)])
+def test_arrays_split_anywhere(spark, tmp_path, size, indent):
+    """Strings with braces, quotes and backslashes, cut by file blocks of any size, in any layout."""
+    import json
+
+    texts = ["plain", "a}b", "}", '"', 'x"}', "\\", '\\"}', "[{", "],", "日本}語", "line\nbreak }{", ""]
+    records = [{"id": k, "t": texts[k % len(texts)] * (1 + k % 3), "u": None if k % 5 else texts[k % 7]} for k in range(150)]
+    for name, part in (("a", records[:90]), ("b", records[90:]), ("c", [])):
+        _file(tmp_path, ("\ufeff" if name == "b" else "") + json.dumps(part, indent=indent, ensure_ascii=False), name)
+    got = _small_splits(spark, size, lambda: sorted((int(r.id), r.t, r.u) for r in read_json_array(spark, str(tmp_path)).collect()))
+    assert got == [(r["id"], r["t"], r["u"]) for r in records]
+
+
+@pytest.mark.parametrize("text", [
+    '[{"a":"}"},{"a":"x"}', '[{"a":"}"}] tail', '{"a":"}"}', '[{"a":"}"},,{"a":"x"}]', '[{"a":"}"}{"a":"x"}]', '[{"a":"}"},]', '[{"a":"}"}]]', '[{"a":"}}]', '[{"a":{"b":"}"}}]',
+    '[{"a":"}"},{"b":"x"}]', '[{"a":"\\}"}]',
+])
+def test_broken_arrays_with_braces_in_strings(spark, tmp_path, text):
+    for size in (8, 100_000):
+        with pytest.raises(Exception):
+            _small_splits(spark, size, lambda: read_json_array(spark, _file(tmp_path, text)).collect())
+
+
+def test_one_indented_array_is_read_by_many_tasks(spark, tmp_path):
+    import json
+
+    path = _file(tmp_path, json.dumps([{"id": k, "t": "}" if k == 7 else "x"} for k in range(5000)], indent=2))
+    df, n = _small_splits(spark, 20_000, lambda: ((d := read_json_array(spark, path)), d.select(F.sum("id")).first()[0]))
+    assert n == 5000 * 4999 // 2 and spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions() >= 1
+    assert _small_splits(spark, 20_000, lambda: spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions()) > 4
+
+
 @pytest.mark.parametrize("layout", ["jsonl", "json"])
 def test_numbers_get_the_scale_they_need(spark, tmp_path, layout):
     texts = ["1", "61548.321800000005", "0.1234567890123", "1.5E-11", "-2.50E3", "null"]
