@@ -11,6 +11,8 @@ from rowhaul.functions.text import quoted, value_text
 from rowhaul.types import decimal_type, logical
 
 OBJECT_ID = "$oid"
+# Wrappers of canonical documents only (fixed values).
+NUMBER_INT, NUMBER_DOUBLE = "$numberInt", "$numberDouble"
 
 # Date or date-time text in the extended ISO form, offset optional.
 _JSON_DATE = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d{1,7})?)?(Z|[+-]\d{2}:\d{2})?)?$"
@@ -39,17 +41,24 @@ def json_value(value: Column, dates: bool = True) -> Column:
 
 
 def bson_value(value: Column) -> Column:
-    """Typing on read from a collection of Extended JSON documents: object ids and nested values become text, wrappers native."""
+    """Typing on read from a collection of Extended JSON documents, relaxed or canonical: object ids and nested values become text, wrappers native."""
     tag = type_tag(value)
 
     def inner(name: str) -> Column:
         return F.try_variant_get(value, f'$["{name}"]', "string")
 
+    def deep(name: str, part: str) -> Column:
+        return F.try_variant_get(value, f'$["{name}"]["{part}"]', "string")
+
     exact = inner(NUMBER_DECIMAL).try_cast(decimal_type(18).simpleString())
     return (
         F.when(tag == "VOID", F.lit(None).cast(T.VariantType()))
         .when(tag == wrapper_tag(OBJECT_ID), _variant(inner(OBJECT_ID)))
         .when(tag == wrapper_tag(NUMBER_LONG), _variant(inner(NUMBER_LONG).try_cast("bigint")))
+        .when(tag == wrapper_tag(NUMBER_INT), _variant(inner(NUMBER_INT).try_cast("int")))
+        .when(tag == wrapper_tag(NUMBER_DOUBLE), _variant(inner(NUMBER_DOUBLE).try_cast("double")))
+        .when(tag == _nested_tag(DATE, NUMBER_LONG), _variant(F.timestamp_millis(deep(DATE, NUMBER_LONG).try_cast("bigint"))))
+        .when(tag == _nested_tag(BINARY, "base64", "subType"), _variant(F.try_to_binary(deep(BINARY, "base64"), F.lit("base64"))))
         .when((tag == wrapper_tag(NUMBER_DECIMAL)) & exact.isNotNull(), _variant(exact))
         .when(tag == wrapper_tag(DATE), _variant(inner(DATE).try_cast("timestamp")))
         .when(tag == wrapper_tag(WRAPPED_UUID), _variant(inner(WRAPPED_UUID)))
@@ -59,6 +68,12 @@ def bson_value(value: Column) -> Column:
     )
 
 
+def _nested_tag(name: str, *fields: str) -> str:
+    """Type text of a wrapper that holds an object of texts."""
+    named = [f"`{f}`: STRING" if f.startswith("$") else f"{f}: STRING" for f in fields]
+    return f"OBJECT<`{name}`: OBJECT<{', '.join(named)}>>"
+
+
 def to_bson(field: T.StructField) -> Column:
     """Document value for a column: text that holds a JSON object or array becomes nested, instants become UTC dates, null is kept."""
     column, data_type = F.col(quoted(field.name)), field.dataType

@@ -10,7 +10,7 @@ are lost on the way.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
@@ -28,10 +28,11 @@ BATCH_ROWS = 1000
 MAX_BATCH_BYTES = 4 * 1024 * 1024
 CHUNK_ROWS = 100
 
+ROW = "_row"
 POSITION = "_position"
 BATCH = "_batch"
 BYTES = "_bytes"
-_ROW = "_row"
+_ROW = ROW
 _ARRIVAL = "_arrival"
 _SEGMENT = "_segment"
 RESERVED = (POSITION, BATCH, BYTES, _ROW, _ARRIVAL, _SEGMENT)
@@ -88,6 +89,14 @@ class NumberedRows:
             )
         )
 
+    def row_at(self, position: int) -> int:
+        """A number that the row ids of all rows before ``position`` are below, and no others."""
+        before, low = 0, 0
+        for part, count, _ in self.parts:
+            if position <= before + count:
+                return (part << _LOCAL_BITS) + position - before
+            before, low = before + count, (part << _LOCAL_BITS) + count
+        return low
 
     def between(self, first: int, end: int) -> DataFrame:
         """The original columns of the rows at positions ``first`` to ``end - 1``, reading only their files."""
@@ -113,6 +122,7 @@ def number_rows(
     size: Column | None = None,
     folder: str | None = None,
     finished: bool = False,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
 ) -> NumberedRows:
     """Fix the order of ``df`` and number its rows.
 
@@ -121,6 +131,7 @@ def number_rows(
     key; without it rows of equal keys keep their arrival order, and their
     arrival number also spreads a frequent key over many tasks. ``finished``
     says that ``folder`` holds the copy already; the source is not read then.
+    ``shape`` turns the rows into what is written, keeping the size column.
     """
     spark = df.sparkSession
     clash = [c for c in df.columns if c in RESERVED]
@@ -138,6 +149,7 @@ def number_rows(
                 work = spark.read.parquet(arrival)
                 keys = [*keys, F.col(_ARRIVAL)]
             work = work.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(_ARRIVAL)
+        work = shape(work) if shape else work
         work.withColumn(_ROW, F.monotonically_increasing_id()).write.mode("overwrite").parquet(folder)
         if arrival:
             storage.delete(spark, arrival)

@@ -82,6 +82,8 @@ def _convert(value, kind: pa.DataType):
             return None
         if pa.types.is_boolean(kind) and not isinstance(value, bool):
             return {"true": True, "false": False}[value.strip().lower()] if isinstance(value, str) else bool(value)
+        if pa.types.is_integer(kind) and isinstance(value, bool):
+            return int(value)
         if pa.types.is_integer(kind) and not isinstance(value, int):
             whole = Decimal(str(value))
             if whole != whole.to_integral_value():

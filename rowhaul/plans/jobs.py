@@ -16,7 +16,8 @@ from rowhaul.operators.batching import (
 from rowhaul.operators.schema import map_columns, nullable
 from rowhaul.operators.transform import limit_record_bytes
 from rowhaul.plans.checkpoint import CheckpointStore, TransferCheckpoint, plan_fingerprint
-from rowhaul.plans.results import TransferResult
+from rowhaul.plans.results import PROGRESS_INTERVAL, Progress, ProgressReports, TransferResult, WriteStatus
+from rowhaul.sinks.committed import StagedRows
 from rowhaul.sinks.files import write_records
 from rowhaul.sources.files import read_records
 from rowhaul.sources.query import sql_query
@@ -70,7 +71,7 @@ def import_records(
     spark: SparkSession, path, format: str, sink, transform: Transform | None = None,
     mapping: Mapping[str, str] | None = None, create_table: bool = False, transaction: str = "batch",
     batch_rows: int = BATCH_ROWS, max_batch_bytes: int = MAX_BATCH_BYTES,
-    batches_per_commit: int | None = None, read_options: Mapping | None = None,
+    batches_per_commit: int | None = None, read_options: Mapping | None = None, **reporting,
 ) -> TransferResult:
     """File to table: parse, transform, rename, write. Imports cannot resume."""
     options = dict(read_options or {})
@@ -79,7 +80,7 @@ def import_records(
     df = _transformed(read_records(spark, path, format, **options), transform, max_batch_bytes)
     return load(
         df, sink, mapping, create_table, transaction, batch_rows, max_batch_bytes,
-        batches_per_commit=batches_per_commit, source="file",
+        batches_per_commit=batches_per_commit, source="file", **reporting,
     )
 
 
@@ -87,12 +88,12 @@ def copy(
     spark: SparkSession, query: str, sink, mapping: Mapping[str, str] | None = None, create_table: bool = False,
     transaction: str = "batch", batch_rows: int = BATCH_ROWS, max_batch_bytes: int = MAX_BATCH_BYTES,
     order_by: list[str] | None = None, unique_order: bool = False,
-    checkpoint: str | None = None, resume: bool = False, batches_per_commit: int | None = None,
+    checkpoint: str | None = None, resume: bool = False, batches_per_commit: int | None = None, **reporting,
 ) -> TransferResult:
     """Query to table, restartable with ``checkpoint``."""
     return load(
         sql_query(spark, query), sink, mapping, create_table, transaction, batch_rows, max_batch_bytes,
-        order_by, unique_order, checkpoint, resume, batches_per_commit, plan={"query": query},
+        order_by, unique_order, checkpoint, resume, batches_per_commit, plan={"query": query}, **reporting,
     )
 
 
@@ -101,7 +102,8 @@ def load(
     transaction: str = "batch", batch_rows: int = BATCH_ROWS, max_batch_bytes: int = MAX_BATCH_BYTES,
     order_by: list[str] | None = None, unique_order: bool = False,
     checkpoint: str | None = None, resume: bool = False, batches_per_commit: int | None = None,
-    plan: Mapping | None = None, source: str = "sql",
+    plan: Mapping | None = None, source: str = "sql", progress: Callable[[Progress], None] | None = None,
+    progress_interval: int = PROGRESS_INTERVAL, stop_after: int | None = None, errors: str = "raise",
 ) -> TransferResult:
     """Write ``df`` to a sink under a transaction scope.
 
@@ -109,9 +111,18 @@ def load(
     shows whole or not at all. ``batch`` numbers the rows and commits
     ``batches_per_commit`` batches at a time, in order; with a checkpoint a
     failed run resumes after the last commit, from the numbered copy the first
-    attempt made.
+    attempt made. Without one, a sink that can stage rows gets them in one write,
+    and commits only say how far they count.
+
+    ``progress`` is called after commits that pass a multiple of
+    ``progress_interval`` rows; ``stop_after`` ends the run after so many commits,
+    for a later resume. With ``errors="result"`` a commit that fails ends the run
+    with a result that says so and what was written; else the error is raised.
     """
     spark = df.sparkSession
+    if errors not in ("raise", "result"):
+        raise ValueError(f"errors must be 'raise' or 'result', not '{errors}'")
+    reports = ProgressReports(progress, progress_interval)
     _check_scope(sink, transaction, checkpoint, resume)
     renamed = map_columns(df, mapping, sink.case_sensitive)
     sink.validate(renamed.schema)
@@ -131,28 +142,68 @@ def load(
         counted, seen = _counted(reject_oversize(renamed, max_batch_bytes, source))
         sink.write(counted, uuid.uuid4().hex)
         sink.complete()
+        reports.after(seen.get["rows"])
         return TransferResult(seen.get["rows"], seen.get["rows"])
 
+    sizes, numbering = record_bytes(df, source), {"order_by": order_by, "unique_order": unique_order}
+    if store is None and getattr(sink, "stage", None):
+        run = uuid.uuid4().hex
+        try:
+            numbered = sink.stage(df, run, lambda rows: map_columns(rows, mapping, sink.case_sensitive), size=sizes, **numbering)
+            ranges = _commit_ranges(numbered, batch_rows, max_batch_bytes, batches_per_commit)
+        except Exception:
+            sink.drop_staged(run)
+            raise
+
+        def staged(first: int, end: int) -> StagedRows:
+            return StagedRows(run, None if end == numbered.total else numbered.row_at(end))
+
+        return _committed(sink, ranges, lambda batch: f"{batch:012d}", staged, numbered.total, reports, stop_after, errors)
     rows_folder = f"{checkpoint}.rows" if checkpoint else storage.new_folder(spark, "rows")
     if checkpoint and done is None:
         storage.delete(spark, rows_folder)
     if done and done.copy != _copy_of(spark, rows_folder):
         raise ValueError(f"the rows numbered by the first attempt are not all in {rows_folder} any more; start the transfer anew")
-    numbered = number_rows(df, order_by, unique_order, record_bytes(df, source), rows_folder, finished=done is not None)
+    numbered = number_rows(df, size=sizes, folder=rows_folder, finished=done is not None, **numbering)
     copied = _copy_of(spark, rows_folder) if store else ""
     run = fingerprint[:16] if checkpoint else uuid.uuid4().hex
-    for batch, first, end_batch, end in _commit_ranges(numbered, batch_rows, max_batch_bytes, batches_per_commit):
-        if done and end_batch <= done.batches:
-            continue
-        part = map_columns(numbered.between(first, end), mapping, sink.case_sensitive)
-        sink.write(part, f"{run}-{batch:012d}", {"first_batch": batch, "end_batch": end_batch, "rows": end - first})
+    ranges = [r for r in _commit_ranges(numbered, batch_rows, max_batch_bytes, batches_per_commit) if not done or r[2] > done.batches]
+
+    def part(first: int, end: int) -> DataFrame:
+        return map_columns(numbered.between(first, end), mapping, sink.case_sensitive)
+
+    def mark(end_batch: int, end: int) -> None:
         if store:
             store.save(TransferCheckpoint(end_batch, end, copied, fingerprint))
-    sink.complete()
-    if store:
-        store.delete()
-    storage.delete(spark, rows_folder)
-    return TransferResult(numbered.total, numbered.total)
+
+    result = _committed(sink, ranges, lambda batch: f"{run}-{batch:012d}", part, numbered.total, reports, stop_after, errors, mark)
+    if result.status == WriteStatus.SUCCEEDED and result.written == numbered.total:
+        if store:
+            store.delete()
+        storage.delete(spark, rows_folder)
+    return result
+
+
+def _committed(
+    sink, ranges: list, name: Callable[[int], str], part: Callable, total: int, reports: ProgressReports,
+    stop_after: int | None, errors: str, mark: Callable[[int, int], None] = lambda end_batch, end: None,
+) -> TransferResult:
+    """Commit stretches of rows one after another; the first that fails ends the run."""
+    written = ranges[0][1] if ranges else total
+    reports.written = written
+    for batch, first, end_batch, end in ranges[:stop_after]:
+        try:
+            sink.write(part(first, end), name(batch), {"first_batch": batch, "end_batch": end_batch, "rows": end - first})
+        except Exception as error:
+            if errors == "raise":
+                raise
+            return TransferResult(end, written, WriteStatus.FAILED, f"{type(error).__name__}: {error}"[:1000])
+        mark(end_batch, end)
+        written = end
+        reports.after(written)
+    if written == total:
+        sink.complete()
+    return TransferResult(written, written)
 
 
 def _copy_of(spark: SparkSession, folder: str) -> str:

@@ -24,10 +24,9 @@ from rowhaul.operators.batching import (
 from rowhaul.operators.schema import key_nulls, map_columns
 from rowhaul.operators.transform import json_bytes, transform_batches, transform_columns, transform_records
 from rowhaul.plans.jobs import copy, exec_query, export_records, import_records, load
-from rowhaul.plans.results import transfer_progress, transfer_result
 from rowhaul.sinks.collections import DocumentCollection, key_conflicts
 from rowhaul.sinks.committed import CommittedTable
-from rowhaul.sinks.files import json_lines
+from rowhaul.sinks.files import json_lines, write_records
 from rowhaul.sources.documents import document_scan, first_document_names
 from rowhaul.sources.files import jsonl_violations, read_records
 from rowhaul.sources.query import register_tables, sql_query
@@ -96,12 +95,11 @@ def sql_query_join(spark, sf_dir):
 
 @_query("""
 SELECT l_orderkey AS "OrderId", l_partkey, l_suppkey, l_linenumber AS "Line", l_returnflag, l_linestatus,
-       l_shipdate AS "ShippedOn" FROM lineitem
+       l_shipdate AS "ShippedOn", l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
 """)
 def map_columns_lineitem(spark, sf_dir):
-    lines = _read(spark, sf_dir, "lineitem").drop("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     return map_columns(
-        lines, {"L_ORDERKEY": "OrderId", "l_linenumber": "Line", "L_ShipDate": "ShippedOn", "absent": "Ignored"}
+        _read(spark, sf_dir, "lineitem"), {"L_ORDERKEY": "OrderId", "l_linenumber": "Line", "L_ShipDate": "ShippedOn", "absent": "Ignored"}
     )
 
 
@@ -129,11 +127,20 @@ def csv_round_trip(spark, sf_dir):
     return read_records(spark, folder, "csv")
 
 
-@_query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, CAST(n_chars AS VARCHAR) AS n_chars FROM documents")
+@_query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents")
 def csv_round_trip_documents(spark, sf_dir):
     _tables(spark, sf_dir, "documents")
     folder = storage.new_folder(spark, "csv")
-    exec_query(spark, "SELECT doc_id, text, lang, n_chars FROM documents", folder, "csv")
+    exec_query(spark, "SELECT doc_id, text, lang, source, n_chars FROM documents", folder, "csv")
+    return read_records(spark, folder, "csv")
+
+
+@_query("SELECT CAST(page_id AS VARCHAR) AS page_id, url, html FROM pages")
+def csv_round_trip_pages(spark, sf_dir):
+    """Web pages: commas, quotes and line breaks in most records."""
+    _tables(spark, sf_dir, "pages")
+    folder = storage.new_folder(spark, "csv")
+    exec_query(spark, "SELECT * FROM pages", folder, "csv")
     return read_records(spark, folder, "csv")
 
 
@@ -158,12 +165,12 @@ def csv_encode(spark, sf_dir):
 # --- JSON -------------------------------------------------------------------
 
 _DOCUMENT_RECORDS = """
-SELECT doc_id, text, CASE WHEN n_chars > 500 THEN lang END AS lang, n_chars, n_chars % 2 = 0 AS even FROM documents
+SELECT doc_id, text, source, CASE WHEN n_chars > 500 THEN lang END AS lang, n_chars, n_chars % 2 = 0 AS even FROM documents
 """
 
 
 @_query(f"""
-SELECT CAST(doc_id AS DECIMAL(38,9)) AS doc_id, text, lang, CAST(n_chars AS DECIMAL(38,9)) AS n_chars, even
+SELECT CAST(doc_id AS DECIMAL(38,9)) AS doc_id, text, source, lang, CAST(n_chars AS DECIMAL(38,9)) AS n_chars, even
 FROM ({_DOCUMENT_RECORDS})
 """)
 def jsonl_round_trip(spark, sf_dir):
@@ -171,7 +178,7 @@ def jsonl_round_trip(spark, sf_dir):
     folder = storage.new_folder(spark, "jsonl")
     export_records(spark, _DOCUMENT_RECORDS, folder, "jsonl")
     return read_records(spark, folder, "jsonl", schema=T.StructType([
-        T.StructField("doc_id", T.DecimalType(38, 9)), T.StructField("text", T.StringType()),
+        T.StructField("doc_id", T.DecimalType(38, 9)), T.StructField("text", T.StringType()), T.StructField("source", T.StringType()),
         T.StructField("lang", T.StringType()), T.StructField("n_chars", T.DecimalType(38, 9)),
         T.StructField("even", T.BooleanType()),
     ]))
@@ -189,19 +196,37 @@ def jsonl_round_trip_doubles(spark, sf_dir):
 
 
 @_query("""
-SELECT CAST(o_orderkey AS DECIMAL(38,9)) AS o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(38,9)) AS price,
+SELECT CAST(o_orderkey AS DECIMAL(38,9)) AS o_orderkey, CAST(o_custkey AS DECIMAL(38,9)) AS o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(38,9)) AS price,
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate, o_orderpriority FROM orders
 """)
 def json_array_round_trip(spark, sf_dir):
     _tables(spark, sf_dir, "orders")
     folder = storage.new_folder(spark, "json")
     export_records(
-        spark, "SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(14,2)) AS price, o_orderdate, "
+        spark, "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(14,2)) AS price, o_orderdate, "
         "o_orderpriority FROM orders", folder, "json",
     )
     return read_records(spark, folder, "json")
 
 
+@_query("""
+SELECT CAST(doc_id AS DECIMAL(38,9)) AS doc_id, text, lang, source, CAST(n_chars AS DECIMAL(38,9)) AS n_chars FROM documents
+UNION ALL SELECT CAST(-1 - item_id AS DECIMAL(38,9)), text || ' {"}"} \\', NULL, '}', 0 FROM benchmark
+""")
+def json_array_indented(spark, sf_dir):
+    """Arrays with a line for each property, and strings that hold braces, quotes and backslashes."""
+    _tables(spark, sf_dir, "documents", "benchmark")
+    rows = sql_query(spark, r"""
+        SELECT doc_id, text, lang, source, n_chars FROM documents
+        UNION ALL SELECT -1 - item_id, concat(text, ' {"}"} \\'), NULL, '}', 0 FROM benchmark""")
+    # A file holds some hundred documents.
+    files = rows.groupBy(F.floor(F.col("doc_id") / 200).alias("file")).agg(F.sort_array(F.collect_list(F.struct(*rows.columns)), False).alias("records"))
+    folder = storage.new_folder(spark, "indented")
+    pretty = F.to_json("records", {"pretty": "true", "ignoreNullFields": "false"})
+    files.select("file", pretty.alias("value")).write.partitionBy("file").text(folder)
+    return read_records(spark, folder, "json")
+
+
 @_query("""
 SELECT p_partkey, '{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","p_size":' || p_size || ',"price":'
        || CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) || ',"none":null,"big":'
@@ -272,13 +297,13 @@ def extjson_round_trip(spark, sf_dir):
     return rows.withColumn("instant", F.col("instant").cast("timestamp_ntz")).withColumn("raw", F.col("raw").cast("string"))
 
 
-@_query("SELECT event_id, user_id, ts, event_type, CAST(value AS DECIMAL(38,9)) AS value FROM events")
+@_query("SELECT event_id, user_id, ts, event_type, CAST(value AS DECIMAL(38,9)) AS value, props FROM events")
 def import_extended_json(spark, sf_dir):
     """Schema from the first record, import into a table, read back."""
     _tables(spark, sf_dir, "events")
     folder, table = storage.new_folder(spark, "extjson"), CommittedTable(spark, storage.new_folder(spark, "table"))
     export_records(
-        spark, "SELECT event_id, user_id, ts, event_type, CAST(value AS DECIMAL(20,4)) AS value FROM events", folder, "extended-json"
+        spark, "SELECT event_id, user_id, ts, event_type, CAST(value AS DECIMAL(20,4)) AS value, props FROM events", folder, "extended-json"
     )
     import_records(spark, folder, "extended-json", table, create_table=True, batch_rows=500)
     return table.read()
@@ -311,21 +336,18 @@ def uniform_record_check(spark, sf_dir):
 
 
 @_query("""
-SELECT lang, count(*) AS n, count(*) FILTER (WHERE n_chars % 3 = 0) AS invalid FROM documents GROUP BY lang
+SELECT lang, 'invalid UTF-8' AS reason, count(*) AS n FROM documents WHERE n_chars % 3 = 0 GROUP BY lang
 """)
 def utf8_check(spark, sf_dir):
+    """Lines with bytes that are no UTF-8, as a scan of the files reports them."""
     docs = _read(spark, sf_dir, "documents")
-    damaged = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("C328")))
-    raw = F.when(F.col("n_chars") % 3 == 0, damaged).otherwise(F.encode("text", "UTF-8"))
+    line = F.to_json(F.struct("doc_id", "text"))
+    damaged = F.concat(F.encode(F.left(line, F.length(line) - 2), "UTF-8"), F.unhex(F.lit("C328227D")))
+    raw = F.when(F.col("n_chars") % 3 == 0, damaged).otherwise(F.encode(line, "UTF-8"))
     folder = storage.new_folder(spark, "utf8")
-    # One line per document; line breaks inside the text would split it.
-    docs.select(
-        "lang", F.replace(F.replace(raw.cast("string"), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" ")).alias("value")
-    ).write.partitionBy("lang").text(folder)
-    lines = spark.read.text(folder)
-    return lines.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(~F.is_valid_utf8("value")).alias("invalid")
-    )
+    docs.select("lang", raw.cast("string").alias("value")).write.partitionBy("lang").text(folder)
+    found = jsonl_violations(spark, folder, names=["doc_id", "text"])
+    return found.groupBy(F.regexp_extract("file", "lang=([^/]*)/", 1).alias("lang"), "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- documents --------------------------------------------------------------
@@ -406,7 +428,9 @@ def document_typing(spark, sf_dir):
 
 
 _BSON_VALUES = """
-SELECT event_id, concat('{"v":', CASE event_id % 6
+SELECT event_id, concat('{"v":', CASE event_id % 10
+  WHEN 6 THEN concat('{"$numberInt":"', event_id % 100, '"}') WHEN 7 THEN concat('{"$numberDouble":"', event_id % 100, '.5"}')
+  WHEN 8 THEN concat('{"$date":{"$numberLong":"', 1000 * event_id, '"}}') WHEN 9 THEN concat('{"$binary":{"base64":"', base64(CAST(event_type AS BINARY)), '","subType":"00"}}')
   WHEN 0 THEN concat('{"$oid":"', lpad(CAST(event_id AS STRING), 24, '0'), '"}')
   WHEN 1 THEN concat('{"$numberLong":"', user_id, '"}') WHEN 2 THEN props WHEN 3 THEN concat('[', user_id, ',1]')
   WHEN 4 THEN 'null' ELSE concat('"', event_type, '"') END, '}') AS value
@@ -415,16 +439,20 @@ FROM events
 
 
 @_query("""
-SELECT event_id, CASE event_id % 6 WHEN 0 THEN lpad(CAST(event_id AS VARCHAR), 24, '0') WHEN 1 THEN CAST(user_id AS VARCHAR)
+SELECT event_id, CASE event_id % 10 WHEN 6 THEN CAST(event_id % 100 AS VARCHAR) WHEN 7 THEN event_id % 100 || '.5' WHEN 8 THEN CAST(event_id AS VARCHAR) WHEN 9 THEN event_type WHEN 0 THEN lpad(CAST(event_id AS VARCHAR), 24, '0') WHEN 1 THEN CAST(user_id AS VARCHAR)
          WHEN 2 THEN replace(props, ' ', '') WHEN 3 THEN '[' || user_id || ',1]' WHEN 5 THEN event_type END AS v,
-       CASE event_id % 6 WHEN 1 THEN 'long' WHEN 4 THEN 'null' ELSE 'text' END AS kind
+       CASE event_id % 10 WHEN 1 THEN 'long' WHEN 4 THEN 'null' WHEN 6 THEN 'long' WHEN 7 THEN 'double' WHEN 8 THEN 'instant' WHEN 9 THEN 'binary' ELSE 'text' END AS kind
 FROM events
 """)
 def bson_read(spark, sf_dir):
     _tables(spark, sf_dir, "events")
     rows = sql_query(spark, _BSON_VALUES).select("event_id", F.try_variant_get(F.try_parse_json("value"), "$.v", "variant").alias("v"))
     value = rows.select("event_id", bson_value(F.col("v")).alias("v"))
-    return value.select("event_id", F.try_variant_get("v", "$", "string").alias("v"), kind(F.col("v")).alias("kind"))
+    what, text = kind(F.col("v")), F.try_variant_get("v", "$", "string")
+    text = F.when(what == "instant", F.unix_seconds(F.try_variant_get("v", "$", "timestamp")).cast("string")).when(
+        what == "binary", F.try_variant_get("v", "$", "binary").cast("string")
+    ).otherwise(text)
+    return value.select("event_id", text.alias("v"), what.alias("kind"))
 
 
 @_query("""
@@ -461,10 +489,12 @@ def table_normalise(spark, sf_dir):
     )
 
 
-_ORDER_DOCUMENTS = "SELECT CAST(o_orderkey AS STRING) AS id, o_custkey, o_orderstatus, o_orderdate FROM orders"
+_ORDER_DOCUMENTS = "SELECT CAST(o_orderkey AS STRING) AS id, o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders"
 
 
-@_query("SELECT CAST(o_orderkey AS VARCHAR) AS id, o_custkey, o_orderstatus FROM orders")
+@_query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderpriority FROM orders
+""")
 def insert_only_keyed(spark, sf_dir):
     """Two inserts into one collection, then a scan of it."""
     _tables(spark, sf_dir, "orders")
@@ -475,7 +505,40 @@ def insert_only_keyed(spark, sf_dir):
     return rows.select(
         F.try_variant_get("id", "$", "string").alias("id"), F.try_variant_get("o_custkey", "$", "bigint").alias("o_custkey"),
         F.try_variant_get("o_orderstatus", "$", "string").alias("o_orderstatus"),
+        F.date_format(F.to_utc_timestamp(F.try_variant_get("o_orderdate", "$", "timestamp"), F.current_timezone()), "yyyy-MM-dd").alias("day"),
+        F.try_variant_get("o_orderpriority", "$", "string").alias("o_orderpriority"),
+    )
+
+
+@_query("""
+SELECT c_custkey AS "_id", c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(14,2)) AS DECIMAL(38,18)) AS balance, c_mktsegment FROM customer
+""")
+def mongo_round_trip(spark, sf_dir):
+    """Insert into a collection keyed by _id, then scan it: decimals and longs come back as such."""
+    _tables(spark, sf_dir, "customer")
+    target = DocumentCollection(spark, storage.new_folder(spark, "collection"), "mongodb")
+    text = "SELECT c_custkey AS `_id`, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, CAST(c_acctbal AS DECIMAL(14,2)) AS balance, c_mktsegment FROM customer"
+    load(sql_query(spark, text), target, create_table=True, transaction="none")
+    rows = document_scan(target.documents(), store="mongodb", order_by=["_id"])
+    types = {"_id": "bigint", "c_name": "string", "c_nationkey": "bigint", "balance": "decimal(38,18)", "c_mktsegment": "string"}
+    return rows.select(*[F.try_variant_get(n, "$", t).alias(n) for n, t in types.items()])
+
+
+@_query("""
+SELECT r_name AS "PartitionKey", CAST(n_nationkey AS VARCHAR) AS "RowKey", n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey
+FROM nation JOIN region ON n_regionkey = r_regionkey
+""")
+def table_round_trip(spark, sf_dir):
+    """Entities into a table keyed by partition and row, then a scan of it, keys first; what the store owns is left out."""
+    _tables(spark, sf_dir, "nation", "region")
+    target = DocumentCollection(spark, storage.new_folder(spark, "collection"), "azure-table-storage")
+    text = (
+        "SELECT n_name, n_regionkey, 'mine' AS Timestamp, n_nationkey AS RowKey, r_name AS PartitionKey "
+        "FROM nation JOIN region ON n_regionkey = r_regionkey"
     )
+    load(sql_query(spark, text), target, create_table=True, transaction="none")
+    rows = document_scan(target.documents(), store="azure-table-storage", order_by=["PartitionKey", "RowKey"])
+    return rows.select(*[F.try_variant_get(n, "$", "bigint" if n == "n_regionkey" else "string").alias(n) for n in rows.columns])
 
 
 @_query("""
@@ -599,12 +662,12 @@ def partition_chunks_orders(spark, sf_dir):
 # --- record transforms ----------------------------------------------------------
 
 _UPPER = """
-SELECT c_custkey, upper(c_name) || '!' AS c_name, c_nationkey, c_mktsegment FROM customer
+SELECT c_custkey, upper(c_name) || '!' AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 """
 
 
 def _customers(spark, sf_dir):
-    return _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @_query(_UPPER)
@@ -631,6 +694,22 @@ def record_transform_python(spark, sf_dir):
     return transform_records(_customers(spark, sf_dir), shout, {"suffix": "!"})
 
 
+@_query("""
+SELECT c_custkey + 1 AS c_custkey, CAST(c_custkey AS VARCHAR) AS c_name, 1 AS c_nationkey, CAST(c_nationkey AS DOUBLE) AS c_acctbal,
+       CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment END AS c_mktsegment FROM customer
+""")
+def record_transform_converts(spark, sf_dir):
+    """What a transform puts into a record becomes the column's type again: text and fractions of nothing to numbers, numbers to text."""
+    def edit(record: dict, arguments) -> None:
+        nation = record["c_nationkey"]
+        record["c_name"], record["c_custkey"] = record["c_custkey"], f"{record['c_custkey'] + 1}.0"
+        record["c_nationkey"], record["c_acctbal"] = True if arguments["one"] else 0, nation
+        if nation % 2:
+            record["c_mktsegment"] = None
+
+    return transform_records(_customers(spark, sf_dir), edit, {"one": "1"})
+
+
 _RESPLIT_SQL = """
 WITH RECURSIVE sized AS (
   SELECT conv_id, turn, batch, row_number() OVER (PARTITION BY batch ORDER BY conv_id, turn) AS p, b FROM (
@@ -694,85 +773,70 @@ def lossless_integral(spark, sf_dir):
 # --- transfers -------------------------------------------------------------------
 
 
-@_query("SELECT event_id AS id, ts, user_id, event_type, props FROM events")
+@_query("SELECT event_id AS id, ts, user_id, event_type, props, value FROM events")
 def copy_batches(spark, sf_dir):
     """Batch commits into a new table, with renamed columns."""
     _tables(spark, sf_dir, "events")
     table = CommittedTable(spark, storage.new_folder(spark, "table"))
     batches = -(-_read(spark, sf_dir, "events").count() // 100)
     copy(
-        spark, "SELECT event_id, ts, user_id, event_type, props FROM events", table, mapping={"EVENT_ID": "id"}, create_table=True,
+        spark, "SELECT event_id, ts, user_id, event_type, props, value FROM events", table, mapping={"EVENT_ID": "id"}, create_table=True,
         order_by=["event_id"], unique_order=True, batch_rows=100, batches_per_commit=-(-batches // 8),
     )
     return table.read()
 
 
-@_query("SELECT doc_id, text, lang FROM documents")
+@_query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def copy_byte_batches(spark, sf_dir):
     _tables(spark, sf_dir, "documents")
     table = CommittedTable(spark, storage.new_folder(spark, "table"))
     copy(
-        spark, "SELECT doc_id, text, lang FROM documents", table, create_table=True, order_by=["doc_id"], unique_order=True,
+        spark, "SELECT doc_id, text, lang, source, n_chars FROM documents", table, create_table=True, order_by=["doc_id"], unique_order=True,
         batch_rows=500, max_batch_bytes=1_000_000,
     )
     return table.read()
 
 
-@_query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders")
+@_query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def copy_all(spark, sf_dir):
     """The whole transfer as one commit."""
     _tables(spark, sf_dir, "orders")
     table = CommittedTable(spark, storage.new_folder(spark, "table"))
     copy(
-        spark, "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders", table, create_table=True, transaction="all"
+        spark, "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders", table, create_table=True, transaction="all"
     )
     return table.read()
 
 
-class _Interrupted(Exception):
-    pass
-
-
-class _BreakingTable(CommittedTable):
-    """Refuses every write after the first two, as a lost connection would."""
-
-    accepted = 2
-
-    def write(self, df: DataFrame, commit: str, info: dict | None = None) -> None:
-        if self.accepted == 0:
-            raise _Interrupted
-        self.accepted -= 1
-        super().write(df, commit, info)
-
-
-def _interrupted_copy(spark, sf_dir):
+def _copy_in_two_runs(spark, sf_dir):
+    """A copy that stops after two commits, and another run that resumes it."""
     _tables(spark, sf_dir, "events")
-    path, marker = storage.new_folder(spark, "table"), storage.new_folder(spark, "checkpoint")
-    text = "SELECT event_id, ts, user_id, event_type, props FROM events"
+    table, marker = CommittedTable(spark, storage.new_folder(spark, "table")), storage.new_folder(spark, "checkpoint")
+    text = "SELECT event_id, ts, user_id, event_type, props, value FROM events"
     batches = -(-_read(spark, sf_dir, "events").count() // 100)
     options = dict(
         create_table=True, order_by=["event_id"], unique_order=True, checkpoint=marker, batch_rows=100,
         batches_per_commit=-(-batches // 5),
     )
-    try:
-        copy(spark, text, _BreakingTable(spark, path), **options)
-    except _Interrupted:
-        pass
-    table = CommittedTable(spark, path)
-    before = table.read().count()
-    result = copy(spark, text, table, resume=True, **options)
-    return table, result, before
+    first = copy(spark, text, table, stop_after=2, **options)
+    return table, first, copy(spark, text, table, resume=True, **options)
 
 
-@_query("SELECT event_id, ts, user_id, event_type, props FROM events")
+@_query("SELECT event_id, ts, user_id, event_type, props, value FROM events")
 def copy_resumed(spark, sf_dir):
-    """A copy that breaks after two commits and resumes; nothing is missing or doubled."""
-    return _interrupted_copy(spark, sf_dir)[0].read()
+    """Nothing is missing or doubled after a stop and a resume."""
+    return _copy_in_two_runs(spark, sf_dir)[0].read()
 
 
-@_query("SELECT count(*) AS read, count(*) AS written, 'Succeeded' AS status FROM events")
+@_query("""
+WITH sizes AS (SELECT count(*) AS n, 200 * ceil(ceil(count(*) / 100) / 5) AS two FROM events)
+SELECT 1 AS run, CAST(least(n, two) AS BIGINT) AS read, CAST(least(n, two) AS BIGINT) AS written, 'Succeeded' AS status FROM sizes
+UNION ALL SELECT 2, n, n, 'Succeeded' FROM sizes
+""")
 def resume_totals(spark, sf_dir):
-    return _interrupted_copy(spark, sf_dir)[1].frame(spark)
+    """Totals of a resumed run include the rows of the first."""
+    _, first, second = _copy_in_two_runs(spark, sf_dir)
+    return first.frame(spark).select(F.lit(1).alias("run"), "*").unionByName(second.frame(spark).select(F.lit(2).alias("run"), "*"))
 
 
 @_query("""
@@ -783,34 +847,42 @@ def resume_skip(spark, sf_dir):
     return batch_by_rows(numbered, 100).where(F.col(BATCH) >= 3).select("event_id", F.col(BATCH).alias("batch"))
 
 
-def _event_batches(spark, sf_dir, rows):
-    events = _read(spark, sf_dir, "events").select("event_id", "event_type")
-    return batch_table(number_rows(events, ["event_id"], unique_order=True), rows)
-
-
 @_query("""
-SELECT CAST(sum(n) AS BIGINT) AS read, CAST(sum(CASE WHEN batch = 7 THEN 40 ELSE n END) AS BIGINT) AS written, 'Failed' AS status
-FROM (SELECT batch, count(*) AS n FROM (SELECT (row_number() OVER (ORDER BY event_id) - 1) // 100 AS batch FROM events) GROUP BY batch)
-WHERE batch <= 7
+WITH sizes AS (
+  SELECT count(*) AS n, CAST(100 * ceil(ceil(count(*) / 100) / 8) AS BIGINT) AS c,
+         count(*) FILTER (WHERE event_id < (SELECT max(event_id) * 3 // 4 FROM events)) AS p FROM events)
+SELECT least(n, (p // c + 1) * c) AS read, p // c * c AS written, 'Failed' AS status FROM sizes
 """)
 def transfer_result_stopped(spark, sf_dir):
-    """Totals of a run whose eighth batch fails after 40 rows."""
-    batches = _event_batches(spark, sf_dir, 100)
-    failed = F.col("batch") == 7
-    return transfer_result(batches.select(
-        "batch", F.col("rows").alias("read"), F.when(failed, F.lit(40)).otherwise(F.col("rows")).alias("written"),
-        F.when(failed, "Failed").otherwise("Succeeded").alias("status"),
-    ))
+    """A copy in eight commits into a table of numbers, in which a text stands three quarters down: the commits before it stay."""
+    _tables(spark, sf_dir, "events")
+    table = CommittedTable(spark, storage.new_folder(spark, "table"))
+    copy(spark, "SELECT event_id, user_id FROM events WHERE false", table, create_table=True)
+    events = _read(spark, sf_dir, "events")
+    batches, bad = -(-events.count() // 100), events.agg(F.max("event_id")).first()[0] * 3 // 4
+    text = f"SELECT event_id, CASE WHEN event_id < {bad} THEN CAST(user_id AS STRING) ELSE event_type END AS user_id FROM events"
+    result = copy(
+        spark, text, table, order_by=["event_id"], unique_order=True, checkpoint=storage.new_folder(spark, "checkpoint"), batch_rows=100,
+        batches_per_commit=-(-batches // 8), errors="result",
+    )
+    return result.frame(spark)
 
 
 @_query("""
-SELECT batch, after AS read, after AS written FROM (
+SELECT after AS read, after AS written FROM (
   SELECT batch, min(p) AS before, max(p) + 1 AS after FROM (
     SELECT (row_number() OVER (ORDER BY event_id) - 1) AS p, (row_number() OVER (ORDER BY event_id) - 1) // 300 AS batch FROM events)
   GROUP BY batch) WHERE after // 1000 > before // 1000
 """)
 def transfer_progress_events(spark, sf_dir):
-    return transfer_progress(_event_batches(spark, sf_dir, 300), 1000)
+    """What a copy in commits of 300 rows reports at about every 1,000."""
+    _tables(spark, sf_dir, "events")
+    told = []
+    copy(
+        spark, "SELECT event_id, event_type FROM events", CommittedTable(spark, storage.new_folder(spark, "table")), create_table=True,
+        order_by=["event_id"], unique_order=True, batch_rows=100, batches_per_commit=3, progress=told.append, progress_interval=1000,
+    )
+    return spark.createDataFrame([(p.read, p.written) for p in told], "read long, written long")
 
 
 @_query("SELECT count(*) AS n, 0 AS out_of_order, 0 AS overlaps FROM orders")
@@ -857,7 +929,7 @@ def ordered_export_frequent_key(spark, sf_dir):
 def _incremental(spark, sf_dir, runs):
     _tables(spark, sf_dir, "events")
     folder, table = storage.new_folder(spark, "arriving"), CommittedTable(spark, storage.new_folder(spark, "table"))
-    text = "SELECT event_id, ts, user_id, event_type, props FROM events"
+    text = "SELECT event_id, ts, user_id, event_type, props, value FROM events"
     rows = sql_query(spark, text)
     json_lines(rows.repartition(8, "event_id"), extended=True).write.text(folder)
     stream = record_stream(spark, folder, "extended-json", rows.schema, max_files=3)
@@ -867,11 +939,22 @@ def _incremental(spark, sf_dir, runs):
     return table.read()
 
 
-@_query("SELECT event_id, ts, user_id, event_type, props FROM events")
+@_query("SELECT event_id, ts, user_id, event_type, props, value FROM events")
 def incremental_import(spark, sf_dir):
     return _incremental(spark, sf_dir, 1)
 
 
-@_query("SELECT event_id, ts, user_id, event_type, props FROM events")
+@_query("SELECT event_id, ts, user_id, event_type, props, value FROM events")
 def incremental_import_repeated(spark, sf_dir):
     return _incremental(spark, sf_dir, 2)
+
+
+@_query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents")
+def incremental_import_csv(spark, sf_dir):
+    """CSV files with records of many lines, taken in steps of three files."""
+    docs = _read(spark, sf_dir, "documents")
+    folder, table = storage.new_folder(spark, "arriving"), CommittedTable(spark, storage.new_folder(spark, "table"))
+    write_records(docs.repartition(8, "doc_id"), folder, "csv")
+    stream = record_stream(spark, folder, "csv", docs.schema, max_files=3)
+    start_import(stream, table, storage.new_folder(spark, "stream"), "documents", create_table=True).awaitTermination()
+    return table.read()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from enum import IntEnum
 
@@ -21,12 +22,36 @@ class TransferResult:
     read: int
     written: int
     status: WriteStatus = WriteStatus.SUCCEEDED
+    error: str = ""
 
     def frame(self, spark: SparkSession) -> DataFrame:
         row = [(self.read, self.written, self.status.name.capitalize())]
         return spark.createDataFrame(row, "read long, written long, status string")
 
 
+@dataclass(frozen=True)
+class Progress:
+    """Running totals of a transfer after a commit."""
+
+    read: int
+    written: int
+
+
+class ProgressReports:
+    """Hands totals to ``report`` after each commit that passes a multiple of ``interval`` written rows (0: never)."""
+
+    def __init__(self, report: Callable[[Progress], None] | None, interval: int = PROGRESS_INTERVAL):
+        if interval < 0:
+            raise ValueError("the progress interval cannot be negative")
+        self.report, self.interval, self.written = report, interval, 0
+
+    def after(self, written: int) -> None:
+        """``written`` rows are committed in all."""
+        if self.report and self.interval and written // self.interval > self.written // self.interval:
+            self.report(Progress(written, written))
+        self.written = written
+
+
 def transfer_result(batches: DataFrame) -> DataFrame:
     """Totals over per-batch results (batch, read, written, status).
 

@@ -26,6 +26,7 @@ class DocumentCollection(CommittedTable):
     """
 
     case_sensitive = True
+    stage = None  # a collection has no transactions
 
     def __init__(self, spark: SparkSession, path: str, store: str):
         super().__init__(spark, path)
@@ -48,18 +49,18 @@ class DocumentCollection(CommittedTable):
             storage.write_small(self.spark, f"{self.path}/_table.json", stored.json())
 
     def write(self, df: DataFrame, commit: str, info: dict | None = None) -> None:
-        """Insert documents; fails before writing when a key is null, repeated or already stored."""
-        if commit in self.commits():
-            return
-        rows = self._documents(df)
-        if "_id" in self.keys and "_id" not in df.columns:
-            super().write(rows, commit, info)  # generated ids cannot collide
-            return
+        """Insert documents; nothing counts when a key is null, repeated or already stored.
+
+        The documents are written once, and their written keys are what is checked.
+        """
+        if commit not in self.commits():
+            super().write(self._documents(df), commit, info)
+
+    def _accept(self, rows: DataFrame) -> None:
         clash = key_conflicts(rows, self.read() if self.commits() else None, list(self.keys)).limit(3).collect()
         if clash:
             shown = [{k: r[k] for k in (*self.keys, "reason")} for r in clash]
             raise ValueError(f"{self.provider} insert refused: {json.dumps(shown, ensure_ascii=False)}")
-        super().write(rows, commit, info)
 
     def documents(self) -> DataFrame:
         """Stored documents as text, for ``document_scan``; ordered by key."""

@@ -3,20 +3,39 @@
 A commit is one Spark write to a folder of its own, then one small marker
 file. Readers see folders with a marker only, so a failed or repeated write
 never shows partial or doubled rows.
+
+Many commits of one transfer are staged by a single write: its rows are numbered
+in order, and a commit's marker, which names the number its rows end below,
+shows one more stretch of them. So a transfer is written once however many
+commits it has, and one that breaks leaves the rows of its first commits.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rowhaul import storage
 from rowhaul.functions.coerce import coerce
+from rowhaul.operators.batching import BYTES, ROW, NumberedRows, number_rows
 from rowhaul.operators.schema import check_names, require_flat
 from rowhaul.types import SINK_CAPABILITIES
 
+#: Name of a staged commit: run, first batch, and the row number it ends below (or that nothing is left).
+_STAGED = re.compile("staged-([0-9a-f]{32})-([0-9]+)-([0-9a-f]+|whole)")
+
+
+class StagedRows(NamedTuple):
+    """What a commit of a staged run adds: all its rows below a row number, or all there are."""
+
+    run: str
+    below: int | None
+
+
 
 class CommittedTable:
     """A table folder; ``write`` is idempotent per commit name."""
@@ -65,21 +84,43 @@ class CommittedTable:
         marker = f"{self.path}/_commits/{commit}.json"
         return json.loads(storage.read_small(self.spark, marker)) if storage.exists(self.spark, marker) else None
 
-    def write(self, df: DataFrame, commit: str, info: dict | Callable[[], dict] | None = None) -> None:
+    def stage(self, df: DataFrame, run: str, shape: Callable[[DataFrame], DataFrame], **numbering) -> NumberedRows:
+        """Write all rows of a run, numbered and invisible; ``shape`` renames columns."""
+        fitted = lambda rows: self._fit(shape(rows), BYTES)
+        return number_rows(df, folder=f"{self.path}/data/staged-{run}", shape=fitted, **numbering)
+
+    def drop_staged(self, run: str) -> None:
+        """Remove the rows of a run of which nothing was committed."""
+        if not any(c.startswith(f"staged-{run}-") for c in self.commits()):
+            storage.delete(self.spark, f"{self.path}/data/staged-{run}")
+
+    def write(self, df: DataFrame | StagedRows, commit: str, info: dict | Callable[[], dict] | None = None) -> None:
         """Add the rows of ``df`` under a commit name; a commit already recorded is left alone.
 
         ``info`` goes into the marker; a function is called once the rows are written.
         """
+        if isinstance(df, StagedRows):
+            commit = f"staged-{df.run}-{commit}-{'whole' if df.below is None else format(df.below, 'x')}"
         marker = f"{self.path}/_commits/{commit}.json"
         if storage.exists(self.spark, marker):
             return
-        self._fit(df).write.mode("overwrite").parquet(f"{self.path}/data/{commit}")
+        if not isinstance(df, StagedRows):
+            folder = f"{self.path}/data/{commit}"
+            self._fit(df).write.mode("overwrite").parquet(folder)
+            try:
+                self._accept(self.spark.read.schema(self.schema()).parquet(folder))
+            except Exception:
+                storage.delete(self.spark, folder)
+                raise
         storage.write_small(self.spark, marker, json.dumps({"commit": commit, **((info() if callable(info) else info) or {})}))
 
+    def _accept(self, rows: DataFrame) -> None:
+        """Look at the written rows of a commit before it counts; refuse them by an error."""
+
     def complete(self) -> None:
         pass
 
-    def _fit(self, df: DataFrame) -> DataFrame:
+    def _fit(self, df: DataFrame, *more: str) -> DataFrame:
         have = {f.name.casefold(): f for f in df.schema.fields}
         columns = []
         for field in self.schema().fields:
@@ -88,11 +129,22 @@ class CommittedTable:
             if not field.nullable:
                 value = F.coalesce(value, F.raise_error(F.lit(f"column '{field.name}' must not be null")).cast(field.dataType))
             columns.append(value.alias(field.name, metadata=field.metadata or {}))
-        return df.select(*columns)
+        return df.select(*columns, *more)
 
     def read(self) -> DataFrame:
         """The committed rows."""
-        schema, commits = self.schema(), self.commits()
-        if not commits:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/data/{c}" for c in commits])
+        schema, whole, below = self.schema(), [], {}
+        for commit in self.commits():
+            staged = _STAGED.fullmatch(commit)
+            if staged is None:
+                whole.append(f"{self.path}/data/{commit}")
+            else:
+                ends = float("inf") if staged[3] == "whole" else int(staged[3], 16)
+                below[staged[1]] = max(ends, below.get(staged[1], 0))
+        whole += [f"{self.path}/data/staged-{run}" for run, ends in below.items() if ends == float("inf")]
+        rows = self.spark.read.schema(schema).parquet(*whole) if whole else self.spark.createDataFrame([], schema)
+        for run, ends in below.items():
+            if ends != float("inf"):
+                part = self.spark.read.schema(T.StructType([*schema.fields, T.StructField(ROW, T.LongType())]))
+                rows = rows.unionByName(part.parquet(f"{self.path}/data/staged-{run}").where(F.col(ROW) < ends).drop(ROW))
+        return rows

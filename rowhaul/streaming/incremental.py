@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowhaul import storage
 from rowhaul.operators.schema import map_columns, nullable
+from rowhaul.plans.results import PROGRESS_INTERVAL, Progress, ProgressReports
 from rowhaul.sources.files import MAX_RECORD_BYTES, jsonl_records, read_records
 
 
@@ -58,6 +59,7 @@ def record_stream(
 def start_import(
     stream: DataFrame | FileStream, sink, checkpoint: str, name: str, mapping: dict[str, str] | None = None,
     create_table: bool = False, available_now: bool = True,
+    progress: Callable[[Progress], None] | None = None, progress_interval: int = PROGRESS_INTERVAL,
 ) -> StreamingQuery:
     """Run a stream into a sink: every step is one commit named after the stream and its epoch.
 
@@ -65,9 +67,10 @@ def start_import(
     After a start with another checkpoint, a recorded step counts as repeated
     only if its rows are the same, by number and checksum; other rows under that
     name are refused, so give a stream that starts anew a name of its own. With
-    ``available_now`` the query takes what is there, in steps, and stops.
+    ``available_now`` the query takes what is there, in steps, and stops. ``progress``
+    is told of the rows that this run has committed, as in a transfer.
     """
-    spark = stream.sparkSession
+    spark, reports = stream.sparkSession, ProgressReports(progress, progress_interval)
     by_file = isinstance(stream, FileStream)
     shown = spark.createDataFrame([], stream.schema) if by_file else stream
     renamed = map_columns(shown, mapping, sink.case_sensitive)
@@ -88,7 +91,9 @@ def start_import(
                 raise ValueError(f"step {epoch} of stream '{name}' is already recorded in {sink.location} with other rows")
             return
         seen = Observation(f"step-{uuid.uuid4().hex}")
-        sink.write(rows.observe(seen, *totals), commit, lambda: {"epoch": epoch, "query": query, **seen.get})
+        if known is None:
+            sink.write(rows.observe(seen, *totals), commit, lambda: {"epoch": epoch, "query": query, **seen.get})
+            reports.after(reports.written + seen.get["rows"])
 
     writer = (stream.files if by_file else renamed).writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
