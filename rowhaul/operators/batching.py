@@ -1,11 +1,12 @@
 """Numbered rows and size-bounded batches.
 
 ``number_rows`` writes the rows once, in order, to the shared folder. Each
-written row carries its partition and its place in it (Spark's own row id), so
-a row's global position is that place plus the row counts of the partitions
-before it: one small count per partition, no single-task window. The written
-copy also pins order and partitions for every later pass, whatever executors
-are lost on the way.
+written row carries the run it belongs to and a number that grows along the run
+(Spark's own row id). A run is a partition or, for rows in the order of the files
+they come from, a file block, however Spark packs blocks into tasks. A row's
+global position is its place in the run plus the row counts of the runs before
+it: one small count per run, no single-task window. The written copy also pins
+order and runs for every later pass, whatever executors are lost on the way.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
-from typing import Any
+from typing import Any, NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -33,54 +34,75 @@ POSITION = "_position"
 BATCH = "_batch"
 BYTES = "_bytes"
 _ROW = ROW
+FILE = "_file"
+BLOCK = "_block"
+#: Columns that order the written rows.
+PLACE = (FILE, BLOCK, ROW)
 _ARRIVAL = "_arrival"
 _SEGMENT = "_segment"
-RESERVED = (POSITION, BATCH, BYTES, _ROW, _ARRIVAL, _SEGMENT)
+RESERVED = (POSITION, BATCH, BYTES, _ROW, FILE, BLOCK, _ARRIVAL, _SEGMENT)
 
-_LOCAL_BITS = 33  # Spark's row id: partition above, place in the partition below
 SEGMENT_ROWS = 1 << 20
 BLOCK_SEGMENTS = 256
-# Small side tables hold one row per partition or segment; beyond this many rows the join is left to Spark.
-BROADCAST_ROWS = 1_000_000
 
 
 def _div(value: Column, by: int) -> Column:
     return F.call_function("div", value.cast("bigint"), F.lit(by).cast("bigint"))
 
 
+class Run(NamedTuple):
+    """Rows that follow one another in the written copy."""
+
+    file: str  # empty for a partition
+    block: int
+    first: int  # row id
+    rows: int
+    copy: str  # the written file that holds them
+
+
+def before(place: tuple[str, int, int]) -> Column:
+    """Which written rows come before a place (file, block, row id)."""
+    file, block, row = place
+    in_file = (F.col(BLOCK) < block) | ((F.col(BLOCK) == block) & (F.col(ROW) < row))
+    return (F.col(FILE) < file) | ((F.col(FILE) == file) & in_file)
+
+
 @dataclass(frozen=True)
 class NumberedRows:
     """Rows written in order, with what is needed to number them."""
 
     spark: SparkSession
     folder: str
-    parts: tuple[tuple[int, int, str], ...]  # (partition, rows, file) in order
+    runs: tuple[Run, ...]  # in order
     max_row_bytes: int
 
+    @property
+    def parts(self) -> tuple[tuple[int, int, str], ...]:
+        """(block, rows, written file) of each run, in order."""
+        return tuple((r.block, r.rows, r.copy) for r in self.runs)
+
     @property
     def total(self) -> int:
-        return sum(n for _, n, _ in self.parts)
+        return sum(r.rows for r in self.runs)
 
     def _offsets(self, segment_rows: int) -> DataFrame:
-        rows, before, segments = [], 0, 0
-        for part, count, _ in self.parts:
-            rows.append((part, before, segments))
-            before += count
-            segments += -(-count // segment_rows)
-        offsets = self.spark.createDataFrame(rows, "_part long, _before long, _segments long")
-        return F.broadcast(offsets) if len(rows) <= BROADCAST_ROWS else offsets
+        rows, earlier, segments = [], 0, 0
+        for run in self.runs:
+            rows.append((run.file, run.block, run.first, earlier, segments))
+            earlier += run.rows
+            segments += -(-run.rows // segment_rows)
+        return self.spark.createDataFrame(rows, f"{FILE} string, {BLOCK} long, _first long, _before long, _segments long")
 
     def segment_count(self, segment_rows: int = SEGMENT_ROWS) -> int:
-        return sum(-(-count // segment_rows) for _, count, _ in self.parts)
+        return sum(-(-r.rows // segment_rows) for r in self.runs)
 
     def rows(self, segment_rows: int = SEGMENT_ROWS, columns: list[str] | None = None) -> DataFrame:
         """The rows with their 0-based position, size estimate and segment number."""
-        local = F.col(_ROW).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+        local = F.col(_ROW) - F.col("_first")
         written = self.spark.read.parquet(self.folder)
         data = [c for c in written.columns if c not in RESERVED] if columns is None else columns
         return (
-            written.withColumn("_part", F.shiftright(_ROW, _LOCAL_BITS))
-            .join(self._offsets(segment_rows), "_part")
+            written.join(self._offsets(segment_rows), [FILE, BLOCK])
             .select(
                 *[quoted(c) for c in data],
                 (F.col("_before") + local).alias(POSITION),
@@ -89,30 +111,32 @@ class NumberedRows:
             )
         )
 
-    def row_at(self, position: int) -> int:
-        """A number that the row ids of all rows before ``position`` are below, and no others."""
-        before, low = 0, 0
-        for part, count, _ in self.parts:
-            if position <= before + count:
-                return (part << _LOCAL_BITS) + position - before
-            before, low = before + count, (part << _LOCAL_BITS) + count
-        return low
+    def place(self, position: int) -> tuple[str, int, int]:
+        """(file, block, row id) that all rows before ``position`` come before, and no others."""
+        earlier, last = 0, ("", 0, 0)
+        for run in self.runs:
+            if position <= earlier + run.rows:
+                return run.file, run.block, run.first + position - earlier
+            earlier, last = earlier + run.rows, (run.file, run.block, run.first + run.rows)
+        return last
 
     def between(self, first: int, end: int) -> DataFrame:
         """The original columns of the rows at positions ``first`` to ``end - 1``, reading only their files."""
-        files, low, high, before = [], None, None, 0
-        for part, count, file in self.parts:
-            if before < end and first < before + count:
-                files.append(file)
-                if low is None:
-                    low = (part << _LOCAL_BITS) + first - before
-                high = (part << _LOCAL_BITS) + min(end - before, count)
-            before += count
+        files, earlier = set(), 0
+        for run in self.runs:
+            if earlier < end and first < earlier + run.rows:
+                files.add(run.copy)
+            earlier += run.rows
         written = self.spark.read.parquet(self.folder)
         if not files:
-            return written.where(F.lit(False)).drop(BYTES, _ROW)
-        some = self.spark.read.schema(written.schema).parquet(*files)
-        return some.where((F.col(_ROW) >= low) & (F.col(_ROW) < high)).drop(BYTES, _ROW)
+            return written.where(F.lit(False)).drop(BYTES, *PLACE)
+        some = self.spark.read.schema(written.schema).parquet(*sorted(files))
+        return some.where(before(self.place(end)) & (~before(self.place(first)) if first else F.lit(True))).drop(BYTES, *PLACE)
+
+
+def _one_scan(df: DataFrame) -> bool:
+    """Whether all rows come from one scan; of others Spark cannot tell the file."""
+    return df._jdf.queryExecution().analyzed().collectLeaves().length() == 1
 
 
 def number_rows(
@@ -123,6 +147,7 @@ def number_rows(
     folder: str | None = None,
     finished: bool = False,
     shape: Callable[[DataFrame], DataFrame] | None = None,
+    by_file: bool = False,
 ) -> NumberedRows:
     """Fix the order of ``df`` and number its rows.
 
@@ -132,6 +157,8 @@ def number_rows(
     arrival number also spreads a frequent key over many tasks. ``finished``
     says that ``folder`` holds the copy already; the source is not read then.
     ``shape`` turns the rows into what is written, keeping the size column.
+    ``by_file`` says that rows come straight from a scan of files: they are
+    ordered by file name and place in the file, whatever order Spark reads them in.
     """
     spark = df.sparkSession
     clash = [c for c in df.columns if c in RESERVED]
@@ -150,22 +177,28 @@ def number_rows(
                 keys = [*keys, F.col(_ARRIVAL)]
             work = work.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(_ARRIVAL)
         work = shape(work) if shape else work
-        work.withColumn(_ROW, F.monotonically_increasing_id()).write.mode("overwrite").parquet(folder)
+        file, block = F.lit(""), F.spark_partition_id().cast("long")
+        if by_file and not order_by and _one_scan(work):
+            file, block = F.input_file_name(), F.when(F.input_file_name() == "", block).otherwise(F.input_file_block_start())
+        placed = work.withColumns({FILE: file, BLOCK: block, _ROW: F.monotonically_increasing_id()})
+        placed.write.mode("overwrite").parquet(folder)
         if arrival:
             storage.delete(spark, arrival)
-    counts = (
+    found = (
         spark.read.parquet(folder)
-        .groupBy(F.shiftright(_ROW, _LOCAL_BITS).alias("part"))
+        .groupBy(FILE, BLOCK)
         .agg(
-            F.count(F.lit(1)).alias("n"), F.max(BYTES).alias("widest"),
-            F.max("_metadata.file_path").alias("file"), F.min("_metadata.file_path").alias("other"),
+            F.count(F.lit(1)).alias("n"), F.min(_ROW).alias("first"), F.max(_ROW).alias("last"), F.max(BYTES).alias("widest"),
+            F.max("_metadata.file_path").alias("copy"), F.min("_metadata.file_path").alias("other"),
         )
         .collect()
     )
-    if any(r.file != r.other for r in counts):
+    if any(r.copy != r.other for r in found):
         raise RuntimeError("each partition must be written as one file: leave spark.sql.files.maxRecordsPerFile at 0")
-    parts = tuple(sorted((r.part, r.n, r.file) for r in counts))
-    return NumberedRows(spark, folder, parts, max((r.widest for r in counts), default=0))
+    if any(r.last - r.first + 1 != r.n for r in found):
+        raise RuntimeError("the rows of a file block must be written one after another")
+    runs = tuple(sorted(Run(r[FILE], r[BLOCK], r.first, r.n, r.copy) for r in found))
+    return NumberedRows(spark, folder, runs, max((r.widest for r in found), default=0))
 
 
 def _check_limits(batch_rows: int, max_batch_bytes: int) -> None:
@@ -201,8 +234,6 @@ def batch_rows_and_bytes(
     entries = _segment_entries(numbered, batch_rows, max_batch_bytes, segment_rows, block_segments)
     rows = numbered.rows(segment_rows, columns)
     data = rows.columns
-    if numbered.segment_count(segment_rows) <= BROADCAST_ROWS:
-        entries = F.broadcast(entries)
     in_order = (
         rows.join(entries, _SEGMENT)
         .repartition(_SEGMENT)

@@ -73,14 +73,19 @@ def import_records(
     batch_rows: int = BATCH_ROWS, max_batch_bytes: int = MAX_BATCH_BYTES,
     batches_per_commit: int | None = None, read_options: Mapping | None = None, **reporting,
 ) -> TransferResult:
-    """File to table: parse, transform, rename, write. Imports cannot resume."""
+    """File to table: parse, transform, rename, write. Imports cannot resume.
+
+    Batches follow the files by name and the records in them. Where a step between needs a
+    shuffle (records put together from pieces) or Python (a transform may), they follow the order in
+    which that step delivers them.
+    """
     options = dict(read_options or {})
     if format.lower() in ("jsonl", "extended-json"):
         options.setdefault("max_record_bytes", max_batch_bytes)
     df = _transformed(read_records(spark, path, format, **options), transform, max_batch_bytes)
     return load(
         df, sink, mapping, create_table, transaction, batch_rows, max_batch_bytes,
-        batches_per_commit=batches_per_commit, source="file", **reporting,
+        batches_per_commit=batches_per_commit, source="file", by_file=transform is None, **reporting,
     )
 
 
@@ -104,6 +109,7 @@ def load(
     checkpoint: str | None = None, resume: bool = False, batches_per_commit: int | None = None,
     plan: Mapping | None = None, source: str = "sql", progress: Callable[[Progress], None] | None = None,
     progress_interval: int = PROGRESS_INTERVAL, stop_after: int | None = None, errors: str = "raise",
+    by_file: bool = False,
 ) -> TransferResult:
     """Write ``df`` to a sink under a transaction scope.
 
@@ -114,6 +120,9 @@ def load(
     attempt made. Without one, a sink that can stage rows gets them in one write,
     and commits only say how far they count.
 
+    ``by_file`` says that ``df`` comes straight from a scan of files, whose order
+    the batches then follow: by file name, and by place in the file.
+
     ``progress`` is called after commits that pass a multiple of
     ``progress_interval`` rows; ``stop_after`` ends the run after so many commits,
     for a later resume. With ``errors="result"`` a commit that fails ends the run
@@ -145,7 +154,7 @@ def load(
         reports.after(seen.get["rows"])
         return TransferResult(seen.get["rows"], seen.get["rows"])
 
-    sizes, numbering = record_bytes(df, source), {"order_by": order_by, "unique_order": unique_order}
+    sizes, numbering = record_bytes(df, source), {"order_by": order_by, "unique_order": unique_order, "by_file": by_file}
     if store is None and getattr(sink, "stage", None):
         run = uuid.uuid4().hex
         try:
@@ -156,7 +165,7 @@ def load(
             raise
 
         def staged(first: int, end: int) -> StagedRows:
-            return StagedRows(run, None if end == numbered.total else numbered.row_at(end))
+            return StagedRows(run, None if end == numbered.total else numbered.place(end))
 
         return _committed(sink, ranges, lambda batch: f"{batch:012d}", staged, numbered.total, reports, stop_after, errors)
     rows_folder = f"{checkpoint}.rows" if checkpoint else storage.new_folder(spark, "rows")

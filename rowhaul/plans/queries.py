@@ -309,6 +309,27 @@ def import_extended_json(spark, sf_dir):
     return table.read()
 
 
+@_query("""
+SELECT doc_id // 300 AS file, count(*) AS n, 0 AS back, row_number() OVER (ORDER BY doc_id // 300) AS nth FROM documents GROUP BY doc_id // 300
+""")
+def import_order(spark, sf_dir):
+    """Files of unequal size arrive by name, their records in order, however Spark packs them into tasks."""
+    docs = _read(spark, sf_dir, "documents").withColumn("file", F.floor(F.col("doc_id") / 300))
+    lines = docs.repartition("file").sortWithinPartitions("file", "doc_id")
+    folder, table = storage.new_folder(spark, "files"), CommittedTable(spark, storage.new_folder(spark, "table"))
+    named = lines.select(F.lpad(F.col("file").cast("string"), 12, "0").alias("name"), F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("value"))
+    named.write.partitionBy("name").text(folder)
+    import_records(spark, folder, "jsonl", table, create_table=True, batch_rows=200, batches_per_commit=1)
+    run = table.commits()[0].split("-")[1]
+    rows = table.staged_rows(run).select(F.col("doc_id").cast("long").alias("doc_id"), "place").withColumn("file", F.floor(F.col("doc_id") / 300))
+    back = (F.col("doc_id") < F.lag("doc_id").over(Window.partitionBy("file").orderBy("place"))).cast("int")
+    files = rows.withColumn("back", F.coalesce(back, F.lit(0))).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("back").cast("int").alias("back"), F.min("place").alias("first")
+    )
+    # One row per file.
+    return files.select("file", "n", "back", F.row_number().over(Window.orderBy("first")).cast("long").alias("nth"))
+
+
 _SHAPES = r"""
 SELECT CASE event_id % 8
   WHEN 0 THEN concat('{"id":', event_id, ',"type":"', event_type, '"}')

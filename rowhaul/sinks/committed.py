@@ -5,7 +5,7 @@ file. Readers see folders with a marker only, so a failed or repeated write
 never shows partial or doubled rows.
 
 Many commits of one transfer are staged by a single write: its rows are numbered
-in order, and a commit's marker, which names the number its rows end below,
+in order, and a commit's marker, which names the place its rows end before,
 shows one more stretch of them. So a transfer is written once however many
 commits it has, and one that breaks leaves the rows of its first commits.
 """
@@ -21,19 +21,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rowhaul import storage
 from rowhaul.functions.coerce import coerce
-from rowhaul.operators.batching import BYTES, ROW, NumberedRows, number_rows
+from rowhaul.operators.batching import BLOCK, BYTES, FILE, PLACE, ROW, NumberedRows, before, number_rows
 from rowhaul.operators.schema import check_names, require_flat
 from rowhaul.types import SINK_CAPABILITIES
 
-#: Name of a staged commit: run, first batch, and the row number it ends below (or that nothing is left).
-_STAGED = re.compile("staged-([0-9a-f]{32})-([0-9]+)-([0-9a-f]+|whole)")
+#: Name of a staged commit: run, first batch, and whether nothing is left after it.
+_STAGED = re.compile("staged-([0-9a-f]{32})-([0-9]+)-(part|whole)")
 
 
 class StagedRows(NamedTuple):
-    """What a commit of a staged run adds: all its rows below a row number, or all there are."""
+    """What a commit of a staged run adds: all its rows before a place, or all there are."""
 
     run: str
-    below: int | None
+    end: tuple[str, int, int] | None
 
 
 
@@ -100,7 +100,8 @@ class CommittedTable:
         ``info`` goes into the marker; a function is called once the rows are written.
         """
         if isinstance(df, StagedRows):
-            commit = f"staged-{df.run}-{commit}-{'whole' if df.below is None else format(df.below, 'x')}"
+            commit = f"staged-{df.run}-{commit}-{'part' if df.end else 'whole'}"
+            info = {**(info or {}), "end": df.end}
         marker = f"{self.path}/_commits/{commit}.json"
         if storage.exists(self.spark, marker):
             return
@@ -133,18 +134,24 @@ class CommittedTable:
 
     def read(self) -> DataFrame:
         """The committed rows."""
-        schema, whole, below = self.schema(), [], {}
+        schema, whole, parts = self.schema(), [], {}
         for commit in self.commits():
             staged = _STAGED.fullmatch(commit)
             if staged is None:
                 whole.append(f"{self.path}/data/{commit}")
             else:
-                ends = float("inf") if staged[3] == "whole" else int(staged[3], 16)
-                below[staged[1]] = max(ends, below.get(staged[1], 0))
-        whole += [f"{self.path}/data/staged-{run}" for run, ends in below.items() if ends == float("inf")]
+                parts[staged[1]] = commit  # names of a run sort by batch
+        whole += [f"{self.path}/data/staged-{run}" for run, last in parts.items() if last.endswith("-whole")]
         rows = self.spark.read.schema(schema).parquet(*whole) if whole else self.spark.createDataFrame([], schema)
-        for run, ends in below.items():
-            if ends != float("inf"):
-                part = self.spark.read.schema(T.StructType([*schema.fields, T.StructField(ROW, T.LongType())]))
-                rows = rows.unionByName(part.parquet(f"{self.path}/data/staged-{run}").where(F.col(ROW) < ends).drop(ROW))
+        order = [T.StructField(FILE, T.StringType()), T.StructField(BLOCK, T.LongType()), T.StructField(ROW, T.LongType())]
+        for run, last in parts.items():
+            if last.endswith("-part"):
+                some = self.spark.read.schema(T.StructType([*schema.fields, *order])).parquet(f"{self.path}/data/staged-{run}")
+                rows = rows.unionByName(some.where(before(self.recorded(last)["end"])).drop(*PLACE))
         return rows
+
+    def staged_rows(self, run: str) -> DataFrame:
+        """All rows of a staged run with what orders them, as ``place``."""
+        order = [T.StructField(FILE, T.StringType()), T.StructField(BLOCK, T.LongType()), T.StructField(ROW, T.LongType())]
+        some = self.spark.read.schema(T.StructType([*self.schema().fields, *order])).parquet(f"{self.path}/data/staged-{run}")
+        return some.withColumn("place", F.struct(*PLACE)).drop(*PLACE)

@@ -244,3 +244,58 @@ def test_resume_needs_the_whole_numbered_copy(spark, source, tmp_path, lost):
     else:
         with pytest.raises(ValueError, match="start the transfer anew"):
             copy(spark, source, table, resume=True, **options)
+
+
+def test_imports_follow_the_files_by_name(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    sizes = {"1": 30, "2": 400, "3": 120, "4": 1}
+    want = []
+    for name, n in sizes.items():
+        ids = [f"{name}-{k:04d}" for k in range(n)]
+        (tmp_path / "in" / f"{name}.jsonl").write_text("".join(json.dumps({"id": i, "t": "x" * (len(i) * 7)}) + "\n\n" for i in ids))
+        want += ids
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("2000", "100000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            table = CommittedTable(spark, f"{tmp_path}/t{size}")
+            import_records(spark, f"{tmp_path}/in", "jsonl", table, create_table=True, batch_rows=100, batches_per_commit=1)
+            staged = table.staged_rows(table.commits()[0].split("-")[1])
+            assert [r.id for r in staged.orderBy("place").collect()] == want
+            result = import_records(spark, f"{tmp_path}/in", "jsonl", CommittedTable(spark, f"{tmp_path}/s{size}"), create_table=True, batch_rows=100, batches_per_commit=1, stop_after=3)
+            assert (result.read, result.written) == (300, 300)
+            assert sorted(r.id for r in CommittedTable(spark, f"{tmp_path}/s{size}").read().collect()) == want[:300]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_staged_rows_are_written_once(spark, source, tmp_path):
+    table = CommittedTable(spark, f"{tmp_path}/t")
+    told = []
+    result = copy(
+        spark, source, table, create_table=True, order_by=["id"], unique_order=True, batch_rows=10, batches_per_commit=2, stop_after=3,
+        progress=told.append, progress_interval=40,
+    )
+    assert result == TransferResult(60, 60) and [p.written for p in told] == [40]
+    assert sorted(r.id for r in table.read().collect()) == list(range(60)) and len(storage.list_names(spark, f"{tmp_path}/t/data")) == 1
+    copy(spark, source, table, batch_rows=30, batches_per_commit=1)
+    assert table.read().count() == 160
+    with pytest.raises(Exception, match="cannot be converted"):
+        copy(spark, "SELECT 'x' AS id", table)
+    assert len(storage.list_names(spark, f"{tmp_path}/t/data")) == 2 and table.read().count() == 160
+
+
+def test_a_failed_run_says_what_it_wrote(spark, source, tmp_path):
+    text = "SELECT id, if(id < 55, CAST(id AS STRING), 'none') AS value FROM range(100)"
+    table = CommittedTable(spark, f"{tmp_path}/t")
+    copy(spark, "SELECT id, id AS value FROM range(0)", table, create_table=True)
+    options = dict(order_by=["id"], unique_order=True, checkpoint=f"{tmp_path}/cp", batch_rows=10, batches_per_commit=1)
+    result = copy(spark, text, table, errors="result", **options)
+    assert (result.read, result.written, result.status) == (60, 50, WriteStatus.FAILED) and "cannot be converted" in result.error
+    assert sorted(r.id for r in table.read().collect()) == list(range(50))
+    with pytest.raises(Exception, match="cannot be converted"):
+        copy(spark, text, table, resume=True, **options)
+    with pytest.raises(ValueError, match="errors"):
+        copy(spark, text, table, errors="ignore")
+    with pytest.raises(ValueError, match="interval"):
+        copy(spark, source, table, progress_interval=-1)
