@@ -140,7 +140,8 @@ def drop_frequent_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text
         runs.add(entries.where(F.col("batch") == number).select("line"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     frequent = runs.frequent().select("line", salts)
-    held = entries.select("line", "row", F.pmod("row", F.lit(SALTS)).cast("int").alias("salt")).join(frequent, ["line", "salt"])
+    # a merge join: Spark's estimate of the salted run would have it broadcast, though it grows with the lines
+    held = entries.select("line", "row", F.pmod("row", F.lit(SALTS)).cast("int").alias("salt")).join(frequent.hint("merge"), ["line", "salt"])
     gone = held.groupBy(F.col("row").alias("_row")).agg(F.collect_set("line").alias("gone"))
     kind = df.schema[doc_id].dataType.simpleString()
     return docs.join(gone, F.col("row") == F.col("_row"), "left").select("doc_id", "text", "gone").mapInArrow(_cut, f"doc_id {kind}, n_lines long, n_dropped long, kept_text string")
