@@ -45,6 +45,7 @@ _U = np.uint64
 _SENT = "bucket int, chunk int, hashes binary, ids binary, checks binary"
 _BACK = "chunk int, hashes binary, checks binary"
 _NONE = np.zeros(0, np.uint64)
+_NO_CHECKS = np.zeros(0, np.uint32)
 
 
 class _Chunk:
@@ -68,8 +69,8 @@ class _Chunk:
         return at, keys[at] & ~_U(1)
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Which words begin a window, and two hashes of the 13 words from each word."""
-        keys, checks = window_hashes(self.hashes, WINDOW), window_hashes(self.words.hashes(lane=1), WINDOW)
+        """Which words begin a window, and two hashes of the 13 words from each word, of 64 and of 32 bits."""
+        keys, checks = window_hashes(self.hashes, WINDOW), (window_hashes(self.words.hashes(lane=1), WINDOW) >> _U(32)).astype(np.uint32)
         return windows_within(self.words.first, WINDOW, len(keys)) & self.known[self.words.text_of()[: len(keys)]], keys, checks
 
 
@@ -144,7 +145,7 @@ def _back(keys: np.ndarray, chunks: np.ndarray, checks: np.ndarray | None = None
 def _held(keys: np.ndarray, checks: np.ndarray, table: pa.Table) -> np.ndarray:
     """Which windows, by both hashes, the packed ones of a table hold."""
     known = np.concatenate([_NONE, *_unpacked(table.column("hashes"))])
-    both, second = np.concatenate([keys, known]), np.concatenate([checks, *_unpacked(table.column("checks"))])
+    both, second = np.concatenate([keys, known]), np.concatenate([checks, *_unpacked(table.column("checks"), np.uint32)])
     order = np.lexsort((second, both))
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(_starts(both[order], second[order]))
@@ -184,7 +185,7 @@ def _elsewhere(key, table):
     """Windows whose least id lies outside the chunk, for every such chunk."""
     parts = _unpacked(table.column("hashes"))
     chunks = np.repeat(np.asarray(table.column("chunk").combine_chunks()), [len(p) for p in parts])
-    keys, checks = np.concatenate(parts or [_NONE]), np.concatenate(_unpacked(table.column("checks")) or [_NONE])
+    keys, checks = np.concatenate(parts or [_NONE]), np.concatenate(_unpacked(table.column("checks"), np.uint32) or [_NO_CHECKS])
     ids = np.concatenate(_unpacked(table.column("ids"), np.int64) or [np.zeros(0, np.int64)])
     order = np.lexsort((ids, checks, keys))
     keys, checks, ids, chunks = keys[order], checks[order], ids[order], chunks[order]
