@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rowhaul.llm.components import connected_components
 from rowhaul.llm.frames import parts_for, text_bytes, written
-from rowhaul.llm.words import Words, mix, pieces, window_hashes
+from rowhaul.llm.words import Words, mix, pieces, release, window_hashes
 
 _U = np.uint64
 #: Elements in a block of a tile, about.
@@ -249,6 +249,8 @@ def _meet(table):
     links = _combined(join("keys", np.uint64), join("ids", np.int64))[2]
     known = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in table.column("links").to_pylist() if x]
     links = _forest(np.concatenate([links, *known]))
+    del known
+    release()
     return pa.table({"a": pa.array(links[:, 0], pa.int64()), "b": pa.array(links[:, 1], pa.int64())})
 
 

@@ -9,6 +9,8 @@ sums, so the work per byte does not depend on the number or length of words.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -151,6 +153,14 @@ def covered(starts: np.ndarray, n: int, size: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
+def release() -> None:
+    """Give memory that the allocators keep for later back to the system: Python workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches, limit: int = 2 << 20):
     """Cut record batches so that each piece has about ``limit`` bytes of columns, but one row at least."""
     for batch in batches:
@@ -158,3 +168,4 @@ def pieces(batches, limit: int = 2 << 20):
         step = max(1, int(rows * limit / size)) if rows else 1
         for at in range(0, rows, step):
             yield batch.slice(at, min(step, rows - at))
+    release()
