@@ -63,6 +63,8 @@ class Run(NamedTuple):
 def before(place: tuple[str, int, int]) -> Column:
     """Which written rows come before a place (file, block, row id)."""
     file, block, row = place
+    if not file:
+        return F.col(ROW) < row  # runs are partitions, whose row ids are in their order
     in_file = (F.col(BLOCK) < block) | ((F.col(BLOCK) == block) & (F.col(ROW) < row))
     return (F.col(FILE) < file) | ((F.col(FILE) == file) & in_file)
 
@@ -131,7 +133,7 @@ class NumberedRows:
         if not files:
             return written.where(F.lit(False)).drop(BYTES, *PLACE)
         some = self.spark.read.schema(written.schema).parquet(*sorted(files))
-        return some.where(before(self.place(end)) & (~before(self.place(first)) if first else F.lit(True))).drop(BYTES, *PLACE)
+        return some.where(~before(self.place(first)) & before(self.place(end))).drop(BYTES, *PLACE)
 
 
 def _one_scan(df: DataFrame) -> bool:
