@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rowhaul.llm import language, personal, queries, repetition, resampling, vectors
+from rowhaul.llm import language, personal, queries, repetition, resampling, sharding, vectors
 from rowhaul.llm.byte_pairs import encode_texts, encoder_for, token_digests
 from rowhaul.llm.mixing import apply_mix, mix, targets
 from rowhaul.llm.sharding import shard
@@ -309,6 +310,30 @@ def test_vectors_without_id_link(spark):
     assert all(r.n_links is None and r.component_id is None and r.kept is None for r in out if r.vec_id is None)
 
 
+def test_spans_near_a_stretch():
+    rng = random.Random(3)
+    for _ in range(2000):
+        spans = [(a, a + rng.randrange(1, 6), "ip") for a in (rng.randrange(30) for _ in range(rng.randrange(6)))]
+        a = rng.randrange(30)
+        b, cover = a + rng.randrange(1, 6), personal.Cover(spans)
+        touching = [s for s in spans if s[0] < b and a < s[1]]
+        assert cover.meets(a, b) == bool(touching) and set(touching) <= set(cover.near(a, b))
+
+
+def test_long_line_of_addresses():
+    weights = {"email:bias": 0.5, "out:word": 0.1}
+
+    def seconds(n):
+        line = " ".join(f"user{k}@mail{k % 7}.example.com +49 30 {k + 1000000} or 4000.0000.{k}" for k in range(n))
+        start = time.process_time()
+        base, spans = personal.all_spans(line, weights)
+        assert len(base) >= 2 * n and set(base) <= set(spans)
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(8000) < 6 * seconds(2000)
+
+
 def test_collisions_by_definition():
     values = np.random.default_rng(1).standard_normal((20, 7)).round(1)
     want = np.triu(sum(np.abs(values[:, k, None] - values[None, :, k]) <= 0.35 for k in range(7)), 1)
@@ -328,6 +353,38 @@ def test_shards(table, shards):
     assert shard(table([])).count() == 0
 
 
+@pytest.mark.parametrize("block", [4, 1 << 16])
+def test_shards_by_definition(table, block, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", block)
+    rows = [(None, None)] * 50 + [(None, f"t{k % 30}") for k in range(90)] + [(7, f"s{k}") for k in range(200)] + [(k, "x") for k in range(-150, 150)]
+    nodes = sharding.ring(8, 5)
+    docs = [(r.doc_id, r.size, r.crc, r.place, r.part) for r in table(rows).select(
+        "doc_id", F.lit(16).cast("long") + F.coalesce(F.octet_length("text"), F.lit(0)).alias("x"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"),
+    ).toDF("doc_id", "size", "crc").select("*", F.pmod(F.xxhash64(F.lit("place"), "doc_id"), F.lit(sharding.PLACES)).alias("place"), F.pmod(F.xxhash64("doc_id", "size", "crc"), F.lit(sharding.PARTS)).alias("part")).collect()]
+    room = {s: len(rows) // 8 + (s < len(rows) % 8) for s in range(8)}
+    arcs = {k: [] for k in range(len(nodes))}
+    for d in docs:
+        arcs[next((k for k, (p, _) in enumerate(nodes) if p >= d[3]), 0)].append((d[4], d[0] is not None, d[0] or 0, d[1], d[2], d[:3]))
+    want, slots, late = [], Counter(), []
+    for k, own in arcs.items():
+        for *_, d in sorted(own, key=lambda x: x[:5]):
+            s = nodes[k][1]
+            if slots[s] < room[s]:
+                want.append((d, s, slots[s]))
+                slots[s] += 1
+            else:
+                late.append((k, d))
+    for k, d in late:
+        while slots[nodes[k][1]] >= room[nodes[k][1]]:
+            k = (k + 1) % len(nodes)
+        s = nodes[k][1]
+        want.append((d, s, slots[s]))
+        slots[s] += 1
+    for parts in (1, 6):
+        out = shard(table(rows).repartition(parts), shards=8, nodes=5).collect()
+        assert Counter(((r.doc_id, r.size, r.text_crc32), r.shard, r.slot) for r in out) == Counter(want)
+
+
 def test_ring_moves_few(table):
     rows = [(k, str(k)) for k in range(4000)]
     before = {r.doc_id: r.shard for r in shard(table(rows), shards=20).collect()}
