@@ -10,9 +10,10 @@ programming over bounded segments finds the best boundaries and types together.
 
 The weights are learned here, by gradient steps on the likelihood (forward and
 backward sums over all segmentations), from a bounded sample: at most
-``SAMPLE`` documents, drawn by a hash of the id: three of four with base spans, the
-kinds in turn as far as each has any, and one for three of these with digits or
-at signs but no base span. Spans are shown as they are, in other usual spellings
+``SAMPLE`` documents of at most ``LONGEST`` bytes, and of these the stretches of
+at most ``STRETCH`` characters. They are drawn by a hash of the id: three of four
+with base spans, the kinds in turn as far as each has any, and one for three of
+these with digits or at signs but no base span. Spans are shown as they are, in other usual spellings
 (national phone numbers, dotted cards, spelled-out at signs) and, as what to
 leave alone, with something alike in their place (dates, amounts, failing
 checksums). Base spans stay as they are; others may not overlap them.
@@ -40,7 +41,9 @@ from rowhaul.llm.frames import map_batches
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 96
+#: Most bytes of a document to learn from, and most characters of a stretch of it; what is searched has no such bounds.
 LONGEST = 50_000
+STRETCH = 600
 #: Most characters of an email address and most digits of a card number.
 ADDRESS = 254
 DIGITS = 19
@@ -174,12 +177,31 @@ def outside(token: str) -> list[str]:
     return [f"out:{token}" if token in "@+" else "out:word" if token.isalnum() else "out:sign"]
 
 
+class Cover:
+    """Spans by start, for lookups of those near a stretch."""
+
+    def __init__(self, spans: list[Span]):
+        self.spans = sorted(spans)
+        self.starts = [s for s, _, _ in self.spans]
+        self.ends = list(accumulate((e for _, e, _ in self.spans), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        """Whether any span overlaps the stretch: of those that start before its end the furthest end lies behind its start."""
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
+    def near(self, start: int, end: int) -> list[Span]:
+        """The spans from the first to the last that overlap the stretch."""
+        return self.spans[bisect_right(self.ends, start) : bisect_left(self.starts, end)]
+
+
 class Lattice:
     """All segmentations of one region: the segments that end at each token."""
 
     def __init__(self, text: str, start: int, end: int, taken: list[Span]):
         self.tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, start, end)]
-        busy = [any(s < b and a < e for s, e, _ in taken) for a, b in self.tokens]
+        cover = Cover(taken)
+        busy = [cover.meets(a, b) for a, b in self.tokens]
         starts = self.numbers(text, busy)
         for i, j in self.addresses(text, start, busy):
             starts[j].append(i)
@@ -370,7 +392,7 @@ def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
         for a, b in regions(body):
             part, own = body[a:b], [(s - a, e - a, k) for s, e, k in spans if a <= s and e <= b]
             own = [x for x in own if not any(y is not x and y[0] < x[1] and x[0] < y[1] for y in own)]
-            if len(part) > 600:
+            if len(part) > STRETCH:
                 continue
             examples.append((part, own))
             for span in own:
@@ -400,9 +422,9 @@ def all_spans(text: str, weights: dict[str, float]) -> tuple[list[Span], list[Sp
     base = base_spans(text)
     more: list[Span] = []
     if weights:
+        cover = Cover(base)
         for a, b in regions(text):
-            near = [s for s in base if s[0] < b and a < s[1]]
-            more += [s for s in Lattice(text, a, b, near).best(weights) if not any(s[0] < y[1] and y[0] < s[1] for y in base)]
+            more += [s for s in Lattice(text, a, b, cover.near(a, b)).best(weights) if not cover.meets(s[0], s[1])]
     return base, sorted([*base, *more], key=lambda s: (s[0], KINDS.index(s[2])))
 
 
