@@ -40,10 +40,15 @@ BLOCK = "_block"
 PLACE = (FILE, BLOCK, ROW)
 _ARRIVAL = "_arrival"
 _SEGMENT = "_segment"
-RESERVED = (POSITION, BATCH, BYTES, _ROW, FILE, BLOCK, _ARRIVAL, _SEGMENT)
+_STRETCH = "_stretch"
+_FROM = "_batch_from"
+_END = "_batch_end"
+RESERVED = (POSITION, BATCH, BYTES, _ROW, FILE, BLOCK, _ARRIVAL, _SEGMENT, _STRETCH, _FROM, _END)
 
 SEGMENT_ROWS = 1 << 20
 BLOCK_SEGMENTS = 256
+#: Rows of summaries that one task composes.
+SUMMARY_ROWS = 1 << 22
 
 
 def _div(value: Column, by: int) -> Column:
@@ -226,25 +231,44 @@ def batch_rows_and_bytes(
     """Batches closed by row count or before the row that would exceed the byte limit, numbered from 0.
 
     The result is the same as one serial pass over all rows. A row larger than
-    the limit stops the job.
+    the limit stops the job. Batches are cut over positions and sizes alone. The
+    rows, read where they lie, then look up their batch in a table of batch
+    edges, which Spark broadcasts while it is small. Beyond that, the rows move
+    once, by stretches of ``batch_rows`` positions, none larger than another.
     """
     _check_limits(batch_rows, max_batch_bytes)
     if numbered.max_row_bytes > max_batch_bytes:
         raise ValueError(f"one row takes {numbered.max_row_bytes} bytes, more than max_batch_bytes={max_batch_bytes}")
     if numbered.max_row_bytes * batch_rows <= max_batch_bytes:
         return batch_by_rows(numbered, batch_rows, columns)  # no batch can reach the byte limit
+    narrow = _numbered_sizes(numbered, batch_rows, max_batch_bytes, segment_rows, block_segments)
+    if columns == []:
+        return narrow
+    table = storage.new_folder(numbered.spark, "edges")
+    _batch_edges(narrow).write.parquet(table)
+    # A batch has batch_rows rows at most, so it lies in two stretches of as many positions, or in one.
+    edges = numbered.spark.read.parquet(table)
+    end = F.col("first") + F.col("rows")
+    stretches = F.sequence(_div(F.col("first"), batch_rows), _div(end - 1, batch_rows))
+    spans = edges.select(F.col("batch").alias(BATCH), F.col("first").alias(_FROM), end.alias(_END), F.explode(stretches).alias(_STRETCH))
+    rows = numbered.rows(segment_rows, columns).drop(_SEGMENT)
+    data, inside = rows.columns, (F.col(_FROM) <= F.col(POSITION)) & (F.col(POSITION) < F.col(_END))
+    placed = rows.withColumn(_STRETCH, _div(F.col(POSITION), batch_rows)).join(spans, [_STRETCH]).where(inside)
+    return placed.select(*[quoted(c) for c in data], BATCH)
+
+
+def _numbered_sizes(numbered: NumberedRows, batch_rows: int, max_batch_bytes: int, segment_rows: int, block_segments: int) -> DataFrame:
+    """Position, size and batch number of every row: what is shuffled by segments has these and the segment's entry only."""
     entries = _segment_entries(numbered, batch_rows, max_batch_bytes, segment_rows, block_segments)
-    rows = numbered.rows(segment_rows, columns)
-    data = rows.columns
-    in_order = (
-        rows.join(entries, _SEGMENT)
-        .repartition(_SEGMENT)
-        .sortWithinPartitions(_SEGMENT, POSITION)
-    )
+    rows = numbered.rows(segment_rows, columns=[])
+    in_order = rows.join(entries, _SEGMENT).repartition(_SEGMENT).sortWithinPartitions(_SEGMENT, POSITION)
     number = cut_udf(batch_rows, max_batch_bytes)
-    return in_order.select(
-        *[quoted(c) for c in data if c != _SEGMENT],
-        number(_SEGMENT, BYTES, "held_rows", "held_bytes", "open_batch").alias(BATCH),
+    return in_order.select(POSITION, BYTES, number(_SEGMENT, BYTES, "held_rows", "held_bytes", "open_batch").alias(BATCH))
+
+
+def _batch_edges(narrow: DataFrame) -> DataFrame:
+    return narrow.groupBy(F.col(BATCH).alias("batch")).agg(
+        F.min(POSITION).alias("first"), F.count(F.lit(1)).alias("rows"), F.sum(BYTES).alias("bytes")
     )
 
 
@@ -301,32 +325,23 @@ def _summaries(pdf: pd.DataFrame) -> list[tuple[int, Summary]]:
 def _segment_entries(numbered: NumberedRows, batch_rows: int, cap: int, segment_rows: int, block_segments: int) -> DataFrame:
     """What the open batch holds when each segment begins: (segment, held_rows, held_bytes, open_batch).
 
-    Segments are summarised in parallel, blocks of segments are composed in
-    parallel, and the driver only walks over one bounded summary per block.
+    Segments are summarised in parallel. ``block_segments`` neighbours are composed
+    to one summary, level by level, until so few are left that one task walks
+    over them; what it finds on entry to each goes down the levels again. A
+    summary is as long as a batch has rows, so fewer are taken together when
+    batches are long. None reaches the driver.
     """
     spark = numbered.spark
-    folder = storage.new_folder(spark, "segments")
+    fan = max(2, min(block_segments, SUMMARY_ROWS // batch_rows))
+    entry = "segment long, held_rows long, held_bytes long, open_batch long"
 
     def summarise_segment(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf.sort_values(POSITION)[BYTES].to_numpy(np.int64)
         return _frame(int(key[0]), summarise(sizes, batch_rows, cap))
 
-    narrow = numbered.rows(segment_rows, columns=[])
-    narrow.groupBy(_SEGMENT).applyInPandas(summarise_segment, _SUMMARY).write.parquet(folder)
-    segments = spark.read.parquet(folder).withColumn("block", _div(F.col("segment"), block_segments))
-
     def compose_block(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         return _frame(int(key[0]), reduce(lambda a, b: compose(a, b, batch_rows, cap), [s for _, s in _summaries(pdf)]))
 
-    blocks = segments.groupBy("block").applyInPandas(compose_block, _SUMMARY).toPandas()
-    state, starts = (0, 0, -1), []
-    for block, summary in _summaries(blocks):
-        starts.append((block, *state))
-        rows, held, started = advance(summary, np.int64(state[0]), np.int64(state[1]), batch_rows, cap)
-        state = (int(rows), int(held), state[2] + int(started))
-    schema = "block long, held_rows long, held_bytes long, open_batch long"
-    entering = F.broadcast(spark.createDataFrame(starts, schema))
-
     def walk_block(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
         rows, held, batch = int(first.held_rows), int(first.held_bytes), int(first.open_batch)
@@ -335,22 +350,32 @@ def _segment_entries(numbered: NumberedRows, batch_rows: int, cap: int, segment_
             out.append((segment, rows, held, batch))
             r, b, started = advance(summary, np.int64(rows), np.int64(held), batch_rows, cap)
             rows, held, batch = int(r), int(b), batch + int(started)
-        return pd.DataFrame(out, columns=[_SEGMENT, "held_rows", "held_bytes", "open_batch"])
-
-    walked = segments.join(entering, "block").groupBy("block").applyInPandas(
-        walk_block, f"{_SEGMENT} long, held_rows long, held_bytes long, open_batch long"
-    )
-    entries = storage.new_folder(spark, "entries")
-    walked.write.parquet(entries)
-    return spark.read.parquet(entries)
+        return pd.DataFrame(out, columns=["segment", "held_rows", "held_bytes", "open_batch"])
+
+    def kept(rows: DataFrame, label: str) -> DataFrame:
+        folder = storage.new_folder(spark, label)
+        rows.write.parquet(folder)
+        return spark.read.schema(rows.schema).parquet(folder)
+
+    sizes = numbered.rows(segment_rows, columns=[])
+    levels = [kept(sizes.groupBy(_SEGMENT).applyInPandas(summarise_segment, _SUMMARY), "segments")]
+    count = numbered.segment_count(segment_rows)
+    while count > fan:
+        levels.append(kept(levels[-1].groupBy(_div(F.col("segment"), fan).alias("segment")).applyInPandas(compose_block, _SUMMARY), "segments"))
+        count = -(-count // fan)
+    zero = F.lit(0).cast("long")
+    walked = levels[-1].withColumns({"block": zero, "held_rows": zero, "held_bytes": zero, "open_batch": F.lit(-1).cast("long")})
+    entries = kept(walked.groupBy("block").applyInPandas(walk_block, entry), "entries")
+    for level in levels[-2::-1]:
+        parents = entries.withColumnRenamed("segment", "block")
+        walked = level.withColumn("block", _div(F.col("segment"), fan)).join(parents, "block")
+        entries = kept(walked.groupBy("block").applyInPandas(walk_block, entry), "entries")
+    return entries.withColumnRenamed("segment", _SEGMENT)
 
 
 def batch_table(numbered: NumberedRows, batch_rows: int = BATCH_ROWS, max_batch_bytes: int = MAX_BATCH_BYTES) -> DataFrame:
     """One row per batch: (batch, first, rows, bytes). Only positions and sizes move, never the records."""
-    batched = batch_rows_and_bytes(numbered, batch_rows, max_batch_bytes, columns=[])
-    return batched.groupBy(F.col(BATCH).alias("batch")).agg(
-        F.min(POSITION).alias("first"), F.count(F.lit(1)).alias("rows"), F.sum(BYTES).alias("bytes")
-    )
+    return _batch_edges(batch_rows_and_bytes(numbered, batch_rows, max_batch_bytes, columns=[]))
 
 
 def oversize(df: DataFrame, max_bytes: int, source: str = "file") -> DataFrame:

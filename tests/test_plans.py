@@ -45,10 +45,27 @@ def test_commit_ranges_read_only_their_rows(numbered):
     assert "PushedFilters: [IsNotNull(_row), GreaterThanOrEqual(_row,100), LessThan(_row,200)]" in text
 
 
-def test_byte_batches_send_five_narrow_columns_to_python(numbered):
-    text = plan(batch_rows_and_bytes(numbered, 100, 3000))
+def test_byte_batches_cut_over_narrow_columns(numbered):
+    text = plan(batch_rows_and_bytes(numbered, 100, 3000, columns=[]))
     assert re.search(r"ArrowEvalPython \[number\(_segment#\d+L, _bytes#\d+L, held_rows#\d+L, held_bytes#\d+L, open_batch#\d+L\)", text)
     assert text.replace("BroadcastExchange", "").count("Exchange hashpartitioning") == 1
+    assert "props" not in text
+
+
+def test_byte_batches_move_no_whole_row(numbered):
+    text = plan(batch_rows_and_bytes(numbered, 100, 3000))
+    assert "props" in text and "Exchange" not in text.replace("BroadcastExchange", "") and "Python" not in text
+
+
+def test_many_batch_edges_are_not_broadcast(spark, numbered):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batched = batch_rows_and_bytes(numbered, 100, 3000)
+        assert "SortMergeJoin [_stretch" in plan(batched)
+        assert batched.count() == numbered.total
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_batch_table_reads_no_payload(numbered):
@@ -57,9 +74,9 @@ def test_batch_table_reads_no_payload(numbered):
         assert column not in text
 
 
-def test_filters_stay_above_the_numbering(numbered):
+def test_filters_of_batched_rows_reach_the_scan(numbered):
     text = plan(batch_rows_and_bytes(numbered, 100, 3000).where("user_id = 3"))
-    assert text.index("Filter") < text.index("ArrowEvalPython")
+    assert "EqualTo(user_id,3)" in text
 
 
 def test_chunk_windows_are_bounded_by_the_batch(numbered):
