@@ -259,13 +259,22 @@ def batch_rows_and_bytes(
 
 def _numbered_sizes(numbered: NumberedRows, batch_rows: int, max_batch_bytes: int, segment_rows: int, block_segments: int) -> DataFrame:
     """Position, size and batch number of every row: what is shuffled by segments has these and the segment's entry only."""
-    entries = _segment_entries(numbered, batch_rows, max_batch_bytes, segment_rows, block_segments)
+    entries = None
+    if numbered.segment_count(segment_rows) > 1:
+        entries = _segment_entries(numbered, batch_rows, max_batch_bytes, segment_rows, block_segments)
     rows = numbered.rows(segment_rows, columns=[])
-    in_order = rows.join(entries, _SEGMENT).repartition(_SEGMENT).sortWithinPartitions(_SEGMENT, POSITION)
+    # a single segment is entered with no batch open
+    entered = rows.withColumns(_nothing_held()) if entries is None else rows.join(entries, _SEGMENT)
+    in_order = entered.repartition(_SEGMENT).sortWithinPartitions(_SEGMENT, POSITION)
     number = cut_udf(batch_rows, max_batch_bytes)
     return in_order.select(POSITION, BYTES, number(_SEGMENT, BYTES, "held_rows", "held_bytes", "open_batch").alias(BATCH))
 
 
+def _nothing_held() -> dict[str, Column]:
+    zero = F.lit(0).cast("long")
+    return {"held_rows": zero, "held_bytes": zero, "open_batch": F.lit(-1).cast("long")}
+
+
 def _batch_edges(narrow: DataFrame) -> DataFrame:
     return narrow.groupBy(F.col(BATCH).alias("batch")).agg(
         F.min(POSITION).alias("first"), F.count(F.lit(1)).alias("rows"), F.sum(BYTES).alias("bytes")
@@ -363,8 +372,7 @@ def _segment_entries(numbered: NumberedRows, batch_rows: int, cap: int, segment_
     while count > fan:
         levels.append(kept(levels[-1].groupBy(_div(F.col("segment"), fan).alias("segment")).applyInPandas(compose_block, _SUMMARY), "segments"))
         count = -(-count // fan)
-    zero = F.lit(0).cast("long")
-    walked = levels[-1].withColumns({"block": zero, "held_rows": zero, "held_bytes": zero, "open_batch": F.lit(-1).cast("long")})
+    walked = levels[-1].withColumns({"block": F.lit(0).cast("long"), **_nothing_held()})
     entries = kept(walked.groupBy("block").applyInPandas(walk_block, entry), "entries")
     for level in levels[-2::-1]:
         parents = entries.withColumnRenamed("segment", "block")

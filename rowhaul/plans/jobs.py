@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable, Mapping
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -19,7 +20,7 @@ from rowhaul.plans.checkpoint import CheckpointStore, TransferCheckpoint, plan_f
 from rowhaul.plans.results import PROGRESS_INTERVAL, Progress, ProgressReports, TransferResult, WriteStatus
 from rowhaul.sinks.committed import StagedRows
 from rowhaul.sinks.files import write_records
-from rowhaul.sources.files import read_records
+from rowhaul.sources.files import line_named, read_records
 from rowhaul.sources.query import sql_query
 from rowhaul.types import Capability
 
@@ -75,6 +76,8 @@ def import_records(
 ) -> TransferResult:
     """File to table: parse, transform, rename, write. Imports cannot resume.
 
+    A bad line of JSON Lines is named by file and line number.
+
     Batches follow the files by name and the records in them. Where a step between needs a
     shuffle (records put together from pieces) or Python (a transform may), they follow the order in
     which that step delivers them.
@@ -82,11 +85,13 @@ def import_records(
     options = dict(read_options or {})
     if format.lower() in ("jsonl", "extended-json"):
         options.setdefault("max_record_bytes", max_batch_bytes)
-    df = _transformed(read_records(spark, path, format, **options), transform, max_batch_bytes)
-    return load(
-        df, sink, mapping, create_table, transaction, batch_rows, max_batch_bytes,
-        batches_per_commit=batches_per_commit, source="file", by_file=transform is None, **reporting,
-    )
+    records = read_records(spark, path, format, **options)
+    by_line = format.lower() in ("jsonl", "extended-json")
+    with line_named(spark, path, records.columns, options["max_record_bytes"]) if by_line else nullcontext():
+        return load(
+            _transformed(records, transform, max_batch_bytes), sink, mapping, create_table, transaction, batch_rows, max_batch_bytes,
+            batches_per_commit=batches_per_commit, source="file", by_file=transform is None, **reporting,
+        )
 
 
 def copy(

@@ -8,6 +8,8 @@ Extended JSON split at any line, CSV and JSON arrays at any record.
 
 from __future__ import annotations
 
+import re
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -23,6 +25,8 @@ from rowhaul.sources.pieces import joined_records, read_pieces
 from rowhaul.types import DECIMAL_SCALE, JSON_NUMBER, decimal_type, logical
 
 MAX_RECORD_BYTES = 4 * 1024 * 1024
+#: What readers of JSON Lines say of a bad line.
+_BAD_LINE = re.compile("(invalid UTF-8|exceeds the size limit|invalid JSON object|no properties|properties differ from the first record) in ")
 
 
 def read_records(spark: SparkSession, path, format: str, **options) -> DataFrame:
@@ -132,8 +136,9 @@ def read_jsonl(
     """JSON Lines, one object per line; blank lines are skipped, anything else stops the job.
 
     ``schema`` skips the look at the first record; with it, or with ``decimal_scale``, the numbers need no pass
-    of their own that finds a scale for each column. ``jsonl_violations`` reports
-    bad lines with their line numbers instead of stopping.
+    of their own that finds a scale for each column. That pass names a bad line by file and
+    number; put jobs on the records under ``line_named`` to have them do so, too. ``jsonl_violations``
+    reports all bad lines with their line numbers instead of stopping.
     """
     if max_record_bytes < 1:
         raise ValueError("max_record_bytes must be at least 1")
@@ -149,18 +154,46 @@ def read_jsonl(
                     F.raise_error(F.lit(f"invalid JSON object in {file}")).cast(RECORD),
                 ).alias("record")
             )
-            fields = _first_fields(first, extended, DECIMAL_SCALE if decimal_scale is None else decimal_scale)
+            with line_named(spark, file, None, max_record_bytes):
+                fields = _first_fields(first, extended, DECIMAL_SCALE if decimal_scale is None else decimal_scale)
             if fields is not None:
                 break
         if fields is None:
             raise _no_records()
         if decimal_scale is None:
-            fields = _with_scales(_jsonl_values(scan, fields, max_record_bytes), fields, extended)
+            with line_named(spark, path, [f.name for f in fields], max_record_bytes):
+                fields = _with_scales(_jsonl_values(scan, fields, max_record_bytes), fields, extended)
     else:
         fields = schema.fields
     return jsonl_records(scan, fields, extended, max_record_bytes)
 
 
+class BadLine(ValueError):
+    """A line that is no acceptable record, by file and 1-based physical line."""
+
+    def __init__(self, file: str, line: int, reason: str):
+        super().__init__(f"{reason} in {file}, line {line}")
+        self.file, self.line, self.reason = file, line, reason
+
+
+@contextmanager
+def line_named(spark: SparkSession, path, names: list[str] | None = None, max_record_bytes: int = MAX_RECORD_BYTES):
+    """Any job that reads JSON Lines inside fails, if for a bad line, with the first one by file and line.
+
+    Lines are counted only then. A task that meets a bad line knows the file
+    but not how many lines the blocks before its own have.
+    """
+    try:
+        yield
+    except Exception as error:
+        if not _BAD_LINE.search(str(error)):
+            raise
+        found = jsonl_violations(spark, path, names, max_record_bytes).orderBy("file", "line").first()
+        if found is None:
+            raise
+        raise BadLine(found.file, found.line, found.reason) from error
+
+
 def _guard(max_record_bytes: int) -> Column:
     """Row filter: skips blank lines, stops on lines that no later step may see."""
     value, where = F.col("value"), F.col("_metadata.file_path")

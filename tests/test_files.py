@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import rows
+from rowhaul.plans.jobs import import_records
+from rowhaul.sinks.committed import CommittedTable
 from rowhaul.sinks.files import FORMATS, write_records
-from rowhaul.sources.files import jsonl_violations, read_csv, read_json_array, read_jsonl, read_records
+from rowhaul.sources.files import BadLine, jsonl_violations, line_named, read_csv, read_json_array, read_jsonl, read_records
 
 AWKWARD = [
     (1, None), (2, ""), (3, "\\N"), (4, "\\\\N"), (5, " leading and trailing "), (6, "a,b"), (7, 'say "hi"'), (8, "two\nlines"),
@@ -146,6 +148,36 @@ def test_violation_lines_across_file_blocks(spark, tmp_path):
     assert sorted((r.file[-1], r.line) for r in found) == sorted((f, b) for f in "ab" for b in bad)
 
 
+def test_read_errors_name_file_and_line(spark, tmp_path):
+    """Over blocks of 1 KB, many of them before the bad line; with and without a pass of the reader's own."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name in ("a", "b"):
+        lines = [f'{{"id":{i}}}' for i in range(1, 4001)]
+        if name == "b":
+            lines[3456] = '{"id":1,"no":2}'
+            lines[3999] = "broken"
+        (folder / name).write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 50
+        with pytest.raises(BadLine, match="properties differ from the first record in .*/b, line 3457"):
+            read_records(spark, str(folder), "jsonl")
+        lazy = read_records(spark, str(folder), "jsonl", decimal_scale=0)
+        with pytest.raises(BadLine) as failed, line_named(spark, str(folder), lazy.columns):
+            lazy.collect()
+        assert (failed.value.line, failed.value.reason) == (3457, "properties differ from the first record")
+        target = CommittedTable(spark, f"{tmp_path}/t")
+        with pytest.raises(BadLine, match="line 3457"):
+            import_records(spark, str(folder), "jsonl", target, create_table=True, read_options={"decimal_scale": 0})
+        assert target.commits() == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with pytest.raises(BadLine, match="invalid JSON object in .*, line 3"):
+        read_jsonl(spark, _file(tmp_path, "\n \n[1]\n"))
+
+
 def test_record_size_cap(spark, tmp_path):
     path = _file(tmp_path, '{"v":"é"}')
     assert read_jsonl(spark, path, max_record_bytes=10).first().v == "é"
