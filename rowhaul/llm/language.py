@@ -1,7 +1,8 @@
 """Language identification with a blended-spectrum string kernel.
 
 A text is the set of its character n-grams of one to three letters, case folded,
-with everything that is no letter as one class. The kernel of two texts is the
+with everything that is no letter as one class, a to z as 26, and all other letters, of
+whatever script, hashed to 37. The kernel of two texts is the
 size of their common set over the geometric mean of their sizes. Landmarks, a
 few texts of each language, span the Nystroem approximation; one-versus-rest
 ridge regression on it gives a weight for each landmark and language. A block
@@ -9,7 +10,8 @@ of texts is scored by two matrix products: presence by landmarks, kernels by
 weights.
 
 Training looks at a bounded sample: ``SAMPLE`` labelled texts shared among the
-languages, drawn by a hash of the id, none longer than ``LONGEST`` bytes.
+languages (the ``LANGUAGES`` most frequent ones; of equally frequent ones the
+first by code point), drawn by a hash of the id, none longer than ``LONGEST`` bytes.
 Prediction sees whole texts, and the text alone.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
@@ -32,14 +34,17 @@ LANDMARKS = 64
 LONGEST = 20_000
 RIDGE = 0.05
 UNKNOWN = "und"
+#: Languages learned at most, the most frequent ones.
+LANGUAGES = 64
 _CLASSES = 64
+_POINTS = 0x110000
 _WIDTH = _CLASSES + _CLASSES**2 + _CLASSES**3
 
 
 def _letter_classes() -> np.ndarray:
-    """Class of each code point of the basic plane: 0 for what is no letter, a to z 1 to 26, other letters spread over the rest."""
-    out = np.zeros(1 << 16, np.int64)
-    for point in range(1 << 16):
+    """Class of each code point: 0 for what is no letter, a to z 1 to 26, other letters spread over the rest."""
+    out = np.zeros(_POINTS, np.int8)
+    for point in range(_POINTS):
         letter = chr(point)
         if letter.isalpha():
             low = ord(letter.lower()[0])
@@ -55,7 +60,7 @@ def grams(text: str) -> np.ndarray:
     if not _TABLE:
         _TABLE.append(_letter_classes())
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    codes = _TABLE[0][np.minimum(points, 0xFFFF)]
+    codes = _TABLE[0][points].astype(np.int64)
     held = np.zeros(_WIDTH, bool)
     held[codes] = True
     pairs = codes[:-1] * _CLASSES + codes[1:]
@@ -108,7 +113,8 @@ class Model:
 def learn(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model | None:
     """A model of the labelled texts; of each language an equal, bounded sample is drawn."""
     usable = labelled.where(F.col(lang).isNotNull() & (F.octet_length(text) <= LONGEST) & (F.length(text) > 0))
-    counts = {r[0]: r[1] for r in usable.groupBy(lang).count().collect()}
+    frequent = usable.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    counts = {r.lang: r.n for r in frequent.collect()}
     if not counts:
         return None
     each = max(4, sample // len(counts))

@@ -205,6 +205,18 @@ def test_importance_sample_drops_the_bad_share(spark, table, bad):
     assert sum(r.kept for r in none) == 600 and not next(r.kept for r in none if r.doc_id == 600)
 
 
+def test_language_beyond_the_basic_plane_and_of_many_labels(spark, table):
+    gothic, english = "\U00010330\U00010331\U00010332 \U00010333\U00010334", "the cat sat on the mat"
+    rows = [(i, (gothic, "got") if i % 2 else (english, "en")) for i in range(40)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in rows] + [(None, gothic, "got")], "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert model.langs == ["en", "got"]
+    assert model.predict([gothic[:3], "\U00010332\U00010333", "cats", "\U0001F600 1"])[0] == ["got", "got", "en", "und"]
+    dirty = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(english).alias("text"), F.concat(F.lit("x"), F.col("id")).alias("lang"))
+    many = language.learn(dirty.unionByName(docs))
+    assert len(many.langs) <= language.LANGUAGES and {"en", "got"} <= set(many.langs)
+
+
 def test_language(spark, table):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = queries.op4_string_kernel_language(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").collect()
