@@ -46,7 +46,7 @@ def test_commit_ranges_read_only_their_rows(numbered):
 
 
 def test_byte_batches_cut_over_narrow_columns(numbered):
-    text = plan(batch_rows_and_bytes(numbered, 100, 3000, columns=[]))
+    text = plan(batch_rows_and_bytes(numbered, 100, 3000, segment_rows=100, columns=[]))
     assert re.search(r"ArrowEvalPython \[number\(_segment#\d+L, _bytes#\d+L, held_rows#\d+L, held_bytes#\d+L, open_batch#\d+L\)", text)
     assert text.replace("BroadcastExchange", "").count("Exchange hashpartitioning") == 1
     assert "props" not in text
