@@ -53,6 +53,11 @@ def type_tag(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
+def variant_text(value: str) -> Column:
+    """Text of a scalar variant; a number's has all its digits."""
+    return F.expr(f"try_variant_get({value}, '$', 'string')")
+
+
 def wrapper_tag(name: str) -> str:
     return f"OBJECT<`{name}`: STRING>"
 
@@ -62,6 +67,10 @@ def _inner_sql(value: str, name: str) -> str:
 
 
 def tagged(value: str, extended: bool = False) -> Column:
+    return F.expr(tagged_sql(value, extended))
+
+
+def tagged_sql(value: str, extended: bool = False) -> str:
     """Kind and text of a scalar variant: all that decoding needs, computed once per value.
 
     The kind is the value's type text, or the wrapper's name; the text of a
@@ -72,7 +81,29 @@ def tagged(value: str, extended: bool = False) -> Column:
         tags = [(literal(wrapper_tag(n)), n) for n in WRAPPERS]
         text = f"CASE {kind} " + " ".join(f"WHEN {t} THEN {_inner_sql(value, n)}" for t, n in tags) + f" ELSE {text} END"
         kind = f"CASE {kind} " + " ".join(f"WHEN {t} THEN {literal(n)}" for t, n in tags) + f" ELSE {kind} END"
-    return F.expr(f"named_struct('kind', {kind}, 'text', {text})")
+    return f"named_struct('kind', {kind}, 'text', {text})"
+
+
+def quickly_decoded(field: T.StructField) -> bool:
+    """Whether ``quick_decode`` knows the column's type."""
+    return isinstance(field.dataType, T.DecimalType) or (isinstance(field.dataType, T.StringType) and logical(field) is None)
+
+
+def quick_decode(value: str, text: str, field: T.StructField) -> Column:
+    """A scalar variant and its text to the column's type, as ``decode`` does it.
+
+    The usual values of a column, short plain numbers or strings, need the text alone. All others
+    are decoded in a lambda, which stays out of the generated code: of many columns
+    that would be too long for the JVM to compile.
+    """
+    rest = f"transform(transform(array({value}), v -> {tagged_sql('v')}), t -> {decode_sql('t', field)})[0]"
+    if isinstance(field.dataType, T.StringType):
+        return F.expr(f"CASE WHEN schema_of_variant({value}) = 'STRING' THEN {text} ELSE {rest} END")
+    point = f"instr({text}, '.')"
+    # true and false have an e, too
+    plain = f"length({text}) < {len(DECIMAL_LIMIT)} AND NOT contains({text}, 'E') AND NOT contains({text}, 'e')"
+    fits = f"({point} = 0 OR length({text}) - {point} <= {field.dataType.scale})"
+    return F.expr(f"coalesce(CASE WHEN {plain} AND {fits} THEN try_cast({text} AS {field.dataType.simpleString()}) END, {rest})")
 
 
 def _number_to_decimal(kind: str, text: str, data_type: T.DecimalType) -> str:
@@ -89,12 +120,19 @@ def _number_to_decimal(kind: str, text: str, data_type: T.DecimalType) -> str:
 
 def number_digits_sql(text: str) -> tuple[str, str]:
     """Digits before and after the decimal point that the number in ``text`` needs; null when it is none."""
+    # nearly all numbers have no exponent, and one pattern is enough for them
+    plain = f"rlike({text}, r'^[+-]?[0-9]+([.][0-9]+)?\\z')"
+    plain_whole = f"length(ltrim('+-0', substring_index({text}, '.', 1)))"
+    plain_part = f"if(instr({text}, '.') = 0, 0, length(rtrim('0', {text})) - instr({text}, '.'))"
     number = f"rlike({text}, r'^[+-]?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]{{1,4}})?$')"
     mantissa = f"ltrim('+-', regexp_replace({text}, r'[eE].*$', ''))"
     power = f"coalesce(try_cast(regexp_extract({text}, r'[eE](.*)$', 1) AS int), 0)"
     whole = f"length(ltrim('0', regexp_replace({mantissa}, r'[.].*$', '')))"
     part = f"length(rtrim('0', regexp_extract({mantissa}, r'[.](.*)$', 1)))"
-    return tuple(f"CASE WHEN {number} THEN greatest(0, {x}) END" for x in (f"{whole} + {power}", f"{part} - {power}"))
+    return tuple(
+        f"CASE WHEN {plain} THEN {y} WHEN {number} THEN greatest(0, {x}) END"
+        for y, x in ((plain_whole, f"{whole} + {power}"), (plain_part, f"{part} - {power}"))
+    )
 
 
 def _number_to_integral(kind: str, text: str, data_type: T.DataType) -> str:
@@ -106,6 +144,10 @@ def _number_to_integral(kind: str, text: str, data_type: T.DataType) -> str:
 
 
 def decode(tag: str, field: T.StructField, extended: bool = False) -> Column:
+    return F.expr(decode_sql(tag, field, extended))
+
+
+def decode_sql(tag: str, field: T.StructField, extended: bool = False) -> str:
     """A tagged value to the column's type: scalars only, strict, null kept."""
     kind, text, data_type = f"{tag}.kind", f"{tag}.text", field.dataType
     name = data_type.simpleString()
@@ -151,9 +193,7 @@ def decode(tag: str, field: T.StructField, extended: bool = False) -> Column:
         cases = [*cases[1:], cases[0]]
     what = literal(f"property '{field.name}': only scalar JSON values, and no loss; cannot be converted to {logical(field) or name}: ")
     failed = f"raise_error(concat({what}, {kind}, ' ', coalesce({text}, '')))"
-    return F.expr(
-        f"CASE WHEN {kind} IS NOT NULL AND {kind} <> 'VOID' THEN coalesce(CASE {' '.join(cases)} END, {failed}) END"
-    )
+    return f"CASE WHEN {kind} IS NOT NULL AND {kind} <> 'VOID' THEN coalesce(CASE {' '.join(cases)} END, {failed}) END"
 
 
 def _from_wrapper(text: str, wrapped: T.DataType, field: T.StructField) -> str:

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from rowhaul import storage
 from rowhaul.functions.json import (
-    DATE, RECORD, decode, first_value_field, is_blank, number_digits_sql, one_record, parse_line, tagged, type_tag,
+    DATE, RECORD, decode, first_value_field, is_blank, number_digits_sql, one_record, parse_line, quick_decode, quickly_decoded, tagged,
+    type_tag, variant_text,
 )
 from rowhaul.functions.text import csv_unescape_sql
 from rowhaul.operators.schema import check_names
@@ -100,12 +101,14 @@ def _stop(fault: Column, where: Column) -> Column:
 
 
 def _select_values(records: DataFrame, fields: list[T.StructField], extended: bool) -> DataFrame:
-    tags = records.select(*[
-        tagged(f"get(record_values, {i})", extended).alias(f"t{i}") for i in range(len(fields))
+    quick = [not extended and quickly_decoded(f) for f in fields]
+    values = [f"get(record_values, {i})" for i in range(len(fields))]
+    tags = records.select("record_values", *[
+        (variant_text(v) if q else tagged(v, extended)).alias(f"t{i}") for i, (v, q) in enumerate(zip(values, quick))
     ])
     return tags.select(*[
-        decode(f"t{i}", field, extended).alias(field.name, metadata=field.metadata or {})
-        for i, field in enumerate(fields)
+        (quick_decode(v, f"t{i}", field) if q else decode(f"t{i}", field, extended)).alias(field.name, metadata=field.metadata or {})
+        for i, (v, q, field) in enumerate(zip(values, quick, fields))
     ])
 
 
@@ -114,17 +117,29 @@ def _with_scales(records: DataFrame, fields: list[T.StructField], extended: bool
     at = [i for i, f in enumerate(fields) if logical(f) == JSON_NUMBER["logical"]]
     if not at:
         return fields
-    tags = records.select(*[tagged(f"get(record_values, {i})", extended).alias(f"t{i}") for i in at])
-    digits = tags.select(*[F.expr(e).alias(f"{k}{i}") for i in at for k, e in zip("ws", number_digits_sql(f"t{i}.text"))])
-    need = digits.agg(*[F.max(c).alias(c) for c in digits.columns]).first()
+    need = {r.column: r for r in _digits_needed(records, at, extended).collect()}
     out = list(fields)
     for i in at:
-        room = max(0, 38 - (need[f"w{i}"] or 0))
-        scale = min(room, max(need[f"s{i}"] or 0, DECIMAL_SCALE))
+        whole, part = (need[i].whole or 0, need[i].part or 0) if i in need else (0, 0)
+        room = max(0, 38 - whole)
+        scale = min(room, max(part, DECIMAL_SCALE))
         out[i] = T.StructField(fields[i].name, decimal_type(scale), True, fields[i].metadata)
     return out
 
 
+def _digits_needed(records: DataFrame, at: list[int], extended: bool) -> DataFrame:
+    """(column, whole, part) for the columns at ``at``: the most digits any of its numbers has before and after the point.
+
+    One row per value, so that there is one expression however many columns there are.
+    """
+    values = F.array(*[F.expr(f"get(record_values, {i})") for i in at])
+    each = records.select(F.posexplode(values).alias("nth", "value"))
+    texts = each.select(F.get(F.lit(at), "nth").alias("column"), tagged("value", extended)["text"].alias("text"))
+    whole, part = number_digits_sql("text")
+    digits = texts.select("column", F.expr(whole).alias("whole"), F.expr(part).alias("part"))
+    return digits.groupBy("column").agg(F.max("whole").alias("whole"), F.max("part").alias("part"))
+
+
 def read_jsonl(
     spark: SparkSession,
     path,

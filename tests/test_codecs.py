@@ -1,11 +1,12 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from rowhaul.functions.coerce import coerce_columns, loses_fraction
-from rowhaul.functions.json import encode, one_record, parse_line
+from rowhaul.functions.json import decode, encode, number_digits_sql, one_record, parse_line, quick_decode, tagged, variant_text
 from rowhaul.functions.sizes import record_bytes
 from rowhaul.functions.text import csv_escape_sql, csv_unescape_sql, value_text
 
@@ -157,3 +158,45 @@ def test_record_sizes(spark):
     assert df.select(record_bytes(df, "file")).first()[0] == 5 + 3 + 16 + 1 + 0
     doc = spark.sql("""SELECT parse_json('{"k":[1,2]}') AS v, parse_json('"é"') AS s, parse_json('5') AS n, parse_json('null') AS z""")
     assert doc.select(record_bytes(doc, "document")).first()[0] == len('{"k":[1,2]}') + 2 + 16 + 1
+
+
+SCALARS = [
+    "1", "-0", "0.5", "-12.50", "1e3", "15e-1", "1.5E-12", "12345678901234567890.123456789", "79228162514264337593543950335",
+    "79228162514264337593543950336", "0.0000000001", "true", "false", "null", '"12.5"', '" 7 "', '"1e3"', '"true"', '"x"', '""', '"NaN"',
+    '"1.5000000000000"', '"12345678901234567890123456789012345678"', '{"a":1}', "[1]", '{"$date":"x"}',
+]
+
+
+@pytest.mark.parametrize("field", [
+    T.StructField("v", T.DecimalType(38, 9), True, {"logical": "json_number"}), T.StructField("v", T.DecimalType(38, 0)),
+    T.StructField("v", T.DecimalType(10, 2)), T.StructField("v", T.StringType()),
+])
+def test_quick_decode_equals_decode(spark, field):
+    def read(scalar, quick):
+        df = spark.createDataFrame([(scalar,)], "s string").select(F.parse_json("s").alias("x"))
+        df = df.select("x", variant_text("x").alias("text"), tagged("x").alias("tag"))
+        try:
+            return df.select((quick_decode("x", "text", field) if quick else decode("tag", field)).alias("v")).first().v
+        except Exception as error:
+            return re.search("property 'v': [^\n]*?cannot be converted to [^\n\"]*", str(error))[0]
+
+    for scalar in SCALARS:
+        assert read(scalar, True) == read(scalar, False), scalar
+
+
+def test_usual_values_need_no_type_text(spark):
+    """The type of every number used to be written out; now only that of values whose text does not settle it."""
+    field = T.StructField("v", T.DecimalType(38, 9), True, {"logical": "json_number"})
+    df = spark.sql("SELECT parse_json('1.5') AS x").select("x", variant_text("x").alias("text")).select(quick_decode("x", "text", field).alias("v"))
+    text = df._jdf.queryExecution().analyzed().toString()
+    assert text.index("try_cast") < text.index("schema_of_variant") and df.first().v == Decimal("1.5")
+
+
+def test_digits_of_numbers(spark):
+    texts = ["0", "-0", "007", "-12.50", "+1.5", "100", "100.00", "0.05", "1e3", "1.5E-7", "12.5e2", "x", "1.", ".5", "1.5\n", "", None]
+    whole, part = number_digits_sql("t")
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.expr(whole).alias("w"), F.expr(part).alias("p"))
+    assert [(r.w, r.p) for r in df.collect()] == [
+        (0, 0), (0, 0), (1, 0), (2, 1), (1, 1), (3, 0), (3, 0), (0, 2), (4, 0), (0, 8), (4, 0), (None, None), (None, None), (None, None),
+        (2, 1), (None, None), (None, None),
+    ]

@@ -3,14 +3,14 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 import __spark_entry__ as entry_points
 from rowhaul.operators.batching import batch_by_rows, batch_rows_and_bytes, batch_table, number_rows, partition_chunks
 from rowhaul.operators.transform import transform_columns
 from rowhaul.sinks.collections import key_conflicts
 from rowhaul.sinks.files import json_lines, write_records
-from rowhaul.sources.files import read_jsonl
+from rowhaul.sources.files import _digits_needed, read_jsonl
 from rowhaul.sources.query import register_tables, sql_query
 
 
@@ -108,3 +108,12 @@ def test_json_lines_parse_once_and_split(spark, events, tmp_path):
 def test_no_query_multiplies_rows(spark, sf, name):
     text = plan(entry_points.queries()[name](spark, sf))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_digits_of_numbers_take_one_expression_however_many_columns(spark):
+    """Each column used to bring patterns of its own: eight made a method that the JVM only interprets."""
+    values = spark.sql("SELECT transform(sequence(1, 8), i -> parse_json('1.5')) AS record_values")
+    needed = _digits_needed(values, list(range(8)), False)
+    text = needed._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= len(re.findall("variant_get", text, re.I)) <= 2
+    assert sorted(map(tuple, needed.collect())) == [(i, 1, 1) for i in range(8)]
