@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -34,8 +35,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/rowhaul/{label}-{uuid.uuid4().hex}"
 
 
+@lru_cache(maxsize=4)
+def _hadoop(jvm):
+    """The classes used here. To find one by name takes several calls to the JVM, which a transfer of many commits would repeat."""
+    fs = jvm.org.apache.hadoop.fs
+    return fs.Path, fs.FileContext, fs.Options.Rename
+
+
 def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+    return _hadoop(spark._jvm)[0](path)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -69,19 +77,19 @@ def read_small(spark: SparkSession, path: str) -> str:
 
 def write_small(spark: SparkSession, path: str, text: str) -> None:
     """Replace a marker file in one step: write beside it, then rename over it."""
-    temporary = f"{path}.tmp"
-    stream = _fs(spark, path).create(_path(spark, temporary), True)
+    source, target = _path(spark, f"{path}.tmp"), _path(spark, path)
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    files = target.getFileSystem(configuration)
+    stream = files.create(source, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    jvm = spark._jvm
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    if not files.exists(target) and files.rename(source, target):
+        return
+    _, contexts, rename = _hadoop(spark._jvm)
     flags = spark.sparkContext._gateway.new_array(rename, 1)
     flags[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        _path(spark, path).toUri(), spark.sparkContext._jsc.hadoopConfiguration()
-    ) if _path(spark, path).toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        spark.sparkContext._jsc.hadoopConfiguration()
-    )
-    context.rename(_path(spark, temporary), _path(spark, path), flags)
+    scheme = target.toUri().getScheme()
+    context = contexts.getFileContext(target.toUri(), configuration) if scheme else contexts.getFileContext(configuration)
+    context.rename(source, target, flags)
