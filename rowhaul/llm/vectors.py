@@ -31,6 +31,7 @@ result.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,8 @@ MEET = 0.97
 #: Vectors in a cell, about, and most of them in a block.
 CELL = 48
 BLOCK = 512
+#: Pairs on all lines that are listed at once.
+PAIRS = 1 << 18
 
 
 def calibrated(threshold: float, lines: int, window: float, recall: float) -> int:
@@ -68,6 +71,7 @@ def layout(vectors: int, threshold: float) -> tuple[int, int]:
     return bits, max(1, math.ceil(math.log(1 - MEET) / math.log(1 - together))) if together < 1 else 1
 
 
+@lru_cache(maxsize=16)
 def _lines(dim: int, number: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, number))
 
@@ -105,17 +109,28 @@ def _cells(bits: int, tables: int):
 
 
 def collisions(values: np.ndarray, window: float) -> np.ndarray:
-    """For all pairs of rows, on how many lines (columns) the one lies in the window around the other."""
-    m = len(values)
+    """For all pairs of rows, on how many lines (columns) the one lies in the window around the other.
+
+    Most cells are small, so that steps count more than rows: lines are taken
+    together, as many as keep the lists of pairs short.
+    """
+    m, lines = values.shape
     counts = np.zeros(m * m, np.int64)
-    for line in values.T:
-        order = np.argsort(line)
-        ordered = line[order]
-        ends = np.searchsorted(ordered, ordered + window, side="right")
-        sizes = ends - np.arange(m) - 1
-        first = np.repeat(np.arange(m), sizes)
-        second = first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        a, b = order[first], order[second]
+    together = max(1, PAIRS // max(1, m * m))
+    for k in range(0, lines, together):
+        some = values[:, k : k + together]
+        order = np.argsort(some, axis=0)
+        ordered = np.take_along_axis(some, order, axis=0)
+        # Values and ends of their windows in one order, values first: an end's place there tells how many values it reaches.
+        merged = np.argsort(np.concatenate([ordered, ordered + window]), axis=0, kind="stable")
+        places = np.empty_like(merged)
+        np.put_along_axis(places, merged, np.arange(2 * m)[:, None], axis=0)
+        ends = places[m:] - np.arange(m)[:, None]
+        sizes = (ends - np.arange(m)[:, None] - 1).T.ravel()
+        at = np.repeat(np.arange(len(sizes)), sizes)
+        second = at + 1 + np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        rows = order.T.ravel()
+        a, b = rows[at], rows[second]
         counts += np.bincount(np.minimum(a, b) * m + np.maximum(a, b), minlength=m * m)
     return counts.reshape(m, m)
 

@@ -350,6 +350,21 @@ def test_collisions_by_definition():
     values = np.random.default_rng(1).standard_normal((20, 7)).round(1)
     want = np.triu(sum(np.abs(values[:, k, None] - values[None, :, k]) <= 0.35 for k in range(7)), 1)
     assert (vectors.collisions(values, 0.35) == want).all()
+    # lines in several parts
+    many = np.random.default_rng(2).standard_normal((300, 7)).round(2)
+    want = np.triu(sum((many[:, k, None] <= many[None, :, k] + 0.35) & (many[None, :, k] <= many[:, k, None] + 0.35) for k in range(7)), 1)
+    assert (vectors.collisions(many, 0.35) == want).all()
+    assert vectors.collisions(np.zeros((0, 7)), 0.35).shape == (0, 0)
+
+
+def test_small_cells_take_few_steps(monkeypatch):
+    """Each line used to take steps of its own, most of the time of a cell of some dozen vectors."""
+    calls = Counter()
+    argsort = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: calls.update(["sort"]) or argsort(*a, **k))
+    values = np.random.default_rng(3).standard_normal((40, vectors.LINES))
+    vectors.collisions(values, vectors.WINDOW)
+    assert calls["sort"] <= 4
 
 
 @pytest.mark.parametrize("shards", [1, 7, 40])
