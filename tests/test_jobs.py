@@ -299,3 +299,18 @@ def test_a_failed_run_says_what_it_wrote(spark, source, tmp_path):
         copy(spark, text, table, errors="ignore")
     with pytest.raises(ValueError, match="interval"):
         copy(spark, source, table, progress_interval=-1)
+
+
+def test_a_marker_takes_few_calls_to_the_jvm(spark, tmp_path, monkeypatch):
+    """A transfer of many commits writes as many markers, one after another."""
+    from rowhaul import storage
+
+    storage.write_small(spark, f"{tmp_path}/m/first", "x")
+    client, sent = spark.sparkContext._gateway._gateway_client, []
+    plain = type(client).send_command
+    monkeypatch.setattr(type(client), "send_command", lambda self, command, *a, **k: sent.append(command) or plain(self, command, *a, **k))
+    storage.write_small(spark, f"{tmp_path}/m/second", "x")
+    assert sum(not c.startswith("m\n") for c in sent) <= 30  # without those that let go of objects
+    storage.write_small(spark, f"{tmp_path}/m/second", "y")
+    assert storage.read_small(spark, f"{tmp_path}/m/second") == "y"
+    assert [n for n in storage.list_names(spark, f"{tmp_path}/m") if not n.startswith(".")] == ["first", "second"]
