@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +35,32 @@ def map_batches(df: DataFrame, text: str, result: list[T.StructField], measure:
     return df.mapInArrow(run, schema)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write that begins in here go when it ends; else they stay until the driver collects its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, label: str, *parts: str) -> DataFrame:
-    """The rows of ``df`` from a table in the shared folder, by ``parts``: cuts lineage and outlives lost executors."""
+    """The rows of ``df`` from a table in the shared folder, by ``parts``: cuts lineage and outlives lost executors.
+
+    What was shuffled on the way there is no longer on disk afterwards.
+    """
     spark = df.sparkSession
     folder = storage.new_folder(spark, label)
-    df.write.partitionBy(*parts).parquet(folder)
+    with _shuffles_freed(spark):
+        df.write.partitionBy(*parts).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -7,10 +7,14 @@ neighbouring ones.
 
 Which sets may meet. If two sets of a band link, at most d elements are in one
 of them only, so of more than d cells that a hash deals elements to, one cell at
-least holds the same elements in both. With e more cells than that, even e
-cells with at most one element need no key, unless a set has more of them. A
-key is the content of a cell. This loses no link; equal keys by chance only cost
-time. Keys that meet make groups; within a group come the tiles.
+least holds the same elements in both. With e more cells than that, e + 1 do, and
+the e cells of a set with fewest elements, rare ones first, need no key: the
+fullest of the cells that are the same has e below it in either set. So cells
+without elements, or with one that unlike texts share, hardly ever have a key. A
+key is the content of a cell; it travels with the name of its set, bytes of the
+checksum, so that copies of a set are one there, too. This loses no link; equal
+keys or names by chance only cost time. Keys that meet make groups; within a
+group come the tiles.
 
 Tiles. A group's sets are cut into blocks of one band and bounded total size;
 tiles are pairs of blocks of equal or neighbouring bands. In a tile each set has
@@ -47,6 +51,8 @@ _BITS = 1024
 #: Two to this power counters tell elements that very many documents share.
 _COUNTERS = 18
 _SLICES = 16
+#: Cells of a set that need no key, for each hundred of its elements that may differ.
+SPARE = 50
 
 
 class Bands:
@@ -60,7 +66,7 @@ class Bands:
         self.lows = np.array(lows)
         # elements in one set only, at most, when sets up to the band's last size link
         self.differ = [2 * (high - 1) * (den - num) // (den + num) for high in lows[1:]]
-        self.spare = [0 if d < 3 else 2 + d // 10 for d in self.differ]
+        self.spare = [2 + d * SPARE // 100 if d else 0 for d in self.differ]
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.lows, sizes, side="right") - 1
@@ -91,14 +97,18 @@ class Sets:
         self.all = np.concatenate([np.zeros(0, np.uint64), *sets])
         self.of = np.repeat(np.arange(len(sets)), self.sizes)
 
+    def _sums(self, salt: int) -> np.ndarray:
+        ends = np.concatenate([[0], np.cumsum(self.sizes)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.all ^ _U(salt)))])
+        return (sums[ends[1:]] - sums[ends[:-1]]).view(np.int64)
+
     def checksums(self) -> tuple[np.ndarray, np.ndarray]:
         """Two order-free 64-bit sums for each set."""
-        ends = np.concatenate([[0], np.cumsum(self.sizes)])
-        out = []
-        for salt in (0x243F6A8885A308D3, 0x13198A2E03707344):
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.all ^ _U(salt)))])
-            out.append((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64))
-        return out[0], out[1]
+        return self._sums(0x243F6A8885A308D3), self._sums(0x13198A2E03707344)
+
+    def names(self) -> np.ndarray:
+        """The low bytes of the first sum: sets of equal content have one name."""
+        return self._sums(0x243F6A8885A308D3) & ((1 << 8 * _NAME) - 1)
 
     def keys(self, bands: Bands, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(key, set) for the cells of every set, in the tile of its band and in that of the next. ``common``: counters of shared elements."""
@@ -121,9 +131,10 @@ class Sets:
             high = np.bincount(at, (elements >> _U(32)).astype(np.float64), total).astype(np.uint64)
             owner = np.repeat(np.arange(len(cells)), cells)
             cell = np.arange(total) - base[owner]
-            weak = np.bincount(at, own[used], total) == 0
-            many = np.bincount(owner[weak], minlength=len(cells)) > spare
-            sent = ~weak | many[owner]
+            # of each set the cells with most elements, rare ones first; equal cells rank alike
+            rank = np.lexsort((cell, -np.bincount(at, minlength=total), -np.bincount(at, own[used], total), owner))
+            sent = np.empty(total, bool)
+            sent[rank] = cell < (cells - spare)[owner]
             salt = mix(tile[owner].astype(np.uint64) * _U(0x9FB21C651E98DF25) + cell.astype(np.uint64))
             out.append((mix((low + (high << _U(32))) ^ salt ^ (high >> _U(16)))[sent], owner[sent]))
         if not out:
@@ -208,20 +219,35 @@ def _forest(links: np.ndarray) -> np.ndarray:
 
 
 _KEYS = "bucket int, keys binary, ids binary, links binary"
+#: Bytes of a key that travel, besides its bucket, and of the checksum that names a set.
+_KEY, _NAME = 5, 6
+
+
+def _packed(values: np.ndarray, width: int) -> np.ndarray:
+    """The low bytes of 64-bit values, a row for each."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def _unpacked(packed: list[bytes], width: int, kind) -> np.ndarray:
+    low = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, width)
+    out = np.zeros((len(low), 8), np.uint8)
+    out[:, :width] = low
+    return out.view(kind).reshape(-1)
 
 
 def _send_keys(n: int, num: int, den: int, buckets: int, common: np.ndarray):
+    """Keys of texts, packed by bucket; the id beside a key is the name of its set."""
     bands = Bands(num, den)
 
     def flush(keys, ids):
         keys, least, links = _combined(np.concatenate(keys), np.concatenate(ids))
         links = _forest(links)
-        bucket = ((keys >> _U(11)) % _U(buckets)).astype(np.int64)
+        bucket = ((keys >> _U(8 * _KEY)) % _U(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         first = bucket[order][np.concatenate([[0], cuts])].tolist() if len(keys) else []
-        packed = [x.tobytes() for x in np.split(keys[order], cuts)][: len(first)]
-        packed_ids = [x.tobytes() for x in np.split(least[order], cuts)][: len(first)]
+        packed = [x.tobytes() for x in np.split(_packed(keys[order], _KEY), cuts)][: len(first)]
+        packed_ids = [x.tobytes() for x in np.split(_packed(least[order], _NAME), cuts)][: len(first)]
         if len(links):  # found here; they travel with any bucket
             first, packed, packed_ids = [*first, first[0]], [*packed, b""], [*packed_ids, b""]
         known = [None] * (len(first) - 1) + [links.tobytes() if len(links) else None]
@@ -230,9 +256,10 @@ def _send_keys(n: int, num: int, den: int, buckets: int, common: np.ndarray):
     def run(batches):
         keys, ids, gathered = [], [], 0
         for batch in pieces(batches):
-            own, owner = Sets(batch.column(1), n).keys(bands, common)
+            sets = Sets(batch.column(0), n)
+            own, owner = sets.keys(bands, common)
             keys.append(own)
-            ids.append(np.asarray(batch.column(0)).astype(np.int64)[owner])
+            ids.append(sets.names()[owner])
             gathered += len(own)
             if gathered >= GATHERED:
                 yield from flush(keys, ids)
@@ -245,8 +272,7 @@ def _send_keys(n: int, num: int, den: int, buckets: int, common: np.ndarray):
 
 def _meet(table):
     """What connects the ids of each key, over all tasks, and those linked before; one link for an id."""
-    join = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in table.column(name).to_pylist())])
-    links = _combined(join("keys", np.uint64), join("ids", np.int64))[2]
+    links = _combined(_unpacked(table.column("keys").to_pylist(), _KEY, np.uint64), _unpacked(table.column("ids").to_pylist(), _NAME, np.int64))[2]
     known = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in table.column("links").to_pylist() if x]
     links = _forest(np.concatenate([links, *known]))
     del known
@@ -344,14 +370,15 @@ def near_duplicates(df: DataFrame, n: int = 4, num: int = 85, den: int = 100, do
 
     some = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = parts_for(text_bytes(df, text), BUCKET)
-    sent = some.mapInArrow(_send_keys(n, num, den, buckets, common), _KEYS)
+    sent = some.select("text").mapInArrow(_send_keys(n, num, den, buckets, common), _KEYS)
     # a link may come once from each bucket
     pairs = sent.groupBy("bucket").applyInArrow(_meet, "a long, b long").distinct()
 
-    heads = written(known.join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "node", "n_shingles"), "heads")
+    heads = written(known.join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "node", "n_shingles", F.col("s1").bitwiseAND(F.lit((1 << 8 * _NAME) - 1)).alias("name")), "heads")
     of = heads.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("other"))
+    named = heads.where("doc_id = node").select("name", "node").distinct()
     for end in ("a", "b"):
-        pairs = pairs.join(of.select(F.col("doc_id").alias(end), F.col("node").alias(f"_{end}")), end).drop(end).withColumnRenamed(f"_{end}", end)
+        pairs = pairs.join(named.select(F.col("name").alias(end), F.col("node").alias(f"_{end}")), end).drop(end).withColumnRenamed(f"_{end}", end)
     groups = connected_components(pairs)
 
     members = heads.where("doc_id = node").dropDuplicates(["node"]).join(groups, "node").select("node", F.col("component").alias("group"), "n_shingles")
